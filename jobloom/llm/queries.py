@@ -17,7 +17,51 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op3_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import WEIGHTS, mix, source_tree
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    out = mix(docs, source_tree(), WEIGHTS)
+    return out.select("doc_id", F.col("_mix_domain").alias("domain"), F.col("_mix_lang").alias("lang"), F.col("_mix_source").alias("source"), F.col("_mix_epoch").alias("epoch"), F.col("_mix_tokens").alias("tokens"), F.col("_mix_budget").alias("budget"))
+
+
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontam import contamination
+
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), F.col("n_item").alias("n_item_shingles"), "n_shared")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import score, train, training_fold
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    out = score(docs, model)
+    held = ~training_fold(F.col("id"))
+    return out.select(F.col("id").alias("doc_id"), held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import assign_shards
+
+    out = assign_shards(table(spark, sf_dir, "documents"), shards=24)
+    return out.select(F.col("id").alias("doc_id"), "size", F.coalesce("crc", F.lit(0)).cast("long").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
+    "op3_hierarchical_mixing": op3_hierarchical_mixing,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_lpt_sharding": op10_lpt_sharding,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _oracles() -> dict[str, str]:
+    from . import decontam, mixing
+
+    return {"op3_hierarchical_mixing": mixing.ORACLE, "op6_benchmark_decontamination": decontam.ORACLE}
+
+
+ORACLE_SQL: dict[str, str] = _oracles()
