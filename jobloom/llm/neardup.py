@@ -6,9 +6,9 @@ So all t coordinates fill, for any set that is not empty, and the number on whic
 concentrates round t * J as if the coordinates were drawn without replacement.
 
 Plan: sketch each text once -> one class per distinct set -> band rows of class representatives -> a star
-from each band's members to its smallest id -> exact check on whole sets -> components -> where a band's
-members still lie in several components, compare those across them in blocks -> exact check -> components.
-No pair of two members already joined is ever made, and no candidate is dropped.
+from each band's members to its smallest id -> exact check on whole sets -> components -> where the members under
+one head still lie in several components, an exact check across those, block by block -> components.
+Two members already joined are never compared, and no candidate is dropped.
 
 Defined cases: null or empty texts and texts without words have the empty set and link with nothing; a
 text under five words has its word sequence as its one shingle; rows with a null id stay alone
@@ -18,7 +18,6 @@ text under five words has its word sequence as its one shingle; rows with a null
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +28,10 @@ from .shingles import U, mix, shingle_sets
 
 COORDS, ROWS = 128, 4
 BANDS = COORDS // ROWS
-#: At similarity 0.75, 96 of 128 coordinates agree on average; 60 or fewer do with a chance below 1e-9.
-LEAST_AGREED = 61
-BLOCK = 1024
+#: At similarity 0.75, 96 of 128 coordinates agree on average, with a deviation of 4.9; 71 or fewer do with a
+#: chance of about 3e-7, less than that of sharing no band.
+LEAST_AGREED = 72
+BLOCK = 256
 _BIN = U(57)
 _KEEP = U((1 << 49) - 1)
 
@@ -129,47 +129,76 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percen
     return both.mapInArrow(check, f"u {kind}, v {kind}").distinct()
 
 
-def _across(batches):
-    """Pairs of a block that lie in different components and agree on ``LEAST_AGREED`` coordinates."""
-    rest = None
-
-    def pairs(g: pd.DataFrame):
-        sk = np.frombuffer(b"".join(g["bytes"]), np.uint8).reshape(len(g), COORDS)
-        comp, ids = g["comp"].to_numpy(), g["id"].to_numpy()
-        first = (g["block"] == g["lo"]).to_numpy()
-        same = bool(g["lo"].iat[0] == g["hi"].iat[0])
-        left = np.arange(len(g)) if same else np.flatnonzero(first)
-        right = left if same else np.flatnonzero(~first)
-        for i in left:
-            to = right[right > i] if same else right
-            to = to[comp[to] != comp[i]]
-            to = to[(sk[to] == sk[i]).sum(axis=1) >= LEAST_AGREED]
-            for j in to:
-                yield (ids[i], ids[j]) if ids[i] > ids[j] else (ids[j], ids[i])
-
-    def grouped(g: pd.DataFrame):
-        change = np.flatnonzero((g[["key", "lo", "hi"]].to_numpy()[1:] != g[["key", "lo", "hi"]].to_numpy()[:-1]).any(axis=1)) + 1
-        return np.concatenate([[0], change, [len(g)]])
-
-    def out(found):
-        return pd.DataFrame({"u": pd.array([a for a, _ in found], "int64"), "v": pd.array([b for _, b in found], "int64")})
-
-    for pdf in batches:
-        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-        if not len(pdf):
-            continue
-        at = grouped(pdf)
-        yield out([p for a, b in zip(at[:-2], at[1:-1]) for p in pairs(pdf.iloc[a:b])])
-        rest = pdf.iloc[at[-2] :]
-    if rest is not None and len(rest):
-        yield out(list(pairs(rest)))
+def verify_across(groups: DataFrame, docs: DataFrame, bytes_of: DataFrame, id_col: str, text_col: str, percent: int = 75) -> DataFrame:
+    """Links ``(u, v)`` between components, of ``groups(head, id, comp)`` whose members may be alike.
+
+    In a group, rows outside its most frequent component are the queries and all its rows the data. Both are cut
+    into blocks of about ``BLOCK`` rows and each block of queries meets each block of data; a task holds one block of
+    queries and streams the data past it. Only links that join two components come out, so the result
+    has at most one row for each row that came in.
+    """
+    sizes = groups.groupBy("head", "comp").agg(F.count("*").alias("n"))
+    sizes = sizes.groupBy("head").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    sizes = sizes.select("head", "main", blocks(F.col("all")).alias("k"), blocks(F.col("all") - F.col("most")).alias("q"))
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    rows = stash(groups.join(sizes, "head"), "mixed_groups")
+    ids = rows.select("id").distinct()
+    texts = texts.join(F.broadcast(ids) if ids.count() <= 500_000 else ids, "id", "left_semi").join(bytes_of, "id")
+    other = F.col("comp") != F.col("main")
+    block = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
+    data = rows.select("head", block(F.col("k"), 1).alias("part"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qpart"), F.lit(1).alias("turn"), "id", "comp", other.alias("other"))
+    queries = rows.where(other).select("head", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), block(F.col("q"), 2).alias("qpart"), F.lit(0).alias("turn"), "id", "comp", F.lit(True).alias("other"))
+    cell = ["head", "part", "qpart"]
+    met = data.union(queries).join(texts, "id").select(*cell, "turn", "id", "comp", "other", "bytes", "text")
+    met = met.repartition(*cell).sortWithinPartitions(*cell, "turn", "id")
+
+    def run(batches):
+        now, ids, comps, sets, sketches, matrix, up = None, [], [], [], [], None, {}
+
+        def root(c):
+            while up.get(c, c) != c:
+                c = up[c]
+            return c
+
+        for b in batches:
+            cells = list(zip(*(b.column(i).to_pylist() for i in range(3))))
+            turn, id_, comp, other_, sk = (b.column(i).to_pylist() for i in range(3, 8))
+            us, vs = [], []
+            for i, s in enumerate(shingle_sets(b.column(8))):
+                if cells[i] != now:
+                    now, ids, comps, sets, sketches, matrix, up = cells[i], [], [], [], [], None, {}
+                mine = np.frombuffer(sk[i], np.uint8)
+                if turn[i] == 0:
+                    ids.append(id_[i]), comps.append(comp[i]), sets.append(s), sketches.append(mine)
+                    continue
+                if matrix is None and sets:
+                    matrix = np.stack(sketches)
+                    order, codes = np.array(ids), np.array(comps)
+                if not sets:
+                    continue
+                maybe = (matrix == mine).sum(axis=1) >= LEAST_AGREED
+                maybe &= codes != comp[i]
+                if other_[i]:
+                    maybe &= order < id_[i]
+                for j in np.flatnonzero(maybe):
+                    a, c = root(comps[j]), root(comp[i])
+                    h = sets[j]
+                    if a == c or min(len(s), len(h)) * 100 < percent * max(len(s), len(h)):
+                        continue
+                    shared = len(np.intersect1d(s, h, assume_unique=True))
+                    if 100 * shared >= percent * (len(s) + len(h) - shared):
+                        up[max(a, c)] = min(a, c)
+                        us.append(max(id_[i], ids[j])), vs.append(min(id_[i], ids[j]))
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+    return met.mapInArrow(run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """``(id, n_shingles, component, kept)`` for every row; see the module's notes.
 
-    Ids are integers. Memory: a task holds one Arrow batch and one set; a band's block holds at most
-    2 * ``BLOCK`` sketches of 128 bytes.
+    Ids are integers. Memory: a task holds one Arrow batch and at most about ``BLOCK`` sets.
     """
     docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     sig = stash(signatures(docs, "id", "text"), "signatures")
@@ -178,9 +207,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = sig.join(classes, ["fp1", "fp2"]).where("id = rep").groupBy("id", "fp1", "fp2").agg(F.first("bands").alias("bands"), F.first("bytes").alias("bytes"))
     reps = stash(own.select("id", "bands", "bytes"), "reps")
     members = reps.select(F.explode("bands").alias("key"), "id")
-    heads = members.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last"), F.count("*").alias("n")).where("head < last").drop("last")
-    shared = stash(members.join(heads, "key"), "shared_bands")
-    star = stash(shared.where("id <> head").select(F.col("id").alias("u"), F.col("head").alias("v")).distinct(), "star_pairs")
+    heads = members.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last").drop("last")
+    star = stash(members.join(heads, "key").where("id <> head").select(F.col("id").alias("u"), F.col("head").alias("v")).distinct(), "star_pairs")
     bytes_of = reps.select("id", "bytes")
     alike = stash(_agreeing(star, bytes_of), "alike")
     # an id that stands for several sets links them
@@ -190,18 +218,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stash(verify(alike, docs, "id", "text", percent).union(twice).distinct(), "links")
     comps = stash(connected_components(links), "components")
 
-    placed = shared.join(comps, shared["id"] == comps["node"], "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("key")
-    k = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
-    blocks = placed.join(mixed, "key", "left_semi").withColumn("block", F.pmod(F.xxhash64("id"), k).cast("int"))
-    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), k - 1)))
-    blocks = blocks.join(bytes_of, "id").select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "comp", "bytes")
-    blocks = blocks.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "id")
-    rest = blocks.mapInPandas(_across, "u long, v long").distinct().join(star, ["u", "v"], "left_anti")
-    rest = stash(rest, "rest")
-    if not rest.isEmpty():
-        links = stash(links.union(verify(rest, docs, "id", "text", percent)), "all_links")
-        comps = stash(connected_components(links), "all_components")
+    # Two members of a band share its head, so the members of a head hold every candidate pair.
+    under = star.select(F.col("v").alias("head"), F.col("u").alias("id")).union(star.select(F.col("v").alias("head"), F.col("v").alias("id")).distinct())
+    placed = under.join(comps, under["id"] == comps["node"], "left").select("head", "id", F.coalesce("component", "id").alias("comp"))
+    more = stash(verify_across(placed, docs, bytes_of, "id", "text", percent), "more_links")
+    if not more.isEmpty():
+        comps = stash(connected_components(links.union(more)), "all_components")
 
     group = classes.join(comps, classes["rep"] == comps["node"], "left").select("fp1", "fp2", F.coalesce("component", "rep").alias("component"))
     out = narrow.join(group, ["fp1", "fp2"], "left")
