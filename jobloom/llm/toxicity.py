@@ -1,6 +1,6 @@
 """A counterfactually regularised toxicity classifier.
 
-Bag-of-words logistic regression. For each labelled text that mentions a group, copies are made with the
+Logistic regression on the words, and the stems of long words, that a text has. For each labelled text that mentions a group, copies are made with the
 mention swapped for other groups of its kind; the loss adds ``swap_weight`` times the squared change of the
 logit (counterfactual logit pairing), so naming a group does not carry the label by itself.
 
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import stash
 
 WORD = re.compile(r"\w+")
+#: Words longer than this also count by their first letters, which joins inflected and compounded forms.
+STEM = 6
 #: Group terms by kind; a swap stays within the kind.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys"),
@@ -42,6 +44,12 @@ IDENTITY_TERMS = (
 )
 
 
+def features(text: str) -> set[str]:
+    """The distinct words of a text, and the stems of the long ones as ``stem*``."""
+    words = set(WORD.findall(text.lower()))
+    return words | {w[:STEM] + "*" for w in words if len(w) > STEM}
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     weights: dict[str, float] = field(default_factory=dict)
@@ -51,7 +59,7 @@ class ToxicityModel:
         """Scores between 0 and 1 of an iterable of texts."""
         vocab, logits = self.weights.keys(), []
         for t in texts:
-            found = vocab & set(WORD.findall(t.lower())) if t else ()
+            found = vocab & features(t) if t else ()
             logits.append(self.intercept + sum(self.weights[w] for w in sorted(found)))
         return 1 / (1 + np.exp(-np.clip(np.array(logits, float), -745, 700)))
 
@@ -60,7 +68,7 @@ def training_fold(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 != 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, max_features: int = 2_000, least_z: float = 4.0, least_log_odds: float = 0.7, l2: float = 0.2, swap_weight: float = 1.0, identity_terms=IDENTITY_TERMS, fold=training_fold) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000, max_features: int = 2_000, least_z: float = 3.0, least_log_odds: float = 1.0, l2: float = 0.05, swap_weight: float = 1.0, identity_terms=IDENTITY_TERMS, fold=training_fold) -> ToxicityModel:
     """Fit on labelled rows of the training fold; see the module's notes for the bounds."""
     y = labels.where(fold(labels[id_col])).groupBy(labels[id_col].alias("id")).agg(F.max(label_col).cast("int").alias("y")).where("y IN (0, 1)")
     y = y.orderBy(F.xxhash64("id"), "id").limit(max_rows)
@@ -68,7 +76,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
     def bags(batches):
         for b in batches:
-            bag = [sorted(set(WORD.findall(t.lower()))) for t in b.column(1).to_pylist()]
+            bag = [sorted(features(t)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bag, pa.list_(pa.string()))], ["y", "words"])
 
     rows = stash(texts.join(F.broadcast(y), "id").select("y", "text").mapInArrow(bags, "y int, words array<string>"), "labelled_words")
