@@ -25,6 +25,20 @@ def op3_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("_mix_domain").alias("domain"), F.col("_mix_lang").alias("lang"), F.col("_mix_source").alias("source"), F.col("_mix_epoch").alias("epoch"), F.col("_mix_tokens").alias("tokens"), F.col("_mix_budget").alias("budget"))
 
 
+def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import apply_quality
+
+    out = apply_quality(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op8_url_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urlfilter import judge
+
+    out = judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return out.select("page_id", F.col("_host").alias("host"), F.col("_path").alias("path"), F.col("_rule").alias("rule"), F.col("_verdict").alias("verdict"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontam import contamination
 
@@ -51,17 +65,19 @@ def op10_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_hierarchical_mixing": op3_hierarchical_mixing,
+    "op4_host_quality_rules": op4_host_quality_rules,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op8_url_language_model": op8_url_language_model,
     "op9_toxicity": op9_toxicity,
     "op10_lpt_sharding": op10_lpt_sharding,
 }
 
 
 def _oracles() -> dict[str, str]:
-    from . import decontam, mixing
+    from . import decontam, mixing, quality
 
-    return {"op3_hierarchical_mixing": mixing.ORACLE, "op6_benchmark_decontamination": decontam.ORACLE}
+    return {"op4_host_quality_rules": quality.ORACLE, "op3_hierarchical_mixing": mixing.ORACLE, "op6_benchmark_decontamination": decontam.ORACLE}
 
 
 ORACLE_SQL: dict[str, str] = _oracles()
