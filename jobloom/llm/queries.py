@@ -32,6 +32,14 @@ def op4_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_warc_sharded_writer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive_folder, read_warc, write_warc
+
+    folder = archive_folder(spark)
+    write_warc(table(spark, sf_dir, "pages"), folder)
+    return read_warc(spark, folder).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_url_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .urlfilter import judge
 
@@ -66,6 +74,7 @@ def op10_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_hierarchical_mixing": op3_hierarchical_mixing,
     "op4_host_quality_rules": op4_host_quality_rules,
+    "op5_warc_sharded_writer": op5_warc_sharded_writer,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op8_url_language_model": op8_url_language_model,
@@ -75,9 +84,9 @@ QUERIES = {
 
 
 def _oracles() -> dict[str, str]:
-    from . import decontam, mixing, quality
+    from . import decontam, mixing, quality, warc
 
-    return {"op4_host_quality_rules": quality.ORACLE, "op3_hierarchical_mixing": mixing.ORACLE, "op6_benchmark_decontamination": decontam.ORACLE}
+    return {"op4_host_quality_rules": quality.ORACLE, "op5_warc_sharded_writer": warc.ORACLE, "op3_hierarchical_mixing": mixing.ORACLE, "op6_benchmark_decontamination": decontam.ORACLE}
 
 
 ORACLE_SQL: dict[str, str] = _oracles()
