@@ -17,6 +17,25 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .chat import format_conversations, read_back
+
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
+    return read_back(format_conversations(rows.unionByName(more)))
+
+
+def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import KINDS, find_pii
+
+    out = find_pii(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return out.select(F.col("id").alias("doc_id"), *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+
 def op3_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import WEIGHTS, mix, source_tree
 
@@ -72,6 +91,8 @@ def op10_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
+    "op2_skip_chain_pii": op2_skip_chain_pii,
     "op3_hierarchical_mixing": op3_hierarchical_mixing,
     "op4_host_quality_rules": op4_host_quality_rules,
     "op5_warc_sharded_writer": op5_warc_sharded_writer,
@@ -84,9 +105,9 @@ QUERIES = {
 
 
 def _oracles() -> dict[str, str]:
-    from . import decontam, mixing, quality, warc
+    from . import chat, decontam, mixing, quality, warc
 
-    return {"op4_host_quality_rules": quality.ORACLE, "op5_warc_sharded_writer": warc.ORACLE, "op3_hierarchical_mixing": mixing.ORACLE, "op6_benchmark_decontamination": decontam.ORACLE}
+    return {"op1_chat_formatting": chat.ORACLE, "op4_host_quality_rules": quality.ORACLE, "op5_warc_sharded_writer": warc.ORACLE, "op3_hierarchical_mixing": mixing.ORACLE, "op6_benchmark_decontamination": decontam.ORACLE}
 
 
 ORACLE_SQL: dict[str, str] = _oracles()
