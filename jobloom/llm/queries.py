@@ -32,8 +32,11 @@ def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_pii(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["base"])
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in KINDS]
-    return out.select(F.col("id").alias("doc_id"), *counts, F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == F.lit(kind)))).cast("long").alias(f"n_{kind}")
+
+    return out.select(F.col("id").alias("doc_id"), *[count(k) for k in KINDS], F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
 def op3_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
