@@ -134,32 +134,40 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     sized = stash(sized, "sizes")
     total = sized.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     first = sized.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(F.max("id").alias("response"), F.count("*").alias("n")).where("n > 1")
-    null_low = F.coalesce("id", F.lit(-(1 << 63)))
-    revisits = sized.join(first, ["digest", "bytes"]).where(~F.col("id").eqNullSafe(F.col("response"))).select("id", "digest", F.col("response").alias("refers_to")).distinct()
-    bounds = _bounds(sized.select(null_low.alias("id"), "url"), int(total // shard_bytes) + 1)
-
-    digest = F.sha1("payload").alias("digest")
-    rows = rows.select("*", digest, null_low.alias("key")).join(revisits.select(null_low.alias("key"), "digest", "refers_to"), ["key", "digest"], "left")
-    place = F.struct(F.coalesce("url", F.lit("")).alias("url"), F.col("key").alias("id"))
+    low = F.coalesce("id", F.lit(-(1 << 63)))
+    revisits = sized.join(first, ["digest", "bytes"]).where(~F.col("id").eqNullSafe(F.col("response")))
+    bounds = _bounds(sized.select(low.alias("id"), "url"), int(total // shard_bytes) + 1)
+
+    # What to refer to travels as rows of its own, sorted just before the records it is for, so that the
+    # payloads are shuffled once.
+    named = lambda df, **more: df.select(low.alias("key"), F.coalesce("url", F.lit("")).alias("u"), "digest", *[v.alias(k) for k, v in more.items()])
+    nothing = F.lit(None)
+    notes = named(revisits, turn=F.lit(0), id=F.col("id"), url=nothing.cast("string"), payload=nothing.cast("string"), refers_to=F.col("response")).distinct()
+    rows = named(rows.withColumn("digest", F.sha1("payload")), turn=F.lit(1), id=F.col("id"), url=F.col("url"), payload=F.col("payload"), refers_to=nothing.cast("long"))
+    place = F.struct(F.col("u").alias("url"), F.col("key").alias("id"))
     if bounds:
         cuts = F.array(*[F.struct(F.lit(u).alias("url"), F.lit(i).cast("long").alias("id")) for u, i in bounds])
         shard = F.size(F.filter(cuts, lambda c: c <= place))
     else:
         shard = F.lit(0)
-    dealt = rows.withColumn("shard", shard).repartitionById(len(bounds) + 1, F.col("shard"))
-    dealt = dealt.withColumn("u", F.coalesce("url", F.lit(""))).sortWithinPartitions("shard", "u", "key", "digest").select("shard", "id", "url", "payload", "refers_to")
+    dealt = rows.union(notes).withColumn("shard", shard).repartitionById(len(bounds) + 1, F.col("shard"))
+    dealt = dealt.sortWithinPartitions("shard", "u", "key", "digest", "turn").select("shard", "turn", "digest", "id", "url", "payload", "refers_to")
 
     def run(batches):
-        roller, done = None, []
+        roller, note = None, None
         for pdf in batches:
-            for shard, id_, url, payload, refers in zip(pdf["shard"], pdf["id"].astype("Int64"), pdf["url"], pdf["payload"], pdf["refers_to"].astype("Int64")):
+            done = []
+            ids = (pdf[c].astype("Int64").astype(object).where(pdf[c].notna(), None) for c in ("id", "refers_to"))
+            for shard, turn, digest, url, payload, id_, refers in zip(pdf["shard"], pdf["turn"], pdf["digest"], pdf["url"], pdf["payload"], *ids):
+                if turn == 0:
+                    note = (shard, digest, id_, refers)
+                    continue
                 if roller is None or roller.shard != shard:
                     done.append(roller.finish() if roller else None)
                     roller = _Roller(folder, int(shard), roll_bytes, date)
-                id_, refers = (None if pd.isna(x) else int(x) for x in (id_, refers))
+                refers = note[3] if note and note[:3] == (shard, digest, id_) else None
                 done.append(roller.write(make_record(id_, url, payload.encode(), refers, refers is not None, date, level)))
             yield pd.DataFrame([d for d in done if d], columns=["name", "records", "bytes", "sha256"])
-            done = []
         yield pd.DataFrame([d for d in [roller.finish() if roller else None] if d], columns=["name", "records", "bytes", "sha256"])
 
     dealt.mapInPandas(run, MANIFEST).write.mode("overwrite").parquet(f"{folder}/_manifest")
