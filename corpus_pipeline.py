@@ -14,6 +14,7 @@ from jobloom.llm import common, decontam, mixing, neardup, sharding, toxicity
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labelled documents among these, scores below 0.5."""
+    common.small_batches(spark)
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, model)
 
@@ -21,6 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group. Rows that repeat an id and its text
     stand for one document."""
+    common.small_batches(spark)
     found = common.stash(neardup.near_duplicates(docs).select("id", "kept"), "judged")
     gone = found.where("NOT kept").select(F.col("id").alias("_gone")).distinct()
     near = F.broadcast(gone) if gone.count() <= 500_000 else gone
@@ -31,6 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item to 75 percent of its shingles."""
+    common.small_batches(spark)
     return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 

@@ -19,6 +19,11 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a thousand rows: long texts then fill neither a worker's memory nor the JVM's buffers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage ends there, so a lost
     executor costs no recomputation of what came before."""
@@ -44,7 +49,7 @@ def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def byte_slices(offsets: np.ndarray, most: int = 1 << 20):
+def byte_slices(offsets: np.ndarray, most: int = (1 << 18) - 1):
     """Row ranges whose texts hold about ``most`` bytes together (one longer text stands alone)."""
     n, at = len(offsets) - 1, 0
     while at < n:

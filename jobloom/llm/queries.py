@@ -5,6 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
+
+def _with_small_batches(f):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return f(spark, sf_dir)
+
+    return run
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -107,6 +117,9 @@ QUERIES = {
 }
 
 
+QUERIES = {name: _with_small_batches(f) for name, f in QUERIES.items()}
+
+
 def _oracles() -> dict[str, str]:
     from . import chat, decontam, mixing, quality, warc
 

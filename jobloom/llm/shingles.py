@@ -32,13 +32,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _powers_of(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, U)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "up" not in _powers or len(_powers["up"]) < n + 1:
-        size = max(n + 1, 1 << 21) if n < 1 << 21 else n + 1
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            steps = np.full(size, base, U)
-            steps[0] = 1
-            _powers[name] = np.multiply.accumulate(steps)
+    """Powers of the base and of its inverse; kept for slices of the usual size, made anew for a longer text."""
+    back = pow(BASE, -1, 1 << 64)
+    if n >= 1 << 18:
+        return _powers_of(BASE, n + 1), _powers_of(back, n + 1)
+    if not _powers:
+        _powers.update(up=_powers_of(BASE, 1 << 18), down=_powers_of(back, 1 << 18))
     return _powers["up"], _powers["down"]
 
 
