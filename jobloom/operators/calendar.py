@@ -49,5 +49,5 @@ def overdue_slots(clock: DataFrame, ts: str, done: DataFrame, late_minutes: int
     stamp = local(F.col(ts))
     minute = F.hour(stamp) * 60 + F.minute(stamp)
     df = clock.withColumns({"day": stamp.cast("date"), "_minute": minute, "slot": F.explode(F.array(*[F.lit(h) for h in P.COLLECT_HOURS]))})
-    df = df.withColumn("lag_minutes", F.col("_minute") - F.col("slot") * 60).where(F.col("lag_minutes") >= max(P.KICK_LAG_MINUTES, late_minutes or 0))
+    df = df.withColumn("lag_minutes", (F.col("_minute") - F.col("slot") * 60).cast("long")).where(F.col("lag_minutes") >= max(P.KICK_LAG_MINUTES, late_minutes or 0))
     return df.drop("_minute").join(done.select("day", "slot"), ["day", "slot"], "left_anti")

@@ -132,8 +132,7 @@ def postings_from_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("array<struct<start: int, end: int, url: string>>")
-def code_point_spans(text: pd.Series, entities: pd.Series) -> pd.Series:
+def code_point_spans(text: Column, entities: Column) -> Column:
     """Link entities in UTF-16 units -> spans in code points, in order."""
 
     def one(t, es):
@@ -142,12 +141,16 @@ def code_point_spans(text: pd.Series, entities: pd.Series) -> pd.Series:
         out = [{"start": at(e["offset"]), "end": at(e["offset"] + e["length"]), "url": e["url"].strip()} for e in (es if es is not None else ()) if e["url"] is not None and e["offset"] is not None and e["length"] is not None]
         return sorted(out, key=lambda s: (s["start"], s["end"], s["url"]))
 
-    return pd.Series([one(t, e) for t, e in zip(text, entities)])
+    @F.pandas_udf("array<struct<start: int, end: int, url: string>>")
+    def run(t: pd.Series, e: pd.Series) -> pd.Series:
+        return pd.Series([one(x, y) for x, y in zip(t, e)])
+
+    return run(text, entities)
 
 
 def postings_from_digests(messages: DataFrame) -> DataFrame:
     """Each link of a digest as a posting; a link's block runs to the next link."""
-    spans = messages.select("channel", "message_id", "text", "published_at", F.posexplode(code_point_spans("text", "entities")).alias("idx", "s"))
+    spans = messages.select("channel", "message_id", "text", "published_at", F.posexplode(code_point_spans(F.col("text"), F.col("entities"))).alias("idx", "s"))
     nxt = F.lead("s.start").over(Window.partitionBy("channel", "message_id").orderBy("idx"))
     df = spans.withColumn("block_end", F.coalesce(nxt, F.length("text")))
     piece = lambda a, b: F.expr(f"substring(text, {a} + 1, greatest({b} - {a}, 0))")
