@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import policy as P
@@ -13,13 +13,20 @@ UNICODE = "(?iuU)"
 
 
 def matches(c: Column, pattern: str) -> Column:
-    """A case-insensitive search with Unicode word classes; null counts as no match."""
-    return F.coalesce(c.rlike(UNICODE + pattern), F.lit(False))
+    """A case-insensitive search with Unicode word classes; null counts as no match.
+
+    Patterns are lower-case, so the text is lowered once instead of folding case at every character.
+    """
+    return F.coalesce(F.lower(c).rlike("(?U)" + pattern), F.lit(False))
+
+
+#: All characters of the Unicode property White_Space.
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(c: Column) -> Column:
-    """Trim all Unicode white space (``trim`` only knows the space)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Trim all Unicode white space (``trim`` alone only knows the space)."""
+    return F.btrim(c, F.lit(WHITE))
 
 
 def squeeze(c: Column) -> Column:
@@ -99,6 +106,34 @@ def canonicalize_url(raw: Column) -> Column:
     return F.when(url == "", "").otherwise(F.concat(scheme, F.lit("://"), netloc, path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
 
 
+def with_canonical_url(df: DataFrame, url: str = "url", out: str = "canonical_url") -> DataFrame:
+    """``canonicalize_url`` in steps, each part of the link computed once: the form for whole tables."""
+    c, scheme = F.col, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?"
+    df = df.withColumn("_cu", strip(text(c(url))))
+    df = df.withColumns({"_cs": F.lower(F.regexp_extract("_cu", r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)), "_ca": F.regexp_extract("_cu", scheme + r"//([^/?#]*)", 1), "_cp": F.regexp_extract("_cu", scheme + r"(?://[^/?#]*)?([^?#]*)", 1), "_cq": F.regexp_extract("_cu", r"^[^?#]*\?([^#]*)", 1)})
+    host = host_of(c("_ca"))
+    df = df.withColumns({"_cs": F.when(c("_cs") == "", "https").otherwise(c("_cs")), "_ch": host, "_cn": F.regexp_extract("_ca", r":([0-9]+)$", 1)})
+    for name, alias in P.HOST_ALIASES.items():
+        df = df.withColumn("_ch", F.when(c("_ch") == name, alias).otherwise(c("_ch")))
+    own = [F.regexp_replace("_ch", r"^www\.", "") == h for h in P.HOST_TRACKING_QUERY_KEYS]
+    keys = list(P.HOST_TRACKING_QUERY_KEYS.values())
+
+    def kept(p):
+        key = F.lower(p["k"])
+        drop = key.startswith("utm_") | key.isin(*P.TRACKING_QUERY_KEYS)
+        for here, k in zip(own, keys):
+            drop = drop | (key.isin(*k) & here)
+        return ~drop
+
+    pairs = F.array_sort(F.filter(_query_pairs(c("_cq")), kept))
+    query = F.array_join(F.transform(pairs, lambda p: F.concat(url_encode(p["k"]), F.lit("="), url_encode(p["v"]))), "&")
+    df = df.withColumn("_cq", F.when(c("_cq") == "", "").otherwise(query))
+    shown = (c("_cn") != "") & (((c("_cs") == "http") & (c("_cn") != "80")) | ((c("_cs") == "https") & (c("_cn") != "443")))
+    path = F.when(c("_cp").isin("", "/"), "/").otherwise(F.regexp_replace("_cp", "/+$", ""))
+    whole = F.concat("_cs", F.lit("://"), "_ch", F.when(shown, F.concat(F.lit(":"), "_cn")).otherwise(""), path, F.when(c("_cq") == "", "").otherwise(F.concat(F.lit("?"), "_cq")))
+    return df.withColumn(out, F.when(c("_cu") == "", "").otherwise(whole)).drop("_cu", "_cs", "_ca", "_cp", "_cq", "_ch", "_cn")
+
+
 def strip_tracking(url: Column) -> Column:
     """Drop ``utm_*`` pairs and the fragment; order and spelling of the rest stay."""
     base = F.regexp_extract(text(url), r"^([^?#]*)", 1)
@@ -274,26 +309,28 @@ def html_text(c: Column) -> Column:
 
 def required_lines(description: Column) -> Column:
     """Requirement clauses, one array element each: clauses of optional sections and optional clauses are out,
-    those of a required section start with ``required: ``. The running section is folded over the lines."""
+    those of a required section start with ``required: ``. Each line is classified and cut once; then the
+    running section is folded over the lines."""
     lines = F.transform(F.split(html_text(description), r"[\n;]|(?<=[.!?])\s+"), strip)
-    kind = lambda x: F.when(matches(x, P.OPTIONAL_SECTION), "o").when(matches(x, P.NEUTRAL_SECTION), "n").when(matches(x, P.REQUIRED_SECTION), "r")
-
-    def fold(acc, line):
-        k = kind(line)
-        optional = F.when(k == "o", True).when(k.isin("r", "n"), False).otherwise(acc["o"])
-        required = F.when(k == "r", True).when(k == "n", False).otherwise(acc["r"])
-        prefix = F.when(required, "required: ").otherwise("")
-        clauses = F.filter(F.split(line, UNICODE + P.CLAUSE_SPLIT), lambda c: ~matches(c, P.OPTIONAL_CLAUSE))
-        clauses = F.transform(clauses, lambda c: F.concat(prefix, strip(c)))
-        out = F.when(optional, acc["out"]).otherwise(F.concat(acc["out"], clauses))
-        return F.struct(optional.alias("o"), required.alias("r"), out.alias("out"))
+    kind = lambda x: F.when(matches(x, P.OPTIONAL_SECTION), "o").when(matches(x, P.NEUTRAL_SECTION), "n").when(matches(x, P.REQUIRED_SECTION), "r").otherwise("")
+    clauses = lambda x: F.transform(F.filter(F.split(x, UNICODE + P.CLAUSE_SPLIT), lambda c: ~matches(c, P.OPTIONAL_CLAUSE)), strip)
+    cut = F.transform(lines, lambda x: F.struct(kind(x).alias("k"), clauses(x).alias("c")))
+
+    def fold(acc, x):
+        optional = F.when(x["k"] == "", acc["o"]).otherwise(x["k"] == "o")
+        required = F.when(x["k"].isin("", "o"), acc["r"]).otherwise(x["k"] == "r")
+        named = F.when(required, F.transform(x["c"], lambda c: F.concat(F.lit("required: "), c))).otherwise(x["c"])
+        return F.struct(optional.alias("o"), required.alias("r"), F.when(optional, acc["out"]).otherwise(F.concat(acc["out"], named)).alias("out"))
 
     zero = F.struct(F.lit(False).alias("o"), F.lit(False).alias("r"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(lines, zero, fold, lambda a: a["out"])
+    return F.aggregate(cut, zero, fold, lambda a: a["out"])
 
 
 def authorization_blockers(description: Column) -> Column:
-    """Ordered distinct requirements that cannot be met from abroad."""
+    """Ordered distinct requirements that cannot be met from abroad.
+
+    A text without any word of the requirements has none, so only the others are cut into sentences.
+    """
     sentences = F.split(F.array_join(required_lines(description), "\n"), r"(?<=[.!?])\s+|[\n;]")
     hit = F.filter(sentences, lambda s: matches(s, P.AUTHORIZATION_REQUIRED) & ~matches(s, P.AUTHORIZATION_SUPPORT) & ~matches(s, P.UKRAINE))
 
@@ -303,7 +340,8 @@ def authorization_blockers(description: Column) -> Column:
             out = out.when(matches(s, pattern), name)
         return out.otherwise(P.BLOCKERS[-1][1])
 
-    return F.array_distinct(F.transform(hit, named))
+    maybe = text(description).rlike(r"(?iu)authori[sz]|eligib|right|permit|visa|citizen|resident|clearance")
+    return F.when(maybe, F.array_distinct(F.transform(hit, named))).otherwise(F.array().cast("array<string>"))
 
 
 # --- labels -------------------------------------------------------------------------------------------------------------

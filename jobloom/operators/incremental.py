@@ -68,11 +68,10 @@ def purge_seen(seen: DataFrame, live: DataFrame, purgeable: DataFrame, closed: D
 
 
 def append_feed(feed: DataFrame, postings: DataFrame, first_seen: Column, repeat: Column, order: str = "seq") -> DataFrame:
-    """The feed with entries of the keys it lacks, the first posting of each key."""
-    rn = F.row_number().over(Window.partitionBy("feed_key").orderBy(order))
-    first = postings.withColumn("feed_key", feed_key()).where("feed_key <> ''").withColumn("_rn", rn).where("_rn = 1").drop("_rn", "feed_key")
-    new = feed_entries(first, first_seen, repeat)
-    return feed.unionByName(new.join(feed.select("feed_key"), "feed_key", "left_anti"))
+    """The feed with entries of the keys it lacks, the first posting of each key; only those get labels."""
+    keyed = postings.withColumn("feed_key", feed_key()).where("feed_key <> ''").join(feed.select("feed_key"), "feed_key", "left_anti")
+    first = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy("feed_key").orderBy(order))).where("_rn = 1").drop("_rn", "feed_key")
+    return feed.unionByName(feed_entries(first, first_seen, repeat))
 
 
 def prune_feed(feed: DataFrame, now: Column, days: int = P.RETENTION_DAYS) -> DataFrame:

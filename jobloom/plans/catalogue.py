@@ -66,7 +66,7 @@ def _today(spark, d) -> DataFrame:
 @query
 def q_canonical_url(spark, d):
     both = table(spark, d, "pages").select("url").union(raw_postings(spark, d).select("url"))
-    return both.select("url", C.canonicalize_url(c("url")).alias("canonical_url")).distinct()
+    return C.with_canonical_url(both.distinct())
 
 
 @query
