@@ -4,6 +4,8 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from math import log
+from statistics import fmean, pstdev
 
 import pytest
 
@@ -116,6 +118,42 @@ def test_op8_rules_and_separation(spark, sf_dir):
         assert r.verdict == (max(fits)[2] if fits else r.verdict) and r.verdict in ("allow", "block")
 
 
+def brute_model(rows):
+    """Model verdicts of ``(url, rule verdict)`` rows with margins: dictionaries instead of windows, one url at a time."""
+    def grams(url):
+        padded = "\x02\x02\x02" + url + "\x03"
+        return [padded[i : i + 4] for i in range(len(url) + 1)]
+
+    seen = {c: Counter() for c in ("allow", "block")}
+    for url, verdict in rows:
+        for g in grams(url) if verdict else ():
+            for k in range(1, 5):
+                seen[verdict][(k, g[4 - k :])] += 1
+                seen[verdict][("before", k, g[4 - k : 3])] += 1
+
+    def chance(c, g):
+        p = 1 / 256
+        for k in range(1, 5):
+            p = (seen[c][(k, g[4 - k :])] + 4 * p) / (seen[c][("before", k, g[4 - k : 3])] + 4)
+        return p
+
+    score = {url: fmean(log(chance("allow", g) / chance("block", g)) for g in grams(url)) for url, _ in rows}
+    of = {c: [score[u] for u, v in rows if v == c] for c in seen}
+    mean, sd = {c: fmean(x) for c, x in of.items()}, {c: pstdev(x) for c, x in of.items()}
+    cut = (mean["allow"] * sd["block"] + mean["block"] * sd["allow"]) / (sd["allow"] + sd["block"])
+    return {u: s - cut for u, s in score.items()}
+
+
+def test_op8_brute(spark, sf_dir):
+    urls = {r.page_id: r.url or "" for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    got = queries.QUERIES["op8_url_language_model"](spark, sf_dir).collect()
+    assert len(got) == len(urls)
+    margin = brute_model([(urls[r.page_id], r.verdict if r.rule else None) for r in got])
+    unruled = [r for r in got if not r.rule and abs(margin[urls[r.page_id]]) > 1e-5]
+    assert unruled
+    assert all(r.verdict == ("block" if margin[urls[r.page_id]] < 0 else "allow") for r in unruled)
+
+
 def test_shares_of_a_known_schedule():
     jobs = [(0, 7), (1, 7), (2, 6), (3, 6), (4, 5), (5, 5), (6, 4), (7, 4), (8, 4)]
     placed = sharding.longest_first(jobs, 3)
