@@ -2,7 +2,9 @@
 
 Logistic regression on the words, and the stems of long words, that a text has. For each labelled text that mentions a group, copies are made with the
 mention swapped for other groups of its kind; the loss adds ``swap_weight`` times the squared change of the
-logit (counterfactual logit pairing), so naming a group does not carry the label by itself.
+logit (counterfactual logit pairing), so naming a group does not carry the label by itself. A copy has all features
+of the swapped text: the old word's stem goes with it, unless another word of the text has that stem, and the new
+word's stem comes in.
 
 Training is bounded: at most ``max_rows`` labelled rows (those with the smallest hash of their id), at most
 ``max_features`` words, chosen by the z-score of their log-odds over all sampled rows. Scoring covers every
@@ -16,6 +18,7 @@ id are not learned from, a repeated labelled id counts once (its highest label);
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -44,10 +47,22 @@ IDENTITY_TERMS = (
 )
 
 
+def stems(words) -> set[str]:
+    """The stems of the long words among these, as ``stem*``."""
+    return {w[:STEM] + "*" for w in words if len(w) > STEM}
+
+
 def features(text: str) -> set[str]:
-    """The distinct words of a text, and the stems of the long ones as ``stem*``."""
+    """The distinct words of a text, and the stems of the long ones."""
+    words = set(WORD.findall(text.lower()))
+    return words | stems(words)
+
+
+def staying(text: str, terms) -> set[str]:
+    """Those of ``terms`` in a text whose stem another word of the text has as well."""
     words = set(WORD.findall(text.lower()))
-    return words | {w[:STEM] + "*" for w in words if len(w) > STEM}
+    times = Counter(w[:STEM] for w in words if len(w) > STEM)
+    return {t for t in words & terms if len(t) > STEM and times[t[:STEM]] > 1}
 
 
 @dataclass(frozen=True)
@@ -74,12 +89,15 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     y = y.orderBy(F.xxhash64("id"), "id").limit(max_rows)
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where("text IS NOT NULL")
 
+    groups = {t: g for g in identity_terms for t in g}
+
     def bags(batches):
         for b in batches:
-            bag = [sorted(features(t)) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bag, pa.list_(pa.string()))], ["y", "words"])
+            texts = b.column(1).to_pylist()
+            bag, held = ([sorted(f(t)) for t in texts] for f in (features, lambda t: staying(t, groups.keys())))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.list_(pa.string())) for x in (bag, held))], ["y", "words", "held"])
 
-    rows = stash(texts.join(F.broadcast(y), "id").select("y", "text").mapInArrow(bags, "y int, words array<string>"), "labelled_words")
+    rows = stash(texts.join(F.broadcast(y), "id").select("y", "text").mapInArrow(bags, "y int, words array<string>, held array<string>"), "labelled_words")
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return ToxicityModel({}, -745.0 if not n.get(1) else 700.0)
@@ -88,23 +106,34 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     z = odds / F.sqrt(1 / a + 1 / b)
     counts = rows.select("y", F.explode("words").alias("w")).groupBy("w").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b"))
     chosen = counts.select("w", odds.alias("o"), z.alias("z")).where((F.abs("z") >= least_z) & (F.abs("o") >= least_log_odds)).orderBy(F.abs("z").desc(), "w").limit(max_features)
-    groups = {t: g for g in identity_terms for t in g}
     vocab = sorted({r.w for r in chosen.collect()} | set(groups))
     keep = F.array(*[F.lit(w) for w in vocab])
-    sample = rows.select("y", F.array_sort(F.array_intersect("words", keep)).alias("words")).groupBy("y", "words").agg(F.count("*").alias("n")).orderBy("y", "words").collect()
-    return _fit([(r.y, r.words, r.n) for r in sample], vocab, groups, l2, swap_weight)
+    sample = rows.select("y", F.array_sort(F.array_intersect("words", keep)).alias("words"), "held").groupBy("y", "words", "held").agg(F.count("*").alias("n")).orderBy("y", "words", "held").collect()
+    return _fit([(r.y, r.words, r.n, r.held) for r in sample], vocab, groups, l2, swap_weight)
 
 
 def _fit(sample: list, vocab: list[str], groups: dict, l2: float, swap_weight: float, rounds: int = 600) -> ToxicityModel:
-    """Full-batch training with Adam on rows ``(label, words, times)``; the intercept comes last and is not shrunk."""
+    """Full-batch training with Adam on rows ``(label, words, times)``; the intercept comes last and is not shrunk.
+    A fourth field names the group terms whose stem stays when they are swapped."""
     at = {w: i for i, w in enumerate(vocab)}
     d = len(vocab)
     y = np.array([s[0] for s in sample], float)
     times = np.array([s[2] for s in sample], float)
     row = np.repeat(np.arange(len(sample)), [len(s[1]) for s in sample])
     col = np.array([at[w] for s in sample for w in s[1]], np.int64)
-    swaps = [(at[a], at[b], n) for _, words, n in sample for a in words if a in groups for b in groups[a] if b != a and b not in words]
-    out, into, weight = (np.array(x) for x in zip(*swaps)) if swaps else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+    swaps = Counter()  # (features that go, features that come): copies
+    for _, words, n, *held in sample:
+        words = set(words)
+        for a in words & groups.keys():
+            gone = {a} if held and a in held[0] else {a} | stems([a])
+            for b in groups[a]:
+                if b not in words:
+                    new = {b} | stems([b])
+                    swaps[tuple(sorted(gone & words - new)), tuple(sorted((new - words) & at.keys()))] += n
+    pairs = sorted(swaps)
+    weight = np.array([swaps[x] for x in pairs], float)
+    side = [(k, at[w], sign) for k, x in enumerate(pairs) for ws, sign in zip(x, (1, -1)) for w in ws]
+    swap, changed, sign = (np.array(x) for x in zip(*side)) if side else (np.zeros(0, int),) * 3
     w = np.zeros(d + 1)
     w[d] = np.log((times * y).sum() / (times * (1 - y)).sum())
     m, v = np.zeros(d + 1), np.zeros(d + 1)
@@ -114,9 +143,9 @@ def _fit(sample: list, vocab: list[str], groups: dict, l2: float, swap_weight: f
         r = (p - y) * times
         grad = np.append(np.bincount(col, r[row], d), r.sum())
         grad[:d] += l2 * w[:d]
-        if len(out):
-            gap = 2 * swap_weight * weight * (w[out] - w[into])
-            grad[:d] += np.bincount(out, gap, d) - np.bincount(into, gap, d)
+        if pairs:
+            gap = 2 * swap_weight * weight * np.bincount(swap, sign * w[changed], len(pairs))
+            grad[:d] += np.bincount(changed, sign * gap[swap], d)
         grad /= scale
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         w -= 0.1 * (1 - t / (rounds + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)

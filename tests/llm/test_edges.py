@@ -288,6 +288,26 @@ def test_swaps_take_the_label_off_a_group():
     assert s(paired, "you scum") > 0.5
 
 
+def test_swaps_take_the_label_off_long_terms_and_their_stems(spark):
+    toxic = ["lesbian scum here"] * 40 + ["scum here"] * 20 + ["lesbian people here"] * 30
+    clean = ["people meet here"] * 300 + ["gay people here"] * 120
+    rows = [(i, t, "en", "s") for i, t in enumerate(toxic + clean)]
+    labels = spark.createDataFrame([(i, int(i < len(toxic))) for i in range(len(rows))], "doc_id long, toxic int")
+    model = toxicity.train(docs(spark, *rows), labels, swap_weight=20.0, fold=lambda c: F.lit(True))
+    assert "lesbia*" in model.weights
+    logit = lambda m, t: m.intercept + sum(m.weights.get(x, 0) for x in toxicity.features(t))
+    assert abs(logit(model, "lesbian people here") - logit(model, "gay people here")) < 0.3
+    assert model.score(["lesbian people here"])[0] < 0.5 < model.score(["you scum here"])[0]
+
+
+def test_swaps_keep_a_stem_that_another_word_has():
+    assert toxicity.staying("christian christmas lesbian muslims muslim", {"christian", "lesbian", "muslims", "muslim"}) == {"christian"}
+    sample = lambda *held: [(1, ["christ*", "christian"], 40, *held), (0, ["muslim"], 40, *([[]] if held else []))]
+    groups = {t: ("muslim", "christian") for t in ("muslim", "christian")}
+    kept, gone = (toxicity._fit(sample(h), ["christ*", "christian", "muslim"], groups, 0.05, 20.0) for h in (["christian"], []))
+    assert kept.weights["christ*"] > gone.weights["christ*"]
+
+
 # --- 10 sharding
 
 
