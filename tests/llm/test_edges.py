@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,6 +79,20 @@ def test_pii_label_spreads_over_distance():
     assert alone == []
 
 
+def test_pii_evidence_reaches_every_repeat():
+    model = pii.train()
+    text = "call +1 (398) 259-7919 now" + " filler card 398-259-7919x please" * 50
+    alone, beside = pii.added_spans([text], model), pii.added_spans(["1 2 3 4 joe.b12@site 5", text, "10.2.3.4:80"], model)
+    assert sum(text[a:b] == "398-259-7919x" and k == "phone" for a, b, k in alone[0]) == 50
+    assert beside[1] == alone[0]
+
+
+def test_pii_hub_keeps_the_potential_of_a_pair():
+    skip = pii.train()[3]
+    root = np.exp(pii.pair_root(skip))
+    assert np.allclose(root @ root.T, np.exp(skip)) and root.min() > 1e-9
+
+
 @pytest.mark.parametrize("text", ["1" * 30_000, "a" * 30_000 + "@", "@" * 30_000, "+1" * 15_000, "1." * 15_000])
 def test_pii_is_linear(text):
     pii.base_spans(text)
