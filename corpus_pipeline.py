@@ -20,15 +20,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group. Rows that repeat an id and its text
-    stand for one document."""
+    """The document with the smallest id of each near-duplicate group. Of rows that repeat an id, one of each
+    group of equal or near texts stays, the one with the smallest hash. Rows with a null id all stay."""
     common.small_batches(spark)
     found = common.stash(neardup.near_duplicates(docs).select("id", "kept"), "judged")
     gone = found.where("NOT kept").select(F.col("id").alias("_gone")).distinct()
     near = F.broadcast(gone) if gone.count() <= 500_000 else gone
     kept = docs.join(near, docs["doc_id"] == F.col("_gone"), "left_anti")
-    unique = found.where("id IS NOT NULL").groupBy("id").count().where("count > 1").isEmpty()
-    return kept if unique else kept.dropDuplicates(["doc_id", "text"])
+    repeated = common.stash(found.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select(F.col("id").alias("_id")), "repeated")
+    if repeated.isEmpty():
+        return kept
+    same = kept["doc_id"] == F.col("_id")
+    again = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    again = common.stash(again.withColumn("_row", F.xxhash64("doc_id", F.col("text").isNull(), "text")), "again")
+    one = common.stash(neardup.near_duplicates(again, id_col="_row").where("kept").select("id").distinct(), "one_of_each")
+    again = again.join(one, again["_row"] == one["id"], "left_semi").drop("_row")
+    return kept.join(repeated, same, "left_anti").unionByName(again)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

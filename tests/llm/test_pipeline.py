@@ -39,3 +39,17 @@ def test_edges(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf_dir)
     assert empty.count() == 0
+
+
+def test_repeated_and_null_ids_in_near_dedup(spark, sf_dir):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    long = " ".join(f"w{i}" for i in range(200))
+    nulls = [(None, "x y"), (None, "x y"), (None, None), (None, None), (None, ""), (None, long)]
+    alone = [(1, "one two three four five six")]
+    again = [(2, long), (2, long + " more"), (2, long), (3, "quite another text of some words"), (3, "and a second one that is different"), (4, ""), (4, None), (4, "")]
+    run = lambda rows: [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame([(*r, "en", "s", 0) for r in rows], schema), sf_dir).collect()]
+    key = lambda r: (str(r[0]), str(r[1]))
+    assert sorted(run(nulls + alone), key=key) == sorted(nulls + alone, key=key)
+    got = run(nulls + alone + again)
+    assert sorted((r for r in got if r[0] is None), key=key) == sorted(nulls, key=key)
+    assert sum(r[0] == 2 for r in got) == 1 and sorted((r for r in got if r[0] not in (None, 2)), key=key) == sorted([*alone, again[3], again[4], (4, ""), (4, None)], key=key)
