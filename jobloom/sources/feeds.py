@@ -34,7 +34,7 @@ def split_item_title(title: Column) -> dict[str, Column]:
     role = C.strip(F.regexp_extract(title, r"(?s)^(.*) в (.*)$", 1))
     tail = F.regexp_extract(title, r"(?s)^(.*) в (.*)$", 2)
     parts = F.transform(F.split(tail, r",(?![^(]*\))"), C.strip)
-    rest = F.filter(F.slice(parts, 2, 100), lambda p: ~C.matches(p, r"[$€₴]|\d{3,}") & (p != ""))
+    rest = F.filter(F.slice(parts, 2, F.size(parts)), lambda p: ~C.matches(p, r"[$€₴]|\d{3,}") & (p != ""))
     remote = F.exists(rest, lambda p: C.matches(p, r"\b(?:remote|віддалено|удаленно)\b"))
     places = F.filter(rest, lambda p: ~C.matches(p, r"\b(?:remote|віддалено|удаленно)\b"))
     return {"title": F.when(role == "", C.strip(title)).otherwise(role), "company": F.when(role == "", "").otherwise(parts[0]), "location": F.nullif(F.array_join(places, ", "), F.lit("")), "remote": F.when(remote, "remote")}
@@ -145,6 +145,7 @@ def ranked_csv(bronze: DataFrame, schema: str, period: str, rank: str) -> DataFr
     """Lines of a CSV body (header skipped) of the latest period, by rank."""
     from jobloom.operators.watchlist import latest_period
 
-    lines = bronze.select(F.explode(F.slice(F.split(C.strip(F.col("body")), r"\r?\n"), 2, 1_000_000)).alias("line"))
+    lines = F.split(C.strip(F.col("body")), r"\r?\n")
+    lines = bronze.select(F.explode(F.slice(lines, 2, F.size(lines))).alias("line"))
     rows = lines.select(F.from_csv("line", schema).alias("r")).select("r.*")
     return latest_period(rows, period).orderBy(rank)

@@ -128,3 +128,13 @@ def test_stream_delivers_once(spark, tmp_path):
 def test_status(spark):
     df = spark.createDataFrame([(0, ["x"]), (3, ["x"]), (0, []), (0, None)], "n int, e array<string>")
     assert [r.s for r in df.select(feeds.source_status(F.col("n"), F.col("e")).alias("s")).collect()] == ["failed", "degraded", "healthy", "healthy"]
+
+
+def test_no_part_of_a_long_title_or_csv_is_lost(spark):
+    tail = ", ".join(f"place{i:c}{i:c}" for i in range(0x4E00, 0x4E00 + 120))
+    title = spark.createDataFrame([(f"Dev в Acme, {tail}, remote",)], "t string")
+    r = title.select(*[v.alias(k) for k, v in feeds.split_item_title(F.col("t")).items()]).first()
+    assert r.remote == "remote" and r.location == tail
+    body = F.concat(F.lit("period,rank\n"), F.repeat(F.lit("01-2024,2\n"), 1_000_003), F.lit("02-2024,1"))
+    got = feeds.ranked_csv(spark.range(1).select(body.alias("body")), "period string, rank int", "period", "rank").collect()
+    assert [(r.period, r.rank) for r in got] == [("02-2024", 1)]
