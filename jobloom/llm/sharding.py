@@ -1,13 +1,16 @@
 """Sharding by longest-processing-time scheduling of groups that must stay together.
 
-Groups (equal texts) of at least one ``grain``-th of a shard are jobs of their own, of which there can be
-at most ``shards * grain``. Smaller groups are first joined by hash into ``shards * grain`` bundles, so the
-schedule has a bounded number of jobs at any size of input. The jobs go, largest first, to the least loaded
-shard through a heap on the driver. Shards then differ by about one ``grain``-th, unless a single group is
-larger than a shard.
+Groups are equal texts. Equal weights are interchangeable, so the schedule is made over the distinct weights and
+how many groups have each: largest first, a heap on the driver hands groups to the least loaded shard, several
+whole rounds at a time where shards stand within one weight of each other, which gives every shard just the groups
+that handing them out one by one would. The driver sees one row a distinct weight (of ``t`` bytes in all there are at
+most ``sqrt(2 t)``, in text corpora about as many as the longest text has bytes), never groups or rows. The groups of
+one weight are then dealt by their rank, so each group has a shard of its own at any size of input.
 
-Slots are gapless row numbers. A job's rows are split into cells by a hash of the row, of at most about
-``rows / 4096`` rows; cells are counted before rows are numbered, so that no task numbers a hot group alone.
+Ranks and slots are gapless row numbers. What is to be numbered is split into cells by a hash, of about one
+4096th of all rows each; cells are counted before rows are numbered, so that no task numbers a hot weight or shard alone.
+Groups of at least that many rows (there are at most 4096) are broadcast to their rows, all others are joined by a shuffle
+in which no key holds more.
 
 Defined cases: null texts are one group of their own with size 8, apart from empty ones; null and repeated
 ids keep their rows; an empty table gives no rows; input columns other than the two named are not read.
@@ -17,58 +20,85 @@ from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stash
 
+CELLS = 4096
+MOST_BROADCAST = 500_000
 
-def longest_first(jobs: list[tuple[int, int]], shards: int) -> dict[int, int]:
-    """``jobs`` as ``(job, weight)`` -> job: shard. Ties: smaller job id first, then smaller shard."""
-    load = [(0, s) for s in range(shards)]
-    heapq.heapify(load)
-    out = {}
-    for job, weight in sorted(jobs, key=lambda x: (-x[1], x[0])):
-        least, shard = heapq.heappop(load)
-        out[job] = shard
-        heapq.heappush(load, (least + weight, shard))
+
+def longest_first(weights: list[tuple[int, int]], shards: int) -> list[tuple[int, list[int]]]:
+    """``weights`` as ``(weight, groups)`` -> largest first ``(weight, groups for each shard)``.
+
+    The same as giving groups one by one to the least loaded shard, the smallest of equally loaded ones.
+    """
+    heap, out = [(0, s) for s in range(shards)], []
+    for weight, count in sorted(weights, reverse=True):
+        given = [0] * shards
+        while count:
+            near = [heapq.heappop(heap)]
+            while heap and heap[0][0] < near[0][0] + weight:
+                near.append(heapq.heappop(heap))
+            # Each of ``near`` takes one group a round, until one of them would start at or above the next shard.
+            rounds = count // len(near)
+            if heap:
+                rounds = min(rounds, -((near[-1][0] - heap[0][0]) // weight))
+            taken = [rounds] * len(near)
+            if rounds == 0:
+                taken[:count] = [1] * count
+            for (load, s), n in zip(near, taken):
+                given[s] += n
+                heapq.heappush(heap, (load + n * weight, s))
+            count -= sum(taken)
+        out.append((weight, given))
     return out
 
 
-def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text", grain: int = 256) -> DataFrame:
+def _numbered(rows: DataFrame, key: str, cell: Column, order: list[str], out: str) -> DataFrame:
+    """``rows`` with ``out``, gapless from 0 within ``key``; rows of a key are numbered cell by cell."""
+    rows = rows.withColumn("cell", cell)
+    counts = rows.groupBy(key, "cell").agg(F.count("*").alias("held"))
+    before = F.sum("held").over(Window.partitionBy(key).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+    counts = stash(counts.select(key, "cell", F.coalesce(before, F.lit(0)).alias("before")), "cells")
+    near = F.broadcast(counts) if counts.count() <= MOST_BROADCAST else counts
+    at = F.row_number().over(Window.partitionBy(key, "cell").orderBy(*order))
+    return rows.withColumn("at", at).join(near, [key, "cell"]).withColumn(out, (F.col("before") + F.col("at") - 1).cast("long")).drop("cell", "before", "at")
+
+
+def _matched(rows: DataFrame, table: DataFrame, key: str, hot: Column) -> DataFrame:
+    """``rows`` joined with ``table``; its ``hot`` keys, of which there are at most ``CELLS``, are broadcast, and
+    only rows of the other keys are shuffled."""
+    often = table.where(hot)
+    many = rows.join(F.broadcast(often), key)
+    few = rows.join(F.broadcast(often.select(key)), key, "left_anti").join(table.where(~hot), key)
+    return many.unionByName(few)
+
+
+def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, size, crc, shard, slot)`` for every row. ``size`` is the text's UTF-8 bytes plus 8."""
     text = docs[text_col]
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
     rows = docs.select(docs[id_col].alias("id"), size.alias("size"), F.crc32(text).alias("crc"), F.coalesce(F.unhex(F.sha2(text, 256)), F.lit(b"null")).alias("group"))
     rows = stash(rows, "rows")
     groups = stash(rows.groupBy("group").agg(F.sum("size").alias("weight"), F.count("*").alias("n")), "groups")
-    total = groups.agg(F.sum("weight").alias("w"), F.sum("n").alias("n")).first()
-    if not total.n:
+    weights = groups.groupBy("weight").agg(F.count("*").alias("groups"), F.sum("n").alias("n")).collect()
+    if not weights:
         return rows.select("id", "size", "crc", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    least = total.w / (shards * grain)
-
-    # At most shards * grain groups can be this large, so they fit one task and a broadcast.
-    bundles = shards * grain
-    large = groups.where(F.col("weight") >= least).select("group", (F.row_number().over(Window.orderBy(F.col("weight").desc(), "group")) + bundles).alias("own"))
-    large = stash(large, "large")
-    job = F.coalesce(F.col("own"), F.pmod(F.xxhash64("group"), F.lit(bundles)).cast("int"))
-    tagged = rows.join(F.broadcast(large), "group", "left").select("id", "size", "crc", job.alias("job"))
-    per_cell = max(1000, total.n // 4096)
-    jobs = groups.join(F.broadcast(large), "group", "left").groupBy(job.alias("job")).agg(F.sum("weight").alias("weight"), F.sum("n").alias("n"))
-    jobs = sorted((r.job, r.weight, r.n) for r in jobs.collect())
-    placed = longest_first([(j, w) for j, w, _ in jobs], shards)
-    plan, filled = [], [0] * shards
-    for j, _, n in jobs:
-        plan.append((j, placed[j], filled[placed[j]], -(-n // per_cell)))
-        filled[placed[j]] += n
-    spark = docs.sparkSession
-    plan = spark.createDataFrame(plan, "job int, shard int, start long, cells int")
-
-    cell = F.pmod(F.xxhash64("id", "crc"), F.col("cells")).cast("int")
-    split = tagged.join(F.broadcast(plan), "job").select("id", "size", "crc", "job", "shard", "start", cell.alias("cell"))
-    counts = split.groupBy("job", "cell").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("job").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select("job", "cell", F.coalesce(before, F.lit(0)).alias("before"))
-    at = F.row_number().over(Window.partitionBy("job", "cell").orderBy("id", "crc"))
-    numbered = split.select("*", at.alias("at")).join(counts, ["job", "cell"])
-    return numbered.select("id", "size", "crc", "shard", (F.col("start") + F.col("before") + F.col("at") - 1).cast("long").alias("slot"))
+    plan = longest_first([(r.weight, r.groups) for r in weights], shards)
+    per_cell = max(1000, sum(r.n for r in weights) // CELLS)
+
+    # Ranks of a weight go to the shards in turn: ``ends`` has the rank after the last of each shard.
+    ends = np.cumsum(np.array([given for _, given in plan], np.int64), axis=1)
+    table = {"weight": pa.array([w for w, _ in plan], pa.int64()), "cells": pa.array(-(-ends[:, -1] // per_cell)), "ends": pa.array(list(ends), pa.list_(pa.int64()))}
+    plan = docs.sparkSession.createDataFrame(pa.table(table))
+    dealt = _matched(groups, plan, "weight", F.col("cells") > 1)
+    ranked = _numbered(dealt, "weight", F.pmod(F.xxhash64("group"), "cells").cast("int"), ["group"], "rank")
+    placed = stash(ranked.select("group", "n", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).alias("shard")), "placed")
+
+    tagged = stash(_matched(rows, placed, "group", F.col("n") >= per_cell).select("id", "size", "crc", "shard"), "tagged")
+    cell = F.pmod(F.xxhash64("id", "crc"), F.lit(max(1, CELLS // shards))).cast("int")
+    return _numbered(tagged, "shard", cell, ["id", "crc"], "slot").select("id", "size", "crc", "shard", "slot")

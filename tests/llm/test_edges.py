@@ -339,7 +339,7 @@ def test_sharding_edges(spark, edge, none):
 
 def test_sharding_hot_group_stays_together_and_the_rest_balances(spark):
     rows = [(i, "hot text", "en", "s") for i in range(3000)] + [(5000 + i, f"text {i} " + "x" * (i % 90), "en", "s") for i in range(3000)]
-    got = sharding.assign_shards(docs(spark, *rows), shards=4, grain=16).collect()
+    got = sharding.assign_shards(docs(spark, *rows), shards=4).collect()
     hot = {r.shard for r in got if r.id < 5000}
     assert len(hot) == 1
     load = {}
@@ -347,3 +347,18 @@ def test_sharding_hot_group_stays_together_and_the_rest_balances(spark):
         if r.shard not in hot:
             load[r.shard] = load.get(r.shard, 0) + r.size
     assert max(load.values()) - min(load.values()) <= 0.1 * max(load.values())
+
+
+def test_sharding_ranks_in_cells(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "CELLS", 3)
+    rows = [(i, "hot text", "en", "s") for i in range(2000)] + [(5000 + i, f"text {i:05}", "en", "s") for i in range(4000)]
+    got = sharding.assign_shards(docs(spark, *rows), shards=4).collect()
+    hot = {r.shard for r in got if r.id < 5000}
+    assert len(hot) == 1 and len(got) == len(rows)
+    slots, load = {}, {}
+    for r in got:
+        slots.setdefault(r.shard, []).append(r.slot)
+        load[r.shard] = load.get(r.shard, 0) + r.size
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    rest = [n for s, n in load.items() if s not in hot]
+    assert max(rest) - min(rest) <= 18
