@@ -6,14 +6,16 @@ sibling cannot take is dealt again among the others (water filling), and since a
 sum of its children's, a shortage reaches the parent's siblings only when all below the parent are full.
 
 A leaf takes whole epochs and then a prefix, to its budget, of the next epoch in that epoch's seeded
-order. Prefix sums run over 256 buckets of that order, so a leaf with a third of all rows is summed by
-many tasks and only the bucket in which the prefix ends is ordered row by row.
+order (hash, id, tokens). Where the prefix ends is found on a narrow table in three steps: sums over 256 buckets of
+the order, over 256 parts of the bucket in which the prefix ends, and row by row only in the part in which it ends,
+a 65,536th of the leaf. The documents are then read once and compared with their leaf's cut, so whole rows are never
+sorted or shuffled.
 
 Built-in column functions only. Defined cases: a token is a run of characters other than space and
 TAB..CR; null texts have none and null tree values count as ''; a leaf without tokens takes no rows; a
-weight not given is 1 and a weight of 0 takes nothing; rows of equal id go by token count; an empty table
-gives no rows. Input columns with the names used here (prefix ``_mix_``) are not supported, any other are
-carried along.
+weight not given is 1 and a weight of 0 takes nothing; rows of equal id go by token count, and of rows equal in both as
+many are taken as fit; an empty table gives no rows. All columns of the input are carried along, whatever their names;
+one named like an output (``_mix_...``) is replaced by it. The children of the root are dealt in one task.
 """
 
 from __future__ import annotations
@@ -74,35 +76,61 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[tuple, int], tar
     return out.withColumn("full", F.least(F.floor(F.col("budget") / F.nullif("tokens", F.lit(0))), F.lit(max_epochs)).cast("int")).where("full IS NOT NULL").withColumn("rest", F.col("budget") - F.col("full") * F.col("tokens")).select(*levels, "budget", "full", "rest")
 
 
-def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[tuple, int], share: float = 0.8, max_epochs: int = 2, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` once for each epoch that takes them, with ``_mix_epoch``, ``_mix_tokens`` and
-    ``_mix_budget``. The target is ``share`` of all tokens; ``levels`` maps names to columns, root first."""
-    names = [f"_mix_{n}" for n in levels]
-    rows = docs.withColumns({**{f"_mix_{n}": F.coalesce(c.cast("string"), F.lit("")) for n, c in levels.items()}, "_mix_tokens": token_count(F.col(text_col)), "_mix_id": F.coalesce(F.col(id_col).cast("string"), F.lit(""))})
-    narrow = stash(rows.select(*names, F.col("_mix_tokens").alias("tokens"), "_mix_id"), "tokens")
-    leaves = narrow.groupBy(*names).agg(F.sum("tokens").alias("tokens"))
+def _first_parts(rows: DataFrame, keys: list[str], part: Column) -> DataFrame:
+    """The part of each leaf's rows in which its prefix ends: ``keys, part, before`` (tokens of the earlier parts)."""
+    sums = rows.groupBy(*keys, "rest", "from", part.alias("part")).agg(F.sum("tokens").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, 0))
+    ends = sums.withColumn("upto", F.col("from") + upto).where("upto > rest")
+    return ends.groupBy(*keys).agg(F.min(F.struct("part", (F.col("upto") - F.col("n")).alias("before"))).alias("x")).select(*keys, "x.*")
+
+
+def _cuts(rows: DataFrame, keys: list[str], near) -> DataFrame:
+    """``keys, cut(h, id, tokens), copies``: the first key of each leaf that is not taken whole, and how many rows of it are.
+
+    ``rows`` have ``keys, rest, h, id, tokens``. A leaf whose rows all fit has no cut.
+    """
+    rows, part = rows.withColumn("from", F.lit(0).cast("long")), None
+    for k in (1, 3):
+        part = F.substring("h", k, 2)
+        ends = stash(_first_parts(rows, keys, part), "parts")
+        rows = rows.join(near(ends), keys).where(part == F.col("part")).withColumn("from", F.col("before")).drop("part", "before")
+    at = Window.partitionBy(*keys).orderBy("h", "id", "tokens").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("fits", F.col("from") + F.sum("tokens").over(at) <= F.col("rest"))
+    cut = F.struct("h", "id", "tokens")
+    first = rows.where(~F.col("fits")).groupBy(*keys).agg(F.min(cut).alias("cut"))
+    return rows.join(first, keys).groupBy(*keys, "cut").agg(F.count_if(F.col("fits") & (cut == F.col("cut"))).alias("copies"))
+
+
+def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[tuple, int], share: float = 0.8, max_epochs: int = 2, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", tokens: Column | None = None) -> DataFrame:
+    """Rows of ``docs`` once for each epoch that takes them, with ``_mix_<level>``, ``_mix_epoch``, ``_mix_tokens`` and
+    ``_mix_budget``. The target is ``share`` of all tokens; ``levels`` maps names to columns, root first; ``tokens`` stands
+    for the tokens of a text where they are known already."""
+    keys = [f"level{i}" for i in range(len(levels))]
+    tree = [F.coalesce(c.cast("string"), F.lit("")).alias(k) for k, c in zip(keys, levels.values())]
+    count = token_count(docs[text_col]) if tokens is None else F.coalesce(tokens.cast("long"), F.lit(0))
+    id_ = F.coalesce(docs[id_col].cast("string"), F.lit(""))
+    narrow = stash(docs.select(*tree, count.alias("tokens"), id_.alias("id")), "tokens")
+    leaves = narrow.groupBy(*keys).agg(F.sum("tokens").alias("tokens"))
     total = leaves.agg(F.sum("tokens")).first()[0] or 0
-    plan = stash(budgets(leaves, names, {k: v for k, v in weights.items()}, int(total * share), max_epochs), "budgets")
-    small = plan.count() * 256 <= MOST_BROADCAST
-    near = F.broadcast if small else (lambda x: x)
-
-    order = F.md5(F.concat_ws("|", F.lit(str(seed)), (F.col("full") + 1).cast("string"), "_mix_id"))
-    bucket = F.substring("_mix_h", 1, 2).alias("_mix_bucket")
-    open_ = plan.where("rest > 0")
-    sums = narrow.join(near(open_), names).withColumn("_mix_h", order).groupBy(*names, bucket).agg(F.sum("tokens").alias("n"))
-    before = Window.partitionBy(*names).orderBy("_mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_mix_before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    sums = stash(sums.select(*names, "_mix_bucket", "_mix_before", (F.col("_mix_before") + F.col("n")).alias("_mix_after")), "buckets")
-
-    placed = rows.join(near(plan), names).withColumn("_mix_h", order).withColumn("_mix_bucket", bucket)
-    whole = placed.where("full > 0").withColumn("_mix_epoch", F.explode(F.sequence(F.lit(1), F.col("full"))))
-    part = placed.where("rest > 0").join(near(sums), [*names, "_mix_bucket"]).withColumn("_mix_epoch", F.col("full") + 1)
-    inside = part.where("_mix_after <= rest")
-    edge = part.where("_mix_before <= rest AND _mix_after > rest")
-    upto = F.sum("_mix_tokens").over(Window.partitionBy(*names, "_mix_bucket").orderBy("_mix_h", "_mix_id", "_mix_tokens").rowsBetween(Window.unboundedPreceding, 0))
-    edge = edge.withColumn("_mix_upto", F.col("_mix_before") + upto).where("_mix_upto <= rest")
-    keep = [*[F.col(f"`{c}`") for c in docs.columns], *names, "_mix_epoch", "_mix_tokens", F.col("budget").alias("_mix_budget")]
-    return whole.select(*keep).unionByName(inside.select(*keep)).unionByName(edge.select(*keep))
+    plan = stash(budgets(leaves, keys, weights, int(total * share), max_epochs), "budgets")
+    near = F.broadcast if plan.count() <= MOST_BROADCAST else (lambda x: x)
+
+    order = F.md5(F.concat_ws("|", F.lit(str(seed)), (F.col("full") + 1).cast("string"), "id"))
+    cuts = stash(_cuts(narrow.join(near(plan.where("rest > 0")), keys).withColumn("h", order), keys, near), "cuts")
+    plan = plan.join(near(cuts), keys, "left")
+
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"), *tree, count.alias("tokens"), id_.alias("id")).join(near(plan), keys)
+    rows = rows.withColumn("h", F.when((F.col("rest") > 0) & F.col("cut").isNotNull(), order))
+    here, cut = F.struct("h", "id", "tokens"), F.col("cut")
+    below = F.when(F.col("rest") <= 0, False).when(cut.isNull(), True).when(F.col("h") != cut["h"], F.col("h") < cut["h"]).otherwise(here < cut)
+    rows = rows.withColumn("epochs", F.col("full") + below.cast("int"))
+    taken = rows.withColumn("epoch", F.explode(F.when(F.col("epochs") > 0, F.sequence(F.lit(1), F.col("epochs")))))
+    # Rows equal to the cut, of which some fit: there are such only where a leaf repeats an id and a token count.
+    split = rows.where((F.col("copies") > 0) & (F.col("h") == cut["h"]) & (here == cut))
+    split = split.withColumn("turn", F.row_number().over(Window.partitionBy(*keys).orderBy("tokens"))).where("turn <= copies").withColumn("epoch", F.col("full") + 1)
+    out = {**{f"_mix_{n}": F.col(k) for n, k in zip(levels, keys)}, "_mix_epoch": F.col("epoch"), "_mix_tokens": F.col("tokens"), "_mix_budget": F.col("budget")}
+    keep = [*[F.col(f"doc.`{c}`") for c in docs.columns if c not in out], *[v.alias(k) for k, v in out.items()]]
+    return taken.select(*keep).unionByName(split.select(*keep))
 
 
 def source_tree() -> dict[str, Column]:
