@@ -33,6 +33,12 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many partitions as there are cores, where a small scan has fewer."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string array; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

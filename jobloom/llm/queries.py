@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, spread
 
 
 def _with_small_batches(f):
@@ -19,8 +19,7 @@ def _with_small_batches(f):
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A scan; one of fewer partitions than cores (a small file of one row group) is spread over them."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if name in ("documents", "pages") and df.rdd.getNumPartitions() < cores else df
+    return spread(df) if name in ("documents", "pages") else df
 
 
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,8 @@ functions only: counts, contexts and scores are joins and sums over the table of
 size is bounded by the alphabet, and a URL's n-grams are summed before they are shuffled.
 
 Defined cases: a null url or one without ``://`` has an empty host and path and no rule; while either class has
-no URL the models allow everything; repeated rows and ids keep their rows; an empty table gives no rows.
+no URL the models allow everything; repeated rows and ids keep their rows; an empty table gives no rows. All columns
+of the input are carried along, whatever their names; one named like an output is replaced by it.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import spread, stash
 
 #: (verdict, rule)
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
@@ -80,12 +81,13 @@ def scores(urls: DataFrame) -> DataFrame:
 
 def judge(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
     """``pages`` with ``_host, _path, _rule, _score`` and ``_verdict`` (allow or block)."""
+    out = ("_host", "_path", "_rule", "_score", "_verdict")
     host, path = host_and_path(pages[url_col])
-    pages = pages.withColumns({"_host": host, "_path": path})
-    name, verdict = rule_of(F.col("_host"), F.col("_path"), rules)
-    pages = pages.withColumns({"_rule": name, "_by_rule": verdict, "_url": F.coalesce(F.col(url_col), F.lit(""))})
-    urls = pages.groupBy(F.col("_url").alias("url")).agg(F.count_if(F.col("_by_rule") == "allow").alias("allow"), F.count_if(F.col("_by_rule") == "block").alias("block"))
-    scored = stash(scores(stash(urls, "urls")), "scores")
+    rows = pages.select(F.struct(*[pages[f"`{c}`"] for c in pages.columns]).alias("page"), F.coalesce(pages[url_col], F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
+    name, verdict = rule_of(F.col("host"), F.col("path"), rules)
+    rows = rows.withColumns({"rule": name, "by_rule": verdict})
+    urls = rows.groupBy("url").agg(F.count_if(F.col("by_rule") == "allow").alias("allow"), F.count_if(F.col("by_rule") == "block").alias("block"))
+    scored = stash(scores(spread(stash(urls, "urls"))), "scores")
     x = {c: (F.sum(F.col(c) * F.col("score")) / F.nullif(F.sum(c), F.lit(0)), F.sum(F.col(c) * F.col("score") ** 2) / F.nullif(F.sum(c), F.lit(0))) for c in ("allow", "block")}
     r = scored.agg(*[v.alias(f"{c}{i}") for c, pair in x.items() for i, v in enumerate(pair)]).first()
     if r.allow0 is None or r.block0 is None:
@@ -94,5 +96,6 @@ def judge(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
         sd = {c: max(r[f"{c}1"] - r[f"{c}0"] ** 2, 1e-12) ** 0.5 for c in x}
         cut = (r.allow0 * sd["block"] + r.block0 * sd["allow"]) / (sd["allow"] + sd["block"])
     by_model = F.when(F.col("score") < cut, "block").otherwise("allow")
-    pages = pages.join(scored.select(F.col("url").alias("_url"), F.col("score").alias("_score"), by_model.alias("_by_model")), "_url", "left")
-    return pages.withColumn("_verdict", F.coalesce("_by_rule", "_by_model"))
+    rows = rows.join(scored.select("url", "score"), "url", "left")
+    values = dict(zip(out, (F.col("host"), F.col("path"), F.col("rule"), F.col("score"), F.coalesce("by_rule", by_model))))
+    return rows.select(*[F.col(f"page.`{c}`") for c in pages.columns if c not in out], *[v.alias(c) for c, v in values.items()])
