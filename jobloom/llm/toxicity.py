@@ -12,7 +12,8 @@ whole text and needs no shuffle.
 
 Defined cases: null or empty texts score as the intercept alone; labelled rows without a document, label or
 id are not learned from, a repeated labelled id counts once (its highest label); without any usable label every score is
-0. Other columns are never read.
+0. Texts that name no group make no swap; the model says how many swaps it was fitted with. Other columns are
+never read.
 """
 
 from __future__ import annotations
@@ -31,8 +32,13 @@ from .common import stash
 WORD = re.compile(r"\w+")
 #: Words longer than this also count by their first letters, which joins inflected and compounded forms.
 STEM = 6
-#: Group terms by kind; a swap stays within the kind.
+#: Words that name or point at people of a group, by kind and language; a swap stays within the kind.
+#: A word of several kinds can be swapped within each.
 IDENTITY_TERMS = (
+    # English
+    ("he", "she"),
+    ("his", "her"),
+    ("himself", "herself"),
     ("women", "men", "girls", "boys"),
     ("woman", "man", "girl", "boy"),
     ("female", "male", "transgender", "nonbinary"),
@@ -44,9 +50,43 @@ IDENTITY_TERMS = (
     ("mexican", "american", "chinese", "african", "european", "indian"),
     ("old", "young", "elderly"),
     ("deaf", "blind", "disabled"),
+    # French
+    ("il", "elle"),
+    ("ils", "elles"),
+    ("homme", "femme"),
+    ("hommes", "femmes"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("noir", "blanc", "asiatique", "arabe"),
+    ("immigrés", "réfugiés", "citoyens", "étrangers"),
+    # German
+    ("er", "sie"),
+    ("ihm", "ihr"),
+    ("mann", "frau"),
+    ("männer", "frauen"),
+    ("muslim", "christ", "jude", "hindu", "buddhist", "atheist"),
+    ("muslime", "christen", "juden", "hindus", "buddhisten", "atheisten"),
+    ("einwanderer", "flüchtlinge", "bürger", "ausländer"),
+    # Spanish
+    ("él", "ella"),
+    ("ellos", "ellas"),
+    ("hombre", "mujer"),
+    ("hombres", "mujeres"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("inmigrantes", "refugiados", "ciudadanos", "extranjeros"),
 )
 
 
+def swap_table(terms=IDENTITY_TERMS) -> dict[str, tuple[str, ...]]:
+    """For each term the terms it can be swapped for."""
+    out: dict[str, set[str]] = {}
+    for kind in terms:
+        for t in kind:
+            out.setdefault(t, set()).update(x for x in kind if x != t)
+    return {t: tuple(sorted(others)) for t, others in out.items()}
+
+
 def stems(words) -> set[str]:
     """The stems of the long words among these, as ``stem*``."""
     return {w[:STEM] + "*" for w in words if len(w) > STEM}
@@ -67,8 +107,11 @@ def staying(text: str, terms) -> set[str]:
 
 @dataclass(frozen=True)
 class ToxicityModel:
+    """``swaps`` is how many swapped copies of labelled texts the loss was made with."""
+
     weights: dict[str, float] = field(default_factory=dict)
     intercept: float = -745.0
+    swaps: int = 0
 
     def score(self, texts) -> np.ndarray:
         """Scores between 0 and 1 of an iterable of texts."""
@@ -89,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     y = y.orderBy(F.xxhash64("id"), "id").limit(max_rows)
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where("text IS NOT NULL")
 
-    groups = {t: g for g in identity_terms for t in g}
+    groups = swap_table(identity_terms)
 
     def bags(batches):
         for b in batches:
@@ -149,7 +192,7 @@ def _fit(sample: list, vocab: list[str], groups: dict, l2: float, swap_weight: f
         grad /= scale
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         w -= 0.1 * (1 - t / (rounds + 1)) * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
-    return ToxicityModel({k: float(w[i]) for k, i in at.items() if abs(w[i]) > 1e-6}, float(w[d]))
+    return ToxicityModel({k: float(w[i]) for k, i in at.items() if abs(w[i]) > 1e-6}, float(w[d]), int(weight.sum()))
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -127,6 +127,72 @@ def test_mixing_epochs_and_weights(spark):
     assert n == {("a", 1): 10, ("a", 2): 10, ("a", 3): 2, ("b", 1): 7}
 
 
+CLASHES = ["tokens", "id", "doc", "h", "from", "part", "before", "upto", "fits", "cut", "copies", "full", "budget", "rest", "epoch", "epochs", "turn", "level0", "level1", "_mix_budget", "_mix_h", "x", "n"]
+
+
+def test_mixing_carries_columns_of_any_name(spark):
+    base = docs(spark, *[(i, "w " * (1 + i % 7), "en", f"s{i % 3}") for i in range(200)]).select("doc_id", "text", "lang", "source")
+    more = base.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id")).alias(c) for c in CLASHES])
+    plain, got = (mixing.mix(df, tree(), {("d", "en", "s1"): 3}, share=1.3) for df in (base, more))
+    key = lambda r: (r.doc_id, r._mix_epoch, r._mix_tokens, r._mix_source)
+    assert sorted(map(key, got.collect())) == sorted(map(key, plain.collect()))
+    assert set(got.columns) == {*plain.columns, *CLASHES}
+    assert all(r[c] == f"{c}-{r.doc_id}" for r in got.collect() for c in CLASHES if c != "_mix_budget")
+
+
+def mix_brute(rows, weights, share, epochs, seed=7):
+    """``(id, epoch)`` of rows ``(id, path, tokens)``: budgets by filling the smallest child first, prefixes by a sorted list."""
+    import hashlib
+
+    budget = {(): float(int(sum(t for *_, t in rows) * share))}
+    for depth in range(1, 1 + len(rows[0][1])):
+        cap = {}
+        for _, path, t in rows:
+            cap[path[:depth]] = cap.get(path[:depth], 0) + t * epochs
+        for parent in {p[:-1] for p in cap}:
+            open_, left = {p for p in cap if p[:-1] == parent}, budget[parent]
+            w = {p: weights.get(p, 1) for p in open_}
+            while open_:
+                level = left / (sum(w[p] for p in open_) or float("inf"))
+                full = {p for p in open_ if w[p] and cap[p] <= level * w[p] + 1e-9}
+                if not full:
+                    budget |= {p: level * w[p] for p in open_}
+                    break
+                budget |= {p: float(cap[p]) for p in full}
+                left -= sum(cap[p] for p in full)
+                open_ -= full
+    out = []
+    for path in {p for _, p, _ in rows}:
+        own, take = [(i, t) for i, p, t in rows if p == path], int(budget[path] + 1e-6)
+        total = sum(t for _, t in own)
+        for e in range(1, epochs + 1):
+            if take >= total:
+                out += [(i, e) for i, _ in own if total]
+                take -= total
+                continue
+            for _, i, t in sorted((hashlib.md5(f"{seed}|{e}|{i}".encode()).hexdigest(), str(i), t) for i, t in own) if take else ():
+                if t > take:
+                    break
+                out.append((int(i), e))
+                take -= t
+            break
+    return sorted(out)
+
+
+@pytest.mark.parametrize("share,epochs", [(0.3, 1), (0.8, 2), (1.7, 3)])
+def test_mixing_against_brute_force(spark, share, epochs):
+    rows = [(i // 2 if i % 9 == 0 else i + 1000, ("d", ["en", "fr"][i % 5 == 0], f"s{i % 7}"), (i * 7919) % 40) for i in range(900)]
+    weights = {("d", "en"): 3, ("d", "fr"): 2, ("d", "en", "s2"): 5, ("d", "en", "s3"): 0}
+    got = mixing.mix(docs(spark, *[(i, "w " * t, p[1], p[2]) for i, p, t in rows]), tree(), weights, share, epochs).collect()
+    assert sorted((r.doc_id, r._mix_epoch) for r in got) == mix_brute(rows, weights, share, epochs)
+
+
+def test_mixing_splits_equal_rows(spark):
+    rows = [(7, "w w w", "en", "a")] * 9 + [(8, "w w w", "en", "a")]
+    got = mixing.mix(docs(spark, *rows), tree(), {}, share=0.5, max_epochs=1).collect()
+    assert sum(r._mix_tokens for r in got) == 15
+
+
 # --- 4 quality
 
 
@@ -271,6 +337,16 @@ def test_url_edges(spark):
     assert urlfilter.judge(df.limit(0)).count() == 0
 
 
+def test_url_judge_carries_columns_of_any_name(spark):
+    names = ["_score", "_by_model", "_by_rule", "_url", "_host", "_verdict", "page", "host", "path", "rule", "by_rule", "score", "allow", "block", "gram", "n", "s"]
+    base = spark.createDataFrame([(i, f"https://a{i % 9}.{['com/en', 'net/de', 'org/fr'][i % 3]}/x{i}") for i in range(60)], "page_id long, url string")
+    more = base.select("*", *[F.concat(F.lit(f"{c}-"), F.col("page_id")).alias(c) for c in names])
+    plain, got = ({r.page_id: r for r in urlfilter.judge(df).collect()} for df in (base, more))
+    out = ("_host", "_path", "_rule", "_score", "_verdict")
+    assert len(got) == 60 and all(got[i][c] == plain[i][c] for i in plain for c in out)
+    assert all(r[c] == f"{c}-{i}" for i, r in got.items() for c in names if c not in out)
+
+
 def test_url_model_separates(spark):
     good = [f"https://docs.site{i}.net/de/guide/page-{i}" for i in range(60)]
     bad = [f"https://win{i}.casino{i}.com/en/bonus?id={i}" for i in range(60)]
@@ -323,6 +399,39 @@ def test_swaps_keep_a_stem_that_another_word_has():
     assert kept.weights["christ*"] > gone.weights["christ*"]
 
 
+def test_a_term_of_several_kinds_swaps_within_each():
+    table = toxicity.swap_table((("a", "b"), ("b", "c")))
+    assert table == {"a": ("b",), "b": ("a", "c"), "c": ("b",)}
+
+
+def test_fit_is_the_minimum_of_the_loss_written_out():
+    """The loss by dictionaries, with each swapped text scored from its words; its slope at the fitted weights is nought."""
+    texts = [(1, "muslims are scum", 7), (1, "scum", 9), (1, "lesbian people lie", 5), (0, "people meet", 30), (0, "gay people meet", 11), (0, "christians and muslims meet", 6), (0, "scum on the pond", 2)]
+    groups = toxicity.swap_table()
+    words = lambda t: toxicity.features(t)
+    vocab = sorted({f for _, t, _ in texts for f in words(t)} | groups.keys() | {"christ*"})
+    sample = [(y, sorted(words(t)), n, sorted(toxicity.staying(t, groups.keys()))) for y, t, n in texts]
+    model = toxicity._fit(sample, vocab, groups, 0.05, 3.0, rounds=6000)
+
+    def loss(weights, intercept):
+        logit = lambda t: intercept + sum(weights.get(f, 0.0) for f in words(t) if f in vocab)
+        total = sum(0.05 / 2 * w * w for w in weights.values())
+        for y, t, n in texts:
+            total += n * math.log1p(math.exp(-logit(t) if y else logit(t)))
+            for a in t.split():
+                for b in groups.get(a, ()):
+                    if b not in t.split():
+                        total += n * 3.0 * (logit(t) - logit(" ".join(b if w == a else w for w in t.split()))) ** 2
+        return total
+
+    assert model.swaps == sum(n * sum(b not in t.split() for a in t.split() for b in groups.get(a, ())) for _, t, n in texts) > 0
+    step = 1e-4
+    for f in vocab:
+        up, down = ({**model.weights, f: model.weights.get(f, 0.0) + d} for d in (step, -step))
+        assert abs(loss(up, model.intercept) - loss(down, model.intercept)) / (2 * step) < 0.02, f
+    assert abs(loss(model.weights, model.intercept + step) - loss(model.weights, model.intercept - step)) / (2 * step) < 0.02
+
+
 # --- 10 sharding
 
 

@@ -5,12 +5,12 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
-from math import log
+from math import exp, log
 from statistics import fmean, pstdev
 
 import pytest
 
-from jobloom.llm import decontam, pii, queries, sharding
+from jobloom.llm import decontam, pii, queries, sharding, toxicity
 from tests.oracle import rows_of, sql_rows
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -114,6 +114,18 @@ def test_op9_held_out_accuracy(spark, sf_dir):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
 
 
+def test_op9_swaps_on_the_tables(spark, sf_dir):
+    """The labelled texts name people, so the regulariser acts; scores are the sum of the weights of a text's features."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    assert model.swaps > 0
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in toxicity.score(docs, model).collect():
+        words = set(re.findall(r"\w+", texts[r.id].lower()))
+        z = model.intercept + sum(w for f, w in model.weights.items() if f in words or f[-1] == "*" and any(len(x) > 6 and x.startswith(f[:-1]) for x in words))
+        assert abs(r.score - 1 / (1 + exp(-max(min(z, 700), -745)))) < 1e-9
+
+
 def test_op8_rules_and_separation(spark, sf_dir):
     rows = queries.QUERIES["op8_url_language_model"](spark, sf_dir).collect()
     urls = {r.page_id: r.url for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
