@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: written intermediate tables and Arrow batches."""
+"""Helpers shared by the operators: written intermediate tables, joins on hot keys and Arrow batches."""
 
 from __future__ import annotations
 
@@ -7,13 +7,17 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where that is unset a local session gets a temporary
+    folder of its own and a cluster is refused, since its executors would not see each other's files."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("jobloom.shared.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="jobloom-")
         spark.conf.set("jobloom.shared.dir", where)
     return where.rstrip("/")
@@ -39,6 +43,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def hot_rows(total: int) -> int:
+    """Rows from which a key counts as hot: a 4096th of all, so there are at most 4096 hot keys, and not less than 10,000."""
+    return max(10_000, total // 4096)
+
+
+def join_hot(rows: DataFrame, table: DataFrame, keys: list[str], hot: Column) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has one row a key and is cheap to read. Its ``hot`` rows, few by
+    construction, are broadcast; only rows of the other keys are shuffled, so no task gets a hot key."""
+    often = table.where(hot)
+    many = rows.join(F.broadcast(often), keys)
+    few = rows.join(F.broadcast(often.select(*keys)), keys, "left_anti").join(table.where(~hot), keys)
+    return many.unionByName(few)
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string array; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

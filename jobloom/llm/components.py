@@ -5,23 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import hot_rows, join_hot, stash
 
 
-def _to_min(pairs: DataFrame, low: DataFrame) -> DataFrame:
-    return pairs.join(low, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+def _to_min(pairs: DataFrame, low: DataFrame, edges: int) -> DataFrame:
+    """``pairs(u, v)`` with ``v`` linked to the least neighbour ``low(u, m, n)`` of ``u``; ``n`` counts the pairs of a ``u``.
+    No join splits off hubs while the whole graph has too few edges for one."""
+    hub = hot_rows(edges)
+    near = pairs.join(low, "u") if edges < hub else join_hot(pairs, low, ["u"], F.col("n") >= hub)
+    return near.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return _to_min(both.where("v > u"), low).where("u > v").distinct()
+def _large_star(pairs: DataFrame, edges: int) -> DataFrame:
+    both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+    return _to_min(both.where("v > u"), low, edges).where("u > v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
+def _small_star(pairs: DataFrame, edges: int) -> DataFrame:
+    low = pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
     own = low.select("u", F.col("m").alias("v"))
-    return _to_min(edges, low).union(own).where("u > v").distinct()
+    return _to_min(pairs, low, edges).union(own).where("u > v").distinct()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -33,13 +37,13 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     low_first = F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")
     edges = stash(edges.where("u IS NOT NULL AND v IS NOT NULL AND u <> v").select(*low_first).distinct().select("u", "v"), "edges")
-    before = None
+    before, n = None, edges.count()
     for _ in range(max_rounds):
-        edges = stash(_small_star(_large_star(edges)), "star")
+        edges = stash(_small_star(_large_star(edges, n), n), "star")
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.col("v").cast("decimal(20,0)"))).first())
         if now == before:
             break
-        before = now
+        before, n = now, now[0]
     else:
         raise RuntimeError("components did not settle")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()

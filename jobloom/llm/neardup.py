@@ -7,8 +7,11 @@ concentrates round t * J as if the coordinates were drawn without replacement.
 
 Plan: sketch each text once -> one class per distinct set -> band rows of class representatives -> a star
 from each band's members to its smallest id -> exact check on whole sets -> components -> where the members under
-one head still lie in several components, an exact check across those, block by block -> components.
-Two members already joined are never compared, and no candidate is dropped.
+one head still lie in several components, a check across those, block by block: first on sketches, then exactly for the
+rows that some sketch met -> components. Two members already joined are never compared, and no candidate is dropped.
+
+Joins on keys that a group of copies can make hot (set, band, head) broadcast the few hot keys and shuffle the others.
+Shingles are 64-bit hashes and sets of copies are told apart by 128 bits of them, neither checked against words.
 
 Defined cases: null or empty texts and texts without words have the empty set and link with nothing; a
 text under five words has its word sequence as its one shingle; rows with a null id stay alone
@@ -22,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import hot_rows, join_hot, stash
 from .components import connected_components
 from .shingles import U, mix, shingle_sets
 
@@ -98,10 +101,10 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percen
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     ids = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
     texts = texts.join(F.broadcast(ids) if ids.count() <= 500_000 else ids, "id", "left_semi")
-    width = pairs.groupBy("v").agg(F.ceil(F.count("*") / F.lit(256)).cast("int").alias("k"))
+    width = stash(pairs.groupBy("v").agg(F.ceil(F.count("*") / F.lit(256)).cast("int").alias("k")), "widths")
     heads = texts.join(width, texts["id"] == width["v"]).select("v", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), F.lit(0).alias("turn"), F.col("v").alias("u"), "text")
     part = F.pmod(F.xxhash64("u"), F.col("k")).cast("int")
-    members = pairs.join(width, "v").select("v", part.alias("part"), F.lit(1).alias("turn"), "u")
+    members = join_hot(pairs, width, ["v"], F.col("k") >= hot_rows(0) // 256).select("v", part.alias("part"), F.lit(1).alias("turn"), "u")
     members = members.join(texts.withColumnRenamed("id", "u"), "u").select("v", "part", "turn", "u", "text")
     both = heads.unionByName(members).repartition("v", "part").sortWithinPartitions("v", "part", "turn", "u")
 
@@ -129,32 +132,81 @@ def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percen
     return both.mapInArrow(check, f"u {kind}, v {kind}").distinct()
 
 
-def verify_across(groups: DataFrame, docs: DataFrame, bytes_of: DataFrame, id_col: str, text_col: str, percent: int = 75) -> DataFrame:
+class _Cell:
+    """The queries of one cell, past which its data rows are streamed."""
+
+    def __init__(self):
+        self.ids, self.comps, self.sketches, self.sets = [], [], [], []
+
+    def add(self, id_, comp, sketch, shingles=None):
+        self.ids.append(id_), self.comps.append(comp), self.sketches.append(np.frombuffer(sketch, np.uint8)), self.sets.append(shingles)
+        self._arrays = None
+
+    def maybe(self, id_, comp, sketch, other) -> np.ndarray:
+        """Positions of queries in other components whose sketch agrees; of two queries only the later one asks."""
+        if not self.ids:
+            return np.zeros(0, np.int64)
+        if self._arrays is None:
+            self._arrays = np.stack(self.sketches), np.array(self.comps), np.array(self.ids)
+        matrix, comps, ids = self._arrays
+        hit = ((matrix == np.frombuffer(sketch, np.uint8)).sum(axis=1) >= LEAST_AGREED) & (comps != comp)
+        return np.flatnonzero(hit & (ids < id_) if other else hit)
+
+
+CELL = ["head", "part", "qpart"]
+ROW = "head long, part int, qpart int, turn int, id long, comp long, other boolean, bytes binary"
+
+
+def _met(batches):
+    """The rows of each cell whose sketch met another's: data rows at once, queries when the cell ends."""
+    now, cell, asked, names = None, _Cell(), {}, None
+    for b in batches:
+        names = b.schema
+        out = []
+        for row in zip(*(c.to_pylist() for c in b.columns)):
+            if row[:3] != now:
+                out += asked.values()
+                now, cell, asked, queries = row[:3], _Cell(), {}, {}
+            turn, id_, comp, other, sketch = row[3:8]
+            if turn == 0:
+                cell.add(id_, comp, sketch)
+                queries[len(cell.ids) - 1] = row
+                continue
+            found = cell.maybe(id_, comp, sketch, other)
+            if len(found):
+                out.append(row)
+                asked.update((int(j), queries[int(j)]) for j in found)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(names), names)], schema=names)
+    if asked:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*asked.values()), names)], schema=names)
+
+
+def verify_across(groups: DataFrame, docs: DataFrame, bytes_of: DataFrame, id_col: str, text_col: str, total: int, percent: int = 75) -> DataFrame:
     """Links ``(u, v)`` between components, of ``groups(head, id, comp)`` whose members may be alike.
 
     In a group, rows outside its most frequent component are the queries and all its rows the data. Both are cut
-    into blocks of about ``BLOCK`` rows and each block of queries meets each block of data; a task holds one block of
-    queries and streams the data past it. Only links that join two components come out, so the result
-    has at most one row for each row that came in.
+    into blocks of about ``BLOCK`` rows and each block of queries meets each block of data (a cell); a task holds one block
+    of queries and streams the data past it. Sketches meet first, and only rows of a cell that met one come again with
+    their texts. Only links that join two components come out, so neither step gives more rows than came in.
     """
     sizes = groups.groupBy("head", "comp").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("head").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
     blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
-    sizes = sizes.select("head", "main", blocks(F.col("all")).alias("k"), blocks(F.col("all") - F.col("most")).alias("q"))
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    rows = stash(groups.join(sizes, "head"), "mixed_groups")
-    ids = rows.select("id").distinct()
-    texts = texts.join(F.broadcast(ids) if ids.count() <= 500_000 else ids, "id", "left_semi").join(bytes_of, "id")
+    sizes = stash(sizes.select("head", "main", blocks(F.col("all")).alias("k"), blocks(F.col("all") - F.col("most")).alias("q")), "mixed_heads")
+    rows = stash(join_hot(groups, sizes, ["head"], F.col("k") >= hot_rows(total) // BLOCK), "mixed_groups")
     other = F.col("comp") != F.col("main")
     block = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
     data = rows.select("head", block(F.col("k"), 1).alias("part"), F.explode(F.sequence(F.lit(0), F.col("q") - 1)).alias("qpart"), F.lit(1).alias("turn"), "id", "comp", other.alias("other"))
     queries = rows.where(other).select("head", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), block(F.col("q"), 2).alias("qpart"), F.lit(0).alias("turn"), "id", "comp", F.lit(True).alias("other"))
-    cell = ["head", "part", "qpart"]
-    met = data.union(queries).join(texts, "id").select(*cell, "turn", "id", "comp", "other", "bytes", "text")
-    met = met.repartition(*cell).sortWithinPartitions(*cell, "turn", "id")
+    dealt = lambda df: df.repartition(*CELL).sortWithinPartitions(*CELL, "turn", "id")
+    met = data.union(queries).join(bytes_of, "id").select(*CELL, "turn", "id", "comp", "other", "bytes")
+    met = stash(dealt(met).mapInArrow(_met, ROW).distinct(), "met")
+    ids = met.select("id").distinct()
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    texts = texts.join(F.broadcast(ids) if ids.count() <= 500_000 else ids, "id", "left_semi")
 
     def run(batches):
-        now, ids, comps, sets, sketches, matrix, up = None, [], [], [], [], None, {}
+        now, cell, up = None, _Cell(), {}
 
         def root(c):
             while up.get(c, c) != c:
@@ -162,37 +214,26 @@ def verify_across(groups: DataFrame, docs: DataFrame, bytes_of: DataFrame, id_co
             return c
 
         for b in batches:
-            cells = list(zip(*(b.column(i).to_pylist() for i in range(3))))
-            turn, id_, comp, other_, sk = (b.column(i).to_pylist() for i in range(3, 8))
             us, vs = [], []
-            for i, s in enumerate(shingle_sets(b.column(8))):
-                if cells[i] != now:
-                    now, ids, comps, sets, sketches, matrix, up = cells[i], [], [], [], [], None, {}
-                mine = np.frombuffer(sk[i], np.uint8)
-                if turn[i] == 0:
-                    ids.append(id_[i]), comps.append(comp[i]), sets.append(s), sketches.append(mine)
-                    continue
-                if matrix is None and sets:
-                    matrix = np.stack(sketches)
-                    order, codes = np.array(ids), np.array(comps)
-                if not sets:
+            for row, s in zip(zip(*(b.column(i).to_pylist() for i in range(8))), shingle_sets(b.column(8))):
+                if row[:3] != now:
+                    now, cell, up = row[:3], _Cell(), {}
+                turn, id_, comp, other_, sketch = row[3:8]
+                if turn == 0:
+                    cell.add(id_, comp, sketch, s)
                     continue
-                maybe = (matrix == mine).sum(axis=1) >= LEAST_AGREED
-                maybe &= codes != comp[i]
-                if other_[i]:
-                    maybe &= order < id_[i]
-                for j in np.flatnonzero(maybe):
-                    a, c = root(comps[j]), root(comp[i])
-                    h = sets[j]
+                for j in cell.maybe(id_, comp, sketch, other_):
+                    a, c = root(cell.comps[j]), root(comp)
+                    h = cell.sets[j]
                     if a == c or min(len(s), len(h)) * 100 < percent * max(len(s), len(h)):
                         continue
                     shared = len(np.intersect1d(s, h, assume_unique=True))
                     if 100 * shared >= percent * (len(s) + len(h) - shared):
                         up[max(a, c)] = min(a, c)
-                        us.append(max(id_[i], ids[j])), vs.append(min(id_[i], ids[j]))
+                        us.append(max(id_, cell.ids[j])), vs.append(min(id_, cell.ids[j]))
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-    return met.mapInArrow(run, "u long, v long").distinct()
+    return dealt(met.join(texts, "id").select(*CELL, "turn", "id", "comp", "other", "bytes", "text")).mapInArrow(run, "u long, v long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
@@ -202,34 +243,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
     sig = stash(signatures(docs, "id", "text"), "signatures")
-    narrow = sig.select("id", "n_shingles", "fp1", "fp2")
-    classes = stash(narrow.where("n_shingles > 0 AND id IS NOT NULL").groupBy("fp1", "fp2").agg(F.min("id").alias("rep")), "classes")
-    own = sig.join(classes, ["fp1", "fp2"]).where("id = rep").groupBy("id", "fp1", "fp2").agg(F.first("bands").alias("bands"), F.first("bytes").alias("bytes"))
+    total, sets = sig.count(), ["fp1", "fp2"]
+    narrow = sig.select("id", "n_shingles", *sets)
+    live = narrow.where("n_shingles > 0 AND id IS NOT NULL")
+    classes = stash(live.groupBy(*sets).agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes")
+    own = sig.join(classes.select(F.col("rep").alias("id"), *sets), ["id", *sets]).groupBy("id", *sets).agg(F.first("bands").alias("bands"), F.first("bytes").alias("bytes"))
     reps = stash(own.select("id", "bands", "bytes"), "reps")
     members = reps.select(F.explode("bands").alias("key"), "id")
-    heads = members.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last").drop("last")
-    star = stash(members.join(heads, "key").where("id <> head").select(F.col("id").alias("u"), F.col("head").alias("v")).distinct(), "star_pairs")
+    heads = members.groupBy("key").agg(F.min("id").alias("head"), F.max("id").alias("last"), F.count("*").alias("n")).where("head < last")
+    heads = stash(heads.select("key", "head", "n"), "heads")
+    star = join_hot(members, heads, ["key"], F.col("n") >= hot_rows(total)).where("id <> head")
+    star = stash(star.select(F.col("id").alias("u"), F.col("head").alias("v")).distinct(), "star_pairs")
     bytes_of = reps.select("id", "bytes")
     alike = stash(_agreeing(star, bytes_of), "alike")
     # an id that stands for several sets links them
-    twice = sig.where("n_shingles > 0 AND id IS NOT NULL").join(classes, ["fp1", "fp2"]).where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
-    several = narrow.where("n_shingles > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("fp1").alias("a"), F.max("fp1").alias("b"), F.min("fp2").alias("c"), F.max("fp2").alias("d")).where("a <> b OR c <> d").select("id")
-    twice = twice.join(several, twice["u"] == several["id"], "left_semi")
+    several = live.groupBy("id").agg(F.min("fp1").alias("a"), F.max("fp1").alias("b"), F.min("fp2").alias("c"), F.max("fp2").alias("d")).where("a <> b OR c <> d").select("id")
+    twice = live.join(several, "id", "left_semi").join(classes, sets).where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
     links = stash(verify(alike, docs, "id", "text", percent).union(twice).distinct(), "links")
     comps = stash(connected_components(links), "components")
 
     # Two members of a band share its head, so the members of a head hold every candidate pair.
     under = star.select(F.col("v").alias("head"), F.col("u").alias("id")).union(star.select(F.col("v").alias("head"), F.col("v").alias("id")).distinct())
     placed = under.join(comps, under["id"] == comps["node"], "left").select("head", "id", F.coalesce("component", "id").alias("comp"))
-    more = stash(verify_across(placed, docs, bytes_of, "id", "text", percent), "more_links")
+    more = stash(verify_across(placed, docs, bytes_of, "id", "text", total, percent), "more_links")
     if not more.isEmpty():
         comps = stash(connected_components(links.union(more)), "all_components")
 
-    group = classes.join(comps, classes["rep"] == comps["node"], "left").select("fp1", "fp2", F.coalesce("component", "rep").alias("component"))
-    out = narrow.join(group, ["fp1", "fp2"], "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id"))
-    component = F.when(F.col("id").isNotNull(), component)
-    return out.select("id", "n_shingles", component.alias("component"), component.eqNullSafe(F.col("id")).alias("kept"))
+    group = classes.join(comps, classes["rep"] == comps["node"], "left").select(*sets, "n", F.coalesce("component", "rep").alias("component"))
+    joined = join_hot(live, stash(group, "groups"), sets, F.col("n") >= hot_rows(total)).select("id", "n_shingles", "component")
+    alone = narrow.where("n_shingles = 0 OR id IS NULL").select("id", "n_shingles", F.col("id").alias("component"))
+    out = joined.unionByName(alone)
+    return out.select("id", "n_shingles", "component", F.col("component").eqNullSafe(F.col("id")).alias("kept"))
 
 
 def _agreeing(pairs: DataFrame, bytes_of: DataFrame) -> DataFrame:

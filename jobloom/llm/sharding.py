@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import join_hot, stash
 
 CELLS = 4096
 MOST_BROADCAST = 500_000
@@ -69,15 +69,6 @@ def _numbered(rows: DataFrame, key: str, cell: Column, order: list[str], out: st
     return rows.withColumn("at", at).join(near, [key, "cell"]).withColumn(out, (F.col("before") + F.col("at") - 1).cast("long")).drop("cell", "before", "at")
 
 
-def _matched(rows: DataFrame, table: DataFrame, key: str, hot: Column) -> DataFrame:
-    """``rows`` joined with ``table``; its ``hot`` keys, of which there are at most ``CELLS``, are broadcast, and
-    only rows of the other keys are shuffled."""
-    often = table.where(hot)
-    many = rows.join(F.broadcast(often), key)
-    few = rows.join(F.broadcast(often.select(key)), key, "left_anti").join(table.where(~hot), key)
-    return many.unionByName(few)
-
-
 def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, size, crc, shard, slot)`` for every row. ``size`` is the text's UTF-8 bytes plus 8."""
     text = docs[text_col]
@@ -95,10 +86,10 @@ def assign_shards(docs: DataFrame, shards: int = 24, id_col: str = "doc_id", tex
     ends = np.cumsum(np.array([given for _, given in plan], np.int64), axis=1)
     table = {"weight": pa.array([w for w, _ in plan], pa.int64()), "cells": pa.array(-(-ends[:, -1] // per_cell)), "ends": pa.array(list(ends), pa.list_(pa.int64()))}
     plan = docs.sparkSession.createDataFrame(pa.table(table))
-    dealt = _matched(groups, plan, "weight", F.col("cells") > 1)
+    dealt = join_hot(groups, plan, ["weight"], F.col("cells") > 1)
     ranked = _numbered(dealt, "weight", F.pmod(F.xxhash64("group"), "cells").cast("int"), ["group"], "rank")
     placed = stash(ranked.select("group", "n", F.size(F.filter("ends", lambda e: e <= F.col("rank"))).alias("shard")), "placed")
 
-    tagged = stash(_matched(rows, placed, "group", F.col("n") >= per_cell).select("id", "size", "crc", "shard"), "tagged")
+    tagged = stash(join_hot(rows, placed, ["group"], F.col("n") >= per_cell).select("id", "size", "crc", "shard"), "tagged")
     cell = F.pmod(F.xxhash64("id", "crc"), F.lit(max(1, CELLS // shards))).cast("int")
     return _numbered(tagged, "shard", cell, ["id", "crc"], "slot").select("id", "size", "crc", "shard", "slot")
