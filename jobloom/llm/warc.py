@@ -1,8 +1,8 @@
 """Deterministic sharded WARC writer and its reader.
 
 Records are range-sorted by (url, id, digest): range bounds come from the keys with the smallest hashes, so
-they depend on the rows alone and the same table always gives the same files, byte for byte. Each range
-is written by one task as gzip members, and a file rolls when its compressed size passes ``roll_bytes``.
+they depend on the rows alone and the same table always gives the same files, byte for byte. There are at most
+``MOST_RANGES`` ranges, of about ``shard_bytes`` below that number and growing beyond it. Each range is written by one task as gzip members, and a file rolls when its compressed size passes ``roll_bytes``.
 Headers and digests are made anew for every record. A file is written under a temporary name and renamed
 when whole; the names, sizes and digests that count are listed in a manifest that Spark commits last, so
 what a lost or repeated task leaves behind is never read and a second attempt only renames the same bytes.
@@ -23,14 +23,16 @@ import base64
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, stash
+from .common import hot_rows, join_hot, shared_dir, stash
 
+MOST_RANGES, MOST_SAMPLED = 1 << 16, 1_000_000
 VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "name string, records long, bytes long, sha256 string"
@@ -114,12 +116,14 @@ class _Roller:
         return self.name, self.records, self.bytes, self.sha.hexdigest()
 
 
-def _bounds(keys: DataFrame, shards: int, per_shard: int = 64) -> list:
-    """At most ``shards - 1`` range bounds: quantiles of the keys with the smallest hashes."""
+def _bounds(keys: DataFrame, rows: int, shards: int, per_shard: int = 64) -> list:
+    """At most ``shards - 1`` range bounds: quantiles of the distinct keys with the smallest hashes, about ``per_shard`` for
+    each range and at most about ``MOST_SAMPLED``, so they depend on the keys alone and what the driver holds is bounded."""
     if shards <= 1:
         return []
-    sample = keys.orderBy(F.xxhash64("url", "id"), "url", "id").limit(shards * per_shard).collect()
-    ordered = sorted((r.url, r.id) for r in sample)
+    least = int(min(1.0, min(shards * per_shard, MOST_SAMPLED) / rows) * (1 << 30))
+    sample = keys.where(F.pmod(F.xxhash64("url", "id"), F.lit(1 << 30)) <= least).distinct().collect()
+    ordered = sorted((r.url.encode(), r.id) for r in sample)
     return sorted({ordered[len(ordered) * i // shards] for i in range(1, shards)}) if ordered else []
 
 
@@ -132,11 +136,11 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     rows = pages.select(pages[id_col].cast("long").alias("id"), pages[url_col].alias("url"), F.coalesce(pages[payload_col], F.lit("")).alias("payload"))
     sized = rows.select("id", F.coalesce("url", F.lit("")).alias("url"), F.octet_length("payload").cast("long").alias("bytes"), F.sha1("payload").alias("digest"))
     sized = stash(sized, "sizes")
-    total = sized.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    total, n_rows = sized.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count("*")).first()
     first = sized.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(F.max("id").alias("response"), F.count("*").alias("n")).where("n > 1")
     low = F.coalesce("id", F.lit(-(1 << 63)))
-    revisits = sized.join(first, ["digest", "bytes"]).where(~F.col("id").eqNullSafe(F.col("response")))
-    bounds = _bounds(sized.select(low.alias("id"), "url"), int(total // shard_bytes) + 1)
+    revisits = join_hot(sized, stash(first, "copies"), ["digest", "bytes"], F.col("n") >= hot_rows(n_rows)).where(~F.col("id").eqNullSafe(F.col("response")))
+    bounds = _bounds(sized.select(low.alias("id"), "url"), n_rows, min(int(total // shard_bytes) + 1, MOST_RANGES))
 
     # What to refer to travels as rows of its own, sorted just before the records it is for, so that the
     # payloads are shuffled once.
@@ -144,13 +148,12 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     nothing = F.lit(None)
     notes = named(revisits, turn=F.lit(0), id=F.col("id"), url=nothing.cast("string"), payload=nothing.cast("string"), refers_to=F.col("response")).distinct()
     rows = named(rows.withColumn("digest", F.sha1("payload")), turn=F.lit(1), id=F.col("id"), url=F.col("url"), payload=F.col("payload"), refers_to=nothing.cast("long"))
-    place = F.struct(F.col("u").alias("url"), F.col("key").alias("id"))
-    if bounds:
-        cuts = F.array(*[F.struct(F.lit(u).alias("url"), F.lit(i).cast("long").alias("id")) for u, i in bounds])
-        shard = F.size(F.filter(cuts, lambda c: c <= place))
-    else:
-        shard = F.lit(0)
-    dealt = rows.union(notes).withColumn("shard", shard).repartitionById(len(bounds) + 1, F.col("shard"))
+
+    @F.pandas_udf("int")
+    def range_of(url: pd.Series, key: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(bounds, (u.encode(), k)) for u, k in zip(url, key)], dtype="int32")
+
+    dealt = rows.union(notes).withColumn("shard", range_of("u", "key") if bounds else F.lit(0)).repartitionById(len(bounds) + 1, F.col("shard"))
     dealt = dealt.sortWithinPartitions("shard", "u", "key", "digest", "turn").select("shard", "turn", "digest", "id", "url", "payload", "refers_to")
 
     def run(batches):
