@@ -157,9 +157,16 @@ def format_conversations(turns: DataFrame, template: Template = Template(), id_c
     return rows.mapInArrow(run, f"conv_id {kind}, chunk long, n_turns long, formatted string, loss_spans array<struct<start: long, end: long>>, formatted_chars long, done boolean")
 
 
-def read_back(formatted: DataFrame, template: Template = Template()) -> DataFrame:
+def read_back(formatted: DataFrame, template: Template = Template(), in_order: bool = False) -> DataFrame:
     """Digests of each conversation read from its formatted text, chunk after chunk: ``conv_id, n_turns,
-    turns_sha256, loss_chars, loss_sha256, formatted_chars``."""
+    turns_sha256, loss_chars, loss_sha256, formatted_chars``.
+
+    ``in_order`` says that the rows come straight from ``format_conversations``, whose tasks give a conversation's chunks one
+    after another; a table that was written and read again is dealt by conversation and sorted first. A digest over all turns
+    in order is serial, so each conversation is read by one task, chunk by chunk.
+    """
+    if not in_order:
+        formatted = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "chunk")
     kind = formatted.schema["conv_id"].dataType.simpleString()
 
     def run(batches):

@@ -35,7 +35,7 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
-    return read_back(format_conversations(rows.unionByName(more)))
+    return read_back(format_conversations(rows.unionByName(more)), in_order=True)
 
 
 def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

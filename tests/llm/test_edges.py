@@ -271,6 +271,22 @@ def test_decontamination_threshold_in_blocks(spark, monkeypatch):
     assert got == {(1, 1, 75), (1, 3, 8), (2, 3, 8)}
 
 
+@pytest.mark.parametrize("size", [1, 2, 60, 64, 65, 130, 900, 4000])
+def test_size_classes_find_contained_items(size):
+    k, rng = decontam.class_of(size), np.random.default_rng(size)
+    assert 1 << (k - 1) <= size < 1 << k
+    rate = (decontam.class_limit(k) + 1) / 2**64
+    assert rate == 1 if size <= 64 else decontam.KEPT <= rate * size < 4 * decontam.KEPT
+    item = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+    sizes = decontam.SizeClass(k, [5], [item], 75)
+    for share, hit in ((1.0, True), (0.76, True), (0.2, size < 2)):
+        held = item[: math.ceil(share * size)]
+        others = rng.integers(0, 2**63, 20_000, dtype=np.uint64)
+        document = np.concatenate([held, others])
+        got = set(sizes.candidates(document, decontam.sampling_hash(document), np.zeros(len(document), np.int64), np.array([len(document)])))
+        assert got == ({(0, 5)} if hit else set())
+
+
 def test_hits_needed_is_safe():
     for kept in (20, 40, 64):
         need = decontam.hits_needed(kept, 1000, 75)
