@@ -20,22 +20,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group. Of rows that repeat an id, one of each
-    group of equal or near texts stays, the one with the smallest hash. Rows with a null id all stay."""
+    """The document with the smallest id of each near-duplicate group.
+
+    Rows with a null id all stay. Where ids repeat, their rows count as documents of their own, so an id goes or stays
+    text by text; of rows equal in id and text one stays, and of near texts under one id the one numbered first.
+    """
     common.small_batches(spark)
-    found = common.stash(neardup.near_duplicates(docs).select("id", "kept"), "judged")
-    gone = found.where("NOT kept").select(F.col("id").alias("_gone")).distinct()
-    near = F.broadcast(gone) if gone.count() <= 500_000 else gone
-    kept = docs.join(near, docs["doc_id"] == F.col("_gone"), "left_anti")
-    repeated = common.stash(found.where("id IS NOT NULL").groupBy("id").count().where("count > 1").select(F.col("id").alias("_id")), "repeated")
+    ids = docs.select(docs["doc_id"].alias("id")).where("id IS NOT NULL")
+    repeated = common.stash(ids.groupBy("id").count().where("count > 1").select("id"), "repeated")
     if repeated.isEmpty():
-        return kept
-    same = kept["doc_id"] == F.col("_id")
-    again = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    again = common.stash(again.withColumn("_row", F.xxhash64("doc_id", F.col("text").isNull(), "text")), "again")
-    one = common.stash(neardup.near_duplicates(again, id_col="_row").where("kept").select("id").distinct(), "one_of_each")
-    again = again.join(one, again["_row"] == one["id"], "left_semi").drop("_row")
-    return kept.join(repeated, same, "left_anti").unionByName(again)
+        gone = common.stash(neardup.near_duplicates(docs).where("NOT kept").select("id"), "gone")
+        return docs.join(_near(gone), docs["doc_id"] == gone["id"], "left_anti")
+    once = docs.join(repeated, docs["doc_id"] == repeated["id"], "left_anti")
+    again = docs.join(repeated, docs["doc_id"] == repeated["id"], "left_semi").dropDuplicates(["doc_id", "text"])
+    number = F.lit(ids.agg(F.min("id")).first()[0]) - 1 - F.monotonically_increasing_id()
+    again = common.stash(again.select(F.struct(*[again[f"`{c}`"] for c in docs.columns]).alias("doc"), number.alias("key")), "again")
+    named = again.select("key", F.col("doc.doc_id").alias("id"))
+    texts = once.select(once["doc_id"].alias("key"), once["text"].alias("text")).union(again.select("key", "doc.text"))
+    found = common.stash(neardup.near_duplicates(texts, id_col="key").where("id IS NOT NULL").select(F.col("id").alias("key"), "component"), "found")
+    order = F.struct(F.coalesce("id", "key").alias("id"), F.col("key").alias("key"))
+    first = found.join(named, "key", "left").groupBy("component").agg(F.min(order).alias("first")).select("first.key")
+    gone = common.stash(found.select("key").join(first, "key", "left_anti"), "gone")
+    once = once.join(_near(gone), once["doc_id"] == gone["key"], "left_anti")
+    return once.unionByName(again.join(gone, "key", "left_anti").select("doc.*"))
+
+
+def _near(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= 500_000 else ids
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
