@@ -98,6 +98,40 @@ def test_pii_is_linear(text):
     pii.base_spans(text)
 
 
+def exact_marginals(graph, weights, chain_w, skip_w):
+    """Marginals of the tokens by summing over every assignment of tokens and hubs."""
+    labels, n = weights.shape[1], graph.n + graph.hubs
+    states = np.stack(np.meshgrid(*[np.arange(labels)] * n, indexing="ij"), axis=-1).reshape(-1, n)
+    unary = graph.node_scores(weights)
+    score = sum(unary[i, states[:, i]] for i in range(graph.n))
+    for edges, w in ((graph.chain, chain_w), (graph.star, pii.pair_root(skip_w))):
+        for a, b in edges:
+            score = score + w[states[:, a], states[:, b]]
+    p = np.exp(score - score.max())
+    out = np.stack([np.bincount(states[:, i], p, labels) for i in range(graph.n)])
+    return out / out.sum(axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize(
+    "text,loops",
+    [
+        ("call 7012 now", False),
+        ("call +1 (743) 555-3824 now", False),
+        ("card 398-259-7919x is not 398-259-7919x", False),
+        ("mail joe.b12@site and joe.b12@site.com or joe.b12@site", False),
+        ("10.2.3.4 7 10.2.3.4", True),
+        ("398-259-7919 55 398-259-7919 55.10", True),
+    ],
+)
+def test_pii_messages_against_exhaustive_sums(text, loops):
+    names, *weights = pii.train()
+    graph = pii.Graph([pii.candidates(text)], names)
+    assert 1 <= graph.n + graph.hubs <= 7
+    got, want = graph.marginals(*weights), exact_marginals(graph, *weights)
+    assert np.abs(got - want).max() < (0.1 if loops else 2e-3)
+    assert not loops or (got.argmax(axis=1) == want.argmax(axis=1)).all()
+
+
 # --- 3 mixing
 
 
