@@ -285,7 +285,7 @@ def q_checkpoint(spark, d):
 def q_message_batch(spark, d):
     m = table(spark, d, "events").select(c("user_id").alias("channel"), c("event_id").alias("message_id"))
     cursors = m.where("channel % 2 = 0").select("channel", (c("channel") * 60).alias("cursor")).distinct()
-    return messages.select_batch(m, cursors, catch_up=20, lookback=5)
+    return messages.select_batch(m, cursors)
 
 
 # --- source health
@@ -434,7 +434,7 @@ def q_overrides(spark, d):
 
 @query
 def q_watchlist_merge(spark, d):
-    return watchlist.add_missing(_companies(spark, d).where("nation < 12"), _from_customer(spark, d, "c_custkey <= 200"), "name")
+    return watchlist.add_missing(_companies(spark, d), _from_customer(spark, d, "true"), "name")
 
 
 @query
@@ -445,21 +445,21 @@ def q_preserve(spark, d):
 
 @query
 def q_catalog_merge(spark, d):
-    fresh = _from_customer(spark, d, "c_custkey % 7 <> 0 AND c_custkey <= 300").select("slug", F.when(c("nation") % 2 == 0, c("career_url")).alias("career_url"), "nation")
+    fresh = _from_customer(spark, d, "true").select("slug", F.when(c("nation") % 2 == 0, c("career_url")).alias("career_url"), "nation")
     return watchlist.merge_catalog(_companies(spark, d).select("slug", "career_url", "nation"), fresh, ["career_url", "nation"])
 
 
 @query
 def q_collect_list(spark, d):
     catalog = table(spark, d, "orders").groupBy(F.concat(F.lit("s"), c("o_custkey").cast("string")).alias("slug")).agg(F.count("*").alias("vacancy_count")).withColumn("name", c("slug"))
-    return watchlist.collect_list(_companies(spark, d).where("nation < 3"), catalog, 2, 100)
+    return watchlist.collect_list(_companies(spark, d), catalog, 2)
 
 
 @query
 def q_recheck_topn(spark, d):
     catalog = _from_customer(spark, d, "true").select("slug")
     state = table(spark, d, "orders").where("o_orderkey % 2 = 0").groupBy(F.concat(F.lit("s"), c("o_custkey").cast("string")).alias("slug")).agg(F.date_format(F.max("o_orderdate"), "yyyy-MM-dd").alias("checked_at"))
-    return watchlist.recheck_list(catalog, _companies(spark, d), state, F.lit("1998-01-01"), 50)
+    return watchlist.recheck_list(catalog, _companies(spark, d), state, F.lit("1998-01-01"))
 
 
 @query
@@ -508,7 +508,7 @@ def q_ats_parse(spark, d):
     def board(kind, items, wrap):
         job = F.to_json(F.struct(*[v.alias(k) for k, v in items.items()]))
         body = F.concat(F.lit(wrap[0]), F.array_join(F.array_sort(F.collect_list(job)), ","), F.lit(wrap[1]))
-        return _part(spark, d).groupBy((c("p_partkey") % 20).alias("source_id")).agg(body.alias("body")).withColumn("kind", F.lit(kind))
+        return _part(spark, d).groupBy(F.floor(c("p_partkey") / 100).alias("source_id")).agg(body.alias("body")).withColumn("kind", F.lit(kind))
 
     url = F.when(c("p_size") % 10 == 0, F.lit("http://x")).otherwise(F.concat(F.lit("https://x/"), c("p_partkey").cast("string")))
     gh = board("greenhouse", {"id": c("p_partkey"), "title": c("p_name"), "absolute_url": url, "location": F.struct(c("p_brand").alias("name")), "content": F.lit("a &amp; b")}, ('{"jobs":[', "]}"))
@@ -523,7 +523,7 @@ def q_rss_parse(spark, d):
     k = c("p_partkey").cast("string")
     item = F.concat(F.lit("<item><title>"), "p_name", F.lit(" в "), "p_brand", F.lit(", Київ, від $100, remote</title><link>https://x/vacancies/"), k, F.lit("/?utm_source=r&amp;q=1</link><pubDate>Mon, 01 Jan 2024 10:00:00 +0200</pubDate><description>&lt;b&gt;x&lt;/b&gt;</description></item>"))
     body = F.concat(F.lit("<rss><channel>"), F.array_join(F.array_sort(F.collect_list(item)), ""), F.lit("</channel></rss>"))
-    bronze = _part(spark, d).groupBy((c("p_partkey") % 20).alias("source_id")).agg(body.alias("body"))
+    bronze = _part(spark, d).groupBy(F.floor(c("p_partkey") / 100).alias("source_id")).agg(body.alias("body"))
     out = feeds.parse_rss(bronze, title_filter=lambda t: F.lit(True))
     return out.select("title", "company", "location", "remote", "url", F.date_format("published_at", "yyyy-MM-dd HH:mm").alias("published_at"), "description", "source_job_id")
 
@@ -531,7 +531,7 @@ def q_rss_parse(spark, d):
 @query
 def q_sitemap(spark, d):
     body = F.concat(F.lit("<urlset>"), F.array_join(F.transform(F.array_sort(F.collect_list("url")), lambda u: F.concat(F.lit("<url><loc>"), u, F.lit("</loc></url>"))), ""), F.lit("</urlset>"))
-    bronze = table(spark, d, "pages").groupBy((c("page_id") % 5).alias("source_id")).agg(body.alias("body"))
+    bronze = table(spark, d, "pages").groupBy(F.floor(c("page_id") / 100).alias("source_id")).agg(body.alias("body"))
     return feeds.parse_sitemap(bronze, "[0-9]")
 
 
@@ -582,14 +582,12 @@ def q_message_filters(spark, d):
 @query
 def q_stream_seen(spark, d):
     """Events delivered by a stream in one pass equal the batch's first row of each key."""
-    import tempfile
+    import uuid
 
+    from jobloom.plans import storage
     from jobloom.streaming import delivery
 
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="jobloom-stream-")
-    import uuid
-
-    root = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    root = f"{storage.shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     source = f"{d}/events.parquet"
     schema = table(spark, d, "events").schema
     stream = spark.readStream.schema(schema).parquet(source if not source.endswith(".parquet") else f"{d}/events*.parquet")

@@ -246,7 +246,7 @@ SQL = {
     "q_feed_prune": "SELECT CAST(event_id AS VARCHAR) AS feed_key, CASE WHEN event_id % 50 = 0 THEN 'unknown' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS first_seen FROM events WHERE event_id % 50 = 0 OR date_trunc('second', ts) >= TIMESTAMP '2024-02-10' - INTERVAL 30 DAY",
     "q_cursors": "WITH a AS (SELECT conv_id % 50 AS channel, max(turn) AS cursor FROM conversations GROUP BY 1), b AS (SELECT user_id % 60 AS channel, max(event_id) % 7 AS cursor FROM events GROUP BY 1) SELECT channel, max(cursor) AS cursor FROM (SELECT * FROM a WHERE channel % 9 <> 0 UNION ALL SELECT * FROM b) WHERE cursor > 0 GROUP BY channel",
     "q_checkpoint": "SELECT user_id AS channel, greatest(max(event_id), CASE WHEN user_id % 2 = 0 THEN user_id * 60 ELSE 0 END) AS checkpoint, count(*) AS scanned FROM events GROUP BY user_id",
-    "q_message_batch": "SELECT user_id AS channel, event_id AS message_id FROM events WHERE user_id % 2 <> 0 OR event_id > user_id * 60 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN user_id % 2 <> 0 THEN -event_id ELSE event_id END) <= CASE WHEN user_id % 2 <> 0 THEN 5 ELSE 20 END",
+    "q_message_batch": "SELECT user_id AS channel, event_id AS message_id FROM events WHERE user_id % 2 <> 0 OR event_id > user_id * 60 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN user_id % 2 <> 0 THEN -event_id ELSE event_id END) <= CASE WHEN user_id % 2 <> 0 THEN 100 ELSE 3000 END",
     "q_degraded": f"WITH {RUNS}, w AS (SELECT *, CASE WHEN status = 'healthy' AND NOT empty_is_healthy THEN CASE WHEN items_scanned = 0 AND best > 0 THEN 'parsed 0 items but previously parsed items' WHEN items_scanned = 0 AND empty >= 2 THEN 'parsed 0 items for ' || (empty + 1) || ' runs' WHEN best >= 8 AND items_scanned < best * 0.4 THEN 'parsed ' || items_scanned || ' items but previously parsed ' || best END END AS why FROM joined) SELECT source_id, CASE WHEN why IS NOT NULL THEN 'degraded' ELSE status END AS status, CASE WHEN why IS NOT NULL THEN coalesce(error, why) ELSE error END AS error FROM w",
     "q_baseline": f"WITH {RUNS}, n AS (SELECT * FROM today WHERE status <> 'failed') SELECT coalesce(b.source_id, n.source_id) AS source_id, coalesce(n.source_name, b.name) AS name, CASE WHEN n.source_id IS NOT NULL THEN 'ios' ELSE b.search_policy END AS search_policy, CASE WHEN n.source_id IS NOT NULL THEN greatest(CASE WHEN b.search_policy = 'ios' THEN b.best_scanned ELSE 0 END, n.items_scanned) ELSE b.best_scanned END AS best_scanned, coalesce(n.items_scanned, b.last_scanned) AS last_scanned, CASE WHEN n.source_id IS NOT NULL THEN '2024-01-15' ELSE b.last_success_at END AS last_success_at, CASE WHEN n.source_id IS NULL THEN b.empty_runs WHEN n.items_scanned = 0 THEN coalesce(b.empty_runs, 0) + 1 ELSE 0 END AS empty_runs, CASE WHEN n.items_scanned > 0 THEN '2024-01-15' ELSE b.last_nonzero END AS last_nonzero FROM baseline b FULL OUTER JOIN n USING (source_id)",
     "q_empty_runs": f"WITH {RUNS}, b AS (SELECT source_id, day, items_scanned, sum(CASE WHEN items_scanned > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY source_id ORDER BY day) AS blk FROM runs) SELECT source_id, day, items_scanned, CAST(sum(CASE WHEN items_scanned > 0 THEN 0 ELSE 1 END) OVER (PARTITION BY source_id, blk ORDER BY day) AS BIGINT) AS empty_runs FROM b",
@@ -267,11 +267,11 @@ SQL = {
     "q_registry": f"WITH {SUPPLIERS}, b AS (SELECT slug FROM companies WHERE slug LIKE '%1'), w AS (SELECT slug, coalesce(CASE WHEN nation % 6 = 0 THEN false WHEN nation % 6 = 2 THEN true END, true) AS enabled FROM companies WHERE nation % 2 = 0) SELECT slug, 'bespoke' AS kind FROM b LEFT JOIN w USING (slug) WHERE coalesce(enabled, true) UNION ALL SELECT slug, 'watchlist' FROM w WHERE enabled AND slug NOT IN (SELECT slug FROM b) UNION ALL SELECT slug, 'board' FROM companies WHERE nation % 3 = 0 AND slug NOT IN (SELECT slug FROM b) AND slug NOT IN (SELECT slug FROM w)",
     "q_route": f"WITH {SUPPLIERS} SELECT slug, CASE WHEN nation BETWEEN 1 AND 3 THEN 'greenhouse' WHEN nation IN (4, 6, 7) THEN 'lever' WHEN career_url IS NULL THEN 'failed' ELSE 'page' END AS route, CASE WHEN nation BETWEEN 1 AND 7 AND nation <> 5 THEN name END AS token FROM companies",
     "q_overrides": f"WITH {SUPPLIERS} SELECT c.slug, coalesce(o.career_url, d.career_url, c.career_url) AS career_url, CASE WHEN o.slug IS NOT NULL THEN 'override' WHEN d.slug IS NOT NULL THEN 'discovered' WHEN c.career_url IS NOT NULL THEN 'own' END AS career_url_source FROM companies c LEFT JOIN (SELECT * FROM cust WHERE k % 5 = 0) o USING (slug) LEFT JOIN (SELECT * FROM cust WHERE k % 4 = 0) d ON d.slug = c.slug",
-    "q_watchlist_merge": f"WITH {SUPPLIERS}, b AS (SELECT * FROM companies WHERE nation < 12) SELECT slug, name, career_url, nation FROM b UNION ALL SELECT slug, name, career_url, nation FROM cust WHERE k <= 200 AND slug NOT IN (SELECT slug FROM b)",
+    "q_watchlist_merge": f"WITH {SUPPLIERS}, b AS (SELECT * FROM companies) SELECT slug, name, career_url, nation FROM b UNION ALL SELECT slug, name, career_url, nation FROM cust WHERE slug NOT IN (SELECT slug FROM b)",
     "q_preserve": f"WITH {SUPPLIERS} SELECT c.slug, c.name, coalesce(c.career_url, o.career_url) AS career_url, c.nation FROM companies c LEFT JOIN (SELECT * FROM cust WHERE k % 2 = 0) o USING (slug)",
-    "q_catalog_merge": f"WITH {SUPPLIERS}, f AS (SELECT slug, CASE WHEN nation % 2 = 0 THEN career_url END AS career_url, nation FROM cust WHERE k % 7 <> 0 AND k <= 300) SELECT coalesce(c.slug, f.slug) AS slug, coalesce(f.career_url, c.career_url) AS career_url, coalesce(f.nation, c.nation) AS nation, CASE WHEN c.slug IS NULL THEN 'added' WHEN f.slug IS NULL THEN 'kept' WHEN coalesce(f.career_url, c.career_url) IS DISTINCT FROM c.career_url OR coalesce(f.nation, c.nation) IS DISTINCT FROM c.nation THEN 'updated' ELSE 'unchanged' END AS change FROM companies c FULL OUTER JOIN f ON c.slug = f.slug",
-    "q_collect_list": f"WITH {SUPPLIERS}, k AS (SELECT 's' || o_custkey AS slug, count(*) AS n FROM orders GROUP BY 1) SELECT slug, name, vacancy_count FROM (SELECT slug, name, 0 AS r, CAST(NULL AS BIGINT) AS vacancy_count FROM companies WHERE nation < 3 UNION ALL SELECT slug, slug, 1, n FROM k WHERE n >= 2 AND slug NOT IN (SELECT slug FROM companies WHERE nation < 3)) ORDER BY r, vacancy_count DESC NULLS LAST, lower(name), slug LIMIT 100",
-    "q_recheck_topn": f"WITH {SUPPLIERS}, s AS (SELECT 's' || o_custkey AS slug, strftime(max(o_orderdate), '%Y-%m-%d') AS checked_at FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), x AS (SELECT slug, checked_at FROM cust LEFT JOIN s USING (slug) WHERE slug NOT IN (SELECT slug FROM companies)) SELECT slug, 'new' AS why, checked_at FROM x WHERE checked_at IS NULL UNION ALL (SELECT slug, 'stale', checked_at FROM x WHERE checked_at < '1998-01-01' ORDER BY checked_at, slug LIMIT 50)",
+    "q_catalog_merge": f"WITH {SUPPLIERS}, f AS (SELECT slug, CASE WHEN nation % 2 = 0 THEN career_url END AS career_url, nation FROM cust) SELECT coalesce(c.slug, f.slug) AS slug, coalesce(f.career_url, c.career_url) AS career_url, coalesce(f.nation, c.nation) AS nation, CASE WHEN c.slug IS NULL THEN 'added' WHEN f.slug IS NULL THEN 'kept' WHEN coalesce(f.career_url, c.career_url) IS DISTINCT FROM c.career_url OR coalesce(f.nation, c.nation) IS DISTINCT FROM c.nation THEN 'updated' ELSE 'unchanged' END AS change FROM companies c FULL OUTER JOIN f ON c.slug = f.slug",
+    "q_collect_list": f"WITH {SUPPLIERS}, k AS (SELECT 's' || o_custkey AS slug, count(*) AS n FROM orders GROUP BY 1) SELECT slug, name, vacancy_count FROM (SELECT slug, name, 0 AS r, CAST(NULL AS BIGINT) AS vacancy_count FROM companies UNION ALL SELECT slug, slug, 1, n FROM k WHERE n >= 2 AND slug NOT IN (SELECT slug FROM companies)) ORDER BY r, vacancy_count DESC NULLS LAST, lower(name), slug LIMIT 300",
+    "q_recheck_topn": f"WITH {SUPPLIERS}, s AS (SELECT 's' || o_custkey AS slug, strftime(max(o_orderdate), '%Y-%m-%d') AS checked_at FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), x AS (SELECT slug, checked_at FROM cust LEFT JOIN s USING (slug) WHERE slug NOT IN (SELECT slug FROM companies)) SELECT slug, 'new' AS why, checked_at FROM x WHERE checked_at IS NULL UNION ALL (SELECT slug, 'stale', checked_at FROM x WHERE checked_at < '1998-01-01' ORDER BY checked_at, slug LIMIT 300)",
     "q_section_join": "SELECT l_orderkey, l_linenumber, l_suppkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
     "q_three_way_merge": "WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders), b AS (SELECT k, [v] AS v FROM o WHERE k % 5 <> 4), l AS (SELECT k, [CASE WHEN k % 11 = 0 THEN 'L' ELSE v END] AS v FROM o WHERE k % 7 <> 3), r AS (SELECT k, [CASE WHEN k % 13 = 0 THEN 'R' ELSE v END] AS v FROM o WHERE k % 9 <> 2), x AS (SELECT coalesce(b.k, l.k, r.k) AS key, b.v AS b, l.v AS l, r.v AS r FROM b FULL OUTER JOIN l ON b.k = l.k FULL OUTER JOIN r ON coalesce(b.k, l.k) = r.k), y AS (SELECT *, l IS DISTINCT FROM b AND r IS DISTINCT FROM b AND l IS DISTINCT FROM r AS conflict, CASE WHEN l IS NOT DISTINCT FROM b THEN r ELSE l END AS m FROM x) SELECT key, CASE WHEN NOT conflict THEN m[1] END AS value, CASE WHEN conflict THEN 'conflict' WHEN m IS NULL THEN 'deleted' ELSE 'kept' END AS status FROM y",
     "q_carry_forward": "SELECT o_orderkey, last_value(CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority END IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS carried FROM orders",
@@ -279,10 +279,18 @@ SQL = {
     "q_top_links": r"SELECT grp, url, score FROM (SELECT page_id % 10 AS grp, url, CASE WHEN regexp_matches(url, '(greenhouse|lever|ashbyhq|breezy|recruitee|workable)\.', 'i') THEN 100 ELSE 0 END + CASE WHEN regexp_matches(url, 'career|jobs|vacanc', 'i') THEN 50 ELSE 0 END + CASE WHEN regexp_matches(url, 'career|jobs|vacanc|hiring', 'i') THEN 30 ELSE 0 END - CASE WHEN regexp_matches(url, 'blog|news', 'i') THEN 80 ELSE 0 END AS score FROM pages) QUALIFY row_number() OVER (PARTITION BY grp ORDER BY score DESC, length(url), url) = 1",
     "q_ats_parse": "SELECT 'greenhouse' AS ats, p_name AS title, 'https://x/' || p_partkey AS url, p_brand AS location, 'a & b' AS description, CAST(p_partkey AS VARCHAR) AS job_id, CAST(NULL AS VARCHAR) AS remote FROM part WHERE p_size % 10 <> 0 UNION ALL SELECT 'lever', p_name, 'https://x/' || p_partkey, NULL, p_type, CAST(p_partkey AS VARCHAR), CASE WHEN p_size > 25 THEN 'remote' END FROM part WHERE p_size % 10 <> 0",
     "q_rss_parse": "SELECT p_name AS title, p_brand AS company, 'Київ' AS location, 'remote' AS remote, 'https://x/vacancies/' || p_partkey || '/?q=1' AS url, '2024-01-01 08:00' AS published_at, '<b>x</b>' AS description, CAST(p_partkey AS VARCHAR) AS source_job_id FROM part",
-    "q_sitemap": "SELECT DISTINCT page_id % 5 AS source_id, url FROM pages WHERE regexp_matches(regexp_extract(regexp_replace(url, '/+$', ''), '([^/]*)$', 1), '[0-9]')",
+    "q_sitemap": "SELECT DISTINCT page_id // 100 AS source_id, url FROM pages WHERE regexp_matches(regexp_extract(regexp_replace(url, '/+$', ''), '([^/]*)$', 1), '[0-9]')",
     "q_page_titles": rf"SELECT page_id, regexp_replace({strip("regexp_extract(html, '<title[^>]*>((?s:.*?))</title>', 1, 'i')")}, '\s+', ' ', 'g') AS title FROM pages",
     "q_count_gaps": "SELECT o_orderkey, before FROM (SELECT o_orderkey, CAST(floor(o_totalprice / 1000) AS BIGINT) AS shown, lag(CAST(floor(o_totalprice / 1000) AS BIGINT)) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS before FROM orders) WHERE before IS NOT NULL AND shown <= before",
     "q_html_links": f"SELECT page_id AS source_id, CASE WHEN regexp_matches(u, '^https?://') THEN u ELSE 'https://x' || regexp_replace(u, '^/*', '/') END AS url, arg_min(t, i) AS title FROM (SELECT page_id, generate_subscripts(us, 1) AS i, unnest(us) AS u, unnest(ts) AS t FROM (SELECT page_id, regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', 1) AS us, regexp_extract_all(html, '<a href=\"([^\"]*)\">([^<]*)</a>', 2) AS ts FROM pages)) WHERE t <> '' GROUP BY 1, 2",
     "q_message_filters": "SELECT conv_id, turn, regexp_matches(lower(text), '" + "|".join(re.escape(x).replace("'", "''") for x in M.CANDIDATE_PHRASES) + "') AS candidate, regexp_matches(lower(text), '" + "|".join(re.escape(x).replace("'", "''") for x in M.VACANCY_PHRASES) + "') AS vacancy, CAST(NULL AS VARCHAR) AS apply_url FROM conversations",
+    "q_page_signals": "SELECT page_id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(' ' || regexp_replace(" + html_text("regexp_replace(html, '<(script|style)\\b(?s:.*?)</(script|style)\\s*>', ' ', 'gi')") + ", '[^A-Za-z0-9]', '  ', 'g') || ' ', '[^a-zA-Z0-9](the|que|der|los)[^a-zA-Z0-9]', 1, 'i'), lambda x: lower(x)))), ' | ') AS signals FROM pages",
+    "q_html_dom_links": r"SELECT page_id, CAST(unnest(range(len(h))) AS INTEGER) AS pos, unnest(h) AS href, trim(regexp_replace(regexp_replace(unnest(t), '<[^>]+>', '', 'g'), '\s+', ' ', 'g')) AS text FROM (SELECT page_id, regexp_extract_all(html, '<a href=\"([^\"]*)\">((?s:.*?))</a>', 1) AS h, regexp_extract_all(html, '<a href=\"([^\"]*)\">((?s:.*?))</a>', 2) AS t FROM pages)",
+    "q_chunk": r"""WITH RECURSIVE r AS (
+  SELECT doc_id AS id, 0 AS part, CAST(NULL AS VARCHAR) AS chunk, coalesce(text, '') AS rest, false AS done FROM documents
+  UNION ALL
+  SELECT id, part + 1, CASE WHEN last THEN rest ELSE coalesce(nullif(piece, ''), left(rest, 4096)) END, CASE WHEN last THEN '' ELSE ltrim(substr(rest, CASE WHEN cut > 0 AND piece <> '' THEN cut ELSE 4096 END + 1), chr(10)) END, last
+  FROM (SELECT *, rtrim(CASE WHEN cut > 0 THEN left(rest, cut) ELSE left(rest, 4096) END, chr(10)) AS piece FROM (SELECT *, length(rest) <= 4096 AS last, length(regexp_extract(left(rest, 4096), '(?s)^(.*)\n', 1)) AS cut FROM r WHERE NOT done)))
+SELECT id, CAST(part - 1 AS INTEGER) AS part, chunk FROM r WHERE part > 0 AND (chunk <> '' OR part = 1)""",
     "q_stream_seen": "SELECT user_id || '/' || event_type AS key, min(event_id) AS event_id FROM events GROUP BY 1",
 }
