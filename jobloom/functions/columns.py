@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,34 +78,10 @@ def host_of(authority: Column) -> Column:
     return F.lower(F.regexp_extract(authority, r"^(?:.*@)?([^:]*)", 1))
 
 
-def canonicalize_url(raw: Column) -> Column:
-    """One key for the spellings of a link: lower scheme and host, aliases, no default port, no trailing
-    slash, no tracking keys, sorted query, no fragment. A null or blank link is ''; a port that is no number
-    stays as part of the host's text rather than failing the run."""
-    url = strip(text(raw))
-    parts = _url_parts(url)
-    scheme = F.when(parts["scheme"] == "", "https").otherwise(parts["scheme"])
-    host = host_of(parts["authority"])
-    for name, alias in P.HOST_ALIASES.items():
-        host = F.when(host == name, alias).otherwise(host)
-    port = F.regexp_extract(parts["authority"], r":([0-9]+)$", 1)
-    shown = (port != "") & (((scheme == "http") & (port != "80")) | ((scheme == "https") & (port != "443")))
-    netloc = F.when(shown, F.concat(host, F.lit(":"), port)).otherwise(host)
-    path = F.when(parts["path"].isin("", "/"), "/").otherwise(F.regexp_replace(parts["path"], "/+$", ""))
-    bare = F.regexp_replace(host, r"^www\.", "")
-    key = lambda p: F.lower(p["k"])
-
-    def tracked(p):
-        own = [(bare == h) & key(p).isin(*keys) for h, keys in P.HOST_TRACKING_QUERY_KEYS.items()]
-        return reduce(lambda a, b: a | b, own, key(p).startswith("utm_") | key(p).isin(*P.TRACKING_QUERY_KEYS))
-
-    pairs = F.array_sort(F.filter(_query_pairs(parts["query"]), lambda p: ~tracked(p)))
-    query = F.array_join(F.transform(pairs, lambda p: F.concat(url_encode(p["k"]), F.lit("="), url_encode(p["v"]))), "&")
-    return F.when(url == "", "").otherwise(F.concat(scheme, F.lit("://"), netloc, path, F.when(query == "", "").otherwise(F.concat(F.lit("?"), query))))
-
-
 def with_canonical_url(df: DataFrame, url: str = "url", out: str = "canonical_url") -> DataFrame:
-    """``canonicalize_url`` in steps, each part of the link computed once: the form for whole tables."""
+    """One key for the spellings of a link: lower scheme and host, aliases, no default port, no trailing slash, no tracking
+    keys, sorted query, no fragment. A null or blank link is ''; a port that is no number stays as part of the host's text
+    rather than failing the run. In steps, so that each part of the link is computed once."""
     c, scheme = F.col, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?"
     df = df.withColumn("_cu", strip(text(c(url))))
     df = df.withColumns({"_cs": F.lower(F.regexp_extract("_cu", r"^([A-Za-z][A-Za-z0-9+.\-]*):", 1)), "_ca": F.regexp_extract("_cu", scheme + r"//([^/?#]*)", 1), "_cp": F.regexp_extract("_cu", scheme + r"(?://[^/?#]*)?([^?#]*)", 1), "_cq": F.regexp_extract("_cu", r"^[^?#]*\?([^#]*)", 1)})
@@ -226,6 +200,29 @@ def topic(title: Column, description: Column) -> Column:
     )
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is computed once a row: filters on it stay above it instead of repeating it below."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def with_topic(df: DataFrame) -> DataFrame:
+    """``topic`` and ``primary`` (``is_primary_role``) of postings in steps: the title is lowered once and searched once for each
+    pattern, the description only where the title leaves it open."""
+    c, none = F.col, F.lit(None).cast("string")
+    patterns = {"_excluded": P.EXCLUDED_ROLE, "_anchor": P.PLATFORM_ANCHOR, "_kmp": P.KMP_TITLE, "_mobile": P.MOBILE_TITLE, "_other": P.OTHER_MOBILE_PLATFORM, "_native": P.NATIVE_TITLE, "_cross": P.CROSS_PLATFORM_TITLE, "_role": P.BODY_ROLE}
+    low = F.coalesce(F.lower("title"), F.lit(""))
+    df = df.withColumn("_low", low)
+    df = df.withColumns({k: c("_low").rlike("(?U)" + p) for k, p in patterns.items()})
+    named = ~c("_excluded") & c("_anchor")
+    by_body = F.when(~c("_excluded") & ~c("_anchor") & c("_role"), matches(c("description"), P.CORE_TERMS)).otherwise(False)
+    df = df.withColumn("_platform", named | by_body)
+    primary = c("_native") & named & ~c("_cross")
+    adjacent = F.when(c("_excluded"), none).when(c("_kmp"), "kmp").when(c("_mobile") & ~c("_other"), "mobile")
+    topic_ = F.when(primary, "native_ios").when(c("_kmp") & ~c("_excluded"), "kmp").when(~c("_platform"), adjacent).when(c("_cross"), "cross_platform").when(named, "apple_platform").otherwise("ios_in_description")
+    df = _once(df, "_topic", F.struct(topic_.alias("topic"), primary.alias("primary")))
+    return df.withColumns({"topic": c("_topic.topic"), "primary": c("_topic.primary")}).drop("_low", "_platform", "_topic", *patterns)
+
+
 def is_inbox_candidate(track: Column, title: Column) -> Column:
     return (track == "ios") & is_primary_role(title)
 
@@ -281,18 +278,23 @@ def workable(location: Column, remote: Column) -> Column:
     return F.when(~unknown, is_work_mode_eligible(location, remote))
 
 
-def infer_remote(title: Column, location: Column, description: Column) -> Column:
-    c = F.lower(F.concat_ws(" ", text(title), text(location), text(description)))
+def mode_of(low: Column) -> Column:
+    """The work mode that a lower-case text names."""
+    on = lambda pattern: low.rlike("(?U)" + pattern)
     return (
-        F.when(matches(c, P.NEGATED_REMOTE), "onsite")
-        .when(matches(c, r"\bhybrid\b"), "hybrid")
-        .when(matches(c, r"\bon[- ]?site\b"), "onsite")
-        .when(matches(c, P.REMOTE_LOCATION), "remote")
-        .when(matches(c, r"\boffice\b"), "onsite")
+        F.when(on(P.NEGATED_REMOTE), "onsite")
+        .when(on(r"\bhybrid\b"), "hybrid")
+        .when(on(r"\bon[- ]?site\b"), "onsite")
+        .when(on(P.REMOTE_LOCATION), "remote")
+        .when(on(r"\boffice\b"), "onsite")
         .otherwise("unknown")
     )
 
 
+def infer_remote(title: Column, location: Column, description: Column) -> Column:
+    return mode_of(F.lower(F.concat_ws(" ", text(title), text(location), text(description))))
+
+
 # --- requirements -------------------------------------------------------------------------------------------------------
 
 
@@ -348,11 +350,11 @@ def authorization_blockers(description: Column) -> Column:
 
 
 def labels() -> dict[str, Column]:
-    """Label columns of a posting with the normal column names."""
+    """Label columns of a normal posting, whose topic is already known."""
     c = F.col
     return {
         "track": c("track"),
-        "topic": F.coalesce(topic(c("title"), c("description")), F.lit("off_topic")),
+        "topic": F.coalesce(c("topic"), F.lit("off_topic")),
         "junior": ~is_target_level(c("title")),
         "level": title_level(c("title")),
         "work_mode": F.coalesce(F.nullif(F.lower(strip(F.coalesce(c("remote"), F.lit("unknown")))), F.lit("")), F.lit("unknown")),

@@ -1,15 +1,17 @@
 """Duplicate removal: by identity, then by role, with deterministic survivors, order and merged facts.
 
-Two windows whose partitions are one identity or one role. Rows of a hot key are ranked on a few narrow
-columns (title to key and order), and the wide row is fetched only for the survivor.
+Both steps are grouped minima over a few narrow columns, combined before the shuffle, so an identity or a role with a
+third of all rows is no hot task; the wide row is fetched by its ``seq`` for survivors alone. ``seq`` is the order of the
+input and unique.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
+from jobloom.operators.postings import is_inbox
 
 
 def richness() -> Column:
@@ -17,45 +19,40 @@ def richness() -> Column:
     return F.coalesce(F.length("description"), F.lit(0)) + F.when(C.text(c("location")) != "", 10).otherwise(0) + F.when(c("published_at").isNotNull(), 5).otherwise(0) + F.when(c("url").contains("?"), 0).otherwise(1)
 
 
-def _ranked(postings: DataFrame) -> DataFrame:
+def _narrow(postings: DataFrame) -> DataFrame:
+    """What ranks and groups a row: ``best`` is least for the row to keep."""
     c = F.col
     placed = (C.text(c("location")) != "") & C.is_location_eligible(c("location"), c("remote"))
+    best = F.struct((~is_inbox()).alias("not_inbox"), (~placed).alias("not_placed"), (-richness()).alias("poor"), "canonical_url", "seq")
     role = F.struct(C.canonical_company(c("company")).alias("company"), C.normalize_title(c("title")).alias("title"))
-    return postings.withColumns({"_inbox": C.is_inbox_candidate(c("track"), c("title")), "_placed": placed, "_rich": richness(), "_role": role, "_place": F.nullif(C.strip(C.text(c("location"))), F.lit(""))})
+    return postings.select("identity_key", "seq", best.alias("best"), role.alias("role"), (C.strip(C.text(c("company"))) == "").alias("unknown"), F.nullif(C.strip(C.text(c("location"))), F.lit("")).alias("place"), "russian_company")
 
 
-
-def _order(last: str) -> list[Column]:
-    return [F.desc("_inbox"), F.desc("_placed"), F.desc("_rich"), F.asc("canonical_url"), F.asc(last)]
+def _identities(postings: DataFrame) -> DataFrame:
+    """One row an identity: its best row's facts, ``pos`` (where it first stood), ``n``, all places and whether any row has the flag."""
+    groups = _narrow(postings).groupBy("identity_key").agg(F.min(F.struct("best", "role", "unknown")).alias("b"), F.min("seq").alias("pos"), F.count("*").alias("n"), F.collect_set("place").alias("places"), F.max("russian_company").alias("flag"))
+    return groups.select("identity_key", "b.*", "pos", "n", "places", "flag")
 
 
 def by_identity(postings: DataFrame) -> DataFrame:
-    """The best row of each identity with ``pos`` (where the identity first stood), ``n`` and merged facts."""
-    key = Window.partitionBy("identity_key")
-    return (
-        _ranked(postings)
-        .withColumns({
-            "_rn": F.row_number().over(key.orderBy(*_order("seq"))), "pos": F.min("seq").over(key), "n": F.count("*").over(key),
-            "_places": F.collect_set("_place").over(key), "_flag": F.max("russian_company").over(key),
-            "strategy": F.first("identity_strategy").over(key.orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        })
-        .where("_rn = 1").drop("_rn")
-    )
+    """The best row of each identity with ``pos`` and ``n``."""
+    best = _identities(postings).select(F.col("best.seq").alias("seq"), "pos", "n")
+    return postings.join(best, "seq")
 
 
 def deduplicate(postings: DataFrame) -> DataFrame:
     """The survivor of each role, or of each identity where the employer is unknown.
 
     Adds ``out_pos`` (the order of the output), ``advertised_locations`` (only where rows were merged) and ``merged``
-    (rows that went into the survivor). Equal rows keep the earlier one. ``seq`` is the order of the input.
+    (rows that went into the survivor). Equal rows keep the earlier one.
     """
-    unknown = C.strip(C.text(F.col("company"))) == ""
-    role = F.when(unknown, F.struct(F.lit("").alias("company"), F.col("identity_key").alias("title"))).otherwise(F.col("_role"))
-    key = Window.partitionBy("_group")
-    df = by_identity(postings).withColumn("_group", role)
-    df = df.withColumns({"_rn": F.row_number().over(key.orderBy(*_order("pos"))), "out_pos": F.max("pos").over(key), "merged": F.sum("n").over(key), "_all": F.flatten(F.collect_list("_places").over(key)), "_any": F.max("_flag").over(key)}).where("_rn = 1")
-    places = F.when(F.col("merged") > 1, F.array_sort(F.array_distinct("_all"))).otherwise(F.array().cast("array<string>"))
-    return df.withColumns({"advertised_locations": places, "russian_company": F.col("_any")}).select(*postings.columns, "advertised_locations", "out_pos", "merged")
+    c = F.col
+    role = F.when(c("unknown"), F.struct(F.lit("").alias("company"), c("identity_key").alias("title"))).otherwise(c("role"))
+    best = F.struct("best.not_inbox", "best.not_placed", "best.poor", "best.canonical_url", "pos", "best.seq")
+    groups = _identities(postings).groupBy(role.alias("group")).agg(F.min(best).alias("b"), F.max("pos").alias("out_pos"), F.sum("n").alias("merged"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"), F.max("flag").alias("any_flag"))
+    places = F.when(c("merged") > 1, c("places")).otherwise(F.array().cast("array<string>"))
+    kept = groups.select(c("b.seq").alias("seq"), "out_pos", "merged", places.alias("advertised_locations"), "any_flag")
+    return postings.join(kept, "seq").withColumn("russian_company", c("any_flag")).select(*postings.columns, "advertised_locations", "out_pos", "merged")
 
 
 def strategy_counts(postings: DataFrame) -> DataFrame:
@@ -72,8 +69,8 @@ def duplicate_identities(postings: DataFrame) -> DataFrame:
 
 def duplicate_roles(postings: DataFrame) -> DataFrame:
     """Roles that several identities of a known employer share."""
-    df = by_identity(postings).where(C.strip(C.text(F.col("company"))) != "")
-    return df.groupBy(F.col("_role.company").alias("company"), F.col("_role.title").alias("title")).agg(F.count("*").alias("count")).where("count > 1")
+    df = _identities(postings).where("NOT unknown")
+    return df.groupBy("role.company", "role.title").agg(F.count("*").alias("count")).where("count > 1")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -7,7 +7,7 @@ and AQE may broadcast the run's keys; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
@@ -21,13 +21,17 @@ def seen_key() -> Column:
     return feed_key()
 
 
+def first_rows(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """The first row of each key: a grouped minimum, so rows of a hot key meet in their own tasks before the shuffle."""
+    return rows.groupBy(F.col(key).alias("_key")).agg(F.min_by(F.struct(*rows.columns), F.struct(order)).alias("_first")).select("_first.*")
+
+
 def select_fresh(postings: DataFrame, seen: DataFrame, gate: bool = True, order: str = "seq") -> DataFrame:
     """Postings whose key is new, the first of each key. ``seen(key, ...)``."""
     if not gate:
         return postings
     keyed = postings.withColumn("key", seen_key()).where("key <> ''")
-    new = keyed.join(seen.select("key"), "key", "left_anti")
-    return new.withColumn("_rn", F.row_number().over(Window.partitionBy("key").orderBy(order))).where("_rn = 1").drop("_rn")
+    return first_rows(keyed.join(seen.select("key"), "key", "left_anti"), "key", order)
 
 
 def seen_roles(seen: DataFrame) -> DataFrame:
@@ -39,11 +43,12 @@ def role_repeats(fresh: DataFrame, seen: DataFrame, order: str = "seq") -> DataF
     """``fresh`` with ``repeat``: its role family was seen before or stands earlier in this run. Postings of an unknown
     employer never repeat and never count."""
     known = C.strip(C.text(F.col("company"))) != ""
-    df = fresh.withColumns({"_c": C.canonical_company(F.col("company")), "_t": C.role_family_title(F.col("title")), "_known": known})
-    df = df.join(seen_roles(seen).withColumn("_seen", F.lit(True)), ["_c", "_t"], "left")
-    alone = F.when(F.col("_known"), F.lit("")).otherwise(F.col(order).cast("string"))
-    rn = F.row_number().over(Window.partitionBy("_c", "_t", alone).orderBy(order))
-    return df.withColumn("repeat", F.col("_known") & (F.coalesce("_seen", F.lit(False)) | (rn > 1))).drop("_c", "_t", "_known", "_seen")
+    df = fresh.withColumns({"_c": F.when(known, C.canonical_company(F.col("company"))), "_t": F.when(known, C.role_family_title(F.col("title")))})
+    here = df.where("_c IS NOT NULL").groupBy("_c", "_t").agg(F.min(order).alias("_from"))
+    roles = here.join(seen_roles(seen).withColumn("_seen", F.lit(True)), ["_c", "_t"], "left")
+    df = df.join(roles, ["_c", "_t"], "left")
+    again = F.coalesce(F.col("_seen") | (F.col(order) > F.col("_from")), F.col(order) > F.col("_from"), F.lit(False))
+    return df.withColumn("repeat", again).drop("_c", "_t", "_from", "_seen")
 
 
 def mark_seen(seen: DataFrame, postings: DataFrame, first_seen: Column, order: str = "seq") -> DataFrame:
@@ -70,7 +75,7 @@ def purge_seen(seen: DataFrame, live: DataFrame, purgeable: DataFrame, closed: D
 def append_feed(feed: DataFrame, postings: DataFrame, first_seen: Column, repeat: Column, order: str = "seq") -> DataFrame:
     """The feed with entries of the keys it lacks, the first posting of each key; only those get labels."""
     keyed = postings.withColumn("feed_key", feed_key()).where("feed_key <> ''").join(feed.select("feed_key"), "feed_key", "left_anti")
-    first = keyed.withColumn("_rn", F.row_number().over(Window.partitionBy("feed_key").orderBy(order))).where("_rn = 1").drop("_rn", "feed_key")
+    first = first_rows(keyed, "feed_key", order).drop("feed_key")
     return feed.unionByName(feed_entries(first, first_seen, repeat))
 
 

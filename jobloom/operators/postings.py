@@ -30,7 +30,8 @@ def with_keys(postings: DataFrame) -> DataFrame:
 def normalize(raw: DataFrame) -> DataFrame:
     """Rows of ``RAW`` that have a title and a link and, on the platform track, are on topic.
 
-    Missing work modes are inferred, unreadable times are null, ids keep the first that is not blank.
+    Missing work modes are inferred, unreadable times are null, ids keep the first that is not blank. ``topic`` and ``primary``
+    are found here once, and every later operator reads them.
     """
     c = F.col
     df = raw.withColumns({
@@ -39,15 +40,25 @@ def normalize(raw: DataFrame) -> DataFrame:
         "location": C.strip(F.nullif(c("location"), F.lit(""))), "source": F.coalesce("source", F.lit("company")),
         "source_job_id": _blank_to_null(c("source_job_id")), "russian_company": F.coalesce("russian_company", F.lit(False)),
     })
-    df = df.where((c("title") != "") & (c("url") != "") & ((c("track") != "ios") | C.is_target_job(c("title"), c("description"))))
-    known = ~F.lower(C.strip(C.text(c("remote")))).isin("", "unknown")
-    mode = F.when(known, c("remote")).otherwise(C.infer_remote(c("title"), c("location"), c("description")))
-    df = df.withColumn("remote", mode)
+    df = C.with_topic(df.where((c("title") != "") & (c("url") != ""))).where((c("track") != "ios") | c("topic").isNotNull())
+    unknown = F.lower(C.strip(C.text(c("remote")))).isin("", "unknown")
+    df = df.withColumn("_low", F.when(unknown, F.lower(F.concat_ws(" ", "title", C.text(c("location")), C.text(c("description"))))))
+    df = df.withColumn("remote", F.when(c("_low").isNull(), c("remote")).otherwise(C.mode_of(c("_low")))).drop("_low")
     if dict(df.dtypes)["published_at"] == "string":
         df = df.withColumn("published_at", iso_timestamp(c("published_at")))
     return with_keys(df)
 
 
+def is_inbox() -> Column:
+    """Whether a normal posting is a candidate for the digest."""
+    return (F.col("track") == "ios") & F.col("primary")
+
+
+def is_handover() -> Column:
+    """Whether a normal posting goes to the hand-over feed."""
+    return (F.col("track") == "ai") | F.col("topic").isNotNull()
+
+
 def feed_key() -> Column:
     return F.when(F.col("canonical_url") != "", F.col("canonical_url")).otherwise(F.col("identity_key"))
 

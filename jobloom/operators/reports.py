@@ -8,19 +8,20 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
 from jobloom.functions import policy as P
+from jobloom.operators.postings import is_handover, is_inbox
 
 
 def rejection_counts(postings: DataFrame) -> DataFrame:
     """``(reason, n)``; reasons that never occur are left out."""
     c = F.col
-    reasons = F.array_compact(F.array(F.when(~C.is_primary_role(c("title")), "outside_primary_ios"), F.when(C.topic(c("title"), c("description")).isNull(), "off_topic")))
+    reasons = F.array_compact(F.array(F.when(~c("primary"), "outside_primary_ios"), F.when(c("topic").isNull(), "off_topic")))
     return postings.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def label_counts(postings: DataFrame) -> DataFrame:
     """``(label, n)`` over hand-over rows."""
     c, lab = F.col, C.labels()
-    df = postings.where(C.is_handover_candidate(c("track"), c("title"), c("description"))).select(*[v.alias(k) for k, v in lab.items()])
+    df = postings.where(is_handover()).select(*[v.alias(k) for k, v in lab.items()])
     flags = [
         F.concat(F.lit("topic_"), "topic"), F.when(c("junior"), "junior"), F.when(~c("workable"), "not_workable_from_kyiv"), F.when(c("workable").isNull(), "workable_from_kyiv_unknown"),
         F.when(c("location_needs_check"), "location_needs_check"), F.when(F.size("work_authorization") > 0, "work_authorization"),
@@ -32,8 +33,8 @@ def run_counts(raw: DataFrame, normalized: DataFrame, unique: DataFrame) -> Data
     """``(name, n)`` of the stages of a run."""
     c = F.col
     one = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
-    inbox = unique.where(C.is_inbox_candidate(c("track"), c("title")))
-    handover = unique.where(C.is_handover_candidate(c("track"), c("title"), c("description")))
+    inbox = unique.where(is_inbox())
+    handover = unique.where(is_handover())
     parts = [one(raw, "raw"), one(normalized, "normalized"), one(unique, "unique_roles"), one(inbox, "inbox_eligible"), one(handover, "handover_eligible")]
     out = parts[0]
     for p in parts[1:]:
@@ -45,7 +46,7 @@ def source_diagnostics(raw: DataFrame, normalized: DataFrame) -> DataFrame:
     """Raw, normal, rejected and inbox rows of each source."""
     c = F.col
     a = raw.groupBy("source").agg(F.count("*").alias("raw"))
-    b = normalized.groupBy("source").agg(F.count("*").alias("normalized"), F.count_if(C.is_inbox_candidate(c("track"), c("title"))).alias("inbox_eligible"))
+    b = normalized.groupBy("source").agg(F.count("*").alias("normalized"), F.count_if(is_inbox()).alias("inbox_eligible"))
     df = a.join(b, "source", "left").na.fill(0, ["normalized", "inbox_eligible"])
     return df.withColumn("rejected", c("raw") - c("normalized"))
 
@@ -115,8 +116,8 @@ def new_header(total: Column) -> Column:
     return F.concat(F.lit("📬 +"), total.cast("string"), F.lit(" "), C.number_form(total, "новая вакансия", "новые вакансии", "новых вакансий"))
 
 
-def problem_lines(summary: DataFrame) -> DataFrame:
-    """The one-row summary's problems as one text, a line a kind."""
+def problem_lines(summary: DataFrame, *keys: str) -> DataFrame:
+    """The problems of each summary row as one text, a line a kind, with the ``keys`` columns."""
     line = lambda mark, c: F.when(F.size(c) > 0, F.concat(F.lit(mark), C.short_list(F.col(c))))
     lines = F.array_compact(F.array(line("⚠️ Не ответили: ", "failed_names"), line("🔒 Блокируют автосбор: ", "manual_names"), line("⚠️ Без результата: ", "degraded_names"), line("🔑 Telegram без ключей: ", "skipped_names")))
-    return summary.select(F.array_join(lines, "\n").alias("problems"))
+    return summary.select(*keys, F.array_join(lines, "\n").alias("problems"))

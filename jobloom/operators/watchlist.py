@@ -43,8 +43,9 @@ def apply_overrides(companies: DataFrame, overrides: DataFrame, discovered: Data
 
 def add_missing(base: DataFrame, extra: DataFrame, order: str) -> DataFrame:
     """``base`` and the rows of ``extra`` whose slug it lacks, the first of each slug."""
-    new = extra.join(base.select("slug"), "slug", "left_anti").withColumn("_rn", F.row_number().over(Window.partitionBy("slug").orderBy(order))).where("_rn = 1")
-    return base.unionByName(new.select(base.columns))
+    new = extra.join(base.select("slug"), "slug", "left_anti")
+    first = new.groupBy("slug").agg(F.min_by(F.struct(*base.columns), F.struct(order)).alias("_first"))
+    return base.unionByName(first.select("_first.*"))
 
 
 def preserve_state(fresh: DataFrame, stored: DataFrame, fields: list[str]) -> DataFrame:
@@ -96,8 +97,9 @@ def latest_period(rows: DataFrame, period: str) -> DataFrame:
 
 def best_link(links: DataFrame, group: str, score: Column, url: str) -> DataFrame:
     """For each group the link of the highest score, the shortest, then the smallest."""
-    w = Window.partitionBy(group).orderBy(F.desc("score"), F.length(url), url)
-    return links.withColumn("score", score).withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    scored = links.withColumn("score", score)
+    first = F.min_by(F.struct(*scored.columns), F.struct(-F.col("score"), F.length(url), F.col(url)))
+    return scored.groupBy(F.col(group).alias("_group")).agg(first.alias("_first")).select("_first.*")
 
 
 def candidate_score(url: Column, label: Column) -> Column:

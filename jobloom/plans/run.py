@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobloom.functions import columns as C
 from jobloom.operators import dedup, health, incremental, postings, reports
 
 
@@ -61,9 +60,9 @@ def hand_over(unique: DataFrame, seen: DataFrame, feed: DataFrame, stamp: Column
     A caller writes the digest, then the feed, then the history: if one fails, the next run sees the same rows as fresh again.
     """
     c = F.col
-    due = unique.where(C.is_handover_candidate(c("track"), c("title"), c("description")))
+    due = unique.where(postings.is_handover())
     fresh = incremental.role_repeats(incremental.select_fresh(due, seen, gate, order="out_pos"), seen, order="out_pos")
-    digest = fresh.where(~c("repeat") & C.is_inbox_candidate(c("track"), c("title")))
+    digest = fresh.where(~c("repeat") & postings.is_inbox())
     grown = incremental.append_feed(feed, fresh, stamp, c("repeat"), order="out_pos")
     return Delivery(fresh, digest, incremental.prune_feed(grown, now), incremental.mark_seen(seen, fresh, stamp, order="out_pos"))
 
@@ -75,7 +74,7 @@ def evaluate(cases: DataFrame) -> DataFrame:
     """
     c = F.col
     keyed = cases.withColumn("_case", F.monotonically_increasing_id())
-    admitted = postings.normalize(keyed).where(C.is_inbox_candidate(c("track"), c("title"))).select("_case", F.lit(True).alias("admitted"))
+    admitted = postings.normalize(keyed).where(postings.is_inbox()).select("_case", F.lit(True).alias("admitted"))
     both = keyed.select("_case", "expected").join(admitted, "_case", "left").withColumn("admitted", F.coalesce("admitted", F.lit(False)))
     return reports.confusion(both, c("admitted"), c("expected"))
 
