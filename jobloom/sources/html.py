@@ -13,40 +13,79 @@ from pyspark.sql import functions as F
 from jobloom.functions import columns as C
 
 LINKS = "array<struct<pos: int, href: string, text: string>>"
+ANCHORS = "array<struct<pos: int, href: string, text: string, around: string, place: string>>"
 POSTINGS = "array<struct<title: string, url: string, description: string, location: string>>"
+VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
+JOB_TOKENS = ("career", "job", "vacanc", "position", "opening")
+
+
+class _Element:
+    """An open element: its words so far, the links below it, and what an anchor adds."""
+
+    def __init__(self, tag: str, attrs: dict):
+        self.tag, self.words, self.links = tag, [], []
+        self.href = attrs.get("href") if tag == "a" else None
+        self.country = "country" in (attrs.get("class") or "").split()
+        self.place = None
 
 
 class _Page(HTMLParser):
-    """Collects anchors and JSON-LD scripts of one page."""
+    """Collects anchors, with the element around each, and JSON-LD scripts of one page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.links, self.scripts, self._href, self._text, self._json, self._skip = [], [], None, [], None, 0
+        self.links, self.scripts, self._json, self._skip = [], [], None, 0
+        self._open = [_Element("", {})]
 
     def handle_starttag(self, tag, attrs):
         a = dict(attrs)
-        if tag == "a" and a.get("href"):
-            self._href, self._text = a["href"], []
-        elif tag == "script":
-            self._json = [] if a.get("type") == "application/ld+json" else None
-            self._skip += 1
-        elif tag == "style":
+        if tag in ("script", "style"):
+            self._json = [] if tag == "script" and a.get("type") == "application/ld+json" else None
             self._skip += 1
+        elif tag not in VOID:
+            if tag == "a" and any(e.tag == "a" for e in self._open):
+                self.handle_endtag("a")
+            self._open.append(_Element(tag, a))
 
     def handle_endtag(self, tag):
-        if tag == "a" and self._href is not None:
-            self.links.append((self._href, " ".join("".join(self._text).split())))
-            self._href = None
-        elif tag in ("script", "style"):
+        if tag in ("script", "style"):
             if self._json is not None:
                 self.scripts.append("".join(self._json))
             self._json, self._skip = None, max(0, self._skip - 1)
+        elif any(e.tag == tag for e in self._open[1:]):
+            while self._close() != tag:
+                pass
+
+    def _close(self) -> str:
+        e = self._open.pop()
+        if e.country and any(x.tag == "a" for x in self._open):
+            anchor = next(x for x in reversed(self._open) if x.tag == "a")
+            anchor.place = anchor.place or " ".join("".join(e.words).split()) or None
+        if e.href:
+            for x in self._open:
+                x.links.append(e.href)
+            self.links.append((e, self._open[-1]))
+        return e.tag
 
     def handle_data(self, data):
         if self._json is not None:
             self._json.append(data)
-        elif not self._skip and self._href is not None:
-            self._text.append(data)
+        elif not self._skip:
+            for e in self._open:
+                e.words.append(data)
+
+    def close(self):
+        super().close()
+        while len(self._open) > 1:
+            self._close()
+
+    def anchors(self):
+        """``(href, text, around, place)`` of each anchor: the words of the element around it, unless that holds several
+        job links, and the text of a ``country`` node in it."""
+        for e, parent in self.links:
+            jobs = [h for h in parent.links if any(t in h.lower() for t in JOB_TOKENS)]
+            around = None if len(jobs) > 1 or parent.tag == "" else " ".join(" ".join(parent.words).split()) or None
+            yield e.href, " ".join("".join(e.words).split()), around, e.place
 
 
 def _page(html: str | None) -> _Page:
@@ -92,7 +131,17 @@ def _location(job: dict) -> str | None:
 def page_links(body: Column) -> Column:
     @F.pandas_udf(LINKS)
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: [{"pos": i, "href": a, "text": t} for i, (a, t) in enumerate(_page(h).links)])
+        return s.map(lambda h: [{"pos": i, "href": a, "text": t} for i, (a, t, _, _) in enumerate(_page(h).anchors())])
+
+    return run(body)
+
+
+def page_anchors(body: Column) -> Column:
+    """Links as ``page_links`` has them, with the words around each and its country."""
+
+    @F.pandas_udf(ANCHORS)
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda h: [{"pos": i, "href": a, "text": t, "around": d, "place": p} for i, (a, t, d, p) in enumerate(_page(h).anchors())])
 
     return run(body)
 
@@ -129,20 +178,32 @@ def absolute(base: Column, href: Column) -> Column:
     return run(base, href)
 
 
-def career_page_jobs(bronze: DataFrame) -> DataFrame:
+#: Places that count for a company whose board lists others as well.
+ALLOWED_PLACES = {"zoolatech": ("central europe", "eastern europe", "europe", "remote", "ukraine")}
+
+
+def place_allowed(company: Column, location: Column, allowed: dict[str, tuple[str, ...]] = ALLOWED_PLACES) -> Column:
+    """False where the company has a list of places and the posting names another; unknown places pass."""
+    lists = F.create_map(*[x for name, places in allowed.items() for x in (F.lit(name), F.array(*[F.lit(p) for p in places]))])
+    mine = F.try_element_at(lists, F.lower(C.strip(C.text(company))))
+    return F.coalesce(F.array_contains(mine, F.lower(C.strip(location))), F.lit(True)) | (C.text(location) == "")
+
+
+def career_page_jobs(bronze: DataFrame, company: Column | None = None) -> DataFrame:
     """Postings of career pages: anchors merged with JSON-LD by url, JSON-LD's title first.
 
-    The first anchor of a url wins; a JSON-LD posting without a url stands for the page itself.
+    The first anchor of a url wins; a JSON-LD posting without a url stands for the page itself. Anchors lend the words and
+    the country next to them where JSON-LD has none; ``company`` brings its list of places into play.
     """
-    links = bronze.select("source_id", "url", F.explode(page_links(F.col("body"))).alias("x"))
-    links = links.select("source_id", absolute(F.col("url"), F.col("x.href")).alias("job_url"), F.col("x.pos").alias("pos"), F.col("x.text").alias("title")).where("title <> ''")
-    first = links.groupBy("source_id", "job_url").agg(F.min_by("title", "pos").alias("link_title"))
+    links = bronze.select("source_id", "url", F.explode(page_anchors(F.col("body"))).alias("x"))
+    links = links.select("source_id", absolute(F.col("url"), F.col("x.href")).alias("job_url"), "x.*").where("text <> ''")
+    first = links.groupBy("source_id", "job_url").agg(F.min_by(F.struct("text", "around", "place"), "pos").alias("a"))
     data = bronze.select("source_id", "url", F.posexplode(page_postings(F.col("body"))).alias("pos", "x"))
     data = data.select("source_id", "pos", absolute(F.col("url"), F.coalesce("x.url", "url")).alias("job_url"), "x.title", "x.description", "x.location")
     one = data.groupBy("source_id", "job_url").agg(F.min_by(F.struct("title", "description", "location"), "pos").alias("d"))
     df = first.join(one, ["source_id", "job_url"], "full_outer")
-    df = df.select("source_id", F.col("job_url").alias("url"), F.coalesce("d.title", "link_title").alias("title"), F.col("d.description").alias("description"), F.col("d.location").alias("location"))
-    return df.where(C.is_target_job(F.col("title"), F.col("description")))
+    df = df.select("source_id", F.col("job_url").alias("url"), F.coalesce("d.title", "a.text").alias("title"), F.coalesce("d.description", "a.around").alias("description"), F.coalesce("d.location", "a.place").alias("location"))
+    return df.where(C.is_target_job(F.col("title"), F.col("description")) & (place_allowed(company, F.col("location")) if company is not None else F.lit(True)))
 
 
 def page_title(body: Column) -> Column:

@@ -164,6 +164,12 @@ def postings_from_digests(messages: DataFrame) -> DataFrame:
     return out.where((F.col("title") != "") & C.is_target_job(F.col("title")))
 
 
+def malformed_counts(messages: DataFrame) -> DataFrame:
+    """``channel, messages, malformed``: a message without an id or a text is counted, never fatal."""
+    bad = F.col("message_id").isNull() | F.col("text").isNull()
+    return messages.groupBy("channel").agg(F.count("*").alias("messages"), F.count_if(bad).alias("malformed"))
+
+
 def is_recent(published_at: Column, now: Column, days: int = 30) -> Column:
     return F.coalesce(published_at >= now - F.make_dt_interval(F.lit(days)), F.lit(True))
 

@@ -6,7 +6,6 @@ fields. Bodies are captured documents (``bronze``); pages of one source are rows
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -14,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
-from jobloom.sources import feeds, html
+from jobloom.plans import storage
+from jobloom.sources import cards, feeds, html
 
 Fields = Callable[[Column], dict[str, Column]]
 
@@ -32,21 +32,30 @@ class JsonSource:
 
 
 def parse_json(bronze: DataFrame, source: JsonSource, company: str, gate: bool = True) -> DataFrame:
-    """Postings of a source's pages, the first of each key; off-topic titles are out unless ``gate`` is off."""
-    parsed = F.from_json(source.body(F.col("body")), source.schema)
-    rows = bronze.select("source_id", "url", F.explode(source.items(parsed)).alias("_item")).withColumnRenamed("url", "page_url")
+    """Postings of a source's pages, the first of each key by page and place; off-topic titles are out unless ``gate`` is off.
+
+    Pages are told apart by a ``page`` number where the captures have one, else by their url.
+    """
+    body = source.body(F.col("body"))
+    parsed = F.try_parse_json(body) if source.schema == "variant" else F.from_json(body, source.schema)
+    page = F.col("page" if "page" in bronze.columns else "url")
+    rows = bronze.select("source_id", page.alias("_page"), F.posexplode(source.items(parsed)).alias("_pos", "_item"))
     fields = {"location": F.lit(None).cast("string"), "remote": F.lit(None).cast("string"), "description": F.lit(None).cast("string"), "job_id": F.lit(None).cast("string")}
     fields |= source.fields(F.col("_item"))
-    df = rows.select("source_id", F.lit(company).alias("company"), *[v.alias(k) for k, v in fields.items()])
+    df = rows.select("source_id", F.lit(company).alias("company"), *[v.alias(k) for k, v in fields.items()], F.struct("_page", "_pos").alias("_at"))
     df = df.where((C.strip(C.text(F.col("title"))) != "") & (C.text(F.col("url")) != ""))
     df = df.where(C.is_target_job(F.col("title"), F.col("description"))) if gate else df
-    return df.dropDuplicates(["source_id", source.key])
+    columns = ["source_id", "company", *fields]
+    first = df.groupBy("source_id", F.col(source.key).alias("_key")).agg(F.min_by(F.struct(*columns), "_at").alias("_first"))
+    return first.select("_first.*")
 
 
 def _named(items: Column) -> Column:
     return F.nullif(F.array_join(F.array_distinct(F.transform(items, lambda x: x["title"])), ", "), F.lit(""))
 
 
+_LOOSE = "array<struct<id: string, title: string, name: string, slug: string, url: string, location: string>>"
+
 #: Shapes that the bespoke sources share, under the kind of their payload.
 JSON_SOURCES: dict[str, JsonSource] = {
     "flat_list": JsonSource("array<struct<id: string, title: string, url: string, location: string, technologies: array<string>>>", lambda b: b, lambda j: {"title": j["title"], "url": j["url"], "location": j["location"], "description": F.array_join(j["technologies"], ", "), "job_id": j["id"]}),
@@ -56,6 +65,12 @@ JSON_SOURCES: dict[str, JsonSource] = {
     "attribute": JsonSource("array<struct<id: string, title: string, link: string, city: string>>", lambda b: b, lambda j: {"title": j["title"], "url": j["link"], "location": j["city"], "job_id": j["id"]}, lambda b: feeds.unescape(F.regexp_extract(b, r'(?s)data-vacancies="([^"]*)"', 1))),
     "wordpress": JsonSource("array<struct<id: string, link: string, title: struct<rendered: string>, content: struct<rendered: string>>>", lambda b: b, lambda j: {"title": C.squeeze(C.strip(C.html_text(j["title"]["rendered"]))), "url": j["link"], "description": j["content"]["rendered"], "job_id": j["id"]}),
     "paged": JsonSource("pages array<struct<items: array<struct<id: string, title: string, url: string, cities: array<struct<title: string>>>>>>", lambda b: F.flatten(F.transform(b["pages"], lambda p: p["items"])), lambda j: {"title": j["title"], "url": j["url"], "location": _named(F.filter(j["cities"], lambda x: ~F.lower(x["title"]).contains("any city"))), "job_id": j["id"]}),
+    # one list under any of three names, or the body itself
+    "named_lists": JsonSource("variant", lambda b: F.coalesce(*[F.try_variant_get(b, p, _LOOSE) for p in ("$.data", "$.results", "$.vacancies", "$")]), lambda j: {"title": F.coalesce(F.nullif(C.strip(j["title"]), F.lit("")), C.strip(j["name"])), "url": F.when(C.text(F.coalesce(j["slug"], j["url"])) != "", cards.resolve(C.strip(F.coalesce(F.nullif(j["slug"], F.lit("")), j["url"])), "https://themindstudios.com/careers/")), "location": j["location"], "job_id": F.nullif(j["id"], F.lit("0"))}),
+    "slug_list": JsonSource("array<struct<id: string, title: string, url: string, remote: boolean>>", lambda b: b, lambda j: {"title": C.strip(j["title"]), "url": F.when(F.ltrim(C.strip(C.text(j["url"])), F.lit("/")) != "", F.concat(F.lit("https://zone3000.com/careers/"), F.ltrim(C.strip(j["url"]), F.lit("/")))), "location": F.when(j["remote"], "Remote"), "job_id": j["id"]}),
+    # a narrow query's page before the page of all, told by slug; the list may stand one level down
+    "two_queries": JsonSource("vacancies struct<items: array<struct<title: string, slug: string>>>, items array<struct<title: string, slug: string>>", lambda b: F.coalesce(b["vacancies"]["items"], b["items"]), lambda j: {"title": j["title"], "url": F.when(C.text(j["slug"]) != "", F.concat(F.lit("https://www.dataart.team/vacancies/"), j["slug"]))}),
+    "located": JsonSource("array<struct<id: string, title: string, countryLocations: array<struct<city: string, country: string>>, relatedLocations: array<string>>>", lambda b: b, lambda j: {"title": j["title"], "url": F.concat(F.lit("https://www.griddynamics.com/careers/vacancy/"), F.nullif(j["id"], F.lit(""))), "location": F.nullif(F.array_join(F.filter(F.concat(F.coalesce(F.transform(j["countryLocations"], lambda p: F.concat_ws(", ", F.nullif(p["city"], F.lit("")), F.nullif(p["country"], F.lit("")))), F.array().cast("array<string>")), F.coalesce(F.transform(j["relatedLocations"], C.strip), F.array().cast("array<string>"))), lambda x: C.text(x) != ""), " / "), F.lit("")), "job_id": j["id"]}, lambda b: feeds.unescape(F.regexp_extract(b, r"(?s)data-vacancies='([^']+)'", 1))),
 }
 
 DETAIL = "props struct<pageProps: struct<job: struct<name: string, uid: string, text: string, description: string, is_expired: boolean, metadata: struct<country: array<struct<title: string>>, city: array<struct<title: string>>, vacancy_type: array<struct<title: string>>>>>>"
@@ -92,8 +107,8 @@ def listing_cards(bronze: DataFrame, base: str) -> DataFrame:
     outside = F.col("href").rlike("^https?://") & ~F.startswith("href", F.lit(base))
     w = Window.partitionBy("source_id").orderBy("pos")
     df = links.withColumn("card", F.sum(F.when(job, 1).otherwise(0)).over(w)).withColumn("org", F.last(F.when(org, F.col("text")), True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    cards = df.groupBy("source_id", "card").agg(F.first(F.when(job, F.struct("href", "text", "org")), True).alias("j"), F.first(F.when(outside, F.col("href")), True).alias("employer"))
-    df = cards.where("j IS NOT NULL").select("source_id", "card", F.col("j.text").alias("title"), F.col("j.org").alias("company"), F.coalesce("employer", F.concat(F.lit(base), "j.href")).alias("url"), F.col("j.href").alias("href"))
+    found = df.groupBy("source_id", "card").agg(F.min_by(F.struct("href", "text", "org"), F.when(job, F.col("pos"))).alias("j"), F.min_by("href", F.when(outside, F.col("pos"))).alias("employer"))
+    df = found.where("j IS NOT NULL").select("source_id", "card", F.col("j.text").alias("title"), F.col("j.org").alias("company"), F.coalesce("employer", F.concat(F.lit(base), "j.href")).alias("url"), F.col("j.href").alias("href"))
     return df.groupBy("source_id", "href").agg(F.min_by(F.struct("title", "company", "url"), "card").alias("c")).select("source_id", "c.*")
 
 
@@ -106,20 +121,22 @@ def _cut(df: DataFrame) -> DataFrame:
     """Cut lineage through the shared checkpoint folder; one of our own only where none is set."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="jobloom-"))
+        context.setCheckpointDir(storage.shared_dir(df.sparkSession))
     return df.checkpoint()
 
 
-def follow_pages(seeds: DataFrame, links: DataFrame, max_rounds: int = 20) -> DataFrame:
+def follow_pages(seeds: DataFrame, links: DataFrame, max_rounds: int | None = None) -> DataFrame:
     """Pages reachable from ``seeds(url)`` over ``links(url, next)``: a frontier join a round, each round's new urls
-    anti-joined with those reached, until none is new or ``max_rounds`` (the crawl's own limit) is reached."""
-    reached, frontier = seeds.select("url").distinct(), seeds.select("url").distinct()
-    for _ in range(max_rounds):
+    anti-joined with those reached, until none is new. ``max_rounds`` is a crawl's own depth limit; a chain of more links than
+    that raises, since the pages found would not be all."""
+    reached, frontier, rounds = seeds.select("url").distinct(), seeds.select("url").distinct(), 0
+    while True:
         frontier = frontier.join(links, "url").select(F.col("next").alias("url")).distinct().join(reached, "url", "left_anti").transform(_cut)
         if frontier.isEmpty():
-            break
-        reached = reached.union(frontier)
-    return reached
+            return reached
+        if max_rounds is not None and rounds == max_rounds:
+            raise RuntimeError(f"pages deeper than {max_rounds} links")
+        reached, rounds = reached.union(frontier).transform(_cut), rounds + 1
 
 
 def detail_matches(listing: DataFrame, details: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import pytest
 
-from jobloom.plans import catalogue, oracle
+from jobloom.plans import catalogue, oracle, parsing
 from tests.oracle import rows_of, sql_rows
 
 
@@ -15,8 +15,14 @@ def test_query(spark, sf_dir, name):
         assert got[1]
 
 
+@pytest.mark.parametrize("name", sorted(parsing.QUERIES))
+def test_parsing(spark, sf_dir, name):
+    got = rows_of(parsing.QUERIES[name](spark, sf_dir))
+    assert got == sql_rows(parsing.SQL[name], sf_dir) and got[1]
+
+
 def test_entry_has_the_catalogue():
     import __spark_entry__
 
-    assert set(catalogue.QUERIES) <= set(__spark_entry__.queries())
+    assert set(catalogue.QUERIES) | set(parsing.QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
