@@ -53,14 +53,15 @@ def canonical_company(c: Column) -> Column:
 
 
 def url_encode(c: Column) -> Column:
-    """Form encoding that leaves ``~`` and encodes ``*``."""
-    return F.replace(F.replace(F.url_encode(c), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+    """Form encoding that leaves ``~`` and encodes ``*``; most keys and values need none."""
+    encoded = F.replace(F.replace(F.url_encode(c), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
+    return F.when(c.rlike("^[A-Za-z0-9._~-]*$"), c).otherwise(encoded)
 
 
 def _query_pairs(query: Column) -> Column:
     """``k=v&...`` as structs of decoded key and value; empty pieces are dropped, blank values stay."""
     parts = F.filter(F.split(text(query), "&"), lambda p: p != "")
-    decoded = lambda c: F.coalesce(F.try_url_decode(c), c)
+    decoded = lambda c: F.when(c.rlike("[%+]"), F.coalesce(F.try_url_decode(c), c)).otherwise(c)
     return F.transform(parts, lambda p: F.struct(decoded(F.regexp_extract(p, "(?s)^([^=]*)", 1)).alias("k"), decoded(F.regexp_extract(p, "(?s)^[^=]*=(.*)$", 1)).alias("v")))
 
 
@@ -94,12 +95,12 @@ def with_canonical_url(df: DataFrame, url: str = "url", out: str = "canonical_ur
 
     def kept(p):
         key = F.lower(p["k"])
-        drop = key.startswith("utm_") | key.isin(*P.TRACKING_QUERY_KEYS)
+        drop = key.rlike("^(?:utm_|(?:" + "|".join(P.TRACKING_QUERY_KEYS) + r")\z)")
         for here, k in zip(own, keys):
-            drop = drop | (key.isin(*k) & here)
+            drop = drop | (here & key.isin(*k))
         return ~drop
 
-    pairs = F.array_sort(F.filter(_query_pairs(c("_cq")), kept))
+    pairs = F.sort_array(F.filter(_query_pairs(c("_cq")), kept))
     query = F.array_join(F.transform(pairs, lambda p: F.concat(url_encode(p["k"]), F.lit("="), url_encode(p["v"]))), "&")
     df = df.withColumn("_cq", F.when(c("_cq") == "", "").otherwise(query))
     shown = (c("_cn") != "") & (((c("_cs") == "http") & (c("_cn") != "80")) | ((c("_cs") == "https") & (c("_cn") != "443")))
@@ -141,11 +142,12 @@ def identity_strategy(canonical_url: Column, source_job_id: Column) -> Column:
     return F.when(text(source_job_id) != "", "source_job_id").when(canonical_url != "", "canonical_url").otherwise("fallback")
 
 
-def identity_key(company: Column, canonical_url: Column, source: Column, source_job_id: Column) -> Column:
-    c, job = canonical_company(company), text(source_job_id)
-    raw = F.when(job != "", F.concat_ws("|", F.lit("provider"), c, normalize_token(source), strip(job)))
-    raw = raw.when(canonical_url != "", F.concat_ws("|", F.lit("url"), c, canonical_url))
-    return F.sha2(raw.otherwise(F.concat_ws("|", F.lit("fallback"), c, F.lit(""))), 256)
+def identity_key(canonical: Column, canonical_url: Column, source: Column, source_job_id: Column) -> Column:
+    """A posting's key, from its ``canonical_company`` and canonical url."""
+    job = text(source_job_id)
+    raw = F.when(job != "", F.concat_ws("|", F.lit("provider"), canonical, normalize_token(source), strip(job)))
+    raw = raw.when(canonical_url != "", F.concat_ws("|", F.lit("url"), canonical, canonical_url))
+    return F.sha2(raw.otherwise(F.concat_ws("|", F.lit("fallback"), canonical, F.lit(""))), 256)
 
 
 def content_hash(company: Column, title: Column, location: Column) -> Column:
@@ -333,13 +335,14 @@ def authorization_blockers(description: Column) -> Column:
 
     A text without any word of the requirements has none, so only the others are cut into sentences.
     """
-    sentences = F.split(F.array_join(required_lines(description), "\n"), r"(?<=[.!?])\s+|[\n;]")
-    hit = F.filter(sentences, lambda s: matches(s, P.AUTHORIZATION_REQUIRED) & ~matches(s, P.AUTHORIZATION_SUPPORT) & ~matches(s, P.UKRAINE))
+    sentences = F.split(F.lower(F.array_join(required_lines(description), "\n")), r"(?<=[.!?])\s+|[\n;]")
+    on = lambda s, pattern: s.rlike("(?U)" + pattern)
+    hit = F.filter(sentences, lambda s: on(s, P.AUTHORIZATION_REQUIRED) & ~on(s, P.AUTHORIZATION_SUPPORT) & ~on(s, P.UKRAINE))
 
     def named(s):
         out = F.when(F.lit(False), "")
         for pattern, name in P.BLOCKERS[:-1]:
-            out = out.when(matches(s, pattern), name)
+            out = out.when(on(s, pattern), name)
         return out.otherwise(P.BLOCKERS[-1][1])
 
     maybe = text(description).rlike(r"(?iu)authori[sz]|eligib|right|permit|visa|citizen|resident|clearance")

@@ -22,9 +22,9 @@ def iso_timestamp(c: Column) -> Column:
 
 def with_keys(postings: DataFrame) -> DataFrame:
     """Add the canonical url and the identity key with its strategy."""
-    df = C.with_canonical_url(postings)
-    key = C.identity_key(F.col("company"), F.col("canonical_url"), F.col("source"), F.col("source_job_id"))
-    return df.withColumns({"identity_key": key, "identity_strategy": C.identity_strategy(F.col("canonical_url"), F.col("source_job_id"))})
+    df = C.with_canonical_url(postings).withColumn("_company", C.canonical_company(F.col("company")))
+    key = C.identity_key(F.col("_company"), F.col("canonical_url"), F.col("source"), F.col("source_job_id"))
+    return df.withColumns({"identity_key": key, "identity_strategy": C.identity_strategy(F.col("canonical_url"), F.col("source_job_id"))}).drop("_company")
 
 
 def normalize(raw: DataFrame) -> DataFrame:

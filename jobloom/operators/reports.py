@@ -91,25 +91,42 @@ def vacancy_label() -> Column:
 def pack_digest(postings: DataFrame, order: str = "seq", limit: int = P.MESSAGE_LIMIT, overhead: int = 160, key: str = "day") -> DataFrame:
     """Messages of numbered postings, each within ``limit`` characters, of every digest (``key``).
 
-    A digest is one run's fresh postings, so its lines fit one task; digests are packed side by side.
+    Numbers run through a digest, so its lines are read in order by one task; they are streamed, and no more than one message
+    is held. ``parts`` is counted over the messages.
     """
     entry = F.concat(vacancy_label(), F.lit("\n   "), C.strip(F.col("url")))
     lines = postings.select(F.col(key).alias("digest"), F.col(order).alias("ord"), entry.alias("line"))
     kind = lines.schema["digest"].dataType.simpleString()
 
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, size, part, first = [], overhead, [], True
-        for i, line in enumerate(pdf.sort_values("ord")["line"], 1):
-            text = f"{i}. {line}"
-            if part and size + len(text) + 1 > limit:
-                out.append(part)
+    def pack(batches):
+        digest, number, part, size, nth = None, 0, [], overhead, 0
+        for pdf in batches:
+            out = []
+
+            def close():
+                nonlocal part, size, nth
+                if part:
+                    nth += 1
+                    out.append((digest, nth, len(part), "\n".join(part)))
                 part, size = [], overhead
-            part.append(text)
-            size += len(text) + 1
-        out += [part] if part else []
-        return pd.DataFrame({"digest": pdf["digest"].iloc[0], "part": range(1, len(out) + 1), "parts": len(out), "items": [len(p) for p in out], "message": ["\n".join(p) for p in out]})
 
-    return lines.groupBy("digest").applyInPandas(pack, f"digest {kind}, part long, parts long, items long, message string")
+            for now, line in zip(pdf["digest"], pdf["line"]):
+                if now != digest:
+                    close()
+                    digest, number, nth = now, 0, 0
+                number += 1
+                text = f"{number}. {line}"
+                if part and size + len(text) + 1 > limit:
+                    close()
+                part.append(text)
+                size += len(text) + 1
+            yield pd.DataFrame(out, columns=["digest", "part", "items", "message"])
+        if part:
+            yield pd.DataFrame([(digest, nth + 1, len(part), "\n".join(part))], columns=["digest", "part", "items", "message"])
+
+    lines = lines.where("digest IS NOT NULL").repartition("digest").sortWithinPartitions("digest", "ord")
+    packed = lines.mapInPandas(pack, f"digest {kind}, part long, items long, message string")
+    return packed.withColumn("parts", F.count("*").over(Window.partitionBy("digest"))).select("digest", "part", "parts", "items", "message")
 
 
 def new_header(total: Column) -> Column:

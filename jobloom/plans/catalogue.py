@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from jobloom.functions import columns as C
 from jobloom.functions import policy as P
 from jobloom.operators import calendar, dedup, health, incremental, postings, reports, state_merge, watchlist
+from jobloom.plans import storage
 from jobloom.plans.fixtures import raw_postings, table
 from jobloom.sources import feeds, html, messages
 
@@ -25,14 +26,19 @@ def _normal(spark, d) -> DataFrame:
     return postings.normalize(raw_postings(spark, d))
 
 
-def _seen(spark, d) -> DataFrame:
+def _stored(spark, d) -> DataFrame:
+    """The run's normal postings, written once for the branches that read them."""
+    return storage.stash(_normal(spark, d), "normal")
+
+
+def _seen(normal: DataFrame) -> DataFrame:
     """History: every third order's normal posting."""
-    third = _normal(spark, d).where("seq % 3 = 0").select(postings.feed_key().alias("key"), "title", "company", "seq")
+    third = normal.where("seq % 3 = 0").select(postings.feed_key().alias("key"), "title", "company", "seq")
     return third.groupBy("key").agg(F.min_by("title", "seq").alias("title"), F.min_by("company", "seq").alias("company"), F.lit("2024-01-01").alias("first_seen"))
 
 
-def _fresh_input(spark, d) -> DataFrame:
-    return _normal(spark, d).where("seq % 3 <> 0")
+def _fresh_input(normal: DataFrame) -> DataFrame:
+    return normal.where("seq % 3 <> 0")
 
 
 def _runs(spark, d) -> DataFrame:
@@ -66,7 +72,7 @@ def _today(spark, d) -> DataFrame:
 @query
 def q_canonical_url(spark, d):
     both = table(spark, d, "pages").select("url").union(raw_postings(spark, d).select("url"))
-    return C.with_canonical_url(both.distinct())
+    return C.with_canonical_url(storage.deal(both, "url").distinct())
 
 
 @query
@@ -187,12 +193,12 @@ def q_feed_entry(spark, d):
 
 @query
 def q_dedup_roles(spark, d):
-    return dedup.deduplicate(_normal(spark, d)).select("seq", "canonical_url", "title", "russian_company", F.array_join("advertised_locations", DASH).alias("locations"), "out_pos", "merged")
+    return dedup.deduplicate(_stored(spark, d)).select("seq", "canonical_url", "title", "russian_company", F.array_join("advertised_locations", DASH).alias("locations"), "out_pos", "merged")
 
 
 @query
 def q_dedup_identity(spark, d):
-    return dedup.by_identity(_normal(spark, d)).select("seq", "identity_key", "pos", "n")
+    return dedup.by_identity(_stored(spark, d)).select("seq", "identity_key", "pos", "n")
 
 
 @query
@@ -220,32 +226,37 @@ def q_doc_exact_dups(spark, d):
 
 @query
 def q_fresh(spark, d):
-    return incremental.select_fresh(_fresh_input(spark, d), _seen(spark, d)).select("seq", "key")
+    normal = _stored(spark, d)
+    return incremental.select_fresh(_fresh_input(normal), _seen(normal)).select("seq", "key")
 
 
 @query
 def q_repeats(spark, d):
-    seen = _seen(spark, d).where("company <> 'Acme  Apps'")
-    return incremental.role_repeats(incremental.select_fresh(_fresh_input(spark, d), seen), seen).select("seq", "repeat")
+    normal = _stored(spark, d)
+    seen = _seen(normal).where("company <> 'Acme  Apps'")
+    fresh = storage.stash(incremental.select_fresh(_fresh_input(normal).select("seq", "canonical_url", "identity_key", "company", "title"), seen), "fresh")
+    return incremental.role_repeats(fresh, seen).select("seq", "repeat")
 
 
 @query
 def q_new_roles(spark, d):
     """Which distinct roles on topic are new, with their labels."""
-    unique = dedup.deduplicate(_normal(spark, d).where("seq % 3 <> 0"))
-    fresh = incremental.select_fresh(unique, _seen(spark, d), order="out_pos")
+    normal = _stored(spark, d)
+    unique = dedup.deduplicate(_fresh_input(normal))
+    fresh = incremental.select_fresh(unique, _seen(normal), order="out_pos")
     lab = C.labels()
     return fresh.select("seq", "key", "company", "title", *[lab[k].alias(k) for k in ("topic", "level", "workable", "location_needs_check")])
 
 
 @query
 def q_mark_seen(spark, d):
-    return incremental.mark_seen(_seen(spark, d), _fresh_input(spark, d), F.lit("2024-02-01"))
+    normal = _stored(spark, d)
+    return incremental.mark_seen(_seen(normal), _fresh_input(normal), F.lit("2024-02-01"))
 
 
 @query
 def q_purge(spark, d):
-    seen = _seen(spark, d)
+    seen = storage.stash(_seen(_normal(spark, d)), "seen")
     live = seen.where("key LIKE '%/1?%' OR key LIKE '%/2?%'").select("key")
     closed = seen.where("key NOT LIKE '%/3?%'").select("key")
     names = spark.createDataFrame([("SoftServe",), ("  eleks ",), ("",)], "company string")
@@ -254,7 +265,7 @@ def q_purge(spark, d):
 
 @query
 def q_feed_append(spark, d):
-    normal = _normal(spark, d)
+    normal = _stored(spark, d)
     feed = postings.feed_entries(incremental.select_fresh(normal.where("seq % 3 = 0"), normal.limit(0).select(postings.feed_key().alias("key"))).drop("key"), F.lit("2024-01-01"), F.lit(False))
     return incremental.append_feed(feed, normal, F.lit("2024-02-01"), F.lit(True)).select("feed_key", "title", "first_seen", "repeat_of_seen_role")
 
@@ -347,7 +358,7 @@ def q_label_counts(spark, d):
 
 @query
 def q_run_counts(spark, d):
-    normal = _normal(spark, d)
+    normal = _stored(spark, d)
     return reports.run_counts(raw_postings(spark, d), normal, dedup.deduplicate(normal))
 
 
@@ -584,7 +595,6 @@ def q_stream_seen(spark, d):
     """Events delivered by a stream in one pass equal the batch's first row of each key."""
     import uuid
 
-    from jobloom.plans import storage
     from jobloom.streaming import delivery
 
     root = f"{storage.shared_dir(spark)}/stream-{uuid.uuid4().hex}"
