@@ -39,7 +39,9 @@ def test_dedup_against_a_sequential_model(spark):
     r = random.Random(3)
     rows = [{"company": r.choice(["Acme", "Beta", ""]), "title": r.choice(["iOS Developer", "iOS Engineer", "Swift Developer"]), "url": f"https://a.io/{r.randint(0, 9)}" + r.choice(["", "?utm_x=1"]), "location": r.choice(["Kyiv", "Berlin", None]), "remote": r.choice(["remote", "onsite"]), "description": r.choice([None, "abc", "abcdef"])} for _ in range(120)]
     normal = postings.normalize(raw(spark, rows))
-    ranked = dedup._ranked(normal).withColumn("cc", C.canonical_company(F.col("company"))).withColumn("tt", C.normalize_title(F.col("title"))).orderBy("seq").collect()
+    placed = (C.text(F.col("location")) != "") & C.is_location_eligible(F.col("location"), F.col("remote"))
+    ranks = {"_inbox": C.is_inbox_candidate(F.col("track"), F.col("title")), "_placed": placed, "_rich": dedup.richness(), "cc": C.canonical_company(F.col("company")), "tt": C.normalize_title(F.col("title"))}
+    ranked = normal.withColumns(ranks).orderBy("seq").collect()
     ids = {}
 
     def better(a, b):

@@ -72,6 +72,8 @@ def test_json_sources(spark):
         "requisitions": json.dumps({"items": [{"requisitionList": [{"Id": "1", "Title": "iOS dev", "PrimaryLocation": "Kyiv"}]}]}), "next_data": '<script id="__NEXT_DATA__">' + json.dumps({"props": {"pageProps": {"vacancies": jobs}}}) + "</script>",
         "attribute": '<div data-vacancies="' + json.dumps([{"id": "1", "title": "iOS dev", "link": "https://x/1", "city": "Kyiv"}]).replace('"', "&quot;") + '">', "wordpress": json.dumps([{"id": 1, "link": "https://x/1", "title": {"rendered": "<b>iOS</b> dev"}, "content": {"rendered": "c"}}]),
         "paged": json.dumps({"pages": [{"items": [{"id": "1", "title": "iOS dev", "url": "https://x/1", "cities": [{"title": "Any city"}, {"title": "Kyiv"}]}]}]}),
+        "named_lists": json.dumps({"results": [{"id": 1, "title": "", "name": "iOS dev", "slug": "/r/1", "location": "Kyiv"}, {"name": "iOS", "slug": ""}]}), "slug_list": json.dumps([{"id": 1, "title": " iOS dev ", "url": "/r-1", "remote": False}, {"title": "iOS", "url": "/"}]),
+        "two_queries": json.dumps({"vacancies": {"items": [{"title": "iOS dev", "slug": "r-1"}, {"title": "iOS again", "slug": "r-1"}, {"title": "iOS"}]}}), "located": "<p data-vacancies='" + json.dumps([{"id": "1", "title": "iOS dev", "countryLocations": [{"city": "Kyiv", "country": ""}], "relatedLocations": [" ", None]}, {"title": "iOS"}]).replace('"', "&quot;") + "'>",
     }
     assert set(bodies) == set(registry.JSON_SOURCES)
     for kind, body in bodies.items():
@@ -88,6 +90,34 @@ def test_cards_and_crawl(spark):
     assert {r.url for r in registry.follow_pages(spark.createDataFrame([("a",)], "url string"), links).collect()} == {"a", "b", "c"}
 
 
+def test_named_lists_may_be_the_body_itself(spark):
+    got = registry.parse_json(bronze(spark, json.dumps([{"id": 0, "title": "iOS dev", "url": "https://o/1"}]), "oops"), registry.JSON_SOURCES["named_lists"], "Co").collect()
+    assert [(r.title, r.url, r.job_id) for r in got] == [("iOS dev", "https://o/1", None)]
+
+
+def test_first_of_each_key_however_rows_are_dealt(spark):
+    pages = [(f"s{i % 3}", f"https://x/{p}", p, json.dumps([{"id": str(j), "title": f"iOS dev {p}", "url": f"https://x/{j}"} for j in range(5)])) for i in range(9) for p in [i // 3]]
+    df = spark.createDataFrame(pages, "source_id string, url string, page int, body string")
+    runs = [sorted((r.source_id, r.url, r.title) for r in registry.parse_json(df.repartition(n), registry.JSON_SOURCES["flat_list"], "Co").collect()) for n in (1, 7)]
+    assert runs[0] == runs[1] == sorted((f"s{i}", f"https://x/{j}", "iOS dev 0") for i in range(3) for j in range(5))
+
+
+def test_follow_pages_goes_to_the_end_or_says_so(spark):
+    import pytest
+
+    links = spark.createDataFrame([(str(i), str(i + 1)) for i in range(5)], "url string, next string")
+    seed = spark.createDataFrame([("0",)], "url string")
+    assert registry.follow_pages(seed, links).count() == 6
+    with pytest.raises(RuntimeError):
+        registry.follow_pages(seed, links, max_rounds=3)
+
+
+def test_links_know_what_stands_around_them(spark):
+    page = '<ul><li><a href="/jobs/1">iOS <b>dev</b></a> in <i>Kyiv</i></li><li><a href="/jobs/2">Swift</a><a href="/jobs/3">Obj-C<span class="x country">UA</span></a></li></ul><a href="/about">us<a href="/jobs/4">open'
+    rows = bronze(spark, page).select(F.explode(html.page_anchors(F.col("body"))).alias("x")).select("x.*").orderBy("pos").collect()
+    assert [(r.href, r.text, r.around, r.place) for r in rows] == [("/jobs/1", "iOS dev", "iOS dev in Kyiv", None), ("/jobs/2", "Swift", None, None), ("/jobs/3", "Obj-CUA", None, "UA"), ("/about", "us", None, None), ("/jobs/4", "open", None, None)]
+
+
 def test_ranked_csv(spark):
     body = "period,rank,name\n01-2024,1,Old\n02-2024,2,B\n02-2024,1,A"
     assert [r.name for r in feeds.ranked_csv(bronze(spark, body), "period string, rank int, name string", "period", "rank").collect()] == ["A", "B"]
