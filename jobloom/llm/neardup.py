@@ -35,6 +35,8 @@ BANDS = COORDS // ROWS
 #: chance of about 3e-7, less than that of sharing no band.
 LEAST_AGREED = 72
 BLOCK = 256
+#: Members of a band that meet their head in one cell; the head's text is copied to each cell.
+CELL_ROWS = 64
 _BIN = U(57)
 _KEEP = U((1 << 49) - 1)
 
@@ -95,16 +97,16 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def verify(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int = 75) -> DataFrame:
     """Of ``pairs(u, v)`` those with 100 * intersection >= percent * union on whole sets.
 
-    Each ``v`` and its ``u`` meet in tasks of at most a few hundred members (a ``v`` with more is copied to
+    Each ``v`` and its ``u`` meet in cells of about ``CELL_ROWS`` members (a ``v`` with more is copied to
     several); sets are built once a row and only the current ``v`` is held.
     """
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     ids = pairs.select(F.col("u").alias("id")).union(pairs.select(F.col("v").alias("id"))).distinct()
     texts = texts.join(F.broadcast(ids) if ids.count() <= 500_000 else ids, "id", "left_semi")
-    width = stash(pairs.groupBy("v").agg(F.ceil(F.count("*") / F.lit(256)).cast("int").alias("k")), "widths")
+    width = stash(pairs.groupBy("v").agg(F.ceil(F.count("*") / F.lit(CELL_ROWS)).cast("int").alias("k")), "widths")
     heads = texts.join(width, texts["id"] == width["v"]).select("v", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), F.lit(0).alias("turn"), F.col("v").alias("u"), "text")
     part = F.pmod(F.xxhash64("u"), F.col("k")).cast("int")
-    members = join_hot(pairs, width, ["v"], F.col("k") >= hot_rows(0) // 256).select("v", part.alias("part"), F.lit(1).alias("turn"), "u")
+    members = join_hot(pairs, width, ["v"], F.col("k") >= hot_rows(0) // CELL_ROWS).select("v", part.alias("part"), F.lit(1).alias("turn"), "u")
     members = members.join(texts.withColumnRenamed("id", "u"), "u").select("v", "part", "turn", "u", "text")
     both = heads.unionByName(members).repartition("v", "part").sortWithinPartitions("v", "part", "turn", "u")
 
