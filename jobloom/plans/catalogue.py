@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from jobloom.functions import columns as C
 from jobloom.functions import policy as P
 from jobloom.operators import calendar, dedup, health, incremental, postings, reports, state_merge, watchlist
-from jobloom.plans import storage
+from jobloom.plans import run, storage
 from jobloom.plans.fixtures import raw_postings, table
 from jobloom.sources import feeds, html, messages
 
@@ -270,6 +270,36 @@ def q_feed_append(spark, d):
     return incremental.append_feed(feed, normal, F.lit("2024-02-01"), F.lit(True)).select("feed_key", "title", "first_seen", "repeat_of_seen_role")
 
 
+@query
+def q_hand_over(spark, d):
+    """A run's end: fresh roles on topic, which of them repeat, and which go into the digest."""
+    normal = _stored(spark, d)
+    unique = storage.stash(dedup.deduplicate(_fresh_input(normal)), "unique")
+    feed = postings.feed_entries(unique.where("false"), F.lit(""), F.lit(False))
+    out = run.hand_over(unique, _seen(normal), feed, F.lit("2024-02-01"), F.lit("2024-02-02 00:00:00").cast("timestamp"))
+    digest = out.digest.select("seq", F.lit(True).alias("in_digest"))
+    return out.fresh.select("seq", "repeat").join(digest, "seq", "left").select("seq", "repeat", F.coalesce("in_digest", F.lit(False)).alias("in_digest"))
+
+
+@query
+def q_collect(spark, d):
+    """A run's begin: rejections among the roles of sources that did not fail."""
+    raw = raw_postings(spark, d).withColumn("source_id", F.concat(F.lit("company:c"), (c("seq") % 150).cast("string"), F.lit("@host")))
+    return run.collect(_today(spark, d), raw, _baseline(spark, d), F.lit("2024-01-15"), save=storage.stash).rejections
+
+
+@query
+def q_evaluate(spark, d):
+    cases = raw_postings(spark, d).withColumn("expected", c("seq") % 2 == 0)
+    return run.evaluate(cases).withColumns({"precision": F.round("precision", 9), "recall": F.round("recall", 9)})
+
+
+@query
+def q_export_feed(spark, d):
+    feed = table(spark, d, "orders").select(c("o_orderkey").cast("string").alias("feed_key"), c("o_orderpriority").alias("title"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("first_seen"))
+    return run.export_feed(feed)
+
+
 @query
 def q_feed_prune(spark, d):
     feed = table(spark, d, "events").select(c("event_id").cast("string").alias("feed_key"), F.when(c("event_id") % 50 == 0, "unknown").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("first_seen"))

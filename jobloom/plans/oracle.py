@@ -243,6 +243,10 @@ SQL = {
     "q_mark_seen": f"{BASE},{SEEN} SELECT key, title, company, first_seen FROM seen UNION ALL SELECT key, title, company, '2024-02-01' FROM fresh",
     "q_purge": f"{BASE},{SEEN} SELECT key, company FROM seen WHERE NOT (key NOT LIKE '%/3?%' AND NOT (key LIKE '%/1?%' OR key LIKE '%/2?%') AND {token('company')} IN ('softserve', 'eleks'))",
     "q_feed_append": f"{BASE}, f AS (SELECT * FROM norm WHERE seq % 3 = 0 QUALIFY row_number() OVER (PARTITION BY canonical_url ORDER BY seq) = 1), n AS (SELECT * FROM norm QUALIFY row_number() OVER (PARTITION BY canonical_url ORDER BY seq) = 1) SELECT canonical_url AS feed_key, title, '2024-01-01' AS first_seen, false AS repeat_of_seen_role FROM f UNION ALL SELECT canonical_url, title, '2024-02-01', true FROM n WHERE canonical_url NOT IN (SELECT canonical_url FROM f)",
+    "q_hand_over": _nodup("SELECT * FROM norm WHERE seq % 3 <> 0") + f",{SEEN.split('fresh AS')[0].rstrip().rstrip(',')}, nf AS (SELECT *, {family('title')} AS fam FROM roles WHERE canonical_url NOT IN (SELECT key FROM seen) AND (track = 'ai' OR ({topic('title', 'description')}) IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY canonical_url ORDER BY out_pos) = 1), known AS (SELECT DISTINCT {company('company')} AS c, {family('title')} AS fam FROM seen WHERE company <> '' AND title <> ''), o AS (SELECT nf.*, company <> '' AND (known.c IS NOT NULL OR row_number() OVER (PARTITION BY cc, nf.fam, CASE WHEN company <> '' THEN '' ELSE CAST(seq AS VARCHAR) END ORDER BY out_pos) > 1) AS repeat FROM nf LEFT JOIN known ON known.c = cc AND known.fam = nf.fam) SELECT seq, repeat, NOT repeat AND {inbox('track', 'title')} AS in_digest FROM o",
+    "q_collect": f"WITH {RUNS}, {RAW_SQL.replace('raw AS (', 'raw0 AS (', 1)}, raw AS (SELECT * FROM raw0 WHERE 'company:c' || (seq % 150) || '@host' IN (SELECT source_id FROM today WHERE status <> 'failed')),{NORMAL}, base_rows AS (SELECT * FROM norm),{DEDUP} SELECT reason, count(*) AS n FROM (SELECT 'outside_primary_ios' AS reason FROM roles WHERE NOT {primary('title')} UNION ALL SELECT 'off_topic' FROM roles WHERE ({topic('title', 'description')}) IS NULL) GROUP BY reason",
+    "q_evaluate": f"{BASE}, x AS (SELECT coalesce({inbox('norm.track', 'norm.title')}, false) AS p, raw.seq % 2 = 0 AS e FROM raw LEFT JOIN norm ON norm.seq = raw.seq), n AS (SELECT count(*) FILTER (WHERE p AND e) AS tp, count(*) FILTER (WHERE p AND NOT e) AS fp, count(*) FILTER (WHERE NOT p AND e) AS fn, count(*) FILTER (WHERE NOT p AND NOT e) AS tn FROM x) SELECT *, round(tp / nullif(tp + fp, 0), 9) AS precision, round(tp / nullif(tp + fn, 0), 9) AS recall FROM n",
+    "q_export_feed": "SELECT CAST(o_orderkey AS VARCHAR) AS feed_key, '{\"title\":\"' || o_orderpriority || '\",\"first_seen\":\"' || strftime(o_orderdate, '%Y-%m-%d') || '\"}' AS entry FROM orders",
     "q_feed_prune": "SELECT CAST(event_id AS VARCHAR) AS feed_key, CASE WHEN event_id % 50 = 0 THEN 'unknown' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS first_seen FROM events WHERE event_id % 50 = 0 OR date_trunc('second', ts) >= TIMESTAMP '2024-02-10' - INTERVAL 30 DAY",
     "q_cursors": "WITH a AS (SELECT conv_id % 50 AS channel, max(turn) AS cursor FROM conversations GROUP BY 1), b AS (SELECT user_id % 60 AS channel, max(event_id) % 7 AS cursor FROM events GROUP BY 1) SELECT channel, max(cursor) AS cursor FROM (SELECT * FROM a WHERE channel % 9 <> 0 UNION ALL SELECT * FROM b) WHERE cursor > 0 GROUP BY channel",
     "q_checkpoint": "SELECT user_id AS channel, greatest(max(event_id), CASE WHEN user_id % 2 = 0 THEN user_id * 60 ELSE 0 END) AS checkpoint, count(*) AS scanned FROM events GROUP BY user_id",
