@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, spread
+from .common import small_batches, spread, stash
 
 
 def _with_small_batches(f):
@@ -52,10 +52,12 @@ def op2_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .mixing import WEIGHTS, mix, source_tree
+    from .mixing import WEIGHTS, mix, source_tree, token_count
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    out = mix(docs, source_tree(), WEIGHTS)
+    # The result has no texts, so each is cut into tokens once and the operator works on the counts.
+    docs = table(spark, sf_dir, "documents")
+    docs = stash(docs.select("doc_id", "lang", "source", token_count(docs["text"]).alias("tokens")), "counted")
+    out = mix(docs, source_tree(), WEIGHTS, tokens=F.col("tokens"))
     return out.select("doc_id", F.col("_mix_domain").alias("domain"), F.col("_mix_lang").alias("lang"), F.col("_mix_source").alias("source"), F.col("_mix_epoch").alias("epoch"), F.col("_mix_tokens").alias("tokens"), F.col("_mix_budget").alias("budget"))
 
 
