@@ -85,7 +85,7 @@ def scanned_counts(bronze: DataFrame, ats: str) -> DataFrame:
     """Items of each source before any filter, and whether the payload had the expected shape."""
     schema, items, _ = ATS[ats]
     n = F.size(items(F.from_json("body", schema)))
-    return bronze.select("source_id", F.greatest(n, F.lit(0)).alias("scanned"), (n >= 0).alias("payload_ok"))
+    return bronze.select("source_id", F.greatest(n, F.lit(0)).alias("scanned"), F.coalesce(n >= 0, F.lit(False)).alias("payload_ok"))
 
 
 PAGED = "current_page int, last_page int, data array<struct<id: string, title: string, slug: string, company_title: string, work_format: array<string>, office_locations: array<string>, tldr: string, tags: array<struct<name: string>>, is_archived: boolean, is_scam: boolean, source_secondary: string>>"
