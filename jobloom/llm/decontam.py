@@ -27,7 +27,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import byte_slices, stash, text_buffers
 from .shingles import U, mix, shingle_hashes, shingle_sets
