@@ -107,6 +107,25 @@ def op10_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "size", F.coalesce("crc", F.lit(0)).cast("long").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import jaccard_join
+
+    out = jaccard_join(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelling_groups
+
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .divergence import source_divergence
+
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_skip_chain_pii": op2_skip_chain_pii,
@@ -118,6 +137,9 @@ QUERIES = {
     "op8_url_language_model": op8_url_language_model,
     "op9_toxicity": op9_toxicity,
     "op10_lpt_sharding": op10_lpt_sharding,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 
@@ -125,9 +147,9 @@ QUERIES = {name: _with_small_batches(f) for name, f in QUERIES.items()}
 
 
 def _oracles() -> dict[str, str]:
-    from . import chat, decontam, mixing, quality, warc
+    from . import chat, decontam, divergence, jaccard, mixing, quality, spelling, warc
 
-    return {"op1_chat_formatting": chat.ORACLE, "op4_host_quality_rules": quality.ORACLE, "op5_warc_sharded_writer": warc.ORACLE, "op3_hierarchical_mixing": mixing.ORACLE, "op6_benchmark_decontamination": decontam.ORACLE}
+    return {"op1_chat_formatting": chat.ORACLE, "op4_host_quality_rules": quality.ORACLE, "op5_warc_sharded_writer": warc.ORACLE, "op3_hierarchical_mixing": mixing.ORACLE, "op6_benchmark_decontamination": decontam.ORACLE, "op11_jaccard_join": jaccard.ORACLE, "op12_spelling_variants": spelling.ORACLE, "op13_source_divergence": divergence.ORACLE}
 
 
 ORACLE_SQL: dict[str, str] = _oracles()
