@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import stash
 
 SCALE = 1_000_000_000
-BLOCK_TERMS, TILE_ENTRIES = 1 << 16, 1 << 20
+BLOCK_TERMS, TILE_ENTRIES = 1 << 14, 1 << 18
 #: Terms held in a task before their counts are passed on.
 HELD_TERMS = 300_000
 #: ASCII letters in lower case and every byte of other characters; the remaining ASCII parts terms.
@@ -45,31 +45,32 @@ PAIRS = "lang string, a string, b string, there long, back long"
 def _count(batches):
     groups: dict = {}
     held = 0
+    names = [c.split()[0] for c in COUNTS.split(", ")]
 
     def flush():
-        names, columns = [c.split()[0] for c in COUNTS.split(", ")], [[] for _ in range(5)]
+        parts = []
         for (lang, source), (n, df) in groups.items():
-            for term, c in n.items():
-                for column, x in zip(columns, (lang, source, term.decode("utf-8", "replace"), c, df[term])):
-                    column.append(x)
-            for column, x in zip(columns, (lang, source, None, 0, 0)):
-                column.append(x)
+            terms = pa.array(list(n), pa.binary()).cast(pa.string())
+            numbers = pa.array(list(n.values()), pa.int64()), pa.array(list(map(df.__getitem__, n)), pa.int64())
+            parts.append(pa.RecordBatch.from_arrays([pa.repeat(lang, len(n)), pa.repeat(source, len(n)), terms, *numbers], names))
+        marks = list(groups)
+        none = pa.nulls(len(marks), pa.string()), *[pa.array([0] * len(marks), pa.int64())] * 2
+        parts.append(pa.RecordBatch.from_arrays([pa.array([g[0] for g in marks], pa.string()), pa.array([g[1] for g in marks], pa.string()), *none], names))
         groups.clear()
-        kinds = [pa.string()] * 3 + [pa.int64()] * 2
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+        return parts
 
     for batch in batches:
         for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            found = Counter((text.as_py() or "").encode("utf-8", "replace").translate(_TERMS).split())
+            terms = (text.as_py() or "").encode("utf-8", "replace").translate(_TERMS).split()
             n, df = groups.setdefault((lang or "", source or ""), (Counter(), Counter()))
             held -= len(n)
-            n.update(found)
-            df.update(found.keys())
+            n.update(terms)
+            df.update(set(terms))
             held += len(n)
             if held > HELD_TERMS:
-                yield flush()
+                yield from flush()
                 held = 0
-    yield flush()
+    yield from flush()
 
 
 def probability(count: np.ndarray, whole: int) -> np.ndarray:
@@ -88,28 +89,35 @@ def _pack(top: int):
     ``top`` terms of the group in the block."""
 
     def run(batches):
-        now, ids, counts, terms, everywhere = None, [], [], [], []
+        now, parts = None, []
+        empty = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.string())
 
         def done():
             lang, block, source, total, kept, in_block, lang_total = now
-            tid, n = np.array(ids, np.int32), np.array(counts, np.int64)
-            vector = zlib.compress(np.diff(tid, prepend=np.int32(0)).astype(np.int32).tobytes() + n.tobytes(), 1)
+            ids, n, everywhere = (np.concatenate([p[i] for p in parts]) for i in range(3))
+            vector = zlib.compress(np.diff(ids, prepend=np.int32(0)).astype(np.int32).tobytes() + n.tobytes(), 1)
             yield (*now, vector, None, None)
-            if len(n):
-                p, q = probability(n, total + kept), probability(np.array(everywhere, np.int64), lang_total + kept)
-                ahead = np.flatnonzero(p > q)
-                best = nsmallest(top, zip((-divergence(p[ahead], q[ahead])).tolist(), (terms[i].encode() for i in ahead)))
-                for value, term in best:
-                    yield (lang, block, source, None, None, None, None, None, term.decode(), -value)
+            p, q = probability(n, max(1, total + kept)), probability(everywhere, max(1, lang_total + kept))
+            value = np.where(p > q, divergence(p, q), -1)
+            # Only what reaches the value of rank ``top`` goes to the heap, ties included.
+            least = np.partition(value, -top)[-top] if len(value) > top else 0
+            terms = pa.chunked_array([x[3] for x in parts])
+            far = np.flatnonzero((value >= least) & (value >= 0))
+            for worth, term in nsmallest(top, zip((-value[far]).tolist(), (t.encode() for t in terms.take(pa.array(far)).to_pylist()))):
+                yield (lang, block, source, None, None, None, None, None, term.decode(), -worth)
 
         for batch in batches:
-            out = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[3] == -1:
+            out, tid = [], batch.column(3).to_numpy()
+            marks = np.flatnonzero(tid == -1).tolist()
+            for at, end in zip([0, *marks], [*marks, len(tid)]):
+                if at == end:
+                    continue
+                if tid[at] == -1:
                     out += done() if now is not None else ()
-                    now, ids, counts, terms, everywhere = (*row[:3], *row[7:11]), [], [], [], []
-                else:
-                    ids.append(row[3]), counts.append(row[4]), terms.append(row[5]), everywhere.append(row[6])
+                    now, parts = tuple(batch.column(i)[at].as_py() for i in (0, 1, 2, 7, 8, 9, 10)), [empty]
+                    at += 1
+                piece = batch.slice(at, end - at)
+                parts.append((piece.column(3).to_numpy(), piece.column(4).to_numpy(), piece.column(6).to_numpy(), piece.column(5).cast(pa.string())))
             yield _rows(out)
         if now is not None:
             yield _rows(list(done()))
