@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import policy as P
+from .entities import unescape
 
 UNICODE = "(?iuU)"
 
@@ -129,10 +130,47 @@ def source_id(company: Column, url: Column) -> Column:
     return F.concat(F.lit("company:"), text(company), F.lit("@"), host)
 
 
-def same_origin(a: Column, b: Column) -> Column:
-    """https on both, same host and port."""
-    x, y = _url_parts(text(a)), _url_parts(text(b))
-    return (x["scheme"] == "https") & (y["scheme"] == "https") & (F.lower(x["authority"]) == F.lower(y["authority"]))
+def authority(url: Column) -> Column:
+    return _url_parts(text(url))["authority"]
+
+
+def _public_v4(host: Column) -> Column:
+    """Whether a dotted address is one of the open internet; null where ``host`` is no such address."""
+    octets = F.transform(F.split(host, r"\."), lambda x: x.cast("int"))
+    address = host.rlike(r"^(?:(?:0|[1-9][0-9]{0,2})\.){3}(?:0|[1-9][0-9]{0,2})$") & ~F.exists(octets, lambda o: o > 255)
+    n = F.aggregate(octets, F.lit(0).cast("long"), lambda acc, o: acc * 256 + o)
+    private = F.lit(False)
+    for block in P.PRIVATE_V4:
+        net, _, bits = block.partition("/")
+        low = sum(int(x) << 8 * (3 - i) for i, x in enumerate(net.split(".")))
+        private |= n.between(low, low + (1 << 32 - int(bits)) - 1)
+    for one in P.PUBLIC_V4:
+        private &= n != sum(int(x) << 8 * (3 - i) for i, x in enumerate(one.split(".")))
+    return F.when(address, ~private)
+
+
+def _public_v6(host: Column) -> Column:
+    """Whether a bracketed address is in the part of IPv6 given out for the open internet."""
+    word = lambda i: F.coalesce(F.conv(F.concat(F.lit("0"), F.get(F.split(host, ":"), i)), 16, 10).cast("int"), F.lit(0))
+    a, b = word(0), word(1)
+    special = ((a == 0x2001) & ((b < 0x200) | (b == 0xDB8))) | (a == 0x2002) | ((a == 0x3FFF) & (b < 0x1000))
+    return a.between(0x2000, 0x3FFF) & ~special
+
+
+def same_origin(target: Column, base: Column) -> Column:
+    """Whether a link may be followed from ``base``: https on both with the same host and the same port as written, no user in the link,
+    and no host of this machine, of the local network or of an address that is not public."""
+    t, b = _url_parts(text(target)), _url_parts(text(base))
+    user = F.regexp_extract(t["authority"], r"(?s)^(.*)@", 1)
+    bare = lambda x: F.lower(F.regexp_replace(x["authority"], r"(?s)^.*@", ""))
+    v6 = F.regexp_extract(bare(t), r"^\[([0-9a-f:.]+)\]", 1)
+    host = F.when(v6 != "", v6).otherwise(F.regexp_extract(bare(t), r"^([^:\[\]]*)(?::[0-9]*)?$", 1))
+    port = F.regexp_extract(bare(t), r":([0-9]*)$", 1)
+    same = bare(t) == bare(b)
+    local = (host == "localhost") | host.endswith(".localhost") | host.endswith(".local")
+    public = F.when(v6 != "", _public_v6(v6)).otherwise(F.coalesce(_public_v4(host), F.lit(True)))
+    ok = (t["scheme"] == "https") & (b["scheme"] == "https") & user.isin("", ":") & (host != "") & (F.coalesce(port.try_cast("int"), F.lit(0)) <= 65535) & same & ~local & public
+    return F.coalesce(ok, F.lit(False))
 
 
 # --- identity ---------------------------------------------------------------------------------------------------------
@@ -301,14 +339,10 @@ def infer_remote(title: Column, location: Column, description: Column) -> Column
 
 
 def html_text(c: Column) -> Column:
-    """Text of an HTML fragment: script and style out, block ends as line breaks, tags as spaces, the common
-    entities decoded."""
+    """Text of an HTML fragment: script and style out, block ends as line breaks, tags as spaces, character references decoded."""
     c = F.regexp_replace(text(c), r"(?is)<(script|style)\b.*?</\1\s*>", " ")
     c = F.regexp_replace(c, r"(?i)</(?:p|li|div|h[1-4])\s*>|<br\s*/?>", "\n")
-    c = F.regexp_replace(c, r"(?s)<[^>]+>", " ")
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
+    return unescape(F.regexp_replace(c, r"(?s)<[^>]+>", " "))
 
 
 def required_lines(description: Column) -> Column:

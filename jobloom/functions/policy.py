@@ -83,3 +83,7 @@ RETENTION_DAYS, DESCRIPTION_LIMIT = 30, 6000
 ZONE, COLLECT_HOURS, KICK_LAG_MINUTES, LATE_ALERT_MINUTES = "Europe/Kyiv", (8, 14), 15, 60
 MESSAGE_LIMIT = 4096
 MARK_JUNIOR, MARK_CHECK, MARK_OFFICE, MARK_PERMIT, MARK_FLAG = "🌱", "⚠️", "🏢", "🛂", "🇷🇺"
+
+# --- fixed values: address blocks that are not of the open internet, and addresses in them that are
+PRIVATE_V4 = ("0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.0.0.0/24", "192.0.2.0/24", "192.168.0.0/16", "198.18.0.0/15", "198.51.100.0/24", "203.0.113.0/24", "240.0.0.0/4")
+PUBLIC_V4 = ("192.0.0.9", "192.0.0.10")

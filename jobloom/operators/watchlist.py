@@ -55,16 +55,45 @@ def preserve_state(fresh: DataFrame, stored: DataFrame, fields: list[str]) -> Da
     return df.withColumns({f: F.coalesce(f, f"_old_{f}") for f in fields}).drop(*[f"_old_{f}" for f in fields])
 
 
-def merge_catalog(stored: DataFrame, fresh: DataFrame, fields: list[str]) -> DataFrame:
-    """Full outer upsert on slug with ``change``: added, updated, unchanged or kept (not in the fresh table)."""
-    rows = fresh.where(C.text(F.col("slug")) != "").select("slug", *[F.col(f).alias(f"_new_{f}") for f in fields], F.lit(True).alias("_fresh"))
-    df = stored.withColumn("_stored", F.lit(True)).join(rows, "slug", "full_outer")
-    value = lambda f: F.coalesce(f"_new_{f}", f)
-    differs = F.lit(False)
-    for f in fields:
-        differs |= ~value(f).eqNullSafe(F.col(f))
-    change = F.when(F.col("_stored").isNull(), "added").when(F.col("_fresh").isNull(), "kept").when(differs, "updated").otherwise("unchanged")
-    return df.select("slug", *[value(f).alias(f) for f in fields], change.alias("change"))
+def catalog_page(slug: Column) -> Column:
+    return F.concat(F.lit("https://jobs.dou.ua/companies/"), slug, F.lit("/vacancies/"))
+
+
+def merge_catalog(stored: DataFrame, fresh: DataFrame, order: str = "seq") -> DataFrame:
+    """The company catalogue with a fresh reading of it: ``slug, name, site_url, vacancies_url, vacancy_count`` and how many
+    fresh rows ``added``, ``updated`` or left it ``unchanged``.
+
+    Both sides have those five columns, ``fresh`` also the ``order`` it was read in. Slugs are compared without case and outer space, and
+    rows without one are out; of stored rows with one slug the last by name stays. A fresh name and count replace the stored ones, where there are any; a site and
+    a page of vacancies only fill what is missing. Several fresh rows of a slug apply one after another: the first to bring a new slug adds it.
+    """
+    tidy = lambda df, nth, name: df.select(F.lower(C.strip(C.text(F.col("slug")))).alias("slug"), nth.alias("_nth"), name.alias("name"), F.nullif("site_url", F.lit("")).alias("site_url"), F.nullif("vacancies_url", F.lit("")).alias("vacancies_url"), F.col("vacancy_count").cast("long").alias("vacancy_count")).where("slug <> ''")
+    named = F.coalesce(F.nullif("name", F.lit("")), "slug")
+    old = tidy(stored, F.lit(None).cast("long"), F.col("name")).withColumn("name", named)
+    old = old.groupBy("slug").agg(F.max(F.struct("name", "site_url", "vacancies_url", "vacancy_count")).alias("o")).select("slug", F.lit(None).cast("long").alias("_nth"), "o.*")
+    old = old.withColumn("vacancies_url", F.coalesce("vacancies_url", catalog_page(F.col("slug"))))
+    new = tidy(fresh, F.col(order).cast("long"), F.col("name")).withColumns({"name": F.nullif(C.strip(named), F.lit("")), "vacancies_url": F.coalesce("vacancies_url", catalog_page(F.col("slug")))})
+
+    at = Window.partitionBy("slug").orderBy(F.col("_nth").asc_nulls_first())
+    before = at.rowsBetween(Window.unboundedPreceding, -1)
+    rows = old.unionByName(new).withColumns({"_at": F.row_number().over(at), "_name": F.last("name", True).over(before), "_count": F.last("vacancy_count", True).over(before), "_site": F.first("site_url", True).over(before)})
+    # A company that is added without a count has 0, which the next count then replaces.
+    had = F.when(F.col("_at") > 1, F.coalesce("_count", F.when(~F.col("_first_is_old"), F.lit(0))))
+    rows = rows.withColumn("_first_is_old", F.first(F.col("_nth").isNull()).over(before)).withColumn("_had", had)
+    count = F.col("vacancy_count")
+    changed = (F.col("name") != F.col("_name")) | (count.isNotNull() & ~count.eqNullSafe(F.col("_had"))) | (F.col("site_url").isNotNull() & F.col("_site").isNull())
+    what = F.when(F.col("_nth").isNull(), "kept").when(F.col("_at") == 1, "added").when(F.coalesce(changed, F.lit(False)), "updated").otherwise("unchanged")
+    rows = rows.withColumn("_what", what)
+    last = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_at")))
+    first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_at")))
+    known = F.bool_or(F.col("_what") == "kept")
+    total = F.when(known, last("vacancy_count")).otherwise(F.coalesce(last("vacancy_count"), F.lit(0)))
+    return rows.groupBy("slug").agg(last("name").alias("name"), first("site_url").alias("site_url"), first("vacancies_url").alias("vacancies_url"), total.alias("vacancy_count"), *[F.count_if(F.col("_what") == w).alias(w) for w in ("added", "updated", "unchanged")])
+
+
+def catalog_stats(merged: DataFrame) -> DataFrame:
+    """One row: fresh rows that added, updated and changed nothing, and the companies there are."""
+    return merged.agg(*[F.coalesce(F.sum(w), F.lit(0)).alias(w) for w in ("added", "updated", "unchanged")], F.count("*").alias("total"))
 
 
 def collect_list(manual: DataFrame, catalog: DataFrame, least: int, limit: int = 300) -> DataFrame:
@@ -95,17 +124,27 @@ def latest_period(rows: DataFrame, period: str) -> DataFrame:
     return rows.withColumn("_parts", parts).join(F.broadcast(top), F.col("_parts") == F.col("_top")).drop("_parts", "_top")
 
 
-def best_link(links: DataFrame, group: str, score: Column, url: str) -> DataFrame:
-    """For each group the link of the highest score, the shortest, then the smallest."""
-    scored = links.withColumn("score", score)
-    first = F.min_by(F.struct(*scored.columns), F.struct(-F.col("score"), F.length(url), F.col(url)))
-    return scored.groupBy(F.col(group).alias("_group")).agg(first.alias("_first")).select("_first.*")
+# --- fixed values: hosts of applicant-tracking systems, words of career links and of other pages
+ATS_HOSTS = ("ashbyhq.com", "bamboohr.com", "comeet.co", "greenhouse.io", "jobs.lever.co", "oraclecloud.com", "recruitee.com", "smartrecruiters.com", "teamtailor.com", "workable.com")
+CAREER_TOKENS = ("career", "careers", "job", "jobs", "vacanc", "open-position", "open_position")
+OTHER_TOKENS = ("blog", "news", "article")
 
 
 def candidate_score(url: Column, label: Column) -> Column:
-    """How much a link looks like a careers page."""
-    ats = C.matches(url, r"(greenhouse|lever|ashbyhq|breezy|recruitee|workable)\.")
-    return F.when(ats, 100).otherwise(0) + F.when(C.matches(url, r"career|jobs|vacanc"), 50).otherwise(0) + F.when(C.matches(label, r"career|jobs|vacanc|hiring"), 30).otherwise(0) - F.when(C.matches(url, r"blog|news"), 80).otherwise(0)
+    """How much a link looks like a careers page: 100 for the host of an applicant-tracking system or one below it, 50 for a
+    careers word in the url, 30 for one in the label, less 80 for a word of other pages in the url."""
+    low, host = F.lower(C.text(url)), C.host_of(C.authority(C.text(url)))
+    any_of = lambda c, words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(c, w))
+    ats = F.exists(F.array(*[F.lit(h) for h in ATS_HOSTS]), lambda h: (host == h) | F.endswith(host, F.concat(F.lit("."), h)))
+    points = lambda on, n: F.when(on, n).otherwise(0)
+    return points(ats, 100) + points(any_of(low, CAREER_TOKENS), 50) + points(any_of(F.lower(C.text(label)), CAREER_TOKENS), 30) - points(any_of(low, OTHER_TOKENS), 80)
+
+
+def best_link(links: DataFrame, group: str, score: Column, url: str) -> DataFrame:
+    """For each group the link of the highest score, the shortest, then the smallest; links that score nothing are out."""
+    scored = links.withColumn("score", score).where("score > 0")
+    first = F.min_by(F.struct(*scored.columns), F.struct(-F.col("score"), F.length(url), F.col(url)))
+    return scored.groupBy(F.col(group).alias("_group")).agg(first.alias("_first")).select("_first.*")
 
 
 def join_sections(items: DataFrame, sections: DataFrame, item_key: str, section_key: str) -> DataFrame:

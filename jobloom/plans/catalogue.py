@@ -326,7 +326,7 @@ def q_checkpoint(spark, d):
 def q_message_batch(spark, d):
     m = table(spark, d, "events").select(c("user_id").alias("channel"), c("event_id").alias("message_id"))
     cursors = m.where("channel % 2 = 0").select("channel", (c("channel") * 60).alias("cursor")).distinct()
-    return messages.select_batch(m, cursors)
+    return messages.select_batch(m, cursors).select("channel", "message_id")
 
 
 # --- source health
@@ -484,10 +484,26 @@ def q_preserve(spark, d):
     return watchlist.preserve_state(_companies(spark, d), stored, ["career_url"])
 
 
+def _catalog_merged(spark, d) -> DataFrame:
+    """Suppliers as the stored catalogue; customers as a fresh reading of it, every seventh of them a second time."""
+    k, n = c("s_suppkey"), c("s_nationkey")
+    stored = table(spark, d, "supplier").select(F.concat(F.lit(" S"), k.cast("string")).alias("slug"), F.when(k % 5 != 0, c("s_name")).alias("name"), F.when(k % 3 == 0, F.concat(F.lit("https://own/"), k.cast("string"))).alias("site_url"), F.when(k % 4 == 0, F.concat(F.lit("https://v/"), k.cast("string"))).alias("vacancies_url"), F.when(k % 6 != 0, n).alias("vacancy_count"))
+    k, n = c("c_custkey"), c("c_nationkey")
+    slug, site = F.concat(F.lit("s"), k.cast("string")), F.concat(F.lit("https://c/"), k.cast("string"))
+    none = F.lit(None).cast("string")
+    once = table(spark, d, "customer").select(slug.alias("slug"), F.when(k % 2 == 0, F.concat(F.lit("Supplier#"), F.lpad(k.cast("string"), 9, "0"))).when(k % 11 == 0, "").otherwise(c("c_name")).alias("name"), F.when(n % 2 == 0, site).alias("site_url"), none.alias("vacancies_url"), F.when(n % 3 != 0, n).alias("vacancy_count"), k.alias("seq"))
+    again = table(spark, d, "customer").where("c_custkey % 7 = 0").select(F.upper(slug).alias("slug"), c("c_name").alias("name"), F.concat(site, F.lit("/2")).alias("site_url"), none.alias("vacancies_url"), F.when(n % 5 != 0, F.lit(0)).alias("vacancy_count"), (k + 1_000_000_000_000).alias("seq"))
+    return watchlist.merge_catalog(stored, once.unionByName(again))
+
+
 @query
 def q_catalog_merge(spark, d):
-    fresh = _from_customer(spark, d, "true").select("slug", F.when(c("nation") % 2 == 0, c("career_url")).alias("career_url"), "nation")
-    return watchlist.merge_catalog(_companies(spark, d).select("slug", "career_url", "nation"), fresh, ["career_url", "nation"])
+    return _catalog_merged(spark, d)
+
+
+@query
+def q_catalog_stats(spark, d):
+    return watchlist.catalog_stats(_catalog_merged(spark, d))
 
 
 @query
@@ -530,10 +546,19 @@ def q_latest_period(spark, d):
     return watchlist.latest_period(rows, "period")
 
 
+LINK_HOSTS = ["jobs.lever.co", "x.teamtailor.com", "greenhouse.io.example.com", "acme.io", "boards.greenhouse.io", "notgreenhouse.io", "COMEET.co", "me@apply.workable.com:8443"]
+LINK_PATHS = ["/careers/", "/blog/greenhouse.html?n=", "/open-position/", "/news/jobs/", "/about/", "/VACANCIES?x=", "/article-job/"]
+LINK_LABELS = ["Jobs", "Home", "Our careers", "Hiring", "Open_Position"]
+
+
 @query
 def q_top_links(spark, d):
-    pages = table(spark, d, "pages").select("page_id", "url", (c("page_id") % 10).alias("grp"))
-    return watchlist.best_link(pages, "grp", watchlist.candidate_score(c("url"), c("url")), "url").select("grp", "url", "score")
+    """Links of twenty pages each; the best link to a careers page among them."""
+    k = c("page_id")
+    pick = lambda values, by: F.get(F.array(*[F.lit(x) for x in values]), (by % len(values)).cast("int"))
+    url = F.concat(F.lit("https://"), pick(LINK_HOSTS, k * 7 + F.length("url")), pick(LINK_PATHS, k * 3 + F.length("html")), k.cast("string"))
+    links = table(spark, d, "pages").select(F.floor(k / 20).alias("grp"), url.alias("url"), pick(LINK_LABELS, F.length("html")).alias("label"))
+    return watchlist.best_link(links, "grp", watchlist.candidate_score(c("url"), c("label")), "url").select("grp", "url", "score")
 
 
 # --- parsers over captured bodies
@@ -633,4 +658,4 @@ def q_stream_seen(spark, d):
     stream = spark.readStream.schema(schema).parquet(source if not source.endswith(".parquet") else f"{d}/events*.parquet")
     stream = stream.withColumn("key", F.concat_ws("/", c("user_id").cast("string"), "event_type"))
     delivery.deliver(stream, "key", "event_id", f"{root}/feed", f"{root}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{root}/feed").select("key", "event_id")
+    return storage.read_table(spark, f"{root}/feed", "key string, event_id long")

@@ -208,6 +208,26 @@ _MARKED = f"""(CASE WHEN russian_company THEN {q(P.MARK_FLAG + ' ')} ELSE '' END
   || CASE WHEN {attention('location', 'remote')} THEN {q(P.MARK_CHECK + ' ')} ELSE '' END || CASE WHEN NOT ({target_level('title')}) THEN {q(P.MARK_JUNIOR + ' ')} ELSE '' END || {strip('title')})"""
 _DESC = f"{strip('description')}"
 
+def _list(values: list[str]) -> str:
+    return "[" + ", ".join(q(v) for v in values) + "]"
+
+
+from jobloom.plans.catalogue import LINK_HOSTS, LINK_LABELS, LINK_PATHS  # noqa: E402
+
+#: The catalogue after its stored rows, the first reading and the second, one step after the other.
+CATALOG = """s0 AS (SELECT lower(trim(' S' || s_suppkey)) AS slug, CASE WHEN s_suppkey % 5 <> 0 THEN s_name ELSE 's' || s_suppkey END AS name, CASE WHEN s_suppkey % 3 = 0 THEN 'https://own/' || s_suppkey END AS site_url, CASE WHEN s_suppkey % 4 = 0 THEN 'https://v/' || s_suppkey ELSE 'https://jobs.dou.ua/companies/s' || s_suppkey || '/vacancies/' END AS vacancies_url, CASE WHEN s_suppkey % 6 <> 0 THEN s_nationkey END AS vacancy_count FROM supplier),
+f1 AS (SELECT 's' || c_custkey AS slug, CASE WHEN c_custkey % 2 = 0 THEN 'Supplier#' || lpad(c_custkey::VARCHAR, 9, '0') WHEN c_custkey % 11 = 0 THEN 's' || c_custkey ELSE c_name END AS name, CASE WHEN c_nationkey % 2 = 0 THEN 'https://c/' || c_custkey END AS site_url, CASE WHEN c_nationkey % 3 <> 0 THEN c_nationkey END AS n FROM customer),
+s1 AS (
+  SELECT coalesce(s.slug, f.slug) AS slug, coalesce(f.name, s.name) AS name, coalesce(s.site_url, f.site_url) AS site_url, coalesce(s.vacancies_url, 'https://jobs.dou.ua/companies/' || f.slug || '/vacancies/') AS vacancies_url, CASE WHEN s.slug IS NULL THEN coalesce(f.n, 0) ELSE coalesce(f.n, s.vacancy_count) END AS vacancy_count,
+    (s.slug IS NULL)::INT AS added, coalesce((s.slug IS NOT NULL AND f.slug IS NOT NULL AND (f.name <> s.name OR (f.n IS NOT NULL AND f.n IS DISTINCT FROM s.vacancy_count) OR (f.site_url IS NOT NULL AND s.site_url IS NULL)))::INT, 0) AS updated, (f.slug IS NOT NULL)::INT AS fresh
+  FROM s0 s FULL OUTER JOIN f1 f ON s.slug = f.slug),
+f2 AS (SELECT 's' || c_custkey AS slug, c_name AS name, 'https://c/' || c_custkey || '/2' AS site_url, CASE WHEN c_nationkey % 5 <> 0 THEN 0 END AS n FROM customer WHERE c_custkey % 7 = 0),
+s2 AS (
+  SELECT s.slug, coalesce(f.name, s.name) AS name, coalesce(s.site_url, f.site_url) AS site_url, s.vacancies_url, coalesce(f.n, s.vacancy_count) AS vacancy_count, s.added, s.updated, s.fresh,
+    coalesce((f.slug IS NOT NULL AND (f.name <> s.name OR (f.n IS NOT NULL AND f.n IS DISTINCT FROM s.vacancy_count) OR s.site_url IS NULL))::INT, 0) AS updated2, (f.slug IS NOT NULL)::INT AS fresh2
+  FROM s1 s LEFT JOIN f2 f ON s.slug = f.slug),
+done AS (SELECT slug, name, site_url, vacancies_url, vacancy_count, added, updated + updated2 AS updated, fresh + fresh2 - added - updated - updated2 AS unchanged FROM s2)"""
+
 SQL = {
     "q_canonical_url": f"WITH {RAW_SQL} SELECT DISTINCT url, {canonical('url')} AS canonical_url FROM (SELECT url FROM pages UNION ALL SELECT url FROM raw)",
     "q_strip_tracking": "SELECT page_id, regexp_extract(url, '^([^?#]*)', 1) || CASE WHEN len(k) = 0 THEN '' ELSE '?' || array_to_string(k, '&') END AS url FROM (SELECT page_id, url, list_filter(string_split(regexp_extract(url, '^[^?#]*[?]([^#]*)', 1), '&'), lambda x: x <> '' AND NOT starts_with(lower(x), 'utm_')) AS k FROM pages)",
@@ -273,14 +293,21 @@ SQL = {
     "q_overrides": f"WITH {SUPPLIERS} SELECT c.slug, coalesce(o.career_url, d.career_url, c.career_url) AS career_url, CASE WHEN o.slug IS NOT NULL THEN 'override' WHEN d.slug IS NOT NULL THEN 'discovered' WHEN c.career_url IS NOT NULL THEN 'own' END AS career_url_source FROM companies c LEFT JOIN (SELECT * FROM cust WHERE k % 5 = 0) o USING (slug) LEFT JOIN (SELECT * FROM cust WHERE k % 4 = 0) d ON d.slug = c.slug",
     "q_watchlist_merge": f"WITH {SUPPLIERS}, b AS (SELECT * FROM companies) SELECT slug, name, career_url, nation FROM b UNION ALL SELECT slug, name, career_url, nation FROM cust WHERE slug NOT IN (SELECT slug FROM b)",
     "q_preserve": f"WITH {SUPPLIERS} SELECT c.slug, c.name, coalesce(c.career_url, o.career_url) AS career_url, c.nation FROM companies c LEFT JOIN (SELECT * FROM cust WHERE k % 2 = 0) o USING (slug)",
-    "q_catalog_merge": f"WITH {SUPPLIERS}, f AS (SELECT slug, CASE WHEN nation % 2 = 0 THEN career_url END AS career_url, nation FROM cust) SELECT coalesce(c.slug, f.slug) AS slug, coalesce(f.career_url, c.career_url) AS career_url, coalesce(f.nation, c.nation) AS nation, CASE WHEN c.slug IS NULL THEN 'added' WHEN f.slug IS NULL THEN 'kept' WHEN coalesce(f.career_url, c.career_url) IS DISTINCT FROM c.career_url OR coalesce(f.nation, c.nation) IS DISTINCT FROM c.nation THEN 'updated' ELSE 'unchanged' END AS change FROM companies c FULL OUTER JOIN f ON c.slug = f.slug",
+    "q_catalog_merge": f"WITH {CATALOG} SELECT slug, name, site_url, vacancies_url, vacancy_count, added, updated, unchanged FROM done",
+    "q_catalog_stats": f"WITH {CATALOG} SELECT sum(added) AS added, sum(updated) AS updated, sum(unchanged) AS unchanged, count(*) AS total FROM done",
     "q_collect_list": f"WITH {SUPPLIERS}, k AS (SELECT 's' || o_custkey AS slug, count(*) AS n FROM orders GROUP BY 1) SELECT slug, name, vacancy_count FROM (SELECT slug, name, 0 AS r, CAST(NULL AS BIGINT) AS vacancy_count FROM companies UNION ALL SELECT slug, slug, 1, n FROM k WHERE n >= 2 AND slug NOT IN (SELECT slug FROM companies)) ORDER BY r, vacancy_count DESC NULLS LAST, lower(name), slug LIMIT 300",
     "q_recheck_topn": f"WITH {SUPPLIERS}, s AS (SELECT 's' || o_custkey AS slug, strftime(max(o_orderdate), '%Y-%m-%d') AS checked_at FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), x AS (SELECT slug, checked_at FROM cust LEFT JOIN s USING (slug) WHERE slug NOT IN (SELECT slug FROM companies)) SELECT slug, 'new' AS why, checked_at FROM x WHERE checked_at IS NULL UNION ALL (SELECT slug, 'stale', checked_at FROM x WHERE checked_at < '1998-01-01' ORDER BY checked_at, slug LIMIT 300)",
     "q_section_join": "SELECT l_orderkey, l_linenumber, l_suppkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",
     "q_three_way_merge": "WITH o AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders), b AS (SELECT k, [v] AS v FROM o WHERE k % 5 <> 4), l AS (SELECT k, [CASE WHEN k % 11 = 0 THEN 'L' ELSE v END] AS v FROM o WHERE k % 7 <> 3), r AS (SELECT k, [CASE WHEN k % 13 = 0 THEN 'R' ELSE v END] AS v FROM o WHERE k % 9 <> 2), x AS (SELECT coalesce(b.k, l.k, r.k) AS key, b.v AS b, l.v AS l, r.v AS r FROM b FULL OUTER JOIN l ON b.k = l.k FULL OUTER JOIN r ON coalesce(b.k, l.k) = r.k), y AS (SELECT *, l IS DISTINCT FROM b AND r IS DISTINCT FROM b AND l IS DISTINCT FROM r AS conflict, CASE WHEN l IS NOT DISTINCT FROM b THEN r ELSE l END AS m FROM x) SELECT key, CASE WHEN NOT conflict THEN m[1] END AS value, CASE WHEN conflict THEN 'conflict' WHEN m IS NULL THEN 'deleted' ELSE 'kept' END AS status FROM y",
     "q_carry_forward": "SELECT o_orderkey, last_value(CASE WHEN o_orderkey % 4 = 0 THEN o_orderpriority END IGNORE NULLS) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS carried FROM orders",
     "q_latest_period": "SELECT o_orderkey, strftime(o_orderdate, '%m-%Y') AS period FROM orders WHERE strftime(o_orderdate, '%Y-%m') = (SELECT max(strftime(o_orderdate, '%Y-%m')) FROM orders)",
-    "q_top_links": r"SELECT grp, url, score FROM (SELECT page_id % 10 AS grp, url, CASE WHEN regexp_matches(url, '(greenhouse|lever|ashbyhq|breezy|recruitee|workable)\.', 'i') THEN 100 ELSE 0 END + CASE WHEN regexp_matches(url, 'career|jobs|vacanc', 'i') THEN 50 ELSE 0 END + CASE WHEN regexp_matches(url, 'career|jobs|vacanc|hiring', 'i') THEN 30 ELSE 0 END - CASE WHEN regexp_matches(url, 'blog|news', 'i') THEN 80 ELSE 0 END AS score FROM pages) QUALIFY row_number() OVER (PARTITION BY grp ORDER BY score DESC, length(url), url) = 1",
+    "q_top_links": rf"""WITH l AS (SELECT page_id // 20 AS grp, 'https://' || {_list(LINK_HOSTS)}[((page_id * 7 + length(url)) % {len(LINK_HOSTS)} + 1)::INT] || {_list(LINK_PATHS)}[((page_id * 3 + length(html)) % {len(LINK_PATHS)} + 1)::INT] || page_id AS url, {_list(LINK_LABELS)}[(length(html) % {len(LINK_LABELS)} + 1)::INT] AS label FROM pages),
+h AS (SELECT *, lower(regexp_extract(url, '^https://(?:[^/@]*@)?([^/:?#]*)', 1)) AS host, lower(url) AS low, lower(label) AS said FROM l),
+s AS (SELECT grp, url, CASE WHEN len(list_filter(['ashbyhq.com', 'bamboohr.com', 'comeet.co', 'greenhouse.io', 'jobs.lever.co', 'oraclecloud.com', 'recruitee.com', 'smartrecruiters.com', 'teamtailor.com', 'workable.com'], lambda a: host = a OR suffix(host, '.' || a))) > 0 THEN 100 ELSE 0 END
+  + CASE WHEN contains(low, 'career') OR contains(low, 'job') OR contains(low, 'vacanc') OR contains(low, 'open-position') OR contains(low, 'open_position') THEN 50 ELSE 0 END
+  + CASE WHEN contains(said, 'career') OR contains(said, 'job') OR contains(said, 'vacanc') OR contains(said, 'open-position') OR contains(said, 'open_position') THEN 30 ELSE 0 END
+  - CASE WHEN contains(low, 'blog') OR contains(low, 'news') OR contains(low, 'article') THEN 80 ELSE 0 END AS score FROM h)
+SELECT grp, url, score FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY grp ORDER BY score DESC, length(url), url) = 1""",
     "q_ats_parse": "SELECT 'greenhouse' AS ats, p_name AS title, 'https://x/' || p_partkey AS url, p_brand AS location, 'a & b' AS description, CAST(p_partkey AS VARCHAR) AS job_id, CAST(NULL AS VARCHAR) AS remote FROM part WHERE p_size % 10 <> 0 UNION ALL SELECT 'lever', p_name, 'https://x/' || p_partkey, NULL, p_type, CAST(p_partkey AS VARCHAR), CASE WHEN p_size > 25 THEN 'remote' END FROM part WHERE p_size % 10 <> 0",
     "q_rss_parse": "SELECT p_name AS title, p_brand AS company, 'Київ' AS location, 'remote' AS remote, 'https://x/vacancies/' || p_partkey || '/?q=1' AS url, '2024-01-01 08:00' AS published_at, '<b>x</b>' AS description, CAST(p_partkey AS VARCHAR) AS source_job_id FROM part",
     "q_sitemap": "SELECT DISTINCT page_id // 100 AS source_id, url FROM pages WHERE regexp_matches(regexp_extract(regexp_replace(url, '/+$', ''), '([^/]*)$', 1), '[0-9]')",

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
 from jobloom.operators import health, incremental, reports, state_merge
-from jobloom.plans.fixtures import table
+from jobloom.plans import oracle
+from jobloom.plans.fixtures import RAW_SQL, raw_postings, table
 from jobloom.sources import cards, feeds, html, messages, registry
 
 c = F.col
@@ -97,7 +98,7 @@ def q_paged_search(spark, d):
 _KINDS = {
     "flat_list": ("'https://x/' || id", "brand", "kind || ', ' || brand", "id"),
     "nested_data": ("'https://x/' || id", "brand", "NULL", "id"),
-    "requisitions": ("'https://jobs.example/' || id", "brand", "NULL", "id"),
+    "requisitions": ("'https://explore-jobs.ciklum.com/en/sites/ciklum-career/job/' || id", "NULL", "NULL", "id"),
     "next_data": ("'https://x/' || id", "brand", "NULL", "id"),
     "wordpress": ("'https://x/' || id", "NULL", "kind", "id"),
     "paged": ("'https://x/' || id", "brand", "NULL", "id"),
@@ -373,9 +374,27 @@ def q_structure_status(spark, d):
     return table(spark, d, "pages").select("page_id", registry.structure_status(*on).alias("status"))
 
 
-@checked("SELECT page_id, regexp_matches(url, '^https://[^/?#]*example\\.com([/?#]|$)') AND regexp_extract(url, '^https://([^/?#]*)', 1) = 'example.com' AS same FROM pages")
+_BASE_ORIGIN = "https://Example.com/x"
+
+
+@checked(r"""WITH p AS (SELECT page_id, regexp_replace(url, '^https?://[^/?#]*', '') AS tail, url FROM pages),
+u AS (SELECT page_id, CASE page_id % 14 WHEN 0 THEN 'https://example.com' || tail WHEN 1 THEN 'https://EXAMPLE.com' || tail WHEN 2 THEN 'https://me@example.com' || tail WHEN 3 THEN 'https://example.com:443' || tail WHEN 4 THEN 'http://example.com' || tail WHEN 5 THEN url
+  WHEN 6 THEN 'https://localhost' || tail WHEN 7 THEN 'https://a.local' || tail WHEN 8 THEN 'https://10.' || page_id % 256 || '.0.1' || tail WHEN 9 THEN 'https://93.184.' || page_id % 256 || '.1' || tail WHEN 10 THEN 'https://172.' || page_id % 40 || '.0.1' || tail WHEN 11 THEN 'https://100.' || page_id % 256 || '.1.1' || tail WHEN 12 THEN 'https://[::1]' || tail ELSE 'https://[2606:4700::1]' || tail END AS target FROM p),
+b AS (SELECT page_id, target, CASE WHEN page_id % 14 BETWEEN 6 AND 13 THEN regexp_extract(target, '^https://[^/?#]*') || '/list' ELSE 'https://Example.com/x' END AS base FROM u),
+h AS (SELECT *, lower(regexp_extract(target, '^https://([^/?#]*)', 1)) AS t, lower(regexp_extract(base, '^https://([^/?#]*)', 1)) AS b FROM b),
+o AS (SELECT *, CASE WHEN regexp_matches(t, '^[0-9]+[.][0-9]+[.][0-9]+[.][0-9]+$') THEN list_transform(string_split(t, '.'), lambda x: x::INT) END AS v4 FROM h)
+SELECT page_id, starts_with(target, 'https://') AND t <> '' AND t = b AND NOT contains(t, '@') AND t <> 'localhost' AND NOT suffix(t, '.local') AND t <> '[::1]'
+  AND NOT coalesce(v4[1] = 10 OR v4[1] = 0 OR v4[1] = 127 OR v4[1] >= 240 OR (v4[1] = 172 AND v4[2] BETWEEN 16 AND 31) OR (v4[1] = 192 AND v4[2] = 168) OR (v4[1] = 100 AND v4[2] BETWEEN 64 AND 127), false) AS same FROM o""")
 def q_same_origin(spark, d):
-    return table(spark, d, "pages").select("page_id", C.same_origin(c("url"), F.lit("https://Example.com/x")).alias("same"))
+    """Links from a list to a page: other hosts, users, ports, this machine, and addresses that are not public are refused."""
+    k, tail = c("page_id"), F.regexp_replace("url", "^https?://[^/?#]*", "")
+    at = lambda host: F.concat(F.lit("https://"), host, tail)
+    hosts = [F.lit("example.com"), F.lit("EXAMPLE.com"), F.lit("me@example.com"), F.lit("example.com:443"), None, None, F.lit("localhost"), F.lit("a.local"), F.concat(F.lit("10."), k % 256, F.lit(".0.1")), F.concat(F.lit("93.184."), k % 256, F.lit(".1")), F.concat(F.lit("172."), k % 40, F.lit(".0.1")), F.concat(F.lit("100."), k % 256, F.lit(".1.1")), F.lit("[::1]"), F.lit("[2606:4700::1]")]
+    target = c("url")
+    for i, host in enumerate(hosts):
+        target = F.when(k % 14 == i, at(host) if host is not None else F.concat(F.lit("http://example.com"), tail) if i == 4 else c("url")).otherwise(target)
+    base = F.when((k % 14).between(6, 13), F.concat(F.regexp_extract(target, "^https://[^/?#]*", 0), F.lit("/list"))).otherwise(_BASE_ORIGIN)
+    return table(spark, d, "pages").select("page_id", C.same_origin(target, base).alias("same"))
 
 
 @checked(f"WITH {PART} SELECT id, k % 4 <> 3 AS allowed FROM p")
@@ -410,34 +429,35 @@ def q_is_recent(spark, d):
     return table(spark, d, "events").select("event_id", messages.is_recent(at, F.lit("2024-02-10 00:00:00").cast("timestamp")).alias("recent"))
 
 
-@checked("SELECT user_id AS channel, count(*) AS messages, count(*) FILTER (WHERE event_id % 7 = 0) AS malformed FROM events GROUP BY 1")
+@checked(rf"""WITH {RAW_SQL}, m AS (
+  SELECT seq, CASE WHEN seq % 5 = 0 THEN 'ch' ELSE 'hirifyme_bot' END AS channel, CASE seq % 6 WHEN 0 THEN title || ' в Acme' || chr(10) || 'https://hirify.me/jobs/' || seq WHEN 1 THEN title || ' в Acme' || chr(10) || 'https://other.io/' || seq WHEN 2 THEN 'По подписке: ' || title WHEN 3 THEN title || ' и точка' WHEN 4 THEN '#резюме' || chr(10) || title || ' в Acme' || chr(10) || 'https://hirify.me/jobs/' || seq END AS text FROM raw),
+j AS (SELECT *, regexp_matches(text, '(?m)^\s*.+?\s+в\s+[^\n]+?\s*$') AS heading, {oracle.target("text", "NULL")} AS target FROM m)
+SELECT channel, count(*) AS messages, count(*) FILTER (WHERE channel = 'hirifyme_bot' AND target AND (heading OR contains(lower(text), 'по подписке:')) AND NOT (heading AND NOT contains(text, '#резюме') AND contains(text, 'https://hirify.me/jobs/'))) AS malformed FROM j GROUP BY 1""")
 def q_malformed_messages(spark, d):
-    m = table(spark, d, "events").select(c("user_id").alias("channel"), c("event_id").alias("message_id"), F.when(c("event_id") % 7 != 0, c("props")).alias("text"))
+    """The bot's messages that announce a posting and give none: no heading, no link to the board, or a candidate's."""
+    raw, k = raw_postings(spark, d), c("seq")
+    line = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    text = F.when(k % 6 == 0, line(c("title"), " в Acme\nhttps://hirify.me/jobs/", k)).when(k % 6 == 1, line(c("title"), " в Acme\nhttps://other.io/", k)).when(k % 6 == 2, line("По подписке: ", c("title")))
+    text = text.when(k % 6 == 3, line(c("title"), " и точка")).when(k % 6 == 4, line("#резюме\n", c("title"), " в Acme\nhttps://hirify.me/jobs/", k))
+    m = raw.select(F.when(k % 5 == 0, "ch").otherwise("hirifyme_bot").alias("channel"), k.alias("message_id"), text.alias("text"), F.array().cast("array<string>").alias("urls"))
     return messages.malformed_counts(m)
 
 
 # --- state and reports
 
 
-@checked("""WITH b AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 5 <> 4), l AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 7 <> 3), r AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 9 <> 2),
-gone AS (SELECT k FROM b WHERE k NOT IN (SELECT k FROM l) OR k NOT IN (SELECT k FROM r)) SELECT k FROM (SELECT k FROM l UNION SELECT k FROM r) WHERE k NOT IN (SELECT k FROM gone)""")
-def q_merge_history(spark, d):
-    o = table(spark, d, "orders").select(c("o_orderkey").alias("k"))
-    return state_merge.merge_history(o.where("k % 5 <> 4"), o.where("k % 7 <> 3"), o.where("k % 9 <> 2"), "k", c("k"))
-
-
 @checked("WITH x AS (SELECT user_id % 60 AS channel, event_id AS cursor FROM events) SELECT channel, max(cursor) AS cursor FROM x GROUP BY channel")
 def q_merge_cursors(spark, d):
     e = table(spark, d, "events").select((c("user_id") % 60).alias("channel"), c("event_id").alias("cursor"))
     local, remote = (e.where(w).groupBy("channel").agg(F.max("cursor").alias("cursor")) for w in ("cursor % 2 = 0", "cursor % 2 = 1"))
-    return state_merge.merge_max(local, remote, "channel", "cursor")
+    return state_merge.merge_max(local, remote, key="channel", value="cursor")
 
 
 @checked("SELECT DISTINCT CAST(ts AS DATE) AS day, CASE WHEN hour(ts) < 12 THEN 8 ELSE 14 END AS slot FROM events UNION SELECT DATE '2024-03-01', 8")
 def q_slots_marked(spark, d):
     """Slots of two histories as one set, and one more that is marked twice."""
     e = table(spark, d, "events").select(F.to_date("ts").alias("day"), F.when(F.hour("ts") < 12, 8).otherwise(14).alias("slot"), "event_id")
-    slots = state_merge.merge_union(e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1"), ["day", "slot"])
+    slots = state_merge.merge_union(e.where("event_id % 2 = 0"), e.where("event_id % 2 = 1"), columns=["day", "slot"])
     for _ in range(2):
         slots = incremental.mark_slot(slots, F.lit("2024-03-01").cast("date"), F.lit(8))
     return slots

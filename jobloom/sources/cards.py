@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
+from jobloom.functions.entities import unescape
 from jobloom.sources import feeds, html
 
 
@@ -40,7 +41,7 @@ def tidy(markup: Column) -> Column:
 
 def attribute(markup: Column, name: str) -> Column:
     """The first value of an attribute, its entities decoded."""
-    return C.strip(feeds.unescape(F.regexp_extract(markup, rf"(?is)\s{name}=[\"']([^\"']*)[\"']", 1)))
+    return C.strip(unescape(F.regexp_extract(markup, rf"(?is)\s{name}=[\"']([^\"']*)[\"']", 1)))
 
 
 def resolve(href: Column, base: str) -> Column:
@@ -133,7 +134,7 @@ def _box(card: Column) -> dict[str, Column]:
 def _bookmarked(card: Column) -> dict[str, Column]:
     """Title from the heading or else the card's own words; place from the bookmark's JSON, then from a node named for it."""
     raw, heading = tidy(F.regexp_extract(card, r"(?is)^(.*?)</a\s*>", 1)), inner(card, "h2")
-    meta = F.from_json(feeds.unescape(F.regexp_extract(card, r"(?is)\sdata-job=(?:\"([^\"]*)\"|'([^']*)')", 1)), "city string, location string")
+    meta = F.from_json(unescape(F.regexp_extract(card, r"(?is)\sdata-job=(?:\"([^\"]*)\"|'([^']*)')", 1)), "city string, location string")
     place = F.nullif(F.array_join(F.filter(F.array(C.strip(C.text(meta["city"])), C.strip(C.text(meta["location"]))), lambda x: x != ""), ", "), F.lit(""))
     node = F.nullif(tidy(F.regexp_extract(card, r"(?is)<(\w+)\b[^>]*\bclass=[\"'][^\"']*location[^\"']*[\"'][^>]*>(.*?)</\1\s*>", 2)), F.lit(""))
     words = C.strip(F.regexp_replace(F.get(F.split(raw, r"\s+Facebook\s+", 2), 0), r"(?i)\s+iOS\s*\(Objective-C/Swift\).*$", ""))
@@ -220,7 +221,7 @@ def catalogue_index(bronze: DataFrame) -> DataFrame:
     bare = F.arrays_zip(at(CARD_LINK, 1).alias("s"), at(CARD_LINK, 2).alias("n"), F.transform(at(CARD_LINK, 1), lambda _: F.lit("")).alias("b"))
     df = _numbered(bronze).select("source_id", "page", F.posexplode(F.when(F.size(zipped) > 0, zipped).otherwise(bare)).alias("pos", "x"))
     slug, count = F.lower("x.s"), F.regexp_extract("x.b", r'(?i)/vacancies/[^"]*"><span>Вакансії</span>\s*(\d*)', 1)
-    row = F.struct(C.strip(feeds.unescape(F.col("x.n"))).alias("name"), F.coalesce(F.nullif(count, F.lit("")).cast("int"), F.lit(0)).alias("vacancy_count"))
+    row = F.struct(C.strip(unescape(F.col("x.n"))).alias("name"), F.coalesce(F.nullif(count, F.lit("")).cast("int"), F.lit(0)).alias("vacancy_count"))
     first = df.groupBy("source_id", slug.alias("slug")).agg(F.min_by(row, F.struct("page", "pos")).alias("r"))
     return first.select("source_id", "slug", "r.name", "r.vacancy_count", F.concat(F.lit("https://jobs.dou.ua/companies/"), "slug", F.lit("/vacancies/")).alias("vacancies_url"))
 
@@ -239,14 +240,14 @@ def plain_careers(bronze: DataFrame, company: str) -> DataFrame:
     """Links of a plain careers page that are on topic by their text or address and look like a posting's, the first of each."""
     both = F.arrays_zip(F.regexp_extract_all("body", F.lit(f"(?is){ANCHOR}"), 1).alias("u"), F.regexp_extract_all("body", F.lit(f"(?is){ANCHOR}"), 2).alias("t"))
     df = bronze.select("source_id", F.col("url").alias("page_url"), F.posexplode(both).alias("pos", "x"))
-    df = df.select("source_id", "pos", C.strip(feeds.unescape(F.col("x.t"))).alias("title"), C.strip(feeds.unescape(F.col("x.u"))).alias("href"), "page_url").where((F.col("title") != "") & (C.is_platform_job(F.col("title")) | C.is_platform_job(F.col("href"))))
+    df = df.select("source_id", "pos", C.strip(unescape(F.col("x.t"))).alias("title"), C.strip(unescape(F.col("x.u"))).alias("href"), "page_url").where((F.col("title") != "") & (C.is_platform_job(F.col("title")) | C.is_platform_job(F.col("href"))))
     df = df.withColumn("url", html.absolute(F.col("page_url"), F.col("href"))).where(F.col("url").rlike("(?i)^http") & C.matches(F.col("url"), JOB_TOKENS))
     return df.groupBy("source_id", "url").agg(F.min_by("title", "pos").alias("title")).select("source_id", F.lit(company).alias("company"), "title", "url")
 
 
 def company_site(profile: Column) -> Column:
     """The outside link of a company's profile page, null where it has none."""
-    return F.nullif(C.strip(feeds.unescape(F.regexp_extract(profile, r'(?is)<div class="site">\s*<a href="([^"]+)" target="_blank" rel="nofollow">', 1))), F.lit(""))
+    return F.nullif(C.strip(unescape(F.regexp_extract(profile, r'(?is)<div class="site">\s*<a href="([^"]+)" target="_blank" rel="nofollow">', 1))), F.lit(""))
 
 
 PAGE_LINK = r"(?:/page/\d+/?$|[?&](?:page|p)=\d+)"

@@ -13,16 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
+from jobloom.functions.entities import unescape
 
 RSS = "channel struct<item: array<struct<title: string, link: string, description: string, pubDate: string, guid: string, category: string>>>"
 
 
-def unescape(c: Column) -> Column:
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
-
-
 def rfc822(c: Column) -> Column:
     """``Mon, 01 Jan 2024 10:00:00 +0200`` as a timestamp, null where unreadable."""
     bare = F.regexp_replace(C.strip(C.text(c)), r"^\w+,\s*", "")

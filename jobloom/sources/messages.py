@@ -27,6 +27,9 @@ SENTENCE_WORDS = ("you", "your", "we", "our", "will", "be", "role", "position",
 COMPANY_WORDS, TITLE_LINES = 6, 8
 ROLE_WORD = r"\b(?:developer|engineer|programmer|lead|architect|dev|розробник|розробниця|інженер|разработчик|программист|инженер)\b"
 DEFAULT_TITLE = "iOS / Swift vacancy"
+BOT_CHANNEL, BOT_SUBSCRIPTION = "hirifyme_bot", "по подписке:"
+BOT_HEADING = r"(?mdU)^\s*(.+?)\s+в\s+([^\n]+?)\s*$"
+BACKFILL_LIMIT, CATCH_UP_LIMIT, LOOKBACK = 30000, 3000, 100
 BOARD_URL = r"^https?://(?:www\.)?hirify\.me/jobs/(\d+)"
 
 
@@ -47,9 +50,14 @@ def looks_like_vacancy(text: Column) -> Column:
     return F.exists(hashtags(text), lambda t: t.isin(*VACANCY_HASHTAGS)) | _any(F.lower(text), VACANCY_PHRASES)
 
 
-def should_keep(text: Column) -> Column:
-    text = C.text(text)
-    return (C.strip(text) != "") & ~is_candidate_post(text) & C.is_target_job(text) & looks_like_vacancy(text)
+def is_bot(channel: Column) -> Column:
+    """The channel whose messages are one posting each, under a heading of title and employer."""
+    return C.text(channel.cast("string")) == BOT_CHANNEL
+
+
+def should_keep(text: Column, channel: Column | None = None) -> Column:
+    text, bot = C.text(text), is_bot(channel) if channel is not None else F.lit(False)
+    return (C.strip(text) != "") & ~is_candidate_post(text) & C.is_target_job(text) & F.when(bot, text.rlike(BOT_HEADING)).otherwise(looks_like_vacancy(text))
 
 
 def clean_line(c: Column) -> Column:
@@ -120,15 +128,26 @@ def snippet(text: Column, title: Column, limit: int = 140) -> Column:
     return F.when(F.length(blob) <= limit, blob).otherwise(F.concat(F.regexp_replace(F.substring(blob, 1, limit - 1), r"\s+$", ""), F.lit("…")))
 
 
+def _posting_url(c=F.col) -> Column:
+    return F.coalesce(preferred_url(c("urls")), apply_url(c("text")))
+
+
+def _yields(c=F.col) -> Column:
+    """Whether a message gives a posting; one of the bot's must also link to its board."""
+    return should_keep(c("text"), c("channel")) & (~is_bot(c("channel")) | F.coalesce(_posting_url().rlike("(?i)" + BOARD_URL), F.lit(False)))
+
+
 def postings_from_messages(messages: DataFrame) -> DataFrame:
     """At most one posting a message."""
-    c = F.col
-    kept = messages.where(should_keep(c("text")))
-    kept = kept.withColumn("title", extract_title(c("text")))
+    c, bot = F.col, is_bot(F.col("channel"))
+    kept = messages.where(_yields()).withColumn("link", _posting_url())
+    heading = lambda i: clean_line(F.regexp_extract("text", BOT_HEADING, i))
+    kept = kept.withColumn("title", F.when(bot, heading(1)).otherwise(extract_title(c("text"))))
+    board = F.regexp_extract("link", "(?i)" + BOARD_URL, 1)
     return kept.select(
-        F.coalesce(extract_company(c("text")), F.lit("")).alias("company"), "title",
-        F.coalesce(preferred_url(c("urls")), apply_url(c("text")), F.format_string("https://t.me/%s/%s", "channel", "message_id")).alias("url"),
-        F.lit("telegram").alias("source"), F.format_string("%s:%s", "channel", "message_id").alias("source_job_id"), snippet(c("text"), c("title"), 4000).alias("description"), "published_at",
+        F.when(bot, heading(2)).otherwise(F.coalesce(extract_company(c("text")), F.lit(""))).alias("company"), "title", F.coalesce("link", F.format_string("https://t.me/%s/%s", "channel", "message_id")).alias("url"),
+        F.when(bot, "hirify.me").otherwise("telegram").alias("source"), F.when(C.text(board) != "", F.concat(F.lit("hirify:"), board)).otherwise(F.format_string("%s:%s", "channel", "message_id")).alias("source_job_id"),
+        snippet(c("text"), c("title"), 4000).alias("description"), "published_at",
     )
 
 
@@ -165,19 +184,52 @@ def postings_from_digests(messages: DataFrame) -> DataFrame:
 
 
 def malformed_counts(messages: DataFrame) -> DataFrame:
-    """``channel, messages, malformed``: a message without an id or a text is counted, never fatal."""
-    bad = F.col("message_id").isNull() | F.col("text").isNull()
-    return messages.groupBy("channel").agg(F.count("*").alias("messages"), F.count_if(bad).alias("malformed"))
+    """``channel, messages, malformed``: the bot's messages that announce a posting on topic and give none are counted, never
+    fatal, since the cursor moves past them. Messages without an id were not read."""
+    c, text = F.col, C.strip(C.text(F.col("text")))
+    announced = C.is_target_job(text) & (F.contains(F.lower(text), F.lit(BOT_SUBSCRIPTION)) | text.rlike(BOT_HEADING))
+    bad = is_bot(c("channel")) & announced & ~_yields()
+    return messages.where("message_id IS NOT NULL").withColumn("text", text).groupBy("channel").agg(F.count("*").alias("messages"), F.count_if(bad).alias("malformed"))
 
 
 def is_recent(published_at: Column, now: Column, days: int = 30) -> Column:
     return F.coalesce(published_at >= now - F.make_dt_interval(F.lit(days)), F.lit(True))
 
 
-def select_batch(messages: DataFrame, cursors: DataFrame, catch_up: int = 3000, lookback: int = 100) -> DataFrame:
-    """The messages a run reads of each channel: after the cursor, oldest first, at most ``catch_up``; without a
-    cursor the latest ``lookback``. Those limits are the feature: the rest is read by later runs."""
-    df = messages.join(cursors, "channel", "left").where(F.col("cursor").isNull() | (F.col("message_id") > F.col("cursor")))
-    order = F.when(F.col("cursor").isNull(), -F.col("message_id")).otherwise(F.col("message_id"))
-    rn = F.row_number().over(Window.partitionBy("channel").orderBy(order))
-    return df.withColumn("_rn", rn).where(F.col("_rn") <= F.when(F.col("cursor").isNull(), lookback).otherwise(catch_up)).drop("_rn", "cursor")
+def read_mode(cursor: Column, channel: Column, since: Column | None = None) -> Column:
+    """How a channel is read: ``backfill`` from a day on where one is given, but never the bot; ``first`` for a bot without a cursor, which only
+    starts it; ``catch_up`` after a cursor; ``lookback`` for another channel without one."""
+    back = F.lit(False) if since is None else ~is_bot(channel)
+    return F.when(back, "backfill").when(cursor.isNotNull(), "catch_up").when(is_bot(channel), "first").otherwise("lookback")
+
+
+def select_batch(messages: DataFrame, cursors: DataFrame, catch_up: int = CATCH_UP_LIMIT, lookback: int = LOOKBACK, since: Column | None = None, backfill: int = BACKFILL_LIMIT) -> DataFrame:
+    """The messages a run reads of each channel, with their ``mode`` and the ``cursor`` there was.
+
+    After a cursor the oldest first, at most ``catch_up``; without one the latest ``lookback``, or of a bot the latest alone; from the day
+    ``since`` on the newest first, at most ``backfill``, up to the first message before that day. Those limits are the feature: what
+    catching up leaves is read by later runs. Messages without an id are none.
+    """
+    c, at = F.col, Window.partitionBy("channel")
+    df = messages.where("message_id IS NOT NULL").join(cursors.select("channel", F.col("cursor").alias("cursor")), "channel", "left")
+    df = df.withColumn("mode", read_mode(c("cursor"), c("channel"), since))
+    if since is not None:
+        stop = df.where((c("mode") == "backfill") & (c("published_at") < since)).groupBy("channel").agg(F.max("message_id").alias("_stop"))
+        df = df.join(stop, "channel", "left").where((c("mode") != "backfill") | c("_stop").isNull() | (c("message_id") > c("_stop"))).drop("_stop")
+    df = df.where((c("mode") != "catch_up") | (c("message_id") > c("cursor")))
+    rn = F.row_number().over(at.orderBy(F.when(c("mode") == "catch_up", c("message_id")).otherwise(-c("message_id"))))
+    most = F.when(c("mode") == "catch_up", catch_up).when(c("mode") == "lookback", lookback).when(c("mode") == "first", 1).otherwise(backfill)
+    # The rank is bounded by the largest limit first, so that Spark keeps no more than that of a channel.
+    return df.withColumn("_rn", rn).where(F.col("_rn") <= max(catch_up, lookback, backfill if since is not None else 1)).where(F.col("_rn") <= most).drop("_rn")
+
+
+def emitted(batch: DataFrame, now: Column) -> DataFrame:
+    """The rows of a batch that can give postings: none of a bot's first run, and outside a backfill no post that is too old, but the bot's."""
+    old = (F.col("mode") != "backfill") & ~is_bot(F.col("channel")) & ~is_recent(F.col("published_at"), now)
+    return batch.where((F.col("mode") != "first") & ~old)
+
+
+def next_cursors(batch: DataFrame) -> DataFrame:
+    """``(channel, cursor, scanned)`` after a batch: the highest id read, never below the cursor there was; a backfill moves none."""
+    read = batch.where("mode <> 'backfill'").groupBy("channel").agg(F.max("message_id").alias("last"), F.max("cursor").alias("cursor"), F.count("*").alias("scanned"))
+    return read.select("channel", F.greatest("last", F.coalesce("cursor", F.col("last"))).alias("cursor"), "scanned")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
+from jobloom.functions.entities import unescape
 from jobloom.plans import storage
 from jobloom.sources import cards, feeds, html
 
@@ -60,9 +61,9 @@ _LOOSE = "array<struct<id: string, title: string, name: string, slug: string, ur
 JSON_SOURCES: dict[str, JsonSource] = {
     "flat_list": JsonSource("array<struct<id: string, title: string, url: string, location: string, technologies: array<string>>>", lambda b: b, lambda j: {"title": j["title"], "url": j["url"], "location": j["location"], "description": F.array_join(j["technologies"], ", "), "job_id": j["id"]}),
     "nested_data": JsonSource("data struct<jobs: array<struct<id: string, name: string, link: string, city: string>>>", lambda b: b["data"]["jobs"], lambda j: {"title": j["name"], "url": j["link"], "location": j["city"], "job_id": j["id"]}),
-    "requisitions": JsonSource("items array<struct<requisitionList: array<struct<Id: string, Title: string, PrimaryLocation: string>>>>", lambda b: F.flatten(F.transform(b["items"], lambda i: i["requisitionList"])), lambda j: {"title": j["Title"], "url": F.concat(F.lit("https://jobs.example/"), j["Id"]), "location": j["PrimaryLocation"], "job_id": j["Id"]}, key="job_id"),
+    "requisitions": JsonSource("items array<struct<requisitionList: array<struct<Id: string, Title: string>>>>", lambda b: F.flatten(F.transform(b["items"], lambda i: i["requisitionList"])), lambda j: {"title": j["Title"], "url": F.concat(F.lit("https://explore-jobs.ciklum.com/en/sites/ciklum-career/job/"), F.nullif(j["Id"], F.lit(""))), "job_id": j["Id"]}, key="job_id"),
     "next_data": JsonSource("props struct<pageProps: struct<vacancies: array<struct<id: string, title: string, url: string, location: string>>>>", lambda b: b["props"]["pageProps"]["vacancies"], lambda j: {"title": j["title"], "url": j["url"], "location": j["location"], "job_id": j["id"]}, lambda b: F.regexp_extract(b, r'(?s)<script id="__NEXT_DATA__"[^>]*>(.*?)</script>', 1)),
-    "attribute": JsonSource("array<struct<id: string, title: string, link: string, city: string>>", lambda b: b, lambda j: {"title": j["title"], "url": j["link"], "location": j["city"], "job_id": j["id"]}, lambda b: feeds.unescape(F.regexp_extract(b, r'(?s)data-vacancies="([^"]*)"', 1))),
+    "attribute": JsonSource("array<struct<id: string, title: string, link: string, city: string>>", lambda b: b, lambda j: {"title": j["title"], "url": j["link"], "location": j["city"], "job_id": j["id"]}, lambda b: unescape(F.regexp_extract(b, r'(?s)data-vacancies="([^"]*)"', 1))),
     "wordpress": JsonSource("array<struct<id: string, link: string, title: struct<rendered: string>, content: struct<rendered: string>>>", lambda b: b, lambda j: {"title": C.squeeze(C.strip(C.html_text(j["title"]["rendered"]))), "url": j["link"], "description": j["content"]["rendered"], "job_id": j["id"]}),
     "paged": JsonSource("pages array<struct<items: array<struct<id: string, title: string, url: string, cities: array<struct<title: string>>>>>>", lambda b: F.flatten(F.transform(b["pages"], lambda p: p["items"])), lambda j: {"title": j["title"], "url": j["url"], "location": _named(F.filter(j["cities"], lambda x: ~F.lower(x["title"]).contains("any city"))), "job_id": j["id"]}),
     # one list under any of three names, or the body itself
@@ -70,7 +71,7 @@ JSON_SOURCES: dict[str, JsonSource] = {
     "slug_list": JsonSource("array<struct<id: string, title: string, url: string, remote: boolean>>", lambda b: b, lambda j: {"title": C.strip(j["title"]), "url": F.when(F.ltrim(C.strip(C.text(j["url"])), F.lit("/")) != "", F.concat(F.lit("https://zone3000.com/careers/"), F.ltrim(C.strip(j["url"]), F.lit("/")))), "location": F.when(j["remote"], "Remote"), "job_id": j["id"]}),
     # a narrow query's page before the page of all, told by slug; the list may stand one level down
     "two_queries": JsonSource("vacancies struct<items: array<struct<title: string, slug: string>>>, items array<struct<title: string, slug: string>>", lambda b: F.coalesce(b["vacancies"]["items"], b["items"]), lambda j: {"title": j["title"], "url": F.when(C.text(j["slug"]) != "", F.concat(F.lit("https://www.dataart.team/vacancies/"), j["slug"]))}),
-    "located": JsonSource("array<struct<id: string, title: string, countryLocations: array<struct<city: string, country: string>>, relatedLocations: array<string>>>", lambda b: b, lambda j: {"title": j["title"], "url": F.concat(F.lit("https://www.griddynamics.com/careers/vacancy/"), F.nullif(j["id"], F.lit(""))), "location": F.nullif(F.array_join(F.filter(F.concat(F.coalesce(F.transform(j["countryLocations"], lambda p: F.concat_ws(", ", F.nullif(p["city"], F.lit("")), F.nullif(p["country"], F.lit("")))), F.array().cast("array<string>")), F.coalesce(F.transform(j["relatedLocations"], C.strip), F.array().cast("array<string>"))), lambda x: C.text(x) != ""), " / "), F.lit("")), "job_id": j["id"]}, lambda b: feeds.unescape(F.regexp_extract(b, r"(?s)data-vacancies='([^']+)'", 1))),
+    "located": JsonSource("array<struct<id: string, title: string, countryLocations: array<struct<city: string, country: string>>, relatedLocations: array<string>>>", lambda b: b, lambda j: {"title": j["title"], "url": F.concat(F.lit("https://www.griddynamics.com/careers/vacancy/"), F.nullif(j["id"], F.lit(""))), "location": F.nullif(F.array_join(F.filter(F.concat(F.coalesce(F.transform(j["countryLocations"], lambda p: F.concat_ws(", ", F.nullif(p["city"], F.lit("")), F.nullif(p["country"], F.lit("")))), F.array().cast("array<string>")), F.coalesce(F.transform(j["relatedLocations"], C.strip), F.array().cast("array<string>"))), lambda x: C.text(x) != ""), " / "), F.lit("")), "job_id": j["id"]}, lambda b: unescape(F.regexp_extract(b, r"(?s)data-vacancies='([^']+)'", 1))),
 }
 
 DETAIL = "props struct<pageProps: struct<job: struct<name: string, uid: string, text: string, description: string, is_expired: boolean, metadata: struct<country: array<struct<title: string>>, city: array<struct<title: string>>, vacancy_type: array<struct<title: string>>>>>>"

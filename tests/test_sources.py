@@ -4,6 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from jobloom.plans import storage
 from jobloom.sources import feeds, html, messages, registry
 from jobloom.streaming import delivery
 
@@ -152,7 +153,7 @@ def test_stream_delivers_once(spark, tmp_path):
     put(("b", 9), ("c", 4))
     go()
     go()
-    assert {(r.key, r.n) for r in spark.read.parquet(feed).collect()} == {("a", 1), ("b", 3), ("c", 4)}
+    assert {(r.key, r.n) for r in storage.read_table(spark, feed, "key string, n long").collect()} == {("a", 1), ("b", 3), ("c", 4)}
 
 
 def test_status(spark):
