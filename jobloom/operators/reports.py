@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from jobloom.functions import columns as C
 from jobloom.functions import policy as P
 from jobloom.operators.postings import is_handover, is_inbox
+from jobloom.plans.storage import stash
 
 
 def rejection_counts(postings: DataFrame) -> DataFrame:
@@ -88,45 +89,67 @@ def vacancy_label() -> Column:
     return F.when((name != "") & (marks != ""), F.concat(name, F.lit(" — "), marks)).when(name != "", name).when(marks != "", marks).otherwise(C.strip(F.col("url")))
 
 
+def _running(rows: DataFrame, value: Column, out: str) -> DataFrame:
+    """``rows(digest, chunk, ord, ...)`` with the running sum of ``value`` in ``ord`` over each digest. Chunks follow one another within a
+    digest: a row's sum is that of its chunk so far and of all chunks before, so no task reads a digest, and only one row a chunk
+    is summed up in one place."""
+    valued = rows.withColumn("_value", value)
+    chunks = valued.groupBy("digest", "chunk").agg(F.sum("_value").alias("_all"))
+    before = F.coalesce(F.sum("_all").over(Window.partitionBy("digest").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chunks = stash(chunks.select("digest", "chunk", before.alias("_before")), "chunks")
+    here = F.sum("_value").over(Window.partitionBy("digest", "chunk").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))
+    return valued.join(chunks, ["digest", "chunk"]).withColumn(out, F.col("_before") + here).drop("_value", "_before")
+
+
+def _next_starts(lines: DataFrame, budget: int, span: int) -> DataFrame:
+    """``(digest, number, next)``: where the message after one that starts at ``number`` starts. It is the first line that ends beyond the
+    budget, found among ends and limits sorted together within spans of the digest's characters; a line always fits alone."""
+    span_of = lambda at: F.floor(at / F.lit(span))
+    ends = lines.select("digest", F.col("end").alias("at"), F.lit(0).alias("kind"), F.col("number").alias("ending"), F.lit(None).cast("long").alias("number"))
+    limits = lines.select("digest", (F.col("end") - F.col("size") + budget).alias("at"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("ending"), "number")
+    both = stash(ends.union(limits).withColumn("span", span_of(F.col("at"))), "ends_and_limits")
+    spans = both.groupBy("digest", "span").agg(F.max("ending").alias("_last"))
+    carried = F.max("_last").over(Window.partitionBy("digest").orderBy("span").rowsBetween(Window.unboundedPreceding, -1))
+    spans = stash(spans.select("digest", "span", carried.alias("carried")), "spans")
+    within = F.max("ending").over(Window.partitionBy("digest", "span").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("within", within).where("kind = 1").join(spans, ["digest", "span"])
+    return found.select("digest", "number", (F.greatest("number", F.coalesce("within", "carried", F.lit(0))) + 1).alias("next"))
+
+
+def _starts(jumps: DataFrame) -> DataFrame:
+    """``(digest, number, part)`` of the messages that follow from line 1: in round k the starts known so far jump 2**k messages on, and
+    the jumps are joined with themselves, so the rounds are the logarithm of the longest digest's messages."""
+    lines = jumps.select("digest", "number")
+    known, step = jumps.where("number = 1").select("digest", "number", F.lit(1).cast("long").alias("part")), 1
+    while True:
+        new = known.join(jumps, ["digest", "number"]).select("digest", F.col("next").alias("number"), (F.col("part") + step).alias("part"))
+        new = stash(new.join(lines, ["digest", "number"], "left_semi"), "new_starts")
+        if new.isEmpty():
+            return known
+        known = stash(known.union(new), "starts")
+        twice = jumps.select("digest", F.col("number").alias("next"), F.col("next").alias("to"))
+        jumps, step = stash(jumps.join(twice, ["digest", "next"]).select("digest", "number", F.col("to").alias("next")), "jumps"), step * 2
+
+
 def pack_digest(postings: DataFrame, order: str = "seq", limit: int = P.MESSAGE_LIMIT, overhead: int = 160, key: str = "day") -> DataFrame:
-    """Messages of numbered postings, each within ``limit`` characters, of every digest (``key``).
+    """Messages of numbered postings, each within ``limit`` characters, of every digest (``key``): as many lines as fit, in order.
 
-    Numbers run through a digest, so its lines are read in order by one task; they are streamed, and no more than one message
-    is held. ``parts`` is counted over the messages.
+    Numbers run through a digest and a message starts where the one before ends, yet no task reads a digest: numbers and ends of lines are
+    running sums over chunks of it, each line knows where a message that starts there would end, and the starts that
+    really follow one another are found by jumping twice as far each round. ``order`` is unique within a digest; rows without a ``key`` are out.
     """
     entry = F.concat(vacancy_label(), F.lit("\n   "), C.strip(F.col("url")))
-    lines = postings.select(F.col(key).alias("digest"), F.col(order).alias("ord"), entry.alias("line"))
-    kind = lines.schema["digest"].dataType.simpleString()
-
-    def pack(batches):
-        digest, number, part, size, nth = None, 0, [], overhead, 0
-        for pdf in batches:
-            out = []
-
-            def close():
-                nonlocal part, size, nth
-                if part:
-                    nth += 1
-                    out.append((digest, nth, len(part), "\n".join(part)))
-                part, size = [], overhead
-
-            for now, line in zip(pdf["digest"], pdf["line"]):
-                if now != digest:
-                    close()
-                    digest, number, nth = now, 0, 0
-                number += 1
-                text = f"{number}. {line}"
-                if part and size + len(text) + 1 > limit:
-                    close()
-                part.append(text)
-                size += len(text) + 1
-            yield pd.DataFrame(out, columns=["digest", "part", "items", "message"])
-        if part:
-            yield pd.DataFrame([(digest, nth + 1, len(part), "\n".join(part))], columns=["digest", "part", "items", "message"])
-
-    lines = lines.where("digest IS NOT NULL").repartition("digest").sortWithinPartitions("digest", "ord")
-    packed = lines.mapInPandas(pack, f"digest {kind}, part long, items long, message string")
-    return packed.withColumn("parts", F.count("*").over(Window.partitionBy("digest"))).select("digest", "part", "parts", "items", "message")
+    lines = postings.select(F.col(key).alias("digest"), F.col(order).alias("ord"), entry.alias("line")).where("digest IS NOT NULL")
+    chunked = lines.repartitionByRange("digest", "ord").sortWithinPartitions("digest", "ord").withColumn("chunk", F.spark_partition_id())
+    numbered = stash(_running(stash(chunked, "lines"), F.lit(1), "number").withColumn("text", F.concat(F.col("number").cast("string"), F.lit(". "), "line")).drop("line"), "numbered")
+    sized = numbered.select("digest", "chunk", "ord", "number", (F.length("text") + 1).cast("long").alias("size"))
+    jumps = stash(_next_starts(stash(_running(sized, F.col("size"), "end"), "sized"), limit - overhead, 256 * limit), "jumps")
+    starts = stash(_starts(jumps), "all_starts")
+    counts = starts.groupBy("digest").agg(F.max("part").alias("parts"))
+    held = starts.join(jumps, ["digest", "number"]).select("digest", "part", F.explode(F.sequence(F.col("number"), F.col("next") - 1)).alias("number"))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("number", "text"))), lambda x: x["text"])
+    packed = held.join(numbered.select("digest", "number", "text"), ["digest", "number"]).groupBy("digest", "part").agg(F.count("*").alias("items"), F.array_join(texts, "\n").alias("message"))
+    return packed.join(counts, "digest").select("digest", "part", "parts", "items", "message")
 
 
 def new_header(total: Column) -> Column:

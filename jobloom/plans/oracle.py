@@ -248,6 +248,7 @@ SQL = {
     "q_work_auth": f"WITH {RAW_SQL},{REQUIRED} SELECT seq, blockers FROM raw JOIN blockers ON coalesce(description, '') = d",
     "q_required_lines": f"WITH {RAW_SQL},{REQUIRED} SELECT seq, required FROM raw JOIN required ON coalesce(description, '') = d",
     "q_labels": f"{_WITH_BLOCKERS} SELECT seq, {_LABELS}, blockers AS work_authorization FROM lab",
+    "q_digest_pack": f"{_WITH_BLOCKERS.replace('WITH', 'WITH RECURSIVE', 1)}, m AS (SELECT *, {_MARKED} AS marked FROM lab), n AS (SELECT strftime(published_at, '%Y-%m') AS digest, row_number() OVER (PARTITION BY strftime(published_at, '%Y-%m') ORDER BY seq) AS n, CASE WHEN company <> '' THEN company || ' — ' || marked ELSE marked END || chr(10) || '   ' || url AS line FROM m), t AS (SELECT digest, n, n || '. ' || line AS text, length(n || '. ' || line) + 1 AS size FROM n WHERE digest IS NOT NULL), walk AS (SELECT digest, n, 1 AS part, 160 + size AS used FROM t WHERE n = 1 UNION ALL SELECT t.digest, t.n, CASE WHEN w.used + t.size > {P.MESSAGE_LIMIT} THEN w.part + 1 ELSE w.part END, CASE WHEN w.used + t.size > {P.MESSAGE_LIMIT} THEN 160 + t.size ELSE w.used + t.size END FROM walk w JOIN t ON t.digest = w.digest AND t.n = w.n + 1), packed AS (SELECT w.digest, w.part, count(*) AS items, sha256(string_agg(t.text, chr(10) ORDER BY t.n)) AS digest_hash FROM walk w JOIN t ON t.digest = w.digest AND t.n = w.n GROUP BY 1, 2) SELECT digest, part, max(part) OVER (PARTITION BY digest) AS parts, items, digest_hash FROM packed",
     "q_title_marks": f"{_WITH_BLOCKERS}, m AS (SELECT *, {_MARKED} AS marked FROM lab) SELECT seq, marked, CASE WHEN company <> '' THEN company || ' — ' || marked ELSE marked END AS label FROM m",
     "q_normalize": f"{BASE} SELECT seq, company, title, location, remote, description, source_job_id, track, identity_key FROM norm",
     "q_feed_entry": f"{BASE}, b AS (SELECT *, {strip(rf"regexp_replace({html_text('description')}, '[ \t]*\n\s*', chr(10), 'g')")} AS body FROM norm) SELECT canonical_url AS feed_key, title, CASE WHEN {strip('company')} <> '' THEN cc || ' | ' || {family('title')} END AS role_key, seq % 2 = 0 AS repeat_of_seen_role, coalesce({topic('title', 'description')}, 'off_topic') AS topic, {language("concat_ws(' ', title, body)")} AS language, substr(body, 1, 6000) AS description, length(body) > 6000 AS description_truncated FROM b",
