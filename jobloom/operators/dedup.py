@@ -19,18 +19,19 @@ def richness() -> Column:
     return F.coalesce(F.length("description"), F.lit(0)) + F.when(C.text(c("location")) != "", 10).otherwise(0) + F.when(c("published_at").isNotNull(), 5).otherwise(0) + F.when(c("url").contains("?"), 0).otherwise(1)
 
 
-def _narrow(postings: DataFrame) -> DataFrame:
+def _narrow(postings: DataFrame, scope: str | None = None) -> DataFrame:
     """What ranks and groups a row: ``best`` is least for the row to keep."""
     c = F.col
+    postings = postings if scope is None else postings.withColumn("identity_key", F.struct(scope, "identity_key"))
     placed = (C.text(c("location")) != "") & C.is_location_eligible(c("location"), c("remote"))
     best = F.struct((~is_inbox()).alias("not_inbox"), (~placed).alias("not_placed"), (-richness()).alias("poor"), "canonical_url", "seq")
-    role = F.struct(C.canonical_company(c("company")).alias("company"), C.normalize_title(c("title")).alias("title"))
+    role = F.struct(*([] if scope is None else [scope]), C.canonical_company(c("company")).alias("company"), C.normalize_title(c("title")).alias("title"))
     return postings.select("identity_key", "seq", best.alias("best"), role.alias("role"), (C.strip(C.text(c("company"))) == "").alias("unknown"), F.nullif(C.strip(C.text(c("location"))), F.lit("")).alias("place"), "russian_company")
 
 
-def _identities(postings: DataFrame) -> DataFrame:
+def _identities(postings: DataFrame, scope: str | None = None) -> DataFrame:
     """One row an identity: its best row's facts, ``pos`` (where it first stood), ``n``, all places and whether any row has the flag."""
-    groups = _narrow(postings).groupBy("identity_key").agg(F.min(F.struct("best", "role", "unknown")).alias("b"), F.min("seq").alias("pos"), F.count("*").alias("n"), F.collect_set("place").alias("places"), F.max("russian_company").alias("flag"))
+    groups = _narrow(postings, scope).groupBy("identity_key").agg(F.min(F.struct("best", "role", "unknown")).alias("b"), F.min("seq").alias("pos"), F.count("*").alias("n"), F.collect_set("place").alias("places"), F.max("russian_company").alias("flag"))
     return groups.select("identity_key", "b.*", "pos", "n", "places", "flag")
 
 
@@ -40,16 +41,17 @@ def by_identity(postings: DataFrame) -> DataFrame:
     return postings.join(best, "seq")
 
 
-def deduplicate(postings: DataFrame) -> DataFrame:
+def deduplicate(postings: DataFrame, scope: str | None = None) -> DataFrame:
     """The survivor of each role, or of each identity where the employer is unknown.
 
     Adds ``out_pos`` (the order of the output), ``advertised_locations`` (only where rows were merged) and ``merged``
-    (rows that went into the survivor). Equal rows keep the earlier one.
+    (rows that went into the survivor). Equal rows keep the earlier one. With the column ``scope`` rows of different
+    values are never merged, so that many inputs go through one plan.
     """
     c = F.col
-    role = F.when(c("unknown"), F.struct(F.lit("").alias("company"), c("identity_key").alias("title"))).otherwise(c("role"))
+    role = F.struct(F.when(c("unknown"), c("identity_key")).alias("identity"), F.when(~c("unknown"), c("role")).alias("role"))
     best = F.struct("best.not_inbox", "best.not_placed", "best.poor", "best.canonical_url", "pos", "best.seq")
-    groups = _identities(postings).groupBy(role.alias("group")).agg(F.min(best).alias("b"), F.max("pos").alias("out_pos"), F.sum("n").alias("merged"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"), F.max("flag").alias("any_flag"))
+    groups = _identities(postings, scope).groupBy(role.alias("group")).agg(F.min(best).alias("b"), F.max("pos").alias("out_pos"), F.sum("n").alias("merged"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"), F.max("flag").alias("any_flag"))
     places = F.when(c("merged") > 1, c("places")).otherwise(F.array().cast("array<string>"))
     kept = groups.select(c("b.seq").alias("seq"), "out_pos", "merged", places.alias("advertised_locations"), "any_flag")
     return postings.join(kept, "seq").withColumn("russian_company", c("any_flag")).select(*postings.columns, "advertised_locations", "out_pos", "merged")

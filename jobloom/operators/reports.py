@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
 from jobloom.functions import policy as P
+from jobloom.operators import calendar
 from jobloom.operators.postings import is_handover, is_inbox
 from jobloom.plans.storage import stash
 
@@ -156,8 +157,89 @@ def new_header(total: Column) -> Column:
     return F.concat(F.lit("📬 +"), total.cast("string"), F.lit(" "), C.number_form(total, "новая вакансия", "новые вакансии", "новых вакансий"))
 
 
+def _is_channel_name(name: Column) -> Column:
+    return F.lower(name).startswith("telegram")
+
+
+def _problems() -> Column:
+    """A line a kind of problem: sites that did not answer, sites that refuse, sources without a result, channels, channels without keys."""
+    line = lambda mark, c: F.when(F.size(c) > 0, F.concat(F.lit(mark), C.short_list(c)))
+    failed = F.col("failed_names")
+    bare = lambda n: C.strip(F.regexp_replace(F.regexp_replace(n, "^Telegram @", ""), "^Telegram ", ""))
+    channels = F.transform(F.filter(failed, _is_channel_name), lambda n: F.coalesce(F.nullif(bare(n), F.lit("")), n))
+    return F.array_compact(F.array(
+        line("⚠️ Не ответили: ", F.filter(failed, lambda n: ~_is_channel_name(n))), line("🔒 Блокируют автосбор: ", F.col("manual_names")), line("⚠️ Без результата: ", F.col("degraded_names")),
+        line("⚠️ Telegram: ", channels), line("🔑 Telegram без ключей: ", F.col("skipped_names")),
+    ))
+
+
 def problem_lines(summary: DataFrame, *keys: str) -> DataFrame:
     """The problems of each summary row as one text, a line a kind, with the ``keys`` columns."""
-    line = lambda mark, c: F.when(F.size(c) > 0, F.concat(F.lit(mark), C.short_list(F.col(c))))
-    lines = F.array_compact(F.array(line("⚠️ Не ответили: ", "failed_names"), line("🔒 Блокируют автосбор: ", "manual_names"), line("⚠️ Без результата: ", "degraded_names"), line("🔑 Telegram без ключей: ", "skipped_names")))
-    return summary.select(*keys, F.array_join(lines, "\n").alias("problems"))
+    return summary.select(*keys, F.array_join(_problems(), "\n").alias("problems"))
+
+
+def status_lines(now: Column) -> Column:
+    """The problems of a summary row and the line of the clock, green where there is no problem."""
+    clock = F.concat(F.date_format(calendar.local(now), "HH:mm"), F.lit(" · "), calendar.next_check_text(now))
+    return F.when(F.size(_problems()) == 0, F.array(F.concat(F.lit("🟢 "), clock))).otherwise(F.concat(_problems(), F.array(F.concat(F.lit("🕐 "), clock))))
+
+
+def heartbeat(summary: DataFrame, now: Column, *keys: str) -> DataFrame:
+    """What a run without news says: one line where all is well, else the problems below it."""
+    lines = status_lines(now)
+    text = F.when(F.size(lines) == 1, F.concat(F.lit("📭 Новых нет · "), lines[0])).otherwise(F.array_join(F.concat(F.array(F.lit("📭 Новых нет")), lines), "\n"))
+    return summary.select(*keys, text.alias("heartbeat"))
+
+
+def diagnostics(runs: DataFrame, raw: DataFrame, normalized: DataFrame, unique: DataFrame, status: Column, collected_at: Column, secrets: tuple[str, ...] = ()) -> DataFrame:
+    """One row, ``report``: a run as a JSON tree of its sources in order of their id, counts, rejections and labels.
+
+    ``runs(source_id, source_name, status, error, items_scanned, ...)`` judged, ``raw`` and ``normalized`` postings of their ``source_id`` (of failed
+    sources none), ``unique`` the run's roles. Counts by source and of the run come from one pass over narrow rows with two grouping
+    sets. Sources are a registry, so the tree is bounded by it. Rejections that never occur are left out.
+    """
+    c = F.col
+    none = F.lit(False)
+    facts = lambda df, kind: df.select(F.lit(kind).alias("kind"), "source_id", is_inbox().alias("inbox"), is_handover().alias("handover"), (~c("primary")).alias("outside"), c("topic").isNull().alias("off"))
+    of_raw = raw.select(F.lit("raw").alias("kind"), "source_id", *[none.alias(x) for x in ("inbox", "handover", "outside", "off")])
+    rows = of_raw.unionByName(facts(normalized, "normalized")).unionByName(facts(unique, "unique"))
+    counted = stash(rows.groupingSets([["kind", "source_id"], ["kind"]], "kind", "source_id").agg(F.count("*").alias("n"), *[F.count_if(x).alias(x) for x in ("inbox", "handover", "outside", "off")], F.grouping("source_id").alias("whole")), "counted")
+    rejected = lambda outside, off: F.map_filter(F.create_map(F.lit("outside_primary_ios"), outside, F.lit("off_topic"), off), lambda k, n: n > 0)
+    zero = lambda x: F.coalesce(x, F.lit(0).cast("long"))
+
+    part = lambda kind: counted.where((c("whole") == 0) & (c("kind") == kind))
+    by_raw = part("raw").select("source_id", c("n").alias("raw"))
+    by_normal = part("normalized").select("source_id", c("n").alias("normalized"), "inbox", "outside", "off")
+    optional = lambda name, kind: c(name).cast(kind) if name in runs.columns else F.lit(None).cast(kind)
+    each = runs.join(by_raw, "source_id", "left").join(by_normal, "source_id", "left").select(F.struct(
+        c("source_id").alias("id"), c("source_name").alias("name"), "status", C.safe_error(C.text(c("error")), secrets).alias("reason"), c("items_scanned").alias("scanned"), zero(optional("items_skipped", "long")).alias("skipped"),
+        zero(c("raw")).alias("raw"), zero(c("normalized")).alias("normalized"), (zero(c("raw")) - zero(c("normalized"))).alias("normalization_rejected"), zero(c("inbox")).alias("inbox_eligible"),
+        rejected(zero(c("outside")), zero(c("off"))).alias("rejections"), optional("response_ms", "long").alias("response_ms"),
+    ).alias("source"))
+    by_id = lambda a, b: F.when(a["id"] < b["id"], -1).when(a["id"] > b["id"], 1).otherwise(0)
+    sources = each.agg(F.array_sort(F.collect_list("source"), by_id).alias("sources"))
+    total = lambda kind, x: zero(F.max(F.when((c("whole") == 1) & (c("kind") == kind), c(x))))
+    counts = counted.agg(
+        F.struct(total("raw", "n").alias("raw"), total("normalized", "n").alias("normalized"), total("unique", "n").alias("unique_roles"), (total("normalized", "n") - total("unique", "n")).alias("duplicates_collapsed"), total("unique", "inbox").alias("inbox_eligible"), total("unique", "handover").alias("handover_eligible")).alias("counts"),
+        rejected(total("unique", "outside"), total("unique", "off")).alias("rejections"),
+    )
+    labels = label_counts(unique).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "n")))).alias("labels"))
+    tree = F.struct(F.lit(1).alias("schema_version"), collected_at.alias("collected_at"), status.alias("status"), "sources", "counts", "rejections", "labels")
+    return sources.crossJoin(F.broadcast(counts)).crossJoin(F.broadcast(labels)).select(F.to_json(tree).alias("report"))
+
+
+REPORT = (
+    "status string, counts struct<raw: long, normalized: long, unique_roles: long, duplicates_collapsed: long, inbox_eligible: long, handover_eligible: long>, rejections map<string, long>, labels map<string, long>, "
+    "sources array<struct<id: string, name: string, status: string, reason: string, scanned: long, skipped: long, raw: long, normalized: long, normalization_rejected: long, inbox_eligible: long, rejections: map<string, long>>>"
+)
+
+
+def summary_lines(report: DataFrame) -> DataFrame:
+    """``nth, line`` of the Markdown summary of a ``report``: its status, its counts and a table of its sources."""
+    r = report.select(F.from_json("report", REPORT).alias("r")).select("r.*")
+    cell = lambda x: F.replace(F.replace(F.replace(C.text(x.cast("string")), F.lit("|"), F.lit(" / ")), F.lit("\n"), F.lit(" ")), F.lit("<"), F.lit("&lt;"))
+    names = ("raw", "normalized", "unique_roles", "duplicates_collapsed", "inbox_eligible", "handover_eligible")
+    columns = ("name", "status", "scanned", "skipped", "normalized", "inbox_eligible", "reason")
+    rows = F.transform("sources", lambda s: F.concat(F.lit("| "), F.concat_ws(" | ", *[cell(s[x]) for x in columns]), F.lit(" |")))
+    head = F.array(F.lit("## Vacancy collection"), F.lit(""), F.concat(F.lit("Status: **"), F.coalesce("status", F.lit("unknown")), F.lit("**")), F.lit(""), *[F.concat(F.lit(f"- {n}: "), F.col(f"counts.{n}").cast("string")) for n in names], F.lit(""), F.lit("| Source | Status | Scanned | Skipped | Normalized | Inbox eligible | Reason |"), F.lit("|---|---|---:|---:|---:|---:|---|"))
+    return r.select(F.posexplode(F.concat(head, rows)).alias("nth", "line"))

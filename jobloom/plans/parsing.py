@@ -482,11 +482,13 @@ def q_short_list(spark, d):
 
 
 @checked("""WITH n AS (SELECT s_nationkey, list_sort(list(s_name)) AS l FROM supplier GROUP BY 1), s AS (SELECT s_nationkey, array_to_string(l[1:3], ', ') || CASE WHEN len(l) > 3 THEN ' (+' || (len(l) - 3) || ')' ELSE '' END AS x FROM n)
-SELECT s_nationkey, '⚠️ Не ответили: ' || x || CASE WHEN s_nationkey % 2 = 0 THEN chr(10) || '🔑 Telegram без ключей: ' || x ELSE '' END AS problems FROM s""")
+SELECT s_nationkey, '⚠️ Не ответили: ' || x || CASE WHEN s_nationkey % 3 = 0 THEN chr(10) || '⚠️ Telegram: jobs, Telegram ' ELSE '' END || CASE WHEN s_nationkey % 2 = 0 THEN chr(10) || '🔑 Telegram без ключей: ' || x ELSE '' END AS problems FROM s""")
 def q_problem_lines(spark, d):
-    s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list("s_name")).alias("failed_names"))
+    """Sites and channels that failed stand in lines of their own."""
+    s = table(spark, d, "supplier").groupBy("s_nationkey").agg(F.array_sort(F.collect_list("s_name")).alias("l"))
     none = F.array().cast("array<string>")
-    s = s.withColumns({"manual_names": none, "degraded_names": none, "skipped_names": F.when(c("s_nationkey") % 2 == 0, c("failed_names")).otherwise(none)})
+    channels = F.when(c("s_nationkey") % 3 == 0, F.array(F.lit("Telegram @jobs"), F.lit("Telegram "))).otherwise(none)
+    s = s.withColumns({"failed_names": F.concat(F.slice(channels, 1, 1), "l", F.slice(channels, 2, 1)), "manual_names": none, "degraded_names": none, "skipped_names": F.when(c("s_nationkey") % 2 == 0, c("l")).otherwise(none)})
     return reports.problem_lines(s, "s_nationkey")
 
 

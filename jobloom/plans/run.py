@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobloom.functions import columns as C
 from jobloom.operators import dedup, health, incremental, postings, reports
 
 
@@ -79,6 +80,43 @@ def evaluate(cases: DataFrame) -> DataFrame:
     return reports.confusion(both, c("admitted"), c("expected"))
 
 
+def evaluate_labels(cases: DataFrame, expected: DataFrame) -> DataFrame:
+    """``id, name, value, actual`` where an admitted case that should be has another label than expected.
+
+    ``cases(id, raw postings columns, expected boolean)``, ``expected(id, name, value)`` with values as text, one row a label that is asserted; the
+    attention mark is the label ``attention``, expected false unless a row says otherwise. Actual labels are unpivoted to
+    the same shape, so all assertions are one join.
+    """
+    c = F.col
+    good = postings.normalize(cases.withColumn("_id", c("id"))).where(postings.is_inbox() & c("expected"))
+    labels = C.labels() | {"attention": C.location_attention(c("location"), c("remote"))}
+    text = {k: F.to_json(v) if k == "work_authorization" else v.cast("string") for k, v in labels.items()}
+    actual = good.select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("name"), v.alias("actual")) for k, v in text.items()])).alias("x")).select("id", "x.*")
+    said = expected.select("id", "name", "value")
+    silent = good.select("id").distinct().join(said.where("name = 'attention'").select("id"), "id", "left_anti").select("id", F.lit("attention").alias("name"), F.lit("false").alias("value"))
+    wrong = said.unionByName(silent).join(actual, ["id", "name"])
+    return wrong.where(~c("value").eqNullSafe(c("actual"))).select("id", "name", "value", "actual")
+
+
+def evaluate_duplicates(groups: DataFrame, expected: DataFrame) -> DataFrame:
+    """``id, backwards, rows, normal, urls, wanted, ok``: every group of variants without its duplicates, in both orders.
+
+    ``groups(id, pos, raw postings columns)`` and ``expected(id, urls)``. The orders are a scope of the one duplicate removal that all groups go
+    through, so discovery order must not change what survives. A group with a variant that does not normalise is not ``ok``.
+    """
+    c = F.col
+    both = groups.withColumn("backwards", F.explode(F.array(F.lit(False), F.lit(True))))
+    both = both.withColumn("seq", F.struct("id", "backwards", F.when(c("backwards"), -c("pos")).otherwise(c("pos")).alias("at")))
+    normal = postings.normalize(both.withColumn("scope", F.struct("id", "backwards")))
+    left = dedup.deduplicate(normal, scope="scope").groupBy("id", "backwards").agg(F.array_sort(F.collect_list("url")).alias("urls"))
+    sizes = both.groupBy("id", "backwards").agg(F.count("*").alias("rows"))
+    kept = normal.groupBy("id", "backwards").agg(F.count("*").alias("normal"))
+    out = sizes.join(kept, ["id", "backwards"], "left").join(left, ["id", "backwards"], "left").join(expected.select("id", F.array_sort("urls").alias("wanted")), "id", "left")
+    none = F.array().cast("array<string>")
+    out = out.select("id", "backwards", "rows", F.coalesce("normal", F.lit(0)).alias("normal"), F.coalesce("urls", none).alias("urls"), F.coalesce("wanted", none).alias("wanted"))
+    return out.withColumn("ok", (c("rows") == c("normal")) & (c("urls") == c("wanted")))
+
+
 def export_feed(feed: DataFrame) -> DataFrame:
     """The feed as one JSON entry a row, by key: the boundary format of consumers that read documents."""
     return feed.select("feed_key", F.to_json(F.struct(*[c for c in feed.columns if c != "feed_key"])).alias("entry")).orderBy("feed_key")
