@@ -6,13 +6,15 @@ DivideSkip does (Li, Lu and Lu, 2008): the L longest lists are put aside, the sh
 fewer than T - L of them is out, and the others are looked up in the long lists by binary search until T is reached or is
 out of reach.
 
-The search runs in cells, so no list is ever longer than a cell. Plan: one pass over the texts gives each set's size and
-fingerprint and ``COUNTERS`` counters of how often shingles occur, over all documents -> one class per distinct set -> the
-shingles that come first in the order (counter, hash), as many as two sets that link cannot both do without, one row each
+The search runs in cells, so no list is ever longer than a cell, and twice: on the few first shingles of each set, then, for rows that met
+there, on whole sets. Plan: one pass over the texts gives each set's size and
+fingerprint and ``COUNTERS`` counters of how often shingles occur, over all documents -> one class per distinct set -> of
+each set the shingles that come first in the order (counter, hash), one row each: sets that link have ``common`` of these
+in common at least, so a set with fewer that any other has is out, and once it is out its shingles no longer count for others
 -> a star from the rows of each shingle to its smallest id -> search for the head among its star -> components -> where the rows of
 a shingle still lie in several components, the rows outside the largest search among all of sizes near theirs, cell by
 cell -> components. Rows already joined are never compared; no candidate is dropped. Since frequent shingles come last in
-the order, texts that only share boilerplate never meet.
+the order, texts that only share boilerplate or chance phrases never meet.
 
 The driver holds the counters' sums (``COUNTERS`` numbers), a task one cell of about ``CELL_SHINGLES`` shingles (or one longer
 text). Stars and cells are cut by their shingles; joins on keys that a group of copies can make hot broadcast the few
@@ -48,10 +50,13 @@ PARTS = 64
 CELL_SHINGLES, STREAMED_SHINGLES = 200_000, 2_000_000
 #: What a binary search costs against a step of the merge; sets how many lists count as long.
 MU = 0.0085
+#: Times that sets without enough shared shingles are taken out.
+PEELED = 2
 #: Ids up to this number are broadcast to the scan that fetches their texts.
 NEAR_IDS = 500_000
 
 SURVEY = "id long, n_shingles long, fp1 long, fp2 long, part int, counters binary"
+FIRST = "id long, n int, least int, keys array<long>"
 CELL = ["head", "part", "qpart"]
 ROW = [*CELL, "turn", "id", "comp", "other"]
 
@@ -66,6 +71,12 @@ def least_required(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
+def common(n: int) -> int:
+    """How many of its first shingles a set of ``n`` is to share with a partner that asks for no fewer. The prefixes of
+    ``n - least_required(n) + common(n)`` shingles of two sets that link share the smaller of their two numbers."""
+    return max(1, n // 20)
+
+
 class ListIndex:
     """Inverted lists over a few sets, and the T-occurrence search in them."""
 
@@ -77,11 +88,11 @@ class ListIndex:
         self.starts = np.append(starts, len(flat))
         self.rows = np.repeat(np.arange(len(sets)), self.sizes)[order].tolist()
 
-    def search(self, s: np.ndarray, percent: int, wanted=lambda row: True):
-        """Rows whose sets link with ``s``; ``wanted`` is asked before a row's long lists are."""
+    def search(self, s: np.ndarray, least: int, need, wanted=lambda row: True):
+        """Rows that have ``need(row)`` shingles of ``s`` or more, where no row needs fewer than ``least``; ``wanted`` is asked
+        before a row's long lists are."""
         if not len(s) or not len(self.shingles):
             return
-        n, least = len(s), least_required(len(s), percent)
         at = np.minimum(np.searchsorted(self.shingles, s), len(self.shingles) - 1)
         at = at[self.shingles[at] == s]
         if len(at) < least:
@@ -92,17 +103,17 @@ class ListIndex:
         begin, end = begin[order].tolist(), end[order].tolist()
         cut = len(begin) - aside
         for row, found in groupby(merge(*(self.rows[a:b] for a, b in zip(begin[:cut], end[:cut])))):
-            have, m = sum(1 for _ in found), self.sizes[row]
-            if have < least - aside or min(n, m) * 100 < percent * max(n, m) or not wanted(row):
+            have = sum(1 for _ in found)
+            if have < least - aside or not wanted(row):
                 continue
-            need, left = required(n, m, percent), aside
+            enough, left = need(row), aside
             for a, b in zip(begin[cut:], end[cut:]):
-                if have >= need or have + left < need:
+                if have >= enough or have + left < enough:
                     break
                 left -= 1
                 i = bisect_left(self.rows, row, a, b)
                 have += i < b and self.rows[i] == row
-            if have >= need:
+            if have >= enough:
                 yield row
 
 
@@ -158,69 +169,132 @@ def frequency_levels(counters: DataFrame) -> np.ndarray:
 
 
 def _first_shingles(levels: np.ndarray, percent: int, k: int):
-    """Of each set the shingles first in the order (level, hash), so many that sets that link share one of them."""
+    """Of each set the shingles first in the order (level, hash), and how many of them it shares with any partner at least."""
 
     def run(batches):
         for batch in batches:
-            n, keys = [], []
+            n, least, keys = [], [], []
             for s in shingle_sets(batch.column(1), k):
                 n.append(len(s))
+                least.append(common(least_required(len(s), percent)))
                 rare = np.argsort(levels[(s >> _COUNTER).astype(np.int64)], kind="stable")
-                keys.append(s[rare[: len(s) - least_required(len(s), percent) + 1]].view(np.int64))
+                keys.append(s[rare[: len(s) - least_required(len(s), percent) + common(len(s))]].view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            yield _batch([batch.column(0), pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))], "id long, n long, keys array")
+            yield _batch([batch.column(0), pa.array(n, pa.int32()), pa.array(least, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))], FIRST)
 
     return run
 
 
+def _shared(members: DataFrame, total: int) -> DataFrame:
+    """``members(key, id, n, least)`` whose key another id has too, with the key's smallest id as their head."""
+    heads = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("last"), F.count("*").alias("rows")).where("head.id < last")
+    heads = stash(heads.select("key", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"), "rows"), "heads")
+    return stash(join_hot(members, heads, ["key"], F.col("rows") >= hot_rows(total)).select("key", "id", "n", "least", "head", "head_n"), "shared")
+
+
 def _of(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(ids) if ids.count() <= NEAR_IDS else ids, "id", "left_semi")
 
 
-def search_cells(cells: DataFrame, docs: DataFrame, percent: int, k: int) -> DataFrame:
-    """Links ``(u, v)`` between rows of each cell that lie in different components: rows of turn 0 are indexed, those of
-    turn 1 search; of two rows that both search, the later one finds the other. A row joined in the cell is not
-    compared again, so at most one link a row and component comes out."""
-    texts = _of(docs, cells.select("id").distinct())
-    dealt = cells.join(texts, "id").select(*ROW, "text").repartition(*CELL).sortWithinPartitions(*CELL, "turn", "id")
+class _Cell:
+    """The indexed rows of a cell, and the components that links found in it join."""
+
+    def __init__(self):
+        self.rows, self.sets, self.sizes, self.index, self.up = [], [], [], None, {}
+
+    def add(self, row: tuple, s: np.ndarray, size: int) -> None:
+        self.rows.append(row), self.sets.append(s), self.sizes.append(size)
+
+    def root(self, c):
+        while self.up.get(c, c) != c:
+            c = self.up[c]
+        return c
+
+    def partners(self, row: tuple, s: np.ndarray, n: int, percent: int, least: int, need):
+        """Positions of rows that reach what is needed; of two rows that both search, the later one finds the other."""
+        if not self.rows:
+            return
+        self.index = self.index or ListIndex(self.sets)
+        id_, comp, other = row
+
+        def wanted(j: int) -> bool:
+            held, m = self.rows[j], self.sizes[j]
+            both = other and held[2] and held[0] > id_
+            return held[0] != id_ and not both and min(n, m) * 100 >= percent * max(n, m) and self.root(held[1]) != self.root(comp)
+
+        yield from self.index.search(s, least, lambda j: need(n, self.sizes[j]), wanted)
+
+
+def _meet(percent: int):
+    """The rows of each cell whose first shingles meet another's as often as those of sets that link do."""
 
     def run(batches):
-        now, held, sets, index, up = None, [], [], None, {}
+        now, cell, out = None, _Cell(), {}
+        for batch in batches:
+            done = []
+            for row, n, keys in zip(zip(*(batch.column(i).to_pylist() for i in range(len(ROW)))), batch.column(len(ROW)).to_pylist(), batch.column(len(ROW) + 1)):
+                if row[:3] != now:
+                    done += out
+                    now, cell, out = row[:3], _Cell(), {}
+                s = keys.values.to_numpy().view(U)
+                if row[3] == 0:
+                    cell.add(row[4:], s, n)
+                    continue
+                for j in cell.partners(row[4:], s, n, percent, common(least_required(n, percent)), lambda n, m: min(common(n), common(m))):
+                    out[(*now, 0, *cell.rows[j])] = out[row] = None
+            yield _rows(done)
+        yield _rows(list(out))
+
+    return run
+
+
+def _rows(rows: list) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * len(ROW), kinds)], ROW)
+
 
-        def root(c):
-            while up.get(c, c) != c:
-                c = up[c]
-            return c
+def _verify(percent: int, k: int):
+    """Links ``(u, v)`` of the rows of each cell on whole sets, at most one a row and component."""
 
+    def run(batches):
+        now, cell = None, _Cell()
         for batch in batches:
             us, vs = [], []
             for row, s in zip(zip(*(batch.column(i).to_pylist() for i in range(len(ROW)))), shingle_sets(batch.column(len(ROW)), k)):
-                cell, (turn, id_, comp, other) = row[:3], row[3:]
-                if cell != now:
-                    now, held, sets, index, up = cell, [], [], None, {}
-                if turn == 0:
-                    held.append((id_, comp, other)), sets.append(s)
-                    continue
-                if not sets:
+                if row[:3] != now:
+                    now, cell = row[:3], _Cell()
+                if row[3] == 0:
+                    cell.add(row[4:], s, len(s))
                     continue
-                index = index or ListIndex(sets)
-                for j in index.search(s, percent, lambda j: held[j][0] != id_ and not (other and held[j][2] and held[j][0] > id_) and root(held[j][1]) != root(comp)):
-                    a, b = root(held[j][1]), root(comp)
-                    up[max(a, b)] = min(a, b)
-                    us.append(max(id_, held[j][0])), vs.append(min(id_, held[j][0]))
+                for j in cell.partners(row[4:], s, len(s), percent, least_required(len(s), percent), lambda n, m: required(n, m, percent)):
+                    held, (id_, comp, _) = cell.rows[j], row[4:]
+                    a, b = cell.root(held[1]), cell.root(comp)
+                    cell.up[max(a, b)] = min(a, b)
+                    us.append(max(id_, held[0])), vs.append(min(id_, held[0]))
             yield _batch([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], "u long, v long")
 
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    return run
+
+
+def search_cells(cells: DataFrame, first: DataFrame, docs: DataFrame, percent: int, k: int) -> DataFrame:
+    """Links ``(u, v)`` between rows of each cell that lie in different components: rows of turn 0 are indexed, those of turn 1
+    search. First shingles meet first; only rows of a cell that met one come again with their texts."""
+    dealt = lambda df: df.repartition(*CELL).sortWithinPartitions(*CELL, "turn", "id")
+    kinds = "head long, part long, qpart int, turn int, id long, comp long, other boolean"
+    met = dealt(cells.join(first.select("id", "n", "keys"), "id").select(*ROW, "n", "keys")).mapInArrow(_meet(percent), kinds)
+    met = stash(met.distinct(), "met")
+    texts = _of(docs, met.select("id").distinct())
+    return dealt(met.join(texts, "id").select(*ROW, "text")).mapInArrow(_verify(percent, k), "u long, v long").distinct()
 
 
 def star_cells(star: DataFrame) -> DataFrame:
     """Cells of ``star(u, v, n)``: the rows of a head in parts of about ``CELL_SHINGLES``, and the head to search each."""
     width = stash(star.groupBy("v").agg(F.ceil(F.sum("n") / F.lit(CELL_SHINGLES)).cast("int").alias("k"), F.count("*").alias("rows")), "star_widths")
     rows = join_hot(star, width, ["v"], F.col("rows") >= hot_rows(0))
-    part = F.pmod(F.xxhash64("u"), F.col("k")).cast("int")
+    part = F.pmod(F.xxhash64("u"), F.col("k")).cast("long")
     data = rows.select(F.col("v").alias("head"), part.alias("part"), F.lit(0).alias("qpart"), F.lit(0).alias("turn"), F.col("u").alias("id"), F.col("u").alias("comp"), F.lit(False).alias("other"))
-    heads = width.select(F.col("v").alias("head"), F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("part"), F.lit(0).alias("qpart"), F.lit(1).alias("turn"), F.col("v").alias("id"), F.col("v").alias("comp"), F.lit(False).alias("other"))
+    heads = width.select(F.col("v").alias("head"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("k").cast("long") - 1)).alias("part"), F.lit(0).alias("qpart"), F.lit(1).alias("turn"), F.col("v").alias("id"), F.col("v").alias("comp"), F.lit(False).alias("other"))
     return data.union(heads)
 
 
@@ -261,15 +335,17 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     several = live.groupBy("id").agg(F.min("fp1").alias("a"), F.max("fp1").alias("b"), F.min("fp2").alias("c"), F.max("fp2").alias("d")).where("a <> b OR c <> d").select("id")
     twice = live.join(several, "id", "left_semi").join(classes, sets).where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
 
-    first = docs.where("id IS NOT NULL").mapInArrow(_first_shingles(levels, percent, k), "id long, n long, keys array<long>")
+    first = docs.where("id IS NOT NULL").mapInArrow(_first_shingles(levels, percent, k), FIRST)
     first = stash(_of(first, classes.select(F.col("rep").alias("id")).distinct()), "first_shingles")
-    members = first.select(F.explode("keys").alias("key"), "id", "n")
-    heads = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("last"), F.count("*").alias("rows")).where("head.id < last")
-    heads = stash(heads.select("key", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"), "rows"), "heads")
-    under = stash(join_hot(members, heads, ["key"], F.col("rows") >= hot_rows(total)).select("key", "id", "n", "head", "head_n"), "under")
+    members = first.select(F.explode("keys").alias("key"), "id", "n", "least")
+    for _ in range(PEELED):
+        shared = _shared(members, total)
+        enough = shared.groupBy("id", "n", "least").agg(F.count("*").alias("held")).where("held >= least").select("id").distinct()
+        members = _of(shared, stash(enough, "enough")).select("key", "id", "n", "least")
+    under = _shared(members, total)
     near = F.least("n", "head_n") * 100 >= F.greatest("n", "head_n") * percent
     star = stash(under.where(near & (F.col("id") != F.col("head"))).select(F.col("id").alias("u"), F.col("head").alias("v"), "n").distinct(), "star")
-    links = stash(search_cells(star_cells(star), docs, percent, k).union(twice).distinct(), "links")
+    links = stash(search_cells(star_cells(star), first, docs, percent, k).union(twice).distinct(), "links")
     comps = stash(connected_components(links), "components")
 
     # Two rows that link share a first shingle; only shingles whose rows lie in several components can add a link.
@@ -277,7 +353,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     mixed = stash(placed.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("rows")).where("a < b").select("key", "rows"), "mixed_keys")
     groups = stash(join_hot(placed, mixed, ["key"], F.col("rows") >= hot_rows(total)).select("head", "id", "n", "comp").distinct(), "mixed_groups")
     if not groups.isEmpty():
-        more = stash(search_cells(stash(mixed_cells(groups, total, percent), "cells"), docs, percent, k), "more_links")
+        more = stash(search_cells(mixed_cells(groups, total, percent), first, docs, percent, k), "more_links")
         if not more.isEmpty():
             comps = stash(connected_components(links.union(more)), "all_components")
 
