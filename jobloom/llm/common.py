@@ -28,11 +28,16 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path of its own below the shared folder."""
+    return f"{shared_dir(spark)}/jobloom-{uuid.uuid4().hex}/{name}"
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: lineage ends there, so a lost
     executor costs no recomputation of what came before."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/jobloom-{uuid.uuid4().hex}/{name}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -47,7 +47,7 @@ COUNTERS = 1 << 18
 _COUNTER = U(64 - 18)
 PARTS = 64
 #: Shingles indexed in one cell, and shingles of queries that stream past it.
-CELL_SHINGLES, STREAMED_SHINGLES = 200_000, 2_000_000
+CELL_SHINGLES, STREAMED_SHINGLES = 50_000, 500_000
 #: What a binary search costs against a step of the merge; sets how many lists count as long.
 MU = 0.0085
 #: Times that sets without enough shared shingles are taken out.

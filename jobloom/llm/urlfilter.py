@@ -9,7 +9,8 @@ the two training classes, as many standard deviations from either, and URLs belo
 
 All counts are taken over all URLs, each distinct URL of a class weighted by its rows. Built-in
 functions only: counts, contexts and scores are joins and sums over the table of distinct four-grams, whose
-size is bounded by the alphabet, and a URL's n-grams are summed before they are shuffled.
+size is bounded by the alphabet. A URL's n-grams are counted before they meet the ratios; where these are too many to broadcast, the
+few grams of very many URLs still are, and so are the scores of URLs that very many rows have (null ones among them).
 
 Defined cases: a null url or one without ``://`` has an empty host and path and no rule; while either class has
 no URL the models allow everything; repeated rows and ids keep their rows; an empty table gives no rows. All columns
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spread, stash
+from .common import hot_rows, join_hot, spread, stash
 
 #: (verdict, rule)
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
@@ -71,12 +72,18 @@ def log_ratios(grams: DataFrame) -> DataFrame:
 
 
 def scores(urls: DataFrame) -> DataFrame:
-    """``urls(url, allow, block)``, distinct urls with the rows of each class -> ``url, allow, block, score``."""
-    grams = _grams(urls).groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"))
-    ratios = stash(log_ratios(stash(grams, "grams")), "ratios")
-    near = F.broadcast(ratios) if ratios.count() <= MOST_BROADCAST else ratios
-    summed = _grams(urls).join(near, "gram").groupBy("url", "allow", "block").agg(F.sum(F.round(F.col("ratio") * 1e6).cast("long")).alias("s"), F.count("*").alias("n"))
-    return summed.select("url", "allow", "block", (F.col("s") / 1e6 / F.col("n")).alias("score"))
+    """``urls(url, allow, block, rows)``, distinct urls with the rows of each class and all -> the same with ``score``."""
+    grams = _grams(urls).groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"), F.count("*").alias("held"))
+    grams = stash(grams, "grams")
+    ratios = stash(log_ratios(grams).join(grams.select("gram", "held"), "gram"), "ratios")
+    each = _grams(urls).groupBy("url", "allow", "block", "rows", "gram").agg(F.count("*").alias("times"))
+    if ratios.count() <= MOST_BROADCAST:
+        met = each.join(F.broadcast(ratios), "gram")
+    else:
+        met = join_hot(each, ratios, ["gram"], F.col("held") >= hot_rows(grams.agg(F.sum("held")).first()[0]))
+    weight = F.round(F.col("ratio") * 1e6).cast("long") * F.col("times")
+    summed = met.groupBy("url", "allow", "block", "rows").agg(F.sum(weight).alias("s"), F.sum("times").alias("n"))
+    return summed.select("url", "allow", "block", "rows", (F.col("s") / 1e6 / F.col("n")).alias("score"))
 
 
 def judge(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
@@ -86,7 +93,7 @@ def judge(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
     rows = pages.select(F.struct(*[pages[f"`{c}`"] for c in pages.columns]).alias("page"), F.coalesce(pages[url_col], F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": name, "by_rule": verdict})
-    urls = rows.groupBy("url").agg(F.count_if(F.col("by_rule") == "allow").alias("allow"), F.count_if(F.col("by_rule") == "block").alias("block"))
+    urls = rows.groupBy("url").agg(F.count_if(F.col("by_rule") == "allow").alias("allow"), F.count_if(F.col("by_rule") == "block").alias("block"), F.count("*").alias("rows"))
     scored = stash(scores(spread(stash(urls, "urls"))), "scores")
     x = {c: (F.sum(F.col(c) * F.col("score")) / F.nullif(F.sum(c), F.lit(0)), F.sum(F.col(c) * F.col("score") ** 2) / F.nullif(F.sum(c), F.lit(0))) for c in ("allow", "block")}
     r = scored.agg(*[v.alias(f"{c}{i}") for c, pair in x.items() for i, v in enumerate(pair)]).first()
@@ -96,6 +103,7 @@ def judge(pages: DataFrame, url_col: str = "url", rules=RULES) -> DataFrame:
         sd = {c: max(r[f"{c}1"] - r[f"{c}0"] ** 2, 1e-12) ** 0.5 for c in x}
         cut = (r.allow0 * sd["block"] + r.block0 * sd["allow"]) / (sd["allow"] + sd["block"])
     by_model = F.when(F.col("score") < cut, "block").otherwise("allow")
-    rows = rows.join(scored.select("url", "score"), "url", "left")
+    hot = F.col("rows") >= hot_rows(scored.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])
+    rows = join_hot(rows, scored.select("url", "rows", "score"), ["url"], hot)
     values = dict(zip(out, (F.col("host"), F.col("path"), F.col("rule"), F.col("score"), F.coalesce("by_rule", by_model))))
     return rows.select(*[F.col(f"page.`{c}`") for c in pages.columns if c not in out], *[v.alias(c) for c, v in values.items()])

@@ -188,4 +188,4 @@ def test_schedule_in_rounds_is_the_schedule_one_by_one(seed):
         s = min(range(shards), key=lambda s: (loads[s], s))
         loads[s] += w
         want[w][s] += 1
-    assert sharding.longest_first(list(sizes.items()), shards) == sorted(want.items(), reverse=True)
+    assert list(sharding.longest_first(sorted(sizes.items(), reverse=True), shards)) == sorted(want.items(), reverse=True)
