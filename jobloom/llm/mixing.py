@@ -108,7 +108,8 @@ def mix(docs: DataFrame, levels: dict[str, Column], weights: dict[tuple, int], s
     keys = [f"level{i}" for i in range(len(levels))]
     tree = [F.coalesce(c.cast("string"), F.lit("")).alias(k) for k, c in zip(keys, levels.values())]
     count = token_count(docs[text_col]) if tokens is None else F.coalesce(tokens.cast("long"), F.lit(0))
-    id_ = F.coalesce(docs[id_col].cast("string"), F.lit(""))
+    # Rows without an id are told apart by what is in them.
+    id_ = F.coalesce(docs[id_col].cast("string"), F.concat(F.lit("no id "), F.xxhash64(*[docs[f"`{c}`"] for c in docs.columns]).cast("string")))
     narrow = stash(docs.select(*tree, count.alias("tokens"), id_.alias("id")), "tokens")
     leaves = narrow.groupBy(*keys).agg(F.sum("tokens").alias("tokens"))
     total = leaves.agg(F.sum("tokens")).first()[0] or 0

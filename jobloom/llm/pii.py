@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections import Counter
 from functools import lru_cache
 
@@ -30,12 +31,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import byte_slices, text_buffers
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("o", *KINDS)
 SENTENCES = 1500
 ROUNDS = 200
 TOLERANCE = 1e-4
 CERTAIN = 0.9
+#: Bytes of text whose documents make up one graph (one longer text is a graph of its own).
+TEXT_BYTES = 1 << 20
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -316,22 +321,55 @@ def added_spans(texts: list[str], model, certain: float = CERTAIN) -> list[list[
     return out
 
 
+def uncovered(spans: list[tuple[int, int, str]], own: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Those of ``spans`` that overlap none of ``own``: one pass over what ``own`` covers, and a binary search a span."""
+    starts, ends = [], []
+    for a, e, _ in sorted(own):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(a), ends.append(e)
+
+    def free(a: int, e: int) -> bool:
+        i = bisect_left(starts, e) - 1
+        return i < 0 or ends[i] <= a
+
+    return [s for s in spans if free(s[0], s[1])]
+
+
+def held_out(seed: int = 99, sentences: int = 2000) -> dict[str, float]:
+    """How the spans that the method adds fare on generated texts it was not trained on: ``recall`` over the mentions that no base span
+    touches, ``precision`` over the spans added, and the base spans' own share of all mentions."""
+    r, model = random.Random(seed), train()
+    texts, gold = zip(*(_sentence(r) for _ in range(sentences)))
+    hits = missed = right = added = 0
+    for text, spans, more in zip(texts, gold, added_spans(list(texts), model)):
+        own = base_spans(text)
+        new, cut = uncovered(more, own), uncovered(spans, own)
+        meets = lambda s, others: any(s[0] < e and a < s[1] and s[2] == k for a, e, k in others)
+        hits += sum(meets(s, new) for s in cut)
+        missed += sum(not meets(s, new) for s in cut)
+        right += sum(meets(s, spans) for s in new)
+        added += len(new)
+    total = sum(map(len, gold))
+    return {"mentions": total, "base": (total - hits - missed) / total, "cut": hits + missed, "recall": hits / (hits + missed), "precision": right / max(1, added)}
+
+
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, spans array<struct<start, end, kind, base>>`` of every row, base spans and added ones."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     model = train()
-    step = 256
 
     def run(batches):
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("base", pa.bool_())]))
         for b in batches:
-            for lo in range(0, b.num_rows, step):
-                part = b.slice(lo, step)
+            _, offsets = text_buffers(b.column(1))
+            for lo, hi in byte_slices(offsets, TEXT_BYTES):
+                part = b.slice(lo, hi - lo)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 base, out = [base_spans(t) for t in texts], []
                 for own, more in zip(base, added_spans(texts, model)):
-                    new = [s for s in more if not any(s[0] < e and a < s[1] for a, e, _ in own)]
-                    both = [(*s, True) for s in own] + [(*s, False) for s in new]
+                    both = [(*s, True) for s in own] + [(*s, False) for s in uncovered(more, own)]
                     both.sort(key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
                     out.append([{"start": a, "end": e, "kind": k, "base": o} for a, e, k, o in both])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, kind)], ["id", "spans"])

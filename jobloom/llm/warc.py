@@ -2,7 +2,8 @@
 
 Records are range-sorted by (url, id, digest): range bounds come from the keys with the smallest hashes, so
 they depend on the rows alone and the same table always gives the same files, byte for byte. There are at most
-``MOST_RANGES`` ranges, of about ``shard_bytes`` below that number and growing beyond it. Each range is written by one task as gzip members, and a file rolls when its compressed size passes ``roll_bytes``.
+``MOST_RANGES`` ranges, of about ``shard_bytes`` below that number and growing beyond it. Each range is written by one task as gzip
+members, and a file rolls when its compressed size passes ``roll_bytes``.
 Headers and digests are made anew for every record. A file is written under a temporary name and renamed
 when whole; the names, sizes and digests that count are listed in a manifest that Spark commits last, so
 what a lost or repeated task leaves behind is never read and a second attempt only renames the same bytes.
@@ -14,7 +15,7 @@ shuffle.
 Files go to any folder that all executors share and ``pyarrow.fs`` can open (a mounted path, object store or
 HDFS). Defined cases: a null payload is empty; a null url leaves out the target header; a null id is allowed and loses
 against any other id; repeated rows give repeated records (all rows that tie for the largest id are responses); an empty
-table gives a manifest without files; other columns are not read.
+table gives a manifest without files; other columns are not read. Very many rows equal in all are written by several tasks.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from .common import hot_rows, join_hot, shared_dir, stash
 
 MOST_RANGES, MOST_SAMPLED = 1 << 16, 1_000_000
+#: What a record is reckoned at besides its payload.
+RECORD_BYTES = 512
 VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "name string, records long, bytes long, sha256 string"
@@ -122,11 +125,30 @@ def _bounds(keys: DataFrame, rows: int, shards: int, per_shard: int = 64) -> lis
     if shards <= 1:
         return []
     least = int(min(1.0, min(shards * per_shard, MOST_SAMPLED) / rows) * (1 << 30))
-    sample = keys.where(F.pmod(F.xxhash64("url", "id"), F.lit(1 << 30)) <= least).distinct().collect()
-    ordered = sorted((r.url.encode(), r.id) for r in sample)
+    sample = keys.where(F.pmod(F.xxhash64("url", "id", "digest"), F.lit(1 << 30)) <= least).distinct().collect()
+    ordered = sorted((r.url.encode(), r.id, r.digest) for r in sample)
     return sorted({ordered[len(ordered) * i // shards] for i in range(1, shards)}) if ordered else []
 
 
+def _ranges(sized: DataFrame, total: int, rows: int, shard_bytes: int) -> tuple[list, list[int], dict]:
+    """Bounds of the ranges of ``sized(url, id, digest, bytes)``, the first shard of each (one entry more), and the rows of heavy keys.
+
+    A key that alone is more than two ranges' worth, that is many rows equal in all, has a range of its own of several shards. There are at
+    most half as many such keys as ranges.
+    """
+    shards = min(total // shard_bytes + 1, MOST_RANGES)
+    worth = max(shard_bytes, total // shards)
+    bounds = _bounds(sized.select("url", "id", "digest"), rows, int(shards))
+    heavy = sized.groupBy("url", "id", "digest").agg(F.sum("bytes").alias("bytes"), F.count("*").alias("rows")).where((F.col("bytes") > 2 * worth) & (F.col("rows") > 1))
+    heavy = heavy.collect() if total > 2 * worth else []
+    own = {(r.url.encode(), r.id, r.digest): min(r.rows, -(-r.bytes // worth)) for r in heavy}
+    bounds = sorted({*bounds, *own, *((u, i, d + "\0") for u, i, d in own)})
+    firsts = [0]
+    for begin in [None, *bounds]:
+        firsts.append(firsts[-1] + own.get(begin, 1))
+    return bounds, firsts, {(r.url, r.id, r.digest): r.rows for r in heavy}
+
+
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", least_bytes: int = 1000, shard_bytes: int = 32 << 20, roll_bytes: int = 16 << 20, date: str = "2024-01-01T00:00:00Z", level: int = 6) -> DataFrame:
     """Write every row of ``pages`` as a WARC record below ``folder``; returns the committed manifest.
 
@@ -140,28 +162,37 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     first = sized.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(F.max("id").alias("response"), F.count("*").alias("n")).where("n > 1")
     low = F.coalesce("id", F.lit(-(1 << 63)))
     revisits = join_hot(sized, stash(first, "copies"), ["digest", "bytes"], F.col("n") >= hot_rows(n_rows)).where(~F.col("id").eqNullSafe(F.col("response")))
-    bounds = _bounds(sized.select(low.alias("id"), "url"), n_rows, min(int(total // shard_bytes) + 1, MOST_RANGES))
+    framed = F.col("bytes") + RECORD_BYTES
+    bounds, firsts, heavy = _ranges(sized.select("url", low.alias("id"), "digest", framed.alias("bytes")), int(total) + RECORD_BYTES * n_rows, n_rows, shard_bytes)
 
     # What to refer to travels as rows of its own, sorted just before the records it is for, so that the
     # payloads are shuffled once.
     named = lambda df, **more: df.select(low.alias("key"), F.coalesce("url", F.lit("")).alias("u"), "digest", *[v.alias(k) for k, v in more.items()])
     nothing = F.lit(None)
-    notes = named(revisits, turn=F.lit(0), id=F.col("id"), url=nothing.cast("string"), payload=nothing.cast("string"), refers_to=F.col("response")).distinct()
-    rows = named(rows.withColumn("digest", F.sha1("payload")), turn=F.lit(1), id=F.col("id"), url=F.col("url"), payload=F.col("payload"), refers_to=nothing.cast("long"))
-
-    @F.pandas_udf("int")
-    def range_of(url: pd.Series, key: pd.Series) -> pd.Series:
-        return pd.Series([bisect_right(bounds, (u.encode(), k)) for u, k in zip(url, key)], dtype="int32")
-
-    dealt = rows.union(notes).withColumn("shard", range_of("u", "key") if bounds else F.lit(0)).repartitionById(len(bounds) + 1, F.col("shard"))
-    dealt = dealt.sortWithinPartitions("shard", "u", "key", "digest", "turn").select("shard", "turn", "digest", "id", "url", "payload", "refers_to")
+    notes = named(revisits, turn=F.lit(0), copies=F.lit(0), id=F.col("id"), url=nothing.cast("string"), payload=nothing.cast("string"), refers_to=F.col("response")).distinct()
+    rows = named(rows.withColumn("digest", F.sha1("payload")), turn=F.lit(1), copies=F.lit(1), id=F.col("id"), url=F.col("url"), payload=F.col("payload"), refers_to=nothing.cast("long"))
+
+    @F.pandas_udf("array<int>")
+    def shards_of(url: pd.Series, key: pd.Series, digest: pd.Series) -> pd.Series:
+        at = (bisect_right(bounds, (u.encode(), k, d)) for u, k, d in zip(url, key, digest))
+        return pd.Series([list(range(firsts[i], firsts[i + 1])) for i in at])
+
+    # Of a heavy key, whose rows are equal in all, one row goes to each of its shards with the number of its copies there.
+    if heavy:
+        few = spark.createDataFrame([(*k, n) for k, n in heavy.items()], "u string, key long, digest string, n long")
+        one = rows.join(F.broadcast(few), ["u", "key", "digest"]).groupBy("u", "key", "digest").agg(*[F.first(c).alias(c) for c in rows.columns if c not in ("u", "key", "digest", "copies")], F.max("n").cast("int").alias("copies"))
+        rows = rows.join(F.broadcast(few), ["u", "key", "digest"], "left_anti").select(*rows.columns).unionByName(one)
+    dealt = rows.union(notes).withColumn("shards", shards_of("u", "key", "digest") if bounds else F.array(F.lit(0)))
+    dealt = dealt.select("*", F.size("shards").alias("k"), F.posexplode("shards").alias("nth", "shard"))
+    dealt = dealt.withColumn("copies", F.expr("copies div k").cast("int") + F.when(F.col("nth") < F.col("copies") % F.col("k"), 1).otherwise(0)).repartitionById(firsts[-1], F.col("shard"))
+    dealt = dealt.sortWithinPartitions("shard", "u", "key", "digest", "turn").select("shard", "turn", "digest", "id", "url", "payload", "refers_to", "copies")
 
     def run(batches):
         roller, note = None, None
         for pdf in batches:
             done = []
             ids = (pdf[c].astype("Int64").astype(object).where(pdf[c].notna(), None) for c in ("id", "refers_to"))
-            for shard, turn, digest, url, payload, id_, refers in zip(pdf["shard"], pdf["turn"], pdf["digest"], pdf["url"], pdf["payload"], *ids):
+            for shard, turn, digest, url, payload, copies, id_, refers in zip(pdf["shard"], pdf["turn"], pdf["digest"], pdf["url"], pdf["payload"], pdf["copies"], *ids):
                 if turn == 0:
                     note = (shard, digest, id_, refers)
                     continue
@@ -169,7 +200,8 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
                     done.append(roller.finish() if roller else None)
                     roller = _Roller(folder, int(shard), roll_bytes, date)
                 refers = note[3] if note and note[:3] == (shard, digest, id_) else None
-                done.append(roller.write(make_record(id_, url, payload.encode(), refers, refers is not None, date, level)))
+                record = make_record(id_, url, payload.encode(), refers, refers is not None, date, level)
+                done += [roller.write(record) for _ in range(copies)]
             yield pd.DataFrame([d for d in done if d], columns=["name", "records", "bytes", "sha256"])
         yield pd.DataFrame([d for d in [roller.finish() if roller else None] if d], columns=["name", "records", "bytes", "sha256"])
 

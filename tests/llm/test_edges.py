@@ -132,6 +132,18 @@ def test_pii_messages_against_exhaustive_sums(text, loops):
     assert not loops or (got.argmax(axis=1) == want.argmax(axis=1)).all()
 
 
+def test_pii_spans_in_a_long_text():
+    text = "mail a1@b.co at 10.0.0.1, card 4111 1111 1111 1111 " * 3000
+    base = pii.base_spans(text)
+    assert pii.uncovered(base, base) == [] and len(base) == 9000
+    assert pii.uncovered([(0, 4, "email"), (4, 6, "ip"), (12, 13, "ip")], [(5, 12, "email")]) == [(0, 4, "email"), (12, 13, "ip")]
+
+
+def test_pii_added_spans_on_unseen_texts():
+    got = pii.held_out(seed=1234, sentences=800)
+    assert got["cut"] > 200 and got["recall"] >= 0.85 and got["precision"] >= 0.95
+
+
 # --- 3 mixing
 
 
@@ -272,6 +284,15 @@ def test_warc_edges_and_determinism(spark, tmp_path):
     assert warc.write_warc(pages(spark), empty).count() == 0 and warc.read_warc(spark, empty).count() == 0
 
 
+def test_warc_deals_equal_rows_over_several_files(spark, tmp_path):
+    rows = [(None, None, "n" * 40)] * 90 + [(5, "http://a", "p" * 1500)] * 30 + [(9, "http://b", "p" * 1500), (7, "http://0", "q")]
+    folders = [str(tmp_path / x) for x in "ab"]
+    files = [{(r.name, r.sha256, r.records) for r in warc.write_warc(pages(spark, *rows).repartition(n), f, shard_bytes=6000, roll_bytes=1 << 20).collect()} for f, n in zip(folders, (1, 7))]
+    assert files[0] == files[1] and max(n for *_, n in files[0]) < 20
+    got = [(r.id, r.record_type, r.refers_to, r.payload_bytes) for r in warc.read_warc(spark, folders[0]).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, [(None, "response", None, 40)] * 90 + [(5, "revisit", 9, 1500)] * 30 + [(9, "response", None, 1500), (7, "response", None, 1)]))
+
+
 def test_warc_ignores_what_the_manifest_does_not_list(spark, tmp_path):
     folder = str(tmp_path / "w")
     warc.write_warc(pages(spark, (1, "http://a", "x")), folder)
