@@ -321,22 +321,18 @@ def mixed_cells(groups: DataFrame, total: int, percent: int) -> DataFrame:
     return ready.union(ask.select("head", part, "qpart", F.lit(1).alias("turn"), "id", "comp", "other"))
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, k: int = 3) -> DataFrame:
-    """``(id, n_shingles, component)`` for every row: ``component`` is the smallest id that links of at least ``percent`` lead
-    to, itself included. Ids are integers; see the module's notes."""
-    docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+def survey(docs: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
+    """``(id, n_shingles, fp1, fp2)`` of every row of ``docs(id, text)``, and how frequent shingles are in all of them."""
     seen = stash(docs.mapInArrow(_survey(k), SURVEY), "survey")
-    sets = ["fp1", "fp2"]
-    every = seen.where("part IS NULL").select("id", "n_shingles", *sets)
-    total = every.count()
     levels = frequency_levels(seen.where("part IS NOT NULL").select("part", "counters"))
-    live = every.where("n_shingles > 0 AND id IS NOT NULL")
-    classes = stash(live.groupBy(*sets).agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes")
-    several = live.groupBy("id").agg(F.min("fp1").alias("a"), F.max("fp1").alias("b"), F.min("fp2").alias("c"), F.max("fp2").alias("d")).where("a <> b OR c <> d").select("id")
-    twice = live.join(several, "id", "left_semi").join(classes, sets).where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
+    return seen.where("part IS NULL").select("id", "n_shingles", "fp1", "fp2"), levels
 
-    first = docs.where("id IS NOT NULL").mapInArrow(_first_shingles(levels, percent, k), FIRST)
-    first = stash(_of(first, classes.select(F.col("rep").alias("id")).distinct()), "first_shingles")
+
+def exact_links(docs: DataFrame, ids: DataFrame, levels: np.ndarray, total: int, percent: int, k: int, known: DataFrame | None = None) -> DataFrame:
+    """Links ``(u, v)`` among the texts of ``docs(id, text)`` whose id is in ``ids``, enough of them to join all rows that
+    links of ``percent`` join. ``known(u, v)`` are links that need not be found again. Ids are not null."""
+    first = docs.mapInArrow(_first_shingles(levels, percent, k), FIRST)
+    first = stash(_of(first, ids), "first_shingles")
     members = first.select(F.explode("keys").alias("key"), "id", "n", "least")
     for _ in range(PEELED):
         shared = _shared(members, total)
@@ -345,17 +341,31 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     under = _shared(members, total)
     near = F.least("n", "head_n") * 100 >= F.greatest("n", "head_n") * percent
     star = stash(under.where(near & (F.col("id") != F.col("head"))).select(F.col("id").alias("u"), F.col("head").alias("v"), "n").distinct(), "star")
-    links = stash(search_cells(star_cells(star), first, docs, percent, k).union(twice).distinct(), "links")
+    links = search_cells(star_cells(star), first, docs, percent, k)
+    links = stash((links if known is None else links.union(known)).distinct(), "links")
     comps = stash(connected_components(links), "components")
 
     # Two rows that link share a first shingle; only shingles whose rows lie in several components can add a link.
     placed = stash(under.join(comps, under["id"] == comps["node"], "left").select("key", "head", "id", "n", F.coalesce("component", "id").alias("comp")), "placed")
     mixed = stash(placed.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.count("*").alias("rows")).where("a < b").select("key", "rows"), "mixed_keys")
     groups = stash(join_hot(placed, mixed, ["key"], F.col("rows") >= hot_rows(total)).select("head", "id", "n", "comp").distinct(), "mixed_groups")
-    if not groups.isEmpty():
-        more = stash(search_cells(mixed_cells(groups, total, percent), first, docs, percent, k), "more_links")
-        if not more.isEmpty():
-            comps = stash(connected_components(links.union(more)), "all_components")
+    if groups.isEmpty():
+        return links
+    return links.union(stash(search_cells(mixed_cells(groups, total, percent), first, docs, percent, k), "more_links"))
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 90, k: int = 3) -> DataFrame:
+    """``(id, n_shingles, component)`` for every row: ``component`` is the smallest id that links of at least ``percent`` lead
+    to, itself included. Ids are integers; see the module's notes."""
+    docs = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
+    every, levels = survey(docs, k)
+    total, sets = every.count(), ["fp1", "fp2"]
+    live = every.where("n_shingles > 0 AND id IS NOT NULL")
+    classes = stash(live.groupBy(*sets).agg(F.min("id").alias("rep"), F.count("*").alias("n")), "classes")
+    several = live.groupBy("id").agg(F.min("fp1").alias("a"), F.max("fp1").alias("b"), F.min("fp2").alias("c"), F.max("fp2").alias("d")).where("a <> b OR c <> d").select("id")
+    twice = live.join(several, "id", "left_semi").join(classes, sets).where("id <> rep").select(F.col("id").alias("u"), F.col("rep").alias("v"))
+    reps = classes.select(F.col("rep").alias("id")).distinct()
+    comps = stash(connected_components(exact_links(docs.where("id IS NOT NULL"), reps, levels, total, percent, k, twice)), "all_components")
 
     group = stash(classes.join(comps, classes["rep"] == comps["node"], "left").select(*sets, "n", F.coalesce("component", "rep").alias("component")), "groups")
     joined = join_hot(live, group, sets, F.col("n") >= hot_rows(total)).select("id", "n_shingles", "component")

@@ -8,7 +8,10 @@ concentrates round t * J as if the coordinates were drawn without replacement.
 Plan: sketch each text once -> one class per distinct set -> band rows of class representatives -> a star
 from each band's members to its smallest id -> exact check on whole sets -> components -> where the members under
 one head still lie in several components, a check across those, block by block: first on sketches, then exactly for the
-rows that some sketch met -> components. Two members already joined are never compared, and no candidate is dropped.
+rows that some sketch met -> components. Heads of so many rows in different components that blocks would meet more than
+``MOST_CELLS`` times (texts that share a template, say) go another way: their rows are joined exactly by their rarest shingles
+(``jaccard.exact_links``), which costs in proportion to the rows. Two members already joined are never compared, and no candidate
+is dropped.
 
 Joins on keys that a group of copies can make hot (set, band, head) broadcast the few hot keys and shuffle the others.
 Shingles are 64-bit hashes and sets of copies are told apart by 128 bits of them, neither checked against words.
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import hot_rows, join_hot, stash
 from .components import connected_components
+from .jaccard import exact_links, survey
 from .shingles import U, mix, shingle_sets
 
 COORDS, ROWS = 128, 4
@@ -37,6 +41,8 @@ LEAST_AGREED = 72
 BLOCK = 256
 #: Members of a band that meet their head in one cell; the head's text is copied to each cell.
 CELL_ROWS = 64
+#: Meetings of blocks under one head beyond which its rows are joined by their rarest shingles instead.
+MOST_CELLS = 64
 _BIN = U(57)
 _KEEP = U((1 << 49) - 1)
 
@@ -194,7 +200,9 @@ def verify_across(groups: DataFrame, docs: DataFrame, bytes_of: DataFrame, id_co
     sizes = groups.groupBy("head", "comp").agg(F.count("*").alias("n"))
     sizes = sizes.groupBy("head").agg(F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("comp", F.struct("n", "comp")).alias("main"), F.count("*").alias("comps")).where("comps > 1")
     blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
-    sizes = stash(sizes.select("head", "main", blocks(F.col("all")).alias("k"), blocks(F.col("all") - F.col("most")).alias("q")), "mixed_heads")
+    every = stash(sizes.select("head", "main", blocks(F.col("all")).alias("k"), blocks(F.col("all") - F.col("most")).alias("q")), "mixed_heads")
+    wide = F.col("k").cast("long") * F.col("q") > MOST_CELLS
+    sizes = every.where(~wide)
     rows = stash(join_hot(groups, sizes, ["head"], F.col("k") >= hot_rows(total) // BLOCK), "mixed_groups")
     other = F.col("comp") != F.col("main")
     block = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), n).cast("int")
@@ -235,7 +243,14 @@ def verify_across(groups: DataFrame, docs: DataFrame, bytes_of: DataFrame, id_co
                         us.append(max(id_, cell.ids[j])), vs.append(min(id_, cell.ids[j]))
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-    return dealt(met.join(texts, "id").select(*CELL, "turn", "id", "comp", "other", "bytes", "text")).mapInArrow(run, "u long, v long").distinct()
+    links = dealt(met.join(texts, "id").select(*CELL, "turn", "id", "comp", "other", "bytes", "text")).mapInArrow(run, "u long, v long").distinct()
+    many = every.where(wide)
+    if many.isEmpty():
+        return links
+    ids = stash(join_hot(groups, many, ["head"], F.col("k") >= hot_rows(total) // BLOCK).select("id").distinct(), "wide_ids")
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    texts = stash(texts.join(F.broadcast(ids) if ids.count() <= 500_000 else ids, "id", "left_semi"), "wide_texts")
+    return links.union(exact_links(texts, ids, survey(texts, 5)[1], total, percent, 5))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from jobloom.llm import divergence, jaccard, spelling
+from jobloom.llm import divergence, jaccard, neardup, spelling
 from tests.llm.test_edges import EDGE, LONG, docs
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -88,6 +88,23 @@ def test_texts_that_share_boilerplate_never_meet(spark, monkeypatch):
     assert sum(met) == 0
 
 
+def test_near_duplicates_under_a_template(spark, monkeypatch):
+    """Texts of one template are alike enough to share bands and too different to link: no blocks of them meet."""
+    cells, links = [], []
+    monkeypatch.setattr(neardup, "BLOCK", 32)
+    exact = jaccard.exact_links
+    monkeypatch.setattr(neardup, "exact_links", lambda docs, ids, *more: (cells.append(ids.count()), links.append(exact(docs, ids, *more)))[1] or links[-1])
+    rnd = random.Random(8)
+    template = " ".join(f"t{i}" for i in range(80))
+    rows = [(i, f"{template} " + " ".join(f"own{i}x{j}" for j in range(60))) for i in range(1500)]
+    rows += [(2000 + i, rows[i * 7][1].replace("x30", "x30new")) for i in range(60)]
+    rnd.shuffle(rows)
+    out = neardup.near_duplicates(docs(spark, *[(i, t, "en", "s") for i, t in rows]))
+    want = {i: i if i < 2000 else (i - 2000) * 7 for i, _ in rows}
+    assert {r.id: r.component for r in out.collect()} == want
+    assert cells and cells[0] > 1000 and links[0].count() <= 200
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_search_of_lists(seed):
     rnd = np.random.default_rng(seed)
