@@ -427,6 +427,28 @@ def short_list(names: Column, shown: int = 3) -> Column:
     return F.when(more > 0, F.concat(head, F.lit(" (+"), more.cast("string"), F.lit(")"))).otherwise(head)
 
 
+def redact_token(url: Column, token: str) -> Column:
+    """``url`` with the token masked: in a bot's path where it stands there, else wherever it is."""
+    if not token:
+        return url
+    parts = r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+)(/bot[^?#]*)?(.*)$"
+    site, path, rest = (F.regexp_extract(url, parts, i) for i in (1, 2, 3))
+    at = F.locate(f"/bot{token}", path)
+    masked = F.when(at == 0, path).otherwise(F.concat(F.substr(path, F.lit(1), at - 1), F.lit("/bot[redacted]"), F.substr(path, at + len(token) + 4)))
+    return F.when(~F.contains(url, F.lit(token)), url).when(path != "", F.concat(site, masked, rest)).otherwise(F.replace(url, F.lit(token), F.lit("[redacted]")))
+
+
+# --- fixed values: what pages say that stand between a client and the site, and the length beyond which a page is a real one
+BOT_WALL_MARKERS = ("_Incapsula_Resource", "Attention Required! | Cloudflare", "cf-browser-verification", "cf_chl_opt", "Just a moment...", "Checking your browser before accessing", "Request unsuccessful. Incapsula incident ID")
+BOT_WALL_LENGTH = 24_000
+
+
+def looks_like_bot_wall(body: Column) -> Column:
+    """Whether a short page is a wall for automated clients; null is none."""
+    low = F.lower(body)
+    return F.coalesce((F.length(body) <= BOT_WALL_LENGTH) & F.exists(F.array(*[F.lit(m.lower()) for m in BOT_WALL_MARKERS]), lambda m: F.contains(low, m)), F.lit(False))
+
+
 def safe_error(c: Column, secrets: tuple[str, ...] = ()) -> Column:
     c = text(c)
     for s in secrets:

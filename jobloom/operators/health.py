@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from jobloom.functions import columns as C
 from jobloom.functions import policy as P
 
-BLOCKED = r"(?:\b40[13]\b|\b429\b|\b454\b|forbidden|captcha|cloudflare|bot wall|access blocked)"
+# --- fixed value: errors of sites that answer but refuse automated clients
+BLOCKED = r"\bhttp 403\b|\b403 client error\b|anti-bot challenge"
 
 
 def _count(c: str) -> Column:

@@ -48,6 +48,30 @@ def add_missing(base: DataFrame, extra: DataFrame, order: str) -> DataFrame:
     return base.unionByName(first.select("_first.*"))
 
 
+# --- fixed values: names that a ranking gives to companies known by another
+RANKED_NAMES = {"epam ukraine": "epam", "globallogic ukraine": "globallogic", "grid dynamics group": "grid dynamics"}
+
+
+def add_ranked(companies: DataFrame, ranked: DataFrame, overrides: DataFrame, order: str = "rank") -> DataFrame:
+    """``companies(name, slug, career_url, ...)`` and the companies of a ranking that they lack and that have a link in ``overrides(slug, career_url)``.
+
+    Names are compared without case and outer space, and under the other names that some go by; a ranked company is told by a slug made of its
+    name. Of several of one name the first by ``order`` counts. Columns that a ranking does not have are null; ``career_url_source`` is ``override``.
+    """
+    low = lambda c: F.lower(C.strip(C.text(c)))
+    other = F.create_map(*[F.lit(x) for pair in RANKED_NAMES.items() for x in pair])
+    names = companies.select(low(F.col("name")).alias("_known")).distinct()
+    new = ranked.select(C.strip(C.text(F.col("name"))).alias("name"), F.col(order).alias("_order")).withColumn("_name", F.lower("name"))
+    new = new.groupBy("_name").agg(F.min_by("name", "_order").alias("name"))
+    new = new.withColumn("_other", F.coalesce(F.try_element_at(other, F.col("_name")), F.col("_name")))
+    new = new.join(names, F.col("_name") == F.col("_known"), "left_anti").join(names, F.col("_other") == F.col("_known"), "left_anti")
+    new = new.withColumn("slug", F.btrim(F.regexp_replace("_name", "[^a-z0-9]+", "-"), F.lit("-")))
+    links = overrides.select("slug", F.col("career_url").alias("_link")).where("_link IS NOT NULL AND _link <> ''")
+    found = new.join(links, "slug")
+    values = {"name": F.col("name"), "slug": F.col("slug"), "career_url": F.col("_link"), "career_url_source": F.lit("override"), "enabled": F.lit(True)}
+    return companies.unionByName(found.select(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in companies.schema]))
+
+
 def preserve_state(fresh: DataFrame, stored: DataFrame, fields: list[str]) -> DataFrame:
     """Fill what a fresh row leaves null from the stored row of its slug."""
     old = stored.select("slug", *[F.col(f).alias(f"_old_{f}") for f in fields])

@@ -51,7 +51,7 @@ def _runs(spark, d) -> DataFrame:
         F.when(channel, F.concat(F.lit("telegram:ch"), u.cast("string"))).otherwise(F.concat(F.lit("company:c"), u.cast("string"), F.lit("@host"))).alias("source_id"),
         F.when(channel, F.concat(F.lit("Telegram @ch"), u.cast("string"))).otherwise(F.concat(F.lit("C"), u.cast("string"))).alias("source_name"),
         F.when(u % 17 == 3, "failed").when(u % 19 == 4, "degraded").otherwise("healthy").alias("status"),
-        F.when(u % 34 == 3, "403 Forbidden").when(u % 17 == 3, "timeout").when(u % 25 == 0, "session not set").alias("error"),
+        F.when(u % 34 == 3, "403 Client Error: Forbidden").when(u % 17 == 3, "timeout").when(u % 25 == 0, "session not set").alias("error"),
         (u % 23 == 1).alias("empty_is_healthy"), "items_scanned", (u * 10 + F.dayofmonth("day")).alias("checkpoint"), "day", "user_id",
     )
 

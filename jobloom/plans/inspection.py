@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
-from jobloom.operators import health, postings, reports
+from jobloom.operators import reports, watchlist
 from jobloom.plans import catalogue, oracle, run, storage
 from jobloom.plans.fixtures import raw_postings, table
-from jobloom.sources import crawl, discovery
+from jobloom.sources import crawl, discovery, feeds, registry
 
 c = F.col
 QUERIES: dict = {}
@@ -241,3 +241,90 @@ def q_eval_duplicates(spark, d):
     nothing = spark.createDataFrame([], "id string, urls array<string>")
     wanted = storage.stash(run.evaluate_duplicates(groups, nothing).where("NOT backwards").select("id", "urls"), "wanted")
     return run.evaluate_duplicates(groups, wanted).withColumn("urls", F.array_join("urls", " ")).drop("wanted")
+
+
+# --- pages of one source
+
+
+def _pieces(spark, d) -> DataFrame:
+    """Parts as items of a source each two hundred, with the page they stand on."""
+    k = c("p_partkey")
+    p = table(spark, d, "part").select(k.alias("k"), F.floor(k / 200).alias("source_id"), F.when(k % 3 == 0, _text("Clerk ", k)).otherwise(_text("iOS Engineer ", k)).alias("title"), c("p_brand").alias("brand"))
+    return p.withColumn("page", (F.floor(c("k") % 200 / 10) + 1).cast("int"))
+
+
+@checked("""WITH p AS (SELECT p_partkey // 200 AS s, p_partkey % 200 // 10 + 1 AS page FROM part), n AS (SELECT s, max(page) AS last FROM p GROUP BY 1),
+g AS (SELECT s, last, CASE WHEN s % 4 = 1 THEN least(3, last) ELSE least(last, 10) END AS read FROM n)
+SELECT s AS source_id, read, CASE WHEN s % 4 = 1 THEN least(last, 10) - least(3, last) ELSE 0 END AS missing, greatest(last - 10, 0) AS deferred, CASE WHEN last > 10 OR (s % 4 = 1 AND last > 3) THEN 'degraded' ELSE 'healthy' END AS status FROM g""")
+def q_search_status(spark, d):
+    """Searches of up to twenty pages, of which ten are read; of some the fourth was not captured."""
+    p = _pieces(spark, d).groupBy("source_id", "page").agg(F.count("*").alias("n"))
+    last = p.groupBy("source_id").agg(F.max("page").alias("last"))
+    pages = p.join(last, "source_id").where("page <> 4 OR source_id % 4 <> 1")
+    return feeds.search_status(pages.select("source_id", F.to_json(F.struct(c("page").alias("current_page"), c("last").alias("last_page"))).alias("body")))
+
+
+_PIECES = "p AS (SELECT p_partkey AS k, p_partkey // 200 AS s, p_partkey % 200 // 10 + 1 AS page, CASE WHEN p_partkey % 3 = 0 THEN 'Clerk ' ELSE 'iOS Engineer ' END || p_partkey AS title, p_brand AS brand FROM part)"
+
+
+@checked(f"""WITH {_PIECES} SELECT 'offset_list' AS kind, s AS source_id, title, 'https://www.valtech.com/jobs/' || k AS url, brand || ' / Kyiv' AS location, CAST(k AS VARCHAR) AS job_id FROM p WHERE k % 3 <> 0
+UNION ALL SELECT 'session_pages', s, title, 'https://career.softserveinc.com/en-us/vacancies/ios-' || k, brand, CAST(k AS VARCHAR) FROM p WHERE k % 3 <> 0""")
+def q_listed_pages(spark, d):
+    """Lists read by offset, and by the pages of a session, with an item that stands on two pages."""
+    p = _pieces(spark, d)
+    again = p.where("k % 10 = 0").withColumn("page", c("page") + 1)
+    both, out = p.unionByName(again), []
+    shapes = {
+        "offset_list": (F.struct(c("k").cast("string").alias("id"), "title", _text("/jobs/", c("k")).alias("url"), F.array(_text(" ", c("brand")), F.lit(" "), F.lit("Kyiv")).alias("offices")), '{"list":', ',"page":{"itemTotal":200}}'),
+        "session_pages": (F.struct(c("k").cast("string").alias("id"), c("title").alias("name"), _text(" /ios-", c("k")).alias("urlSegment"), c("brand").alias("city")), '{"data":{"vacancies":', '},"meta":{"last_page":20}}'),
+    }
+    for kind, (item, before, after) in shapes.items():
+        pages = both.groupBy("source_id", "page").agg(F.concat(F.lit(before), F.to_json(F.collect_list(item)), F.lit(after)).alias("body")).withColumn("url", F.lit("u"))
+        out.append(registry.parse_json(pages, registry.JSON_SOURCES[kind], "Co").select(F.lit(kind).alias("kind"), "source_id", "title", "url", "location", "job_id"))
+    return feeds.union_results(*out)
+
+
+@checked(f"""WITH {_PIECES}, n AS (SELECT s, page, count(*) AS got, min(k) - 200 * s AS start FROM p GROUP BY 1, 2), f AS (SELECT s, min(start) AS first, sum(got) AS total, count(*) AS pages FROM n GROUP BY 1),
+g AS (SELECT f.s, f.pages, f.total, f.first, CASE WHEN f.s % 3 = 1 AND f.pages > 2 THEN 2 ELSE f.pages END AS read FROM f)
+SELECT s AS source_id, CASE WHEN first > 0 THEN 0 ELSE read END AS read, CASE WHEN first > 0 THEN 0 ELSE CAST((SELECT sum(got) FROM n WHERE n.s = g.s AND n.page <= g.read) AS BIGINT) END AS items, first = 0 AND read = pages AND s % 5 <> 2 AS ended,
+  CASE WHEN first > 0 THEN 'failed' WHEN read = pages AND s % 5 <> 2 THEN 'healthy' ELSE 'degraded' END AS status FROM g""")
+def q_chained_pages(spark, d):
+    """Lists read from offset to offset, some without their third page, some whose last page does not say so."""
+    n = _pieces(spark, d).groupBy("source_id", "page").agg(F.count("*").alias("got"), (F.min("k") - 200 * c("source_id")).alias("start"))
+    last = n.groupBy("source_id").agg(F.max("page").alias("last"))
+    pages = n.join(last, "source_id").where("page <> 3 OR source_id % 3 <> 1").withColumn("done", (c("page") == c("last")) & (c("source_id") % 5 != 2))
+    return feeds.chained_pages(pages.select("source_id", "start", "got", "done"))
+
+
+# --- small rules
+
+
+@checked("""WITH p AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://api.telegram.org/bot12:s3cret/send?t=12:s3cret' WHEN 1 THEN 'https://x.io/a12:s3cret' WHEN 2 THEN url ELSE 'https://api.telegram.org/botX/12:s3cret' END AS u FROM pages)
+SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://api.telegram.org/bot[redacted]/send?t=12:s3cret' WHEN 1 THEN 'https://x.io/a[redacted]' ELSE u END AS url FROM p""")
+def q_redacted_urls(spark, d):
+    k, token = c("page_id") % 4, "12:s3cret"
+    url = F.when(k == 0, f"https://api.telegram.org/bot{token}/send?t={token}").when(k == 1, f"https://x.io/a{token}").when(k == 2, c("url")).otherwise(f"https://api.telegram.org/botX/{token}")
+    return table(spark, d, "pages").select("page_id", C.redact_token(url, token).alias("url"))
+
+
+@checked("""SELECT page_id, page_id % 3 = 1 AND length(html) + 31 <= 24000 AS wall FROM pages""")
+def q_bot_walls(spark, d):
+    """Captured pages with a wall's words in them; a long page is a real one."""
+    body = F.when(c("page_id") % 3 == 1, F.concat(c("html"), F.lit("<title>JUST a moment...</title>"))).otherwise(c("html"))
+    return table(spark, d, "pages").select("page_id", C.looks_like_bot_wall(body).alias("wall"))
+
+
+@checked("""WITH s AS (SELECT s_name AS name, 's' || s_suppkey AS slug, s_suppkey AS k FROM supplier),
+r AS (SELECT k, CASE k % 4 WHEN 0 THEN ' ' || upper(name) || ' ' WHEN 1 THEN 'EPAM Ukraine' WHEN 2 THEN 'New & Co ' || k // 8 ELSE 'Lost ' || k END AS name FROM s),
+n AS (SELECT arg_min(trim(name), k) AS name FROM r WHERE k % 4 = 2 GROUP BY lower(trim(name)))
+SELECT name, slug, CAST(NULL AS VARCHAR) AS career_url, CAST(NULL AS VARCHAR) AS career_url_source FROM s UNION ALL SELECT 'EPAM', 'epam', NULL, NULL
+UNION ALL SELECT name, trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-'), 'https://o/' || regexp_extract(name, '[0-9]+$'), 'override' FROM n""")
+def q_ranked_companies(spark, d):
+    """A ranking's companies: known ones in another spelling or under another name, new ones with a link, and others without."""
+    s, k = table(spark, d, "supplier"), c("s_suppkey")
+    none = F.lit(None).cast("string")
+    epam = spark.createDataFrame([("EPAM", "epam")], "name string, slug string")
+    companies = s.select(c("s_name").alias("name"), _text("s", k).alias("slug")).union(epam).select("name", "slug", none.alias("career_url"), none.alias("career_url_source"))
+    name = F.when(k % 4 == 0, _text(" ", F.upper("s_name"), " ")).when(k % 4 == 1, "EPAM Ukraine").when(k % 4 == 2, _text("New & Co ", F.floor(k / 8))).otherwise(_text("Lost ", k))
+    overrides = s.select(_text("new-co-", F.floor(k / 8)).alias("slug"), _text("https://o/", F.floor(k / 8)).alias("career_url")).distinct()
+    return watchlist.add_ranked(companies, s.select(name.alias("name"), k.alias("rank")), overrides)

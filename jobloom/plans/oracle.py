@@ -181,7 +181,7 @@ fresh AS (SELECT *, canonical_url AS key FROM norm WHERE seq % 3 <> 0 AND canoni
 RUNS = """
 days AS (SELECT user_id AS u, CAST(ts AS DATE) AS day, count(*) FILTER (WHERE value > 60) AS items_scanned FROM events GROUP BY ALL),
 runs AS (SELECT CASE WHEN u % 5 = 0 THEN 'telegram:ch' || u ELSE 'company:c' || u || '@host' END AS source_id, CASE WHEN u % 5 = 0 THEN 'Telegram @ch' || u ELSE 'C' || u END AS source_name,
-  CASE WHEN u % 17 = 3 THEN 'failed' WHEN u % 19 = 4 THEN 'degraded' ELSE 'healthy' END AS status, CASE WHEN u % 34 = 3 THEN '403 Forbidden' WHEN u % 17 = 3 THEN 'timeout' WHEN u % 25 = 0 THEN 'session not set' END AS error,
+  CASE WHEN u % 17 = 3 THEN 'failed' WHEN u % 19 = 4 THEN 'degraded' ELSE 'healthy' END AS status, CASE WHEN u % 34 = 3 THEN '403 Client Error: Forbidden' WHEN u % 17 = 3 THEN 'timeout' WHEN u % 25 = 0 THEN 'session not set' END AS error,
   u % 23 = 1 AS empty_is_healthy, items_scanned, u * 10 + day(day) AS checkpoint, day, u FROM days),
 baseline AS (SELECT source_id, max(source_name) AS name, CASE WHEN max(u) % 7 = 0 THEN 'ios+ai' ELSE 'ios' END AS search_policy, max(items_scanned) * 4 AS best_scanned, arg_max(items_scanned, day) AS last_scanned, '2024-01-14' AS last_success_at, max(u) % 4 AS empty_runs, '2024-01-10' AS last_nonzero FROM runs WHERE day < DATE '2024-01-15' GROUP BY source_id),
 today AS (SELECT * FROM runs WHERE day = DATE '2024-01-15'),
@@ -201,7 +201,7 @@ def _nodup(rows: str) -> str:
 
 _GONE = "NOT coalesce(error ILIKE '%not set%', false)"
 _CHANNEL = "(source_id LIKE 'telegram:%' OR source_name LIKE 'Telegram @%')"
-_OUTCOME = f"CASE WHEN {_CHANNEL} THEN CASE WHEN status = 'failed' THEN 'channel_failed' WHEN error ILIKE '%not set%' THEN 'channel_skipped' WHEN status = 'degraded' THEN 'channel_degraded' ELSE 'channel_ok' END ELSE CASE WHEN status = 'failed' AND error LIKE '403%' THEN 'site_manual' WHEN status = 'failed' THEN 'site_failed' WHEN status = 'degraded' THEN 'site_degraded' ELSE 'site_ok' END END"
+_OUTCOME = f"CASE WHEN {_CHANNEL} THEN CASE WHEN status = 'failed' THEN 'channel_failed' WHEN error ILIKE '%not set%' THEN 'channel_skipped' WHEN status = 'degraded' THEN 'channel_degraded' ELSE 'channel_ok' END ELSE CASE WHEN status = 'failed' AND regexp_matches(error, '\\bHTTP 403\\b|\\b403 Client Error\\b|anti-bot challenge', 'i') THEN 'site_manual' WHEN status = 'failed' THEN 'site_failed' WHEN status = 'degraded' THEN 'site_degraded' ELSE 'site_ok' END END"
 _names = lambda c, *o: f"coalesce(string_agg({c}, ' | ' ORDER BY source_id) FILTER (WHERE o IN ({', '.join(map(q, o))})), '')"
 
 _MARKED = f"""(CASE WHEN russian_company THEN {q(P.MARK_FLAG + ' ')} ELSE '' END || CASE WHEN blockers <> '' THEN {q(P.MARK_PERMIT + ' ')} ELSE '' END || CASE WHEN NOT ({mode_ok('location', 'remote')}) THEN {q(P.MARK_OFFICE + ' ')} ELSE '' END

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from jobloom.functions import columns as C
 from jobloom.plans.storage import stash
 from jobloom.sources import html
+from jobloom.sources.feeds import bounded_status
 
 
 def selected_links(bronze: DataFrame, wanted: Column | None = None) -> DataFrame:
@@ -61,11 +62,6 @@ def crawl_jobs(bronze: DataFrame, seeds: DataFrame, company: str, job: Column, p
     return first.where(C.is_target_job(F.col("title"))).select("source_id", F.lit(company).alias("company"), "title", "url"), states
 
 
-def bounded_status(read: Column, missing: Column) -> Column:
-    """Failed where nothing was read, degraded where something is missing."""
-    return F.when((read == 0) & (missing > 0), "failed").when(missing > 0, "degraded").otherwise("healthy")
-
-
 def listed_details(places: DataFrame, details: DataFrame, pattern: str, link: Column, most: int = 60) -> tuple[DataFrame, DataFrame]:
     """Details that several places list: ``places(source_id, place, body)``, where a body that could not be fetched is null.
 

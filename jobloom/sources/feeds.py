@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
@@ -97,6 +97,52 @@ def parse_paged_search(bronze: DataFrame, base: str, max_pages: int = 10, placeh
     return df.select("source_id", F.when(F.lower(company).isin(*placeholder), F.coalesce("d.source_secondary", F.lit(""))).otherwise(company).alias("company"), C.strip(F.col("d.title")).alias("title"), F.concat(F.lit(base), "d.slug").alias("url"), F.nullif(F.array_join(places, ", "), F.lit("")).alias("location"), mode.alias("remote"), body.alias("description"), F.col("d.id").alias("job_id"))
 
 
+def numbered_pages(pages: DataFrame, most: int) -> DataFrame:
+    """``source_id, read, missing, deferred, status`` of ``pages(source_id, page, last)``: captures that each say which page is the last.
+
+    A reader goes on to the last page that the page before named, at most ``most``; a page without a word of it is the last. ``read`` counts the
+    pages from the first on without a gap, ``missing`` those named that were not captured, ``deferred`` those beyond the bound. Pages after
+    the end that a reader would see do not count.
+    """
+    w = Window.partitionBy("source_id").orderBy("page")
+    seen = pages.where("page >= 1").groupBy("source_id", "page").agg(F.max("last").alias("last"))
+    seen = seen.withColumns({"nth": F.row_number().over(w), "named": F.lag(F.coalesce("last", F.col("page"))).over(w)})
+    chain = seen.withColumn("on", (F.col("page") == F.col("nth")) & (F.col("nth") <= most) & (F.coalesce("named", F.lit(1)) >= F.col("page")))
+    chain = chain.withColumn("on", F.min("on").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    read = chain.groupBy("source_id").agg(F.count_if("on").alias("read"), F.max(F.when(F.col("on"), F.struct("page", F.coalesce("last", F.col("page")).alias("last"))))["last"].alias("last"))
+    every = pages.select("source_id").distinct().join(read, "source_id", "left").select("source_id", F.coalesce("read", F.lit(0)).alias("read"), F.greatest(F.coalesce("last", F.lit(1)), F.lit(1)).alias("last"))
+    counts = every.withColumns({"missing": F.greatest(F.least("last", F.lit(most)) - F.col("read"), F.lit(0)).cast("long"), "deferred": F.greatest(F.col("last") - most, F.lit(0)).cast("long")})
+    return counts.select("source_id", "read", "missing", "deferred", bounded_status(F.col("read"), F.col("missing") + F.col("deferred")).alias("status"))
+
+
+def chained_pages(pages: DataFrame, most: int | None = None) -> DataFrame:
+    """``source_id, read, items, ended, status`` of ``pages(source_id, start, got, done)``: captures of a list from an offset on, how many items
+    each gave, and whether it said to be the last.
+
+    A page follows where the one before ended; the chain is whole when a page gave nothing or said that it was the last. A chain that breaks
+    off, or has more than ``most`` pages, is degraded: its end was not seen.
+    """
+    w = Window.partitionBy("source_id").orderBy("start")
+    seen = pages.groupBy("source_id", "start").agg(F.max("got").alias("got"), F.bool_or("done").alias("done"))
+    seen = seen.withColumns({"nth": F.row_number().over(w), "expected": F.coalesce(F.lag(F.col("start") + F.col("got")).over(w), F.lit(0)), "over": F.coalesce(F.lag((F.col("got") == 0) | F.coalesce("done", F.lit(False))).over(w), F.lit(False))})
+    on = (F.col("start") == F.col("expected")) & ~F.col("over") & (F.lit(True) if most is None else F.col("nth") <= most)
+    chain = seen.withColumn("on", on).withColumn("on", F.min("on").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ended = F.coalesce(F.bool_or(F.col("on") & ((F.col("got") == 0) | F.coalesce("done", F.lit(False)))), F.lit(False))
+    counts = chain.groupBy("source_id").agg(F.count_if("on").alias("read"), F.coalesce(F.sum(F.when(F.col("on"), F.col("got"))), F.lit(0)).alias("items"), ended.alias("ended"))
+    return counts.withColumn("status", bounded_status(F.col("read"), F.when(F.col("ended"), 0).otherwise(1)))
+
+
+def bounded_status(read: Column, missing: Column) -> Column:
+    """Failed where nothing was read, degraded where something is missing."""
+    return F.when((read == 0) & (missing > 0), "failed").when(missing > 0, "degraded").otherwise("healthy")
+
+
+def search_status(bronze: DataFrame, max_pages: int = 10) -> DataFrame:
+    """How much of a search API's pages was captured, as ``numbered_pages`` tells it: a search of more pages than are read is degraded."""
+    page = bronze.select("source_id", F.from_json("body", "current_page int, last_page int").alias("p"))
+    return numbered_pages(page.select("source_id", F.col("p.current_page").alias("page"), F.col("p.last_page").alias("last")), max_pages)
+
+
 def parse_sitemap(bronze: DataFrame, slug_pattern: str = ".") -> DataFrame:
     """Distinct ``<loc>`` links whose last segment matches."""
     df = bronze.select("source_id", F.explode(F.regexp_extract_all("body", F.lit(r"(?s)<loc>\s*(.*?)\s*</loc>"), 1)).alias("url")).distinct()

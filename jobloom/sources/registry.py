@@ -66,6 +66,10 @@ JSON_SOURCES: dict[str, JsonSource] = {
     "attribute": JsonSource("array<struct<id: string, title: string, link: string, city: string>>", lambda b: b, lambda j: {"title": j["title"], "url": j["link"], "location": j["city"], "job_id": j["id"]}, lambda b: unescape(F.regexp_extract(b, r'(?s)data-vacancies="([^"]*)"', 1))),
     "wordpress": JsonSource("array<struct<id: string, link: string, title: struct<rendered: string>, content: struct<rendered: string>>>", lambda b: b, lambda j: {"title": C.squeeze(C.strip(C.html_text(j["title"]["rendered"]))), "url": j["link"], "description": j["content"]["rendered"], "job_id": j["id"]}),
     "paged": JsonSource("pages array<struct<items: array<struct<id: string, title: string, url: string, cities: array<struct<title: string>>>>>>", lambda b: F.flatten(F.transform(b["pages"], lambda p: p["items"])), lambda j: {"title": j["title"], "url": j["url"], "location": _named(F.filter(j["cities"], lambda x: ~F.lower(x["title"]).contains("any city"))), "job_id": j["id"]}),
+    # pages of a list with the number of all its items
+    "offset_list": JsonSource("list array<struct<id: string, title: string, url: string, offices: array<string>>>, page struct<itemTotal: long>", lambda b: b["list"], lambda j: {"title": C.strip(j["title"]), "url": cards.resolve(C.strip(C.text(j["url"])), "https://www.valtech.com"), "location": F.nullif(F.array_join(F.filter(F.transform(j["offices"], C.strip), lambda o: o != ""), " / "), F.lit("")), "job_id": j["id"]}),
+    # pages of a session, with the number of the last in each
+    "session_pages": JsonSource("data struct<vacancies: array<struct<id: string, name: string, urlSegment: string, city: string>>>, vacancies array<struct<id: string, name: string, urlSegment: string, city: string>>, meta struct<last_page: int>", lambda b: F.coalesce(b["data"]["vacancies"], b["vacancies"]), lambda j: {"title": C.strip(j["name"]), "url": F.when(F.ltrim(C.strip(C.text(j["urlSegment"])), F.lit("/")) != "", F.concat(F.lit("https://career.softserveinc.com/en-us/vacancies/"), F.ltrim(C.strip(j["urlSegment"]), F.lit("/")))), "location": F.nullif(C.strip(j["city"]), F.lit("")), "job_id": j["id"]}),
     # one list under any of three names, or the body itself
     "named_lists": JsonSource("variant", lambda b: F.coalesce(*[F.try_variant_get(b, p, _LOOSE) for p in ("$.data", "$.results", "$.vacancies", "$")]), lambda j: {"title": F.coalesce(F.nullif(C.strip(j["title"]), F.lit("")), C.strip(j["name"])), "url": F.when(C.text(F.coalesce(j["slug"], j["url"])) != "", cards.resolve(C.strip(F.coalesce(F.nullif(j["slug"], F.lit("")), j["url"])), "https://themindstudios.com/careers/")), "location": j["location"], "job_id": F.nullif(j["id"], F.lit("0"))}),
     "slug_list": JsonSource("array<struct<id: string, title: string, url: string, remote: boolean>>", lambda b: b, lambda j: {"title": C.strip(j["title"]), "url": F.when(F.ltrim(C.strip(C.text(j["url"])), F.lit("/")) != "", F.concat(F.lit("https://zone3000.com/careers/"), F.ltrim(C.strip(j["url"]), F.lit("/")))), "location": F.when(j["remote"], "Remote"), "job_id": j["id"]}),
