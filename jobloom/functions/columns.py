@@ -118,6 +118,40 @@ def strip_tracking(url: Column) -> Column:
     return F.when(kept == "", base).otherwise(F.concat(base, F.lit("?"), kept))
 
 
+_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+#: Schemes in which a link may be relative.
+_RELATIVE = ("", "http", "https", "ftp", "file")
+
+
+def resolve_url(base: Column, href: Column) -> Column:
+    """A page's link made absolute: what a browser would follow. A link of another scheme stays as it is, an empty one is the page; dot
+    segments are resolved, and an empty query or fragment is dropped. Null counts as empty."""
+    tidy = lambda u: F.regexp_replace(F.regexp_replace(text(u), r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    part = lambda u, i: F.regexp_extract(u, _PARTS, i)
+    b, h = tidy(base), tidy(href)
+    scheme, own = F.lower(part(b, 1)), F.lower(part(h, 1))
+    same = own.isin("") | (own == scheme)
+    site = lambda s, host: F.concat(F.when(s == "", "").otherwise(F.concat(s, F.lit(":"))), F.when(host == "", F.when(s == "file", "//").otherwise("")).otherwise(F.concat(F.lit("//"), host)))
+    tail = lambda query, fragment: F.concat(F.when(query == "", "").otherwise(F.concat(F.lit("?"), query)), F.when(fragment == "", "").otherwise(F.concat(F.lit("#"), fragment)))
+    path, query, fragment = part(h, 3), part(h, 4), part(h, 5)
+    here = F.concat(part(b, 3), tail(F.when(query == "", part(b, 4)).otherwise(query), fragment))
+
+    folder, steps = F.split(part(b, 3), "/"), F.split(path, "/")
+    folder = F.when(F.element_at(folder, -1) == "", folder).otherwise(F.slice(folder, F.lit(1), F.size(folder) - 1))
+    joined = F.concat(folder, steps)
+    joined = F.filter(joined, lambda x, i: (x != "") | (i == 0) | (i == F.size(joined) - 1))
+    steps = F.when(path.startswith("/"), steps).otherwise(joined)
+    up = lambda done: F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+    walked = F.aggregate(steps, F.array().cast("array<string>"), lambda done, x: F.when(x == "..", up(done)).when(x == ".", done).otherwise(F.concat(done, F.array(x))))
+    walked = F.when(F.element_at(steps, -1).isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
+    resolved = F.coalesce(F.nullif(F.array_join(walked, "/"), F.lit("")), F.lit("/"))
+    resolved = F.when((part(b, 2) == "") | resolved.startswith("/"), resolved).otherwise(F.concat(F.lit("/"), resolved))
+
+    there = F.when(h.rlike(r"(?s)^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]+"), F.concat(site(scheme, part(h, 2)), path, tail(query, fragment)))
+    there = there.when(path == "", F.concat(site(scheme, part(b, 2)), here)).otherwise(F.concat(site(scheme, part(b, 2)), resolved, tail(query, fragment)))
+    return F.when(text(base) == "", text(href)).when(text(href) == "", base).when(~same | ~scheme.isin(*_RELATIVE), href).otherwise(there)
+
+
 def title_from_slug(url: Column) -> Column:
     """The last path segment with ``-`` and ``_`` as spaces."""
     path = F.regexp_replace(_url_parts(text(url))["path"], "/+$", "")
@@ -240,7 +274,7 @@ def topic(title: Column, description: Column) -> Column:
     )
 
 
-def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that is computed once a row: filters on it stay above it instead of repeating it below."""
     return df.withColumn(name, F.explode(F.array(value)))
 
@@ -259,7 +293,7 @@ def with_topic(df: DataFrame) -> DataFrame:
     primary = c("_native") & named & ~c("_cross")
     adjacent = F.when(c("_excluded"), none).when(c("_kmp"), "kmp").when(c("_mobile") & ~c("_other"), "mobile")
     topic_ = F.when(primary, "native_ios").when(c("_kmp") & ~c("_excluded"), "kmp").when(~c("_platform"), adjacent).when(c("_cross"), "cross_platform").when(named, "apple_platform").otherwise("ios_in_description")
-    df = _once(df, "_topic", F.struct(topic_.alias("topic"), primary.alias("primary")))
+    df = once(df, "_topic", F.struct(topic_.alias("topic"), primary.alias("primary")))
     return df.withColumns({"topic": c("_topic.topic"), "primary": c("_topic.primary")}).drop("_low", "_platform", "_topic", *patterns)
 
 
@@ -345,11 +379,11 @@ def html_text(c: Column) -> Column:
     return unescape(F.regexp_replace(c, r"(?s)<[^>]+>", " "))
 
 
-def required_lines(description: Column) -> Column:
-    """Requirement clauses, one array element each: clauses of optional sections and optional clauses are out,
+def required_lines(plain: Column) -> Column:
+    """Requirement clauses of a ``plain`` text, one array element each: clauses of optional sections and optional clauses are out,
     those of a required section start with ``required: ``. Each line is classified and cut once; then the
     running section is folded over the lines."""
-    lines = F.transform(F.split(html_text(description), r"[\n;]|(?<=[.!?])\s+"), strip)
+    lines = F.transform(F.split(plain, r"[\n;]|(?<=[.!?])\s+"), strip)
     kind = lambda x: F.when(matches(x, P.OPTIONAL_SECTION), "o").when(matches(x, P.NEUTRAL_SECTION), "n").when(matches(x, P.REQUIRED_SECTION), "r").otherwise("")
     clauses = lambda x: F.transform(F.filter(F.split(x, UNICODE + P.CLAUSE_SPLIT), lambda c: ~matches(c, P.OPTIONAL_CLAUSE)), strip)
     cut = F.transform(lines, lambda x: F.struct(kind(x).alias("k"), clauses(x).alias("c")))
@@ -364,12 +398,12 @@ def required_lines(description: Column) -> Column:
     return F.aggregate(cut, zero, fold, lambda a: a["out"])
 
 
-def authorization_blockers(description: Column) -> Column:
-    """Ordered distinct requirements that cannot be met from abroad.
+def authorization_blockers(description: Column, plain: Column | None = None) -> Column:
+    """Ordered distinct requirements that cannot be met from abroad; ``plain`` is the description's text where it is known already.
 
     A text without any word of the requirements has none, so only the others are cut into sentences.
     """
-    sentences = F.split(F.lower(F.array_join(required_lines(description), "\n")), r"(?<=[.!?])\s+|[\n;]")
+    sentences = F.split(F.lower(F.array_join(required_lines(html_text(description) if plain is None else plain), "\n")), r"(?<=[.!?])\s+|[\n;]")
     on = lambda s, pattern: s.rlike("(?U)" + pattern)
     hit = F.filter(sentences, lambda s: on(s, P.AUTHORIZATION_REQUIRED) & ~on(s, P.AUTHORIZATION_SUPPORT) & ~on(s, P.UKRAINE))
 
@@ -386,8 +420,8 @@ def authorization_blockers(description: Column) -> Column:
 # --- labels -------------------------------------------------------------------------------------------------------------
 
 
-def labels() -> dict[str, Column]:
-    """Label columns of a normal posting, whose topic is already known."""
+def labels(plain: Column | None = None) -> dict[str, Column]:
+    """Label columns of a normal posting, whose topic is already known, and maybe the ``plain`` text of its description."""
     c = F.col
     return {
         "track": c("track"),
@@ -397,7 +431,7 @@ def labels() -> dict[str, Column]:
         "work_mode": F.coalesce(F.nullif(F.lower(strip(F.coalesce(c("remote"), F.lit("unknown")))), F.lit("")), F.lit("unknown")),
         "workable": workable(c("location"), c("remote")),
         "location_needs_check": location_attention(c("location"), c("remote")),
-        "work_authorization": authorization_blockers(c("description")),
+        "work_authorization": authorization_blockers(c("description"), plain),
     }
 
 

@@ -66,13 +66,13 @@ def feed_key() -> Column:
 def feed_entries(postings: DataFrame, first_seen: Column, repeat: Column) -> DataFrame:
     """One feed row a posting: key, posting, labels, language and the cut plain text."""
     c = F.col
-    body = C.strip(F.regexp_replace(C.html_text(c("description")), r"[ \t]*\n\s*", "\n"))
-    df = postings.withColumn("body", body)
+    df = C.once(postings, "plain", C.html_text(c("description")))
+    df = C.once(df, "body", C.strip(F.regexp_replace("plain", r"[ \t]*\n\s*", "\n")))
     family = F.concat_ws(" | ", C.canonical_company(c("company")), C.role_family_title(c("title")))
     locations = c("advertised_locations") if "advertised_locations" in postings.columns else F.array().cast("array<string>")
     return df.select(
         feed_key().alias("feed_key"), "company", "title", "url", "source", "location", locations.alias("advertised_locations"), "published_at", first_seen.alias("first_seen"),
         F.when(C.strip(c("company")) != "", family).alias("role_key"), repeat.alias("repeat_of_seen_role"),
-        *[v.alias(k) for k, v in C.labels().items()],
+        *[v.alias(k) for k, v in C.labels(c("plain")).items()],
         C.language(F.concat_ws(" ", "title", "body")).alias("language"), F.substring("body", 1, P.DESCRIPTION_LIMIT).alias("description"), (F.length("body") > P.DESCRIPTION_LIMIT).alias("description_truncated"),
     )

@@ -163,7 +163,7 @@ def q_work_auth(spark, d):
 
 @query
 def q_required_lines(spark, d):
-    return raw_postings(spark, d).select("seq", F.array_join(C.required_lines(c("description")), "\n").alias("required"))
+    return raw_postings(spark, d).select("seq", F.array_join(C.required_lines(C.html_text(c("description"))), "\n").alias("required"))
 
 
 @query

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import json
 from html.parser import HTMLParser
-from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
+from jobloom.plans.storage import stash
 
 LINKS = "array<struct<pos: int, href: string, text: string>>"
 ANCHORS = "array<struct<pos: int, href: string, text: string, around: string, place: string>>"
@@ -136,46 +136,39 @@ def page_links(body: Column) -> Column:
     return run(body)
 
 
-def page_anchors(body: Column) -> Column:
-    """Links as ``page_links`` has them, with the words around each and its country."""
-
-    @F.pandas_udf(ANCHORS)
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: [{"pos": i, "href": a, "text": t, "around": d, "place": p} for i, (a, t, d, p) in enumerate(_page(h).anchors())])
-
-    return run(body)
+def _postings(page: _Page) -> list[dict]:
+    out = []
+    for script in page.scripts:
+        try:
+            tree = json.loads(script)
+        except ValueError:
+            continue
+        out += [{"title": j.get("title"), "url": j.get("url"), "description": j.get("description"), "location": _location(j)} for j in _job_postings(tree)]
+    return out
 
 
 def page_postings(body: Column) -> Column:
     @F.pandas_udf(POSTINGS)
     def run(s: pd.Series) -> pd.Series:
-        def one(html):
-            out = []
-            for script in _page(html).scripts:
-                try:
-                    tree = json.loads(script)
-                except ValueError:
-                    continue
-                out += [{"title": j.get("title"), "url": j.get("url"), "description": j.get("description"), "location": _location(j)} for j in _job_postings(tree)]
-            return out
-
-        return s.map(one)
+        return s.map(lambda h: _postings(_page(h)))
 
     return run(body)
 
 
-def absolute(base: Column, href: Column) -> Column:
-    @F.pandas_udf("string")
-    def run(b: pd.Series, h: pd.Series) -> pd.Series:
-        def join(x, y):
-            try:
-                return urljoin(x or "", y or "")
-            except ValueError:
-                return y
+def page_parts(body: Column) -> Column:
+    """``anchors`` and ``postings`` of a page that is parsed once: links as ``page_links`` has them, with the words around each and its
+    country, and JSON-LD postings."""
+
+    @F.pandas_udf(f"anchors {ANCHORS}, postings {POSTINGS}")
+    def run(s: pd.Series) -> pd.DataFrame:
+        pages = [_page(h) for h in s]
+        anchors = [[{"pos": i, "href": a, "text": t, "around": d, "place": p} for i, (a, t, d, p) in enumerate(page.anchors())] for page in pages]
+        return pd.DataFrame({"anchors": anchors, "postings": [_postings(page) for page in pages]})
+
+    return run(body)
 
-        return pd.Series([join(x, y) for x, y in zip(b, h)])
 
-    return run(base, href)
+absolute = C.resolve_url
 
 
 #: Places that count for a company whose board lists others as well.
@@ -195,10 +188,11 @@ def career_page_jobs(bronze: DataFrame, company: Column | None = None) -> DataFr
     The first anchor of a url wins; a JSON-LD posting without a url stands for the page itself. Anchors lend the words and
     the country next to them where JSON-LD has none; ``company`` brings its list of places into play.
     """
-    links = bronze.select("source_id", "url", F.explode(page_anchors(F.col("body"))).alias("x"))
+    pages = stash(bronze.select("source_id", "url", page_parts(F.col("body")).alias("p")).select("source_id", "url", "p.*"), "pages")
+    links = pages.select("source_id", "url", F.explode("anchors").alias("x"))
     links = links.select("source_id", absolute(F.col("url"), F.col("x.href")).alias("job_url"), "x.*").where("text <> ''")
     first = links.groupBy("source_id", "job_url").agg(F.min_by(F.struct("text", "around", "place"), "pos").alias("a"))
-    data = bronze.select("source_id", "url", F.posexplode(page_postings(F.col("body"))).alias("pos", "x"))
+    data = pages.select("source_id", "url", F.posexplode("postings").alias("pos", "x"))
     data = data.select("source_id", "pos", absolute(F.col("url"), F.coalesce("x.url", "url")).alias("job_url"), "x.title", "x.description", "x.location")
     one = data.groupBy("source_id", "job_url").agg(F.min_by(F.struct("title", "description", "location"), "pos").alias("d"))
     df = first.join(one, ["source_id", "job_url"], "full_outer")

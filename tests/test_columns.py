@@ -1,5 +1,7 @@
 """Table-driven checks of the column library."""
 
+from urllib.parse import urljoin
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,19 @@ def test_slug_and_source_id(spark):
     assert value(spark, C.same_origin(F.lit("https://a.io/x"), F.lit("http://a.io/y"))) is False
     assert value(spark, C.strip_tracking(F.lit("https://a.io/x?utm_a=1&B=2&c#f"))) == "https://a.io/x?B=2&c"
     assert value(spark, C.short_list(F.array(*map(F.lit, "abcde")))) == "a, b, c (+2)"
+
+
+@pytest.mark.parametrize("base", ["https://x.io/careers/", "https://x.io", "http://a/b/c/d;p?q", "https://X.io/a/b?x=1#f", "https://x.io:8080/a//b/", "", "ftp://f/x/y", "https://x.io/a/../b/./c"])
+def test_links_are_resolved_as_a_browser_does(spark, base):
+    hrefs = ["g:h", "g", "./g", "g/", "/g", "//g", "?y", "g?y", "#s", "g#s", ";x", "", "..", "../", "../g", "../..", "../../g", "../../../g", "/./g", "/../g", "g.", "..g", "./../g", "./g/.", "g/../h", "http:g", "https:g", "HTTPS://Y.io/a?#", "mailto:a@b", " /jobs/1 ", "a\tb\n", "?", "//y.io//a//b", "a//b", "/a//b/../c", None, "jobs/über straße?q=ж"]
+    df = spark.createDataFrame([(h,) for h in hrefs], "h string")
+    assert [(r.h, r.u) for r in df.select("h", C.resolve_url(F.lit(base), F.col("h")).alias("u")).collect()] == [(h, urljoin(base, h or "")) for h in hrefs]
+
+
+def test_masked_tokens_and_walls(spark):
+    token = "12:ab"
+    for url, want in (("https://t/bot12:ab/x?k=12:ab#12:ab", "https://t/bot[redacted]/x?k=12:ab#12:ab"), ("https://t/x12:ab/12:ab", "https://t/x[redacted]/[redacted]"), ("https://t/botx/y", "https://t/botx/y"), ("https://t/bot/12:ab", "https://t/bot/12:ab"), ("12:ab", "[redacted]"), (None, None)):
+        assert value(spark, C.redact_token(F.lit(url).cast("string"), token)) == want
+    assert value(spark, C.redact_token(F.lit("https://t/bot12:ab"), "")) == "https://t/bot12:ab"
+    for body, wall in (("x Just a moment... y", True), ("JUST A MOMENT...", True), ("just a moment", False), ("Just a moment..." + "x" * 24_000, False), ("Attention Required! | Cloudflare", True), (None, False)):
+        assert value(spark, C.looks_like_bot_wall(F.lit(body).cast("string"))) is wall

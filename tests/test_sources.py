@@ -74,6 +74,7 @@ def test_json_sources(spark):
         "attribute": '<div data-vacancies="' + json.dumps([{"id": "1", "title": "iOS dev", "link": "https://x/1", "city": "Kyiv"}]).replace('"', "&quot;") + '">', "wordpress": json.dumps([{"id": 1, "link": "https://x/1", "title": {"rendered": "<b>iOS</b> dev"}, "content": {"rendered": "c"}}]),
         "paged": json.dumps({"pages": [{"items": [{"id": "1", "title": "iOS dev", "url": "https://x/1", "cities": [{"title": "Any city"}, {"title": "Kyiv"}]}]}]}),
         "named_lists": json.dumps({"results": [{"id": 1, "title": "", "name": "iOS dev", "slug": "/r/1", "location": "Kyiv"}, {"name": "iOS", "slug": ""}]}), "slug_list": json.dumps([{"id": 1, "title": " iOS dev ", "url": "/r-1", "remote": False}, {"title": "iOS", "url": "/"}]),
+        "offset_list": json.dumps({"list": [{"id": "1", "title": " iOS dev ", "url": "/j/1", "offices": [" Kyiv ", " "]}], "page": {"itemTotal": 1}}), "session_pages": json.dumps({"vacancies": [{"id": "1", "name": "iOS dev", "urlSegment": "/ios-1", "city": "Kyiv"}, {"name": "iOS", "urlSegment": "/"}], "meta": {"last_page": 1}}),
         "two_queries": json.dumps({"vacancies": {"items": [{"title": "iOS dev", "slug": "r-1"}, {"title": "iOS again", "slug": "r-1"}, {"title": "iOS"}]}}), "located": "<p data-vacancies='" + json.dumps([{"id": "1", "title": "iOS dev", "countryLocations": [{"city": "Kyiv", "country": ""}], "relatedLocations": [" ", None]}, {"title": "iOS"}]).replace('"', "&quot;") + "'>",
     }
     assert set(bodies) == set(registry.JSON_SOURCES)
@@ -115,7 +116,7 @@ def test_follow_pages_goes_to_the_end_or_says_so(spark):
 
 def test_links_know_what_stands_around_them(spark):
     page = '<ul><li><a href="/jobs/1">iOS <b>dev</b></a> in <i>Kyiv</i></li><li><a href="/jobs/2">Swift</a><a href="/jobs/3">Obj-C<span class="x country">UA</span></a></li></ul><a href="/about">us<a href="/jobs/4">open'
-    rows = bronze(spark, page).select(F.explode(html.page_anchors(F.col("body"))).alias("x")).select("x.*").orderBy("pos").collect()
+    rows = bronze(spark, page).select(F.explode(html.page_parts(F.col("body"))["anchors"]).alias("x")).select("x.*").orderBy("pos").collect()
     assert [(r.href, r.text, r.around, r.place) for r in rows] == [("/jobs/1", "iOS dev", "iOS dev in Kyiv", None), ("/jobs/2", "Swift", None, None), ("/jobs/3", "Obj-CUA", None, "UA"), ("/about", "us", None, None), ("/jobs/4", "open", None, None)]
 
 
