@@ -9,8 +9,8 @@ the two training classes, as many standard deviations from either, and URLs belo
 
 All counts are taken over all URLs, each distinct URL of a class weighted by its rows. Built-in
 functions only: counts, contexts and scores are joins and sums over the table of distinct four-grams, whose
-size is bounded by the alphabet. A URL's n-grams are counted before they meet the ratios; where these are too many to broadcast, the
-few grams of very many URLs still are, and so are the scores of URLs that very many rows have (null ones among them).
+size is bounded by the alphabet. Where the ratios are too many to broadcast, a URL's n-grams are counted before they meet them and only the few
+grams of very many URLs are broadcast; so are the scores of URLs that very many rows have (null ones among them).
 
 Defined cases: a null url or one without ``://`` has an empty host and path and no rule; while either class has
 no URL the models allow everything; repeated rows and ids keep their rows; an empty table gives no rows. All columns
@@ -76,10 +76,10 @@ def scores(urls: DataFrame) -> DataFrame:
     grams = _grams(urls).groupBy("gram").agg(F.sum("allow").alias("allow"), F.sum("block").alias("block"), F.count("*").alias("held"))
     grams = stash(grams, "grams")
     ratios = stash(log_ratios(grams).join(grams.select("gram", "held"), "gram"), "ratios")
-    each = _grams(urls).groupBy("url", "allow", "block", "rows", "gram").agg(F.count("*").alias("times"))
     if ratios.count() <= MOST_BROADCAST:
-        met = each.join(F.broadcast(ratios), "gram")
+        met = _grams(urls).withColumn("times", F.lit(1)).join(F.broadcast(ratios), "gram")
     else:
+        each = _grams(urls).groupBy("url", "allow", "block", "rows", "gram").agg(F.count("*").alias("times"))
         met = join_hot(each, ratios, ["gram"], F.col("held") >= hot_rows(grams.agg(F.sum("held")).first()[0]))
     weight = F.round(F.col("ratio") * 1e6).cast("long") * F.col("times")
     summed = met.groupBy("url", "allow", "block", "rows").agg(F.sum(weight).alias("s"), F.sum("times").alias("n"))

@@ -427,6 +427,15 @@ def test_url_model_separates(spark):
     assert got == {900: "allow", 901: "block"}
 
 
+def test_url_hot_keys_change_nothing(spark, monkeypatch):
+    urls = [f"https://a{i % 9}.{['com/en', 'net/de', 'org/fr', 'info/x'][i % 4]}/x{i}" for i in range(60)] + ["https://hot.info/1"] * 40 + [None] * 40
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    plain = sorted(map(tuple, urlfilter.judge(df).collect()), key=repr)
+    monkeypatch.setattr(urlfilter, "MOST_BROADCAST", 0)
+    monkeypatch.setattr(urlfilter, "hot_rows", lambda total: 5)
+    assert sorted(map(tuple, urlfilter.judge(df).collect()), key=repr) == plain and len(plain) == len(urls)
+
+
 # --- 9 toxicity
 
 
@@ -542,3 +551,14 @@ def test_sharding_ranks_in_cells(spark, monkeypatch):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
     rest = [n for s, n in load.items() if s not in hot]
     assert max(rest) - min(rest) <= 18
+
+
+def test_sharding_of_equal_rows_and_a_schedule_in_chunks(spark, monkeypatch):
+    rows = [(7, "same", "en", "s")] * 2500 + [(i, "x" * (i % 40), "en", "s") for i in range(300)]
+    want = sorted((r.id, r.size, r.shard) for r in sharding.assign_shards(docs(spark, *rows), shards=3).collect())
+    monkeypatch.setattr(sharding, "CHUNK", 4)
+    monkeypatch.setattr(sharding, "CELLS", 30)
+    got = sharding.assign_shards(docs(spark, *rows), shards=3).collect()
+    assert sorted((r.id, r.size, r.shard) for r in got) == want
+    for shard in range(3):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
