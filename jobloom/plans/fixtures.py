@@ -43,11 +43,14 @@ def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
     df = o.join(c, o["o_custkey"] == c["c_custkey"]).join(n, c["c_nationkey"] == n["n_nationkey"])
     pick = lambda values, key, k: F.get(_array(values), (F.col(key) % k).cast("int"))
+    # Every fourth title and every third description has words of its own, so their number grows with the table.
+    team = F.when(F.col("o_orderkey") % 4 == 1, F.concat(F.lit(" "), (F.col("o_custkey") * 7 % 9973).cast("string"))).otherwise("")
+    project = F.when(F.col("o_orderkey") % 3 == 2, F.concat(F.lit("\nProject p"), F.col("o_orderkey").cast("string"), F.lit(" with "), F.lower("n_name"))).otherwise("")
     return df.select(
-        F.col("o_orderkey").alias("seq"), pick(COMPANIES, "o_custkey", 12).alias("company"), pick(TITLES, "o_orderkey", 24).alias("title"),
+        F.col("o_orderkey").alias("seq"), pick(COMPANIES, "o_custkey", 12).alias("company"), F.concat(pick(TITLES, "o_orderkey", 24), team).alias("title"),
         F.concat(F.lit("https://Jobs.Example.com/"), "o_custkey", F.lit("/"), (F.col("o_orderkey") % 7).cast("string"), F.lit("/?b=2&utm_source=x&a=1#f")).alias("url"),
         F.col("o_orderpriority").alias("source"), F.get(_array(LOCATIONS), F.col("c_nationkey").cast("int")).alias("location"), pick(MODES, "o_orderkey", 5).alias("remote"),
-        F.col("o_orderdate").cast("timestamp").alias("published_at"), pick(DESCRIPTIONS, "o_orderkey", 12).alias("description"),
+        F.col("o_orderdate").cast("timestamp").alias("published_at"), F.concat(pick(DESCRIPTIONS, "o_orderkey", 12), project).alias("description"),
         F.when(F.col("o_orderkey") % 11 == 0, F.concat(F.lit("job-"), (F.col("o_orderkey") % 1000).cast("string"))).alias("source_job_id"),
         F.when(F.col("o_orderkey") % 13 == 0, "ai").otherwise("ios").alias("track"), (F.col("o_orderkey") % 17 == 0).alias("russian_company"),
     )
@@ -58,9 +61,9 @@ def _sql_list(values: list) -> str:
 
 
 RAW_SQL = f"""raw AS (
-  SELECT o_orderkey AS seq, {_sql_list(COMPANIES)}[CAST(o_custkey % 12 AS INT) + 1] AS company, {_sql_list(TITLES)}[CAST(o_orderkey % 24 AS INT) + 1] AS title,
+  SELECT o_orderkey AS seq, {_sql_list(COMPANIES)}[CAST(o_custkey % 12 AS INT) + 1] AS company, {_sql_list(TITLES)}[CAST(o_orderkey % 24 AS INT) + 1] || CASE WHEN o_orderkey % 4 = 1 THEN ' ' || (o_custkey * 7 % 9973) ELSE '' END AS title,
     'https://Jobs.Example.com/' || o_custkey || '/' || (o_orderkey % 7) || '/?b=2&utm_source=x&a=1#f' AS url, o_orderpriority AS source,
     {_sql_list(LOCATIONS)}[c_nationkey + 1] AS location, {_sql_list(MODES)}[CAST(o_orderkey % 5 AS INT) + 1] AS remote, o_orderdate AS published_at,
-    {_sql_list(DESCRIPTIONS)}[CAST(o_orderkey % 12 AS INT) + 1] AS description, CASE WHEN o_orderkey % 11 = 0 THEN 'job-' || (o_orderkey % 1000) END AS source_job_id,
+    {_sql_list(DESCRIPTIONS)}[CAST(o_orderkey % 12 AS INT) + 1] || CASE WHEN o_orderkey % 3 = 2 THEN chr(10) || 'Project p' || o_orderkey || ' with ' || lower(n_name) ELSE '' END AS description, CASE WHEN o_orderkey % 11 = 0 THEN 'job-' || (o_orderkey % 1000) END AS source_job_id,
     CASE WHEN o_orderkey % 13 = 0 THEN 'ai' ELSE 'ios' END AS track, o_orderkey % 17 = 0 AS russian_company
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
