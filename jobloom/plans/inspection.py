@@ -122,13 +122,16 @@ def _attempts(spark, d) -> tuple[DataFrame, DataFrame]:
     return base.select("slug", (k % 4 == 0).alias("has_vacancies")), base.select(F.explode(rows).alias("a")).select("a.*")
 
 
-@checked("""WITH x AS (SELECT c_custkey AS k, c_custkey % 13 AS m FROM customer),
+_INSPECTED = """WITH x AS (SELECT c_custkey AS k, c_custkey % 13 AS m FROM customer),
 s AS (SELECT k, m, 'c' || k AS slug, CASE WHEN m IN (1, 2) THEN 'no_site' WHEN m = 3 THEN 'unreadable' WHEN m IN (4, 6) THEN 'career_not_found' WHEN m = 5 THEN 'on_dou' WHEN m = 7 THEN 'unreadable' WHEN m = 8 THEN 'js_rendered' ELSE 'read' END AS state,
   CASE WHEN k % 4 = 0 AND k % 8 <> 4 THEN CASE WHEN k % 16 = 0 THEN 'ios' ELSE 'android' END END AS listed FROM x),
 f AS (SELECT *, CASE WHEN state = 'read' THEN CASE k % 3 WHEN 0 THEN ['ios', 'swift'] WHEN 1 THEN [] ELSE CASE WHEN k % 5 <> 0 THEN ['iphone'] ELSE [] END END END AS ios,
   CASE WHEN state = 'read' THEN CASE k % 3 WHEN 0 THEN [] WHEN 1 THEN ['android', 'flutter'] ELSE CASE WHEN k % 5 <> 0 THEN [] ELSE ['kmm'] END || CASE WHEN k % 2 <> 0 THEN ['react native'] ELSE [] END END END AS mobile FROM s)
 SELECT slug, CASE WHEN state IN ('read', 'js_rendered') THEN 'https://s' || k || '.io/careers' END AS career_url, state AS career_state, array_to_string(ios, ' | ') AS ios, array_to_string(mobile, ' | ') AS mobile, listed,
-  CASE WHEN state = 'read' THEN CASE WHEN len(ios) > 0 OR listed = 'ios' THEN 'ios' WHEN len(mobile) > 0 OR listed = 'android' THEN 'mobile_stack' END END AS strength FROM f""")
+  CASE WHEN state = 'read' THEN CASE WHEN len(ios) > 0 OR listed = 'ios' THEN 'ios' WHEN len(mobile) > 0 OR listed = 'android' THEN 'mobile_stack' END END AS strength FROM f"""
+
+
+@checked(_INSPECTED)
 def q_inspect_companies(spark, d):
     """Where each company's way to its careers page ends, and what that page and its listed vacancies show."""
     out = discovery.inspect(*_attempts(spark, d))
@@ -136,6 +139,17 @@ def q_inspect_companies(spark, d):
     return out.select("slug", "career_url", "career_state", F.array_join("career.ios", " | ").alias("ios"), F.array_join("career.mobile", " | ").alias("mobile"), listed.alias("listed"), "strength")
 
 
+@checked(f"""SELECT CASE WHEN c_custkey % 10 = 0 THEN slug ELSE c_name END AS name, slug, 'https://jobs.dou.ua/companies/' || slug || '/' AS dou_company_url, career_url, 'discovery' AS career_url_source FROM ({_INSPECTED}) i JOIN customer ON slug = 'c' || c_custkey WHERE strength IS NOT NULL AND c_custkey % 7 NOT IN (0, 1)""")
+def q_discovered_entries(spark, d):
+    """Rows for the watchlist: strong companies whose page a trial run could read."""
+    k = c("c_custkey")
+    people = table(spark, d, "customer")
+    slug = _text("c", k)
+    readings = people.select(_text("company-watchlist:", slug).alias("source_id"), F.when(k % 7 == 0, "failed").otherwise("healthy").alias("status"), F.when(k % 7 == 1, 0).otherwise(3).alias("items_scanned"))
+    companies = people.select(slug.alias("slug"), F.when(k % 10 == 0, "").otherwise(c("c_name")).alias("name"))
+    return discovery.watchlist_entries(companies, discovery.inspect(*_attempts(spark, d)), readings).select("name", "slug", "dou_company_url", "career_url", "career_url_source")
+
+
 @checked("""WITH s AS (SELECT s_suppkey AS k FROM supplier)
 SELECT 's' || k AS slug, 'greenhouse' AS ats, CASE WHEN k % 4 = 0 THEN 'T' ELSE 't' END || k AS token, CASE WHEN k % 4 = 0 THEN 'career-page' ELSE 'slug-guess' END AS evidence, CASE WHEN k % 4 = 0 THEN 0 ELSE 3 END AS jobs, CASE WHEN k % 4 = 0 THEN '' ELSE 'iOS Dev' END AS ios, CASE WHEN k % 4 = 0 THEN '' ELSE 'iOS Dev | Clerk | ' END AS sample FROM s
 UNION ALL SELECT 's' || k, 'lever', 't' || k, 'slug-guess', 1, 'Swift Engineer ' || k, 'Swift Engineer ' || k FROM s WHERE k % 3 = 0""")

@@ -110,6 +110,22 @@ def inspect(companies: DataFrame, attempts: DataFrame) -> DataFrame:
     return df.select("slug", "listed", url.alias("career_url"), "career_state", "career", strength(c("career_state"), c("career"), c("listed")).alias("strength"))
 
 
+def watchlist_entries(companies: DataFrame, inspected: DataFrame, readings: DataFrame) -> DataFrame:
+    """Rows to add to the watchlist: companies with a ``strength`` whose careers page the watchlist's own reader could read.
+
+    ``companies(slug, name)``, ``readings(source_id, status, items_scanned)`` of a trial run under the watchlist's source id. A page that
+    fails or gives nothing would stay degraded for ever and is left out.
+    """
+    c = F.col
+    good = readings.where("status <> 'failed' AND items_scanned > 0").select(F.regexp_extract("source_id", "(?s)^company-watchlist:(.*)$", 1).alias("slug")).distinct()
+    df = inspected.where("strength IS NOT NULL").join(good, "slug", "left_semi").join(companies.select("slug", "name"), "slug")
+    none = lambda kind: F.lit(None).cast(kind)
+    return df.select(
+        F.coalesce(F.nullif("name", F.lit("")), "slug").alias("name"), "slug", none("double").alias("rating_score"), none("double").alias("compensation_score"), none("int").alias("survey_count"), F.concat(F.lit(PROFILE), "slug", F.lit("/")).alias("dou_company_url"),
+        none("string").alias("company_site_url"), c("career_url"), F.lit("discovery").alias("career_url_source"), F.lit(True).alias("enabled"),
+    )
+
+
 #: Where each system's board lists its postings, and the field of their title.
 BOARD_LISTS = {"greenhouse": ("$.jobs", "title"), "lever": ("$", "text"), "workable": ("$.jobs", "title"), "ashby": ("$.jobs", "title"), "recruitee": ("$.offers", "title"), "breezy": ("$", "name")}
 
