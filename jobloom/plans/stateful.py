@@ -4,8 +4,6 @@ from the tables what they must give."""
 from __future__ import annotations
 
 import json
-import uuid
-from functools import reduce
 from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
