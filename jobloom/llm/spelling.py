@@ -6,7 +6,7 @@ of its letters are odd in number. An inserted or deleted letter flips one bit an
 length of the shorter word (each word also stands as the longer of a pair), and are verified by edit distance.
 
 A band has 1024 values, so a vocabulary of millions would still meet by the thousand under one. One edit also leaves the first
-or the last half of the shorter length as it is, so the key has that half too; this splits what a band would gather without
+half of the shorter length or the rest of it as it is, so the key has that too; this splits what a band would gather without
 losing a pair. Each pair is made once, at its first equal band and half. Words' counts are summed in tasks before they are
 shuffled, the vocabulary is the largest thing joined, and a word has as many rows under the keys whatever its count.
 
@@ -88,8 +88,9 @@ def near_pairs(words: DataFrame, least_length: int = 7) -> DataFrame:
     lengths = F.filter(F.array(F.col("len"), F.col("len") - 1), lambda x: x >= least_length)
     keyed = masked.select("*", F.explode(lengths).alias("short"))
     bands = [F.expr(f"(shiftright(mask, {BAND_BITS * i}) & {(1 << BAND_BITS) - 1}L)") for i in range(BANDS)]
-    half = F.expr("short div 2").cast("int")
-    keys = [F.struct(F.lit(i).alias("band"), b.alias("bits"), F.lit(end).alias("end"), getattr(F, end)("word", half).alias("half")) for i, b in enumerate(bands) for end in ("left", "right")]
+    # An edit in the first half leaves what follows it, and one beyond leaves the first half.
+    half = {"left": F.expr("short div 2").cast("int"), "right": F.expr("short - short div 2").cast("int")}
+    keys = [F.struct(F.lit(i).alias("band"), b.alias("bits"), F.lit(end).alias("end"), getattr(F, end)("word", half[end]).alias("half")) for i, b in enumerate(bands) for end in ("left", "right")]
     rows = keyed.select("word", "n", "len", "mask", "short", F.explode(F.array(*keys)).alias("key")).select("word", "n", "len", "mask", "short", "key.*")
     on = ["short", "band", "bits", "end", "half"]
     a = rows.where("len = short").select(*on, F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("mask").alias("a_mask"))
