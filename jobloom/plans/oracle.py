@@ -248,7 +248,7 @@ SQL = {
     "q_work_auth": f"WITH {RAW_SQL},{REQUIRED} SELECT seq, blockers FROM raw JOIN blockers ON coalesce(description, '') = d",
     "q_required_lines": f"WITH {RAW_SQL},{REQUIRED} SELECT seq, required FROM raw JOIN required ON coalesce(description, '') = d",
     "q_labels": f"{_WITH_BLOCKERS} SELECT seq, {_LABELS}, blockers AS work_authorization FROM lab",
-    "q_digest_pack": f"{_WITH_BLOCKERS.replace('WITH', 'WITH RECURSIVE', 1)}, m AS (SELECT *, {_MARKED} AS marked FROM lab), n AS (SELECT strftime(published_at, '%Y-%m') AS digest, row_number() OVER (PARTITION BY strftime(published_at, '%Y-%m') ORDER BY seq) AS n, CASE WHEN company <> '' THEN company || ' — ' || marked ELSE marked END || chr(10) || '   ' || url AS line FROM m), t AS (SELECT digest, n, n || '. ' || line AS text, length(n || '. ' || line) + 1 AS size FROM n WHERE digest IS NOT NULL), walk AS (SELECT digest, n, 1 AS part, 160 + size AS used FROM t WHERE n = 1 UNION ALL SELECT t.digest, t.n, CASE WHEN w.used + t.size > {P.MESSAGE_LIMIT} THEN w.part + 1 ELSE w.part END, CASE WHEN w.used + t.size > {P.MESSAGE_LIMIT} THEN 160 + t.size ELSE w.used + t.size END FROM walk w JOIN t ON t.digest = w.digest AND t.n = w.n + 1), packed AS (SELECT w.digest, w.part, count(*) AS items, sha256(string_agg(t.text, chr(10) ORDER BY t.n)) AS digest_hash FROM walk w JOIN t ON t.digest = w.digest AND t.n = w.n GROUP BY 1, 2) SELECT digest, part, max(part) OVER (PARTITION BY digest) AS parts, items, digest_hash FROM packed",
+    "q_digest_pack": f"{_WITH_BLOCKERS.replace('WITH', 'WITH RECURSIVE', 1)}, m AS (SELECT *, {_MARKED} AS marked FROM lab), n AS (SELECT strftime(published_at, '%Y-%m') AS digest, row_number() OVER (PARTITION BY strftime(published_at, '%Y-%m') ORDER BY seq) AS n, CASE WHEN company <> '' THEN company || ' — ' || marked ELSE marked END || chr(10) || '   ' || url AS line FROM m), t AS (SELECT digest, n, n || '. ' || line AS text, length(n || '. ' || line) + 1 AS size FROM n WHERE digest IS NOT NULL), walk AS (SELECT digest, n, 1 AS part, 160 + size AS used FROM t WHERE n = 1 UNION ALL SELECT t.digest, t.n, CASE WHEN w.used + t.size > {P.MESSAGE_LIMIT} THEN w.part + 1 ELSE w.part END, CASE WHEN w.used + t.size > {P.MESSAGE_LIMIT} THEN 160 + t.size ELSE w.used + t.size END FROM walk w JOIN t ON t.digest = w.digest AND t.n = w.n + 1), packed AS (SELECT w.digest, w.part, count(*) AS items, sha256(string_agg(t.text, chr(10) ORDER BY t.n)) AS digest_hash FROM walk w JOIN t ON t.digest = w.digest AND t.n = w.n GROUP BY 1, 2) SELECT digest, CAST(part AS BIGINT) AS part, CAST(max(part) OVER (PARTITION BY digest) AS BIGINT) AS parts, items, digest_hash FROM packed",
     "q_title_marks": f"{_WITH_BLOCKERS}, m AS (SELECT *, {_MARKED} AS marked FROM lab) SELECT seq, marked, CASE WHEN company <> '' THEN company || ' — ' || marked ELSE marked END AS label FROM m",
     "q_normalize": f"{BASE} SELECT seq, company, title, location, remote, description, source_job_id, track, identity_key FROM norm",
     "q_feed_entry": f"{BASE}, b AS (SELECT *, {strip(rf"regexp_replace({html_text('description')}, '[ \t]*\n\s*', chr(10), 'g')")} AS body FROM norm) SELECT canonical_url AS feed_key, title, CASE WHEN {strip('company')} <> '' THEN cc || ' | ' || {family('title')} END AS role_key, seq % 2 = 0 AS repeat_of_seen_role, coalesce({topic('title', 'description')}, 'off_topic') AS topic, {language("concat_ws(' ', title, body)")} AS language, substr(body, 1, 6000) AS description, length(body) > 6000 AS description_truncated FROM b",
@@ -294,8 +294,8 @@ SQL = {
     "q_overrides": f"WITH {SUPPLIERS} SELECT c.slug, coalesce(o.career_url, d.career_url, c.career_url) AS career_url, CASE WHEN o.slug IS NOT NULL THEN 'override' WHEN d.slug IS NOT NULL THEN 'discovered' WHEN c.career_url IS NOT NULL THEN 'own' END AS career_url_source FROM companies c LEFT JOIN (SELECT * FROM cust WHERE k % 5 = 0) o USING (slug) LEFT JOIN (SELECT * FROM cust WHERE k % 4 = 0) d ON d.slug = c.slug",
     "q_watchlist_merge": f"WITH {SUPPLIERS}, b AS (SELECT * FROM companies) SELECT slug, name, career_url, nation FROM b UNION ALL SELECT slug, name, career_url, nation FROM cust WHERE slug NOT IN (SELECT slug FROM b)",
     "q_preserve": f"WITH {SUPPLIERS} SELECT c.slug, c.name, coalesce(c.career_url, o.career_url) AS career_url, c.nation FROM companies c LEFT JOIN (SELECT * FROM cust WHERE k % 2 = 0) o USING (slug)",
-    "q_catalog_merge": f"WITH {CATALOG} SELECT slug, name, site_url, vacancies_url, vacancy_count, added, updated, unchanged FROM done",
-    "q_catalog_stats": f"WITH {CATALOG} SELECT sum(added) AS added, sum(updated) AS updated, sum(unchanged) AS unchanged, count(*) AS total FROM done",
+    "q_catalog_merge": f"WITH {CATALOG} SELECT slug, name, site_url, vacancies_url, CAST(vacancy_count AS BIGINT) AS vacancy_count, CAST(added AS BIGINT) AS added, CAST(updated AS BIGINT) AS updated, CAST(unchanged AS BIGINT) AS unchanged FROM done",
+    "q_catalog_stats": f"WITH {CATALOG} SELECT CAST(sum(added) AS BIGINT) AS added, CAST(sum(updated) AS BIGINT) AS updated, CAST(sum(unchanged) AS BIGINT) AS unchanged, count(*) AS total FROM done",
     "q_collect_list": f"WITH {SUPPLIERS}, k AS (SELECT 's' || o_custkey AS slug, count(*) AS n FROM orders GROUP BY 1) SELECT slug, name, vacancy_count FROM (SELECT slug, name, 0 AS r, CAST(NULL AS BIGINT) AS vacancy_count FROM companies UNION ALL SELECT slug, slug, 1, n FROM k WHERE n >= 2 AND slug NOT IN (SELECT slug FROM companies)) ORDER BY r, vacancy_count DESC NULLS LAST, lower(name), slug LIMIT 300",
     "q_recheck_topn": f"WITH {SUPPLIERS}, s AS (SELECT 's' || o_custkey AS slug, strftime(max(o_orderdate), '%Y-%m-%d') AS checked_at FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), x AS (SELECT slug, checked_at FROM cust LEFT JOIN s USING (slug) WHERE slug NOT IN (SELECT slug FROM companies)) SELECT slug, 'new' AS why, checked_at FROM x WHERE checked_at IS NULL UNION ALL (SELECT slug, 'stale', checked_at FROM x WHERE checked_at < '1998-01-01' ORDER BY checked_at, slug LIMIT 300)",
     "q_section_join": "SELECT l_orderkey, l_linenumber, l_suppkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey",

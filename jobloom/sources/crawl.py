@@ -72,7 +72,7 @@ def listed_details(places: DataFrame, details: DataFrame, pattern: str, link: Co
     """
     slugs = places.select("source_id", "place", F.posexplode(F.regexp_extract_all(F.col("body"), F.lit(pattern), 1)).alias("pos", "slug"))
     first = slugs.select("source_id", link.alias("url"), F.struct("place", "pos").alias("at")).groupBy("source_id", "url").agg(F.min("at").alias("at"))
-    numbered = stash(first.withColumn("nth", F.row_number().over(Window.partitionBy("source_id").orderBy("at"))).drop("at"), "listed")
+    numbered = stash(first.withColumn("nth", F.row_number().over(Window.partitionBy("source_id").orderBy("at")).cast("long")).drop("at"), "listed")
     read = stash(numbered.where(F.col("nth") <= most).join(details, "url", "left"), "details")
     good = read.where("title IS NOT NULL").select("source_id", "url", "nth", "title", "body")
     fetched = places.groupBy("source_id").agg(F.count_if(F.col("body").isNull()).alias("unfetched"), F.count_if(F.col("body").isNotNull()).alias("fetched"))
