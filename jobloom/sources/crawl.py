@@ -16,12 +16,11 @@ from jobloom.sources import html
 from jobloom.sources.feeds import bounded_status
 
 
-def selected_links(bronze: DataFrame, wanted: Column | None = None) -> DataFrame:
-    """``source_id, url, pos, next, text``: the links of each page, absolute, for which ``wanted`` (over ``href`` and ``text``) holds."""
+def page_links(bronze: DataFrame) -> DataFrame:
+    """``source_id, url, pos, href, text, next``: the links of each page, ``next`` being where they lead."""
     links = bronze.select("source_id", "url", F.explode(html.page_links(F.col("body"))).alias("x")).select("source_id", "url", "x.pos", "x.href", "x.text")
     links = links.where(F.col("href").isNotNull() & (C.strip("href") != ""))
-    links = links if wanted is None else links.where(wanted)
-    return links.select("source_id", "url", "pos", html.absolute(F.col("url"), F.col("href")).alias("next"), "text")
+    return links.withColumn("next", html.absolute(F.col("url"), F.col("href")))
 
 
 def visit(seeds: DataFrame, links: DataFrame, most: int = 20) -> DataFrame:
@@ -33,7 +32,7 @@ def visit(seeds: DataFrame, links: DataFrame, most: int = 20) -> DataFrame:
     """
     first = seeds.groupBy("source_id").agg(F.min("url").alias("url")).select("source_id", "url", F.lit(1).cast("long").alias("nth"))
     known = frontier = stash(first, "seeds")
-    steps = links.groupBy("source_id", "url", "next").agg(F.min("pos").alias("pos"))
+    steps = stash(links.groupBy("source_id", "url", "next").agg(F.min("pos").alias("pos")), "steps")
     while True:
         found = frontier.where(F.col("nth") <= most).join(steps, ["source_id", "url"]).groupBy("source_id", F.col("next").alias("url")).agg(F.min(F.struct("nth", "pos")).alias("at"))
         new = found.join(known.select("source_id", "url"), ["source_id", "url"], "left_anti")
@@ -51,9 +50,10 @@ def crawl_jobs(bronze: DataFrame, seeds: DataFrame, company: str, job: Column, p
     Postings are the distinct targets of job links on visited pages, the first link of each by the page's number and its place, titled by the
     link or its address, on topic. A source is degraded where pages were left unvisited or could not be read, and failed where none was read.
     """
-    pages = visit(seeds, selected_links(bronze, page), most)
+    links = stash(page_links(bronze), "links")
+    pages = visit(seeds, links.where(page), most)
     pages = stash(pages.join(bronze.select("source_id", "url", F.lit(True).alias("read")).distinct(), ["source_id", "url"], "left"), "visited")
-    jobs = selected_links(bronze, job).join(pages.where("visited").select("source_id", "url", "nth"), ["source_id", "url"])
+    jobs = links.where(job).join(pages.where("visited").select("source_id", "url", "nth"), ["source_id", "url"])
     first = jobs.groupBy("source_id", F.col("next").alias("url")).agg(F.min_by("text", F.struct("nth", "pos")).alias("text"))
     first = stash(first.withColumn("title", F.coalesce(F.nullif(C.squeeze(C.strip(C.text(F.col("text")))), F.lit("")), C.title_from_slug(F.col("url")))), "targets")
     scanned = first.groupBy("source_id").agg(F.count("*").alias("scanned"))
