@@ -259,11 +259,11 @@ def extra_pages(bronze: DataFrame, limit: int = 5) -> DataFrame:
     ``limit`` a source. The limit is the feature: a crawl's budget."""
     from pyspark.sql import Window
 
-    links = bronze.select("source_id", "url", F.explode(html.page_links(F.col("body"))).alias("x")).select("source_id", "url", F.col("x.pos").alias("pos"), F.col("x.text").alias("text"), html.absolute(F.col("url"), F.col("x.href")).alias("next"))
+    links = C.once(bronze.select("source_id", "url", F.explode(html.page_links(F.col("body"))).alias("x")), "next", html.absolute(F.col("url"), F.col("x.href"))).select("source_id", "url", "x.pos", "x.text", "next")
     bare = lambda u: F.regexp_replace(F.regexp_replace(u, "#.*$", ""), "/+$", "")
     links = links.where((C.host_of(F.regexp_extract("next", "^[^:]*://([^/?#]*)", 1)) == C.host_of(F.regexp_extract("url", "^[^:]*://([^/?#]*)", 1))) & (bare(F.col("next")) != bare(F.col("url"))))
     kind = F.when(C.matches(F.col("next"), PAGE_LINK), 1).when(C.matches(F.concat_ws(" ", "next", "text"), LIST_LINK), 0)
-    first = links.withColumn("kind", kind).where("kind IS NOT NULL").groupBy("source_id", "url", "next").agg(F.min(F.struct("kind", "pos")).alias("at"))
+    first = C.once(links, "kind", kind).where("kind IS NOT NULL").groupBy("source_id", "url", "next").agg(F.min(F.struct("kind", "pos")).alias("at"))
     lists = F.row_number().over(Window.partitionBy("source_id", "url", "at.kind").orderBy("at.pos"))
     rank = F.row_number().over(Window.partitionBy("source_id", "url").orderBy("at.kind", "at.pos"))
     kept = first.withColumn("_n", lists).where("at.kind = 1 OR _n = 1").withColumn("rank", rank).where(F.col("rank") <= limit)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from functools import cached_property
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -28,6 +29,15 @@ class _Element:
         self.country = "country" in (attrs.get("class") or "").split()
         self.place = None
 
+    def text(self) -> str:
+        return " ".join("".join(self.words).split())
+
+    @cached_property
+    def around(self) -> str | None:
+        """The words of an element that has closed, unless it holds several job links."""
+        jobs = [h for h in map(str.lower, self.links) if any(t in h for t in JOB_TOKENS)]
+        return None if len(jobs) > 1 or self.tag == "" else " ".join(" ".join(self.words).split()) or None
+
 
 class _Page(HTMLParser):
     """Collects anchors, with the element around each, and JSON-LD scripts of one page."""
@@ -83,9 +93,7 @@ class _Page(HTMLParser):
         """``(href, text, around, place)`` of each anchor: the words of the element around it, unless that holds several
         job links, and the text of a ``country`` node in it."""
         for e, parent in self.links:
-            jobs = [h for h in parent.links if any(t in h.lower() for t in JOB_TOKENS)]
-            around = None if len(jobs) > 1 or parent.tag == "" else " ".join(" ".join(parent.words).split()) or None
-            yield e.href, " ".join("".join(e.words).split()), around, e.place
+            yield e.href, e.text(), parent.around, e.place
 
 
 def _page(html: str | None) -> _Page:
@@ -131,7 +139,7 @@ def _location(job: dict) -> str | None:
 def page_links(body: Column) -> Column:
     @F.pandas_udf(LINKS)
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: [{"pos": i, "href": a, "text": t} for i, (a, t, _, _) in enumerate(_page(h).anchors())])
+        return s.map(lambda h: [{"pos": i, "href": e.href, "text": e.text()} for i, (e, _) in enumerate(_page(h).links)])
 
     return run(body)
 

@@ -73,3 +73,11 @@ def test_entry_has_the_catalogue():
 
     assert set(catalogue.QUERIES) | set(parsing.QUERIES) <= set(__spark_entry__.queries())
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_narrow_tables_are_spread_by_their_size(spark, tmp_path):
+    """A file of one row group is one task of a scan, however large it is."""
+    from jobloom.plans import fixtures
+
+    spark.range(100_000).withColumn("p_name", F.sha2(F.col("id").cast("string"), 256)).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert fixtures.table(spark, str(tmp_path), "part").rdd.getNumPartitions() >= 100_000 * 64 // fixtures.TASK_BYTES

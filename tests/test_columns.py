@@ -138,3 +138,14 @@ def test_masked_tokens_and_walls(spark):
     assert value(spark, C.redact_token(F.lit("https://t/bot12:ab"), "")) == "https://t/bot12:ab"
     for body, wall in (("x Just a moment... y", True), ("JUST A MOMENT...", True), ("just a moment", False), ("Just a moment..." + "x" * 24_000, False), ("Attention Required! | Cloudflare", True), (None, False)):
         assert value(spark, C.looks_like_bot_wall(F.lit(body).cast("string"))) is wall
+
+
+def test_links_from_the_root_and_whole_links_are_resolved_as_by_a_browser(spark):
+    bases = ["https://x.io", "https://x.io?q", "https://u@x.io:80/a/b?c#d", "http://x.io/a", "HTTPS://x.io/a", "https://x\t.io/a", "file:///a/b", "x/y"]
+    hrefs = ["/a", "/", "/a//b/", "/a/./b", "/.a/b", "/a/..", "/a?", "/a#", "/a?b#", "/a?b/.c#d", "//y/a", "///a", "/a\tb", "https://y.io", "https://y.io/a/../b", "http://y.io/?", "https:///a", "https://y.io/a?b#c", "HTTPS://Y.io/a"]
+    df = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "b string, h string")
+    assert [(r.b, r.h, r.u) for r in df.select("b", "h", C.resolve_url(F.col("b"), F.col("h")).alias("u")).collect()] == [(b, h, urljoin(b, h)) for b in bases for h in hrefs]
+
+
+def test_let_computes_its_value_once_a_row(spark):
+    assert [r.x for r in spark.range(3).select(C.let(F.col("id") + 1, lambda v: v * v).alias("x")).collect()] == [1, 4, 9]

@@ -170,3 +170,19 @@ def test_no_part_of_a_long_title_or_csv_is_lost(spark):
     body = F.concat(F.lit("period,rank\n"), F.repeat(F.lit("01-2024,2\n"), 1_000_003), F.lit("02-2024,1"))
     got = feeds.ranked_csv(spark.range(1).select(body.alias("body")), "period string, rank int", "period", "rank").collect()
     assert [(r.period, r.rank) for r in got] == [("02-2024", 1)]
+
+
+def test_words_around_links_are_read_once_an_element():
+    """A listing's links lie in one element, whose links and words were read again for each of them."""
+    class Counted(list):
+        reads = 0
+
+        def __iter__(self):
+            Counted.reads += 1
+            return super().__iter__()
+
+    page = html._page("<main>" + "".join(f'<a href="/x/{i}">t {i}</a>' for i in range(50)) + "</main>")
+    parent = page.links[0][1]
+    parent.links = Counted(parent.links)
+    assert {a[2] for a in page.anchors()} == {" ".join(f"t {i}" for i in range(50))}
+    assert Counted.reads == 1
