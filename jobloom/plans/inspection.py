@@ -217,10 +217,11 @@ SELECT event_id, CASE WHEN n % 3 = 0 OR names IS NULL THEN '📭 Новых не
 def q_heartbeat(spark, d):
     """What runs without news say, at every event's time, with the problems of its nation's suppliers."""
     s = table(spark, d, "supplier").groupBy(c("s_nationkey").alias("n")).agg(F.array_sort(F.collect_list("s_name")).alias("l"))
-    e = table(spark, d, "events").select("event_id", "ts", (c("event_id") % 25).alias("n")).join(s, "n", "left")
     none = F.array().cast("array<string>")
-    there = lambda when, value: F.when(when & c("l").isNotNull(), value).otherwise(none)
-    e = e.withColumns({"failed_names": there(c("n") % 3 == 1, F.concat("l", F.array(_text("Telegram @ch", c("n"))))), "manual_names": there(c("n") % 3 == 2, c("l")), "degraded_names": none, "skipped_names": none})
+    there = lambda when, value: F.when(when, value).otherwise(none)
+    s = s.withColumns({"failed_names": there(c("n") % 3 == 1, F.concat("l", F.array(_text("Telegram @ch", c("n"))))), "manual_names": there(c("n") % 3 == 2, c("l")), "degraded_names": none, "skipped_names": none})
+    problems = reports.with_problems(s).select("n", "problems")
+    e = table(spark, d, "events").select("event_id", "ts", (c("event_id") % 25).alias("n")).join(F.broadcast(problems), "n", "left")
     return reports.heartbeat(e, c("ts"), "event_id")
 
 

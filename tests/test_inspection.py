@@ -109,3 +109,13 @@ def test_ranked_company_under_another_name(spark):
     ranked = spark.createDataFrame([("EPAM Ukraine", 1), (" epam", 2), ("New Co!", 3), ("new co!", 4), ("Lost", 5), (None, 6)], "name string, rank int")
     links = spark.createDataFrame([("new-co", "https://n"), ("lost", "")], "slug string, career_url string")
     assert [(r.name, r.slug, r.career_url, r.career_url_source) for r in watchlist.add_ranked(companies, ranked, links).orderBy("slug").collect()] == [("EPAM", "epam", None, None), ("New Co!", "new-co", "https://n", "override")]
+
+
+def test_problems_are_found_once_for_many_heartbeats(spark):
+    """Summaries of long lists are rows of their own: what stands at each event is their lines, not the names."""
+    s = spark.createDataFrame([(1, [f"s{i}" for i in range(9)], [], [], [])], "n int, failed_names array<string>, manual_names array<string>, degraded_names array<string>, skipped_names array<string>")
+    found = reports.with_problems(s)
+    assert found.columns == ["n", "problems"]
+    clock = spark.sql("SELECT 1 AS n, TIMESTAMP_NTZ '2024-01-15 08:00:00' AS ts UNION ALL SELECT 2, TIMESTAMP_NTZ '2024-01-15 08:00:00'")
+    told = {r.n: r.heartbeat for r in reports.heartbeat(clock.join(found, "n", "left"), F.col("ts"), "n").collect()}
+    assert told[1].split("\n")[1] == "⚠️ Не ответили: s0, s1, s2 (+6)" and "🟢" in told[2]
