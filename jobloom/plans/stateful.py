@@ -273,7 +273,7 @@ def q_channel_stream(spark, d):
     """Captured messages as a stream: channels after their cursor to the end, the latest of new ones, and bots that only start."""
     root = storage.new_folder(spark, "channels")
     e = table(spark, d, "events").select(F.concat(F.lit("ch"), (c("user_id") % 12).cast("string")).alias("channel"), c("event_id").alias("message_id"), c("event_type").alias("text"), c("ts").cast("timestamp").alias("published_at"))
-    e.write.parquet(f"{root}/captured")
+    e.repartitionByRange("channel", "message_id").sortWithinPartitions("channel", "message_id").write.option("maxRecordsPerFile", 50_000).parquet(f"{root}/captured")
     spark.dataSource.register(channels.MessageChannels)
     options = {"path": f"{root}/captured", "position": f"{root}/position/offset.json", "cursors": json.dumps({f"ch{i}": 400 for i in range(0, 12, 3)}), "bots": json.dumps([f"ch{i}" for i in range(2, 12, 3)])}
     stream = spark.readStream.format("message_channels").options(**options).load()

@@ -361,3 +361,18 @@ def test_every_character_reference(spark):
     texts += ["&", "&&amp;amp;", "&;", "a&b", "&#;", "&#x;", "", "&#0000000000038;", "& amp;", "&notit;", "&" + "a" * 40 + ";", "&amp;lt;", "&é;", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", unescape(F.col("t")).alias("u")).collect()
     assert [(r.t, r.u) for r in rows if r.u != (html.unescape(r.t) if r.t is not None else None)] == []
+
+
+def test_a_batch_of_a_channel_opens_the_files_that_it_lies_in(spark, tmp_path):
+    """Every batch went through all captured messages, so that a stream's work grew with their square."""
+    path = str(tmp_path / "captured")
+    for i in range(6):
+        _captured(spark, path, [(ch, 10 * i + j, "x", None) for ch in ("a", "b") for j in range(10)])
+    reader = channels.ChannelStream({"path": path, "position": str(tmp_path / "pos" / "offset.json"), "cursors": json.dumps({"a": 23, "gone": 4}), "catch_up": "4", "lookback": "12", "bots": "[]"})
+    opened, ids = [], reader._ids
+    reader._ids = lambda channel, file: (opened.append(channel), ids(channel, file))[1]
+    end = reader.latestOffset()
+    assert end == {"a": 27, "gone": 4, "b": 59} and opened == ["a"]
+    ranges = [r for p in reader.partitions({"a": 23, "gone": 4}, end) for r in p.ranges]
+    assert [(c, after, upto, len(files)) for c, after, upto, files in ranges] == [("a", 23, 27, 1), ("b", 47, 59, 2)]
+    assert reader.latestOffset()["a"] == 31 and reader._first("b", 5, reader._index()["b"]) == -1
