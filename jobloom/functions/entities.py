@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import html
 import json
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -19,6 +20,11 @@ OPEN_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-l
 REPLACED = {str(n): html.unescape(f"&#{n};") for n in range(160) if html.unescape(f"&#{n};") != chr(n)}
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once a row however often it stands in ``use``."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _by_start() -> dict[str, dict[str, str]]:
     out: dict[str, dict[str, str]] = {}
     for name, text in html5.items():
@@ -66,4 +72,4 @@ def _decoded(piece: Column) -> Column:
 def unescape(c: Column) -> Column:
     """``c`` with its character references decoded once: what they give is not read again. Names without a semicolon count
     where the standard lets them, numbers outside Unicode become U+FFFD and noncharacters nothing. Null stays null."""
-    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(F.split(c, "(?=&)"), _decoded), "")).otherwise(c)
+    return let(c, lambda x: F.when(F.contains(x, F.lit("&")), F.array_join(F.transform(F.split(x, "(?=&)"), _decoded), "")).otherwise(x))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from jobloom.functions import columns as C
 from jobloom.operators import health, incremental, reports, state_merge
-from jobloom.plans import oracle
+from jobloom.plans import oracle, storage
 from jobloom.plans.fixtures import RAW_SQL, raw_postings, table
 from jobloom.sources import cards, feeds, html, messages, registry
 
@@ -38,7 +38,8 @@ PART = "p AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS id, CASE WHEN
 def _bodies(rows: DataFrame, piece: Column, before: str, after: str, by: str = ",", key: str = "source_id", url: str = "https://x.io/careers/") -> DataFrame:
     """One captured body a source: the pieces of its rows, in order."""
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", piece.alias("piece")))), lambda x: x["piece"]), by)
-    return rows.groupBy(c(key).alias("source_id")).agg(F.concat(F.lit(before), joined, F.lit(after)).alias("body")).withColumn("url", F.lit(url))
+    # Dealt, since the bodies are few bytes that are worth much work: a shuffle cut by bytes would gather them in a few tasks.
+    return storage.deal(rows, key).groupBy(c(key).alias("source_id")).agg(F.concat(F.lit(before), joined, F.lit(after)).alias("body")).withColumn("url", F.lit(url))
 
 
 def _json(**fields: Column) -> Column:
@@ -500,8 +501,6 @@ def q_new_header(spark, d):
 @checked("SELECT CAST(o_orderkey AS VARCHAR) AS key, '{\"first_seen\":\"' || strftime(o_orderdate, '%Y-%m-%d') || '\",\"title\":\"' || o_orderpriority || '\"}' AS entry FROM orders")
 def q_history_json(spark, d):
     """History for consumers that read documents: private fields out, by key."""
-    from jobloom.plans import storage
-
     o = table(spark, d, "orders").select(c("o_orderkey").cast("string").alias("key"), c("o_orderpriority").alias("title"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("first_seen"), F.lit("x").alias("disposition"), F.lit("y").alias("applied_at"))
     return storage.sorted_json(incremental.sanitize_seen(o), "key")
 
@@ -511,8 +510,6 @@ def q_replaced_table(spark, d):
     """A stored table replaced by a selection of itself."""
     import uuid
 
-    from jobloom.plans import storage
-
     path = f"{storage.shared_dir(spark)}/table-{uuid.uuid4().hex}"
     storage.replace_table(table(spark, d, "orders").select(c("o_orderkey").alias("k"), c("o_orderstatus").alias("v")), path)
     schema = "k long, v string, more long"

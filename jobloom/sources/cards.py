@@ -75,7 +75,8 @@ def cards(bronze: DataFrame, source: CardSource) -> DataFrame:
     df = _numbered(bronze).select("source_id", "page", F.posexplode(cut).alias("pos", "card"))
     none = F.lit(None).cast("string")
     fields = {"description": none, "location": none, "remote": none} | source.fields(F.col("card"))
-    df = df.select("source_id", F.struct("page", "pos").alias("at"), *[v.alias(k) for k, v in fields.items()]).withColumn("url", resolve(F.col("href"), source.base))
+    df = C.once(df, "f", F.struct(*[v.alias(k) for k, v in fields.items()])).select("source_id", F.struct("page", "pos").alias("at"), "f.*")
+    df = C.once(df, "url", resolve(F.col("href"), source.base))
     df = df.where((F.col("href") != "") & F.col("url").rlike(source.keep))
     key = "key" if "key" in df.columns else "url"
     first = df.groupBy("source_id", F.col(key).alias("key")).agg(F.min_by(F.struct("url", "title", "description", "location", "remote"), "at").alias("f"))
@@ -121,12 +122,12 @@ def _slug_title(href: Column, drop: str) -> Column:
 def _tech_or_title(card: Column) -> dict[str, Column]:
     tech = F.array_join(inners(F.regexp_extract(card, r"(?is)(<div\b[^>]*vacancy-card-new__technologies.*?</div>)", 1), "span"), " ")
     title = inner(card, "h3", "vacancy-card-new__title")
-    return {"title": F.when(title == "", tech).otherwise(title), "href": attribute(card, "href"), "description": F.nullif(tech, F.lit(""))}
+    return {"title": C.let(title, lambda t: F.when(t == "", tech).otherwise(t)), "href": attribute(card, "href"), "description": C.let(tech, lambda t: F.nullif(t, F.lit("")))}
 
 
 def _box(card: Column) -> dict[str, Column]:
     heading, whole = inner(card, "h4"), tidy(F.regexp_extract(card, r"(?is)^(.*?)</a\s*>", 1))
-    title = C.strip(F.regexp_replace(F.when(heading == "", whole).otherwise(heading), r"\s+IRC\d+\s*$", ""))
+    title = C.strip(F.regexp_replace(C.let(heading, lambda h: F.when(h == "", whole).otherwise(h)), r"\s+IRC\d+\s*$", ""))
     any_of = lambda name: _unique_join(F.concat(*[inners(card, t, name) for t in ("span", "div", "p")]), ", " if name == "job_location" else " ")
     return {"title": title, "href": attribute(card, "href"), "location": any_of("job_location"), "remote": any_of("job_tag")}
 
@@ -137,10 +138,12 @@ def _bookmarked(card: Column) -> dict[str, Column]:
     meta = F.from_json(unescape(F.regexp_extract(card, r"(?is)\sdata-job=(?:\"([^\"]*)\"|'([^']*)')", 1)), "city string, location string")
     place = F.nullif(F.array_join(F.filter(F.array(C.strip(C.text(meta["city"])), C.strip(C.text(meta["location"]))), lambda x: x != ""), ", "), F.lit(""))
     node = F.nullif(tidy(F.regexp_extract(card, r"(?is)<(\w+)\b[^>]*\bclass=[\"'][^\"']*location[^\"']*[\"'][^>]*>(.*?)</\1\s*>", 2)), F.lit(""))
-    words = C.strip(F.regexp_replace(F.get(F.split(raw, r"\s+Facebook\s+", 2), 0), r"(?i)\s+iOS\s*\(Objective-C/Swift\).*$", ""))
-    title = F.coalesce(F.nullif(heading, F.lit("")), F.nullif(words, F.lit("")), C.title_from_slug(attribute(card, "href")))
-    short = F.coalesce(F.nullif(C.strip(F.get(F.split(raw, " iOS ", 2), 0)), F.lit("")), title)
-    return {"title": F.when(C.is_target_job(title), title).otherwise(F.when(C.is_target_job(raw), short).otherwise(title)), "href": attribute(card, "href"), "location": F.coalesce(place, node), "description": raw}
+    filled = lambda x: C.let(x, lambda v: F.nullif(v, F.lit("")))
+    words = lambda raw: C.strip(F.regexp_replace(F.get(F.split(raw, r"\s+Facebook\s+", 2), 0), r"(?i)\s+iOS\s*\(Objective-C/Swift\).*$", ""))
+    title = lambda raw: F.coalesce(filled(heading), filled(words(raw)), C.title_from_slug(attribute(card, "href")))
+    short = lambda x: F.coalesce(filled(C.strip(F.get(F.split(x["raw"], " iOS ", 2), 0))), x["title"])
+    shown = lambda x: F.when(C.is_target_job(x["title"]), x["title"]).otherwise(F.when(C.is_target_job(x["raw"]), short(x)).otherwise(x["title"]))
+    return {"title": C.let(raw, lambda r: C.let(F.struct(r.alias("raw"), title(r).alias("title")), shown)), "href": attribute(card, "href"), "location": F.coalesce(place, node), "description": raw}
 
 
 #: Shapes of card listings, by what tells them apart.
