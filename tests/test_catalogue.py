@@ -81,3 +81,25 @@ def test_narrow_tables_are_spread_by_their_size(spark, tmp_path):
 
     spark.range(100_000).withColumn("p_name", F.sha2(F.col("id").cast("string"), 256)).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     assert fixtures.table(spark, str(tmp_path), "part").rdd.getNumPartitions() >= 100_000 * 64 // fixtures.TASK_BYTES
+
+
+def test_postings_are_spread_after_their_joins(spark, tmp_path):
+    """A join's tasks are few, as they are cut by bytes, and each posting is worth much more work than that."""
+    from jobloom.plans import fixtures
+
+    k = F.col("id")
+    orders = spark.range(60_000).select(k.alias("o_orderkey"), (k % 50).alias("o_custkey"), F.sha2(k.cast("string"), 256).alias("o_orderpriority"), F.lit("2024-01-01").cast("date").alias("o_orderdate"))
+    for name, df in {"orders": orders, "customer": spark.range(50).select(k.alias("c_custkey"), (k % 5).alias("c_nationkey")), "nation": spark.range(5).select(k.alias("n_nationkey"), F.lit("N").alias("n_name"))}.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert raw_postings(spark, str(tmp_path)).rdd.getNumPartitions() >= 60_000 * 64 // fixtures.TASK_BYTES
+
+
+def test_bodies_are_dealt_over_the_cores(spark):
+    rows = spark.range(400).select(F.col("id").alias("k"), F.floor(F.col("id") / 10).alias("source_id"))
+    assert parsing._bodies(rows, F.col("k").cast("string"), "", "").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_a_label_takes_marks_that_are_known(spark):
+    df = spark.createDataFrame([("Co", "src", "u"), ("", "src", "u"), (None, "src", " u ")], "company string, source string, url string")
+    assert [r.l for r in df.select(reports.vacancy_label(F.lit("m")).alias("l")).collect()] == ["Co — m", "m", "m"]
+    assert [r.l for r in df.select(reports.vacancy_label(F.lit("")).alias("l")).collect()] == ["Co", "u", "u"]
