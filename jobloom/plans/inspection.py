@@ -42,7 +42,7 @@ links AS (SELECT s, nth, 0 AS pos, 'https://s' || s || '.io/jobs/ios-' || k AS u
 
 
 def _heap(spark, d) -> tuple[DataFrame, DataFrame]:
-    o = table(spark, d, "orders").select(c("o_orderkey").alias("k")).distinct()
+    o = storage.deal(table(spark, d, "orders").select(c("o_orderkey").alias("k")), "k").distinct()
     o = o.select("k", F.floor(c("k") / 64).alias("source_id"), (c("k") % 64).alias("j"))
     page = lambda j: _text("https://s", c("source_id"), ".io/p/", j)
     to = lambda href, text="": _text('<a href="', href, f'">{text}</a>')
@@ -253,9 +253,8 @@ FROM sizes s CROSS JOIN (VALUES (false), (true)) t(back) LEFT JOIN kept k ON k.i
 def q_eval_duplicates(spark, d):
     """Every customer's postings as a group of variants, without duplicates forwards and backwards; wanted is what forwards gives."""
     groups = raw_postings(spark, d).withColumns({"id": F.regexp_extract("url", "^https://Jobs.Example.com/([0-9]+)/", 1), "pos": c("seq")})
-    nothing = spark.createDataFrame([], "id string, urls array<string>")
-    wanted = storage.stash(run.evaluate_duplicates(groups, nothing).where("NOT backwards").select("id", "urls"), "wanted")
-    return run.evaluate_duplicates(groups, wanted).withColumn("urls", F.array_join("urls", " ")).drop("wanted")
+    survivors = storage.stash(run.surviving_variants(groups), "survivors")
+    return run.judge_variants(survivors, survivors.where("NOT backwards").select("id", "urls")).withColumn("urls", F.array_join("urls", " ")).drop("wanted")
 
 
 # --- pages of one source

@@ -119,3 +119,10 @@ def test_problems_are_found_once_for_many_heartbeats(spark):
     clock = spark.sql("SELECT 1 AS n, TIMESTAMP_NTZ '2024-01-15 08:00:00' AS ts UNION ALL SELECT 2, TIMESTAMP_NTZ '2024-01-15 08:00:00'")
     told = {r.n: r.heartbeat for r in reports.heartbeat(clock.join(found, "n", "left"), F.col("ts"), "n").collect()}
     assert told[1].split("\n")[1] == "⚠️ Не ответили: s0, s1, s2 (+6)" and "🟢" in told[2]
+
+
+def test_variants_are_normalised_once_for_both_orders(spark, sf_dir, monkeypatch):
+    seen, normalize = [], run.postings.normalize
+    monkeypatch.setattr(run.postings, "normalize", lambda df: (seen.append(df.columns), normalize(df))[1])
+    rows = inspection.q_eval_duplicates(spark, sf_dir)
+    assert len(seen) == 1 and rows.count() > 0
