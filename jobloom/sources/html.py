@@ -1,12 +1,11 @@
-"""Pages: links with their text and JSON-LD postings, read by a small HTML parser in an Arrow UDF."""
+"""Pages: links with their text and JSON-LD postings, read by a small HTML parser in Arrow UDFs."""
 
 from __future__ import annotations
 
 import json
-from functools import cached_property
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,64 +15,85 @@ from jobloom.plans.storage import stash
 LINKS = "array<struct<pos: int, href: string, text: string>>"
 ANCHORS = "array<struct<pos: int, href: string, text: string, around: string, place: string>>"
 POSTINGS = "array<struct<title: string, url: string, description: string, location: string>>"
+_LINKS, _ANCHORS, _POSTINGS = (pa.list_(pa.struct([(n, pa.int32() if n == "pos" else pa.string()) for n in names.split()])) for names in ("pos href text", "pos href text around place", "title url description location"))
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
 JOB_TOKENS = ("career", "job", "vacanc", "position", "opening")
 
 
 class _Element:
-    """An open element: its words so far, the links below it, and what an anchor adds."""
+    """An element: where its words and links begin among the page's, which it takes once it has closed if they are asked for, and what an
+    anchor adds."""
 
-    def __init__(self, tag: str, attrs: dict):
-        self.tag, self.words, self.links = tag, [], []
+    __slots__ = ("tag", "word", "link", "words", "links", "href", "country", "place", "holds", "_around")
+
+    def __init__(self, tag: str, attrs: dict, word: int, link: int):
+        self.tag, self.word, self.link = tag, word, link
+        self.words, self.links, self.holds = (), (), False
         self.href = attrs.get("href") if tag == "a" else None
-        self.country = "country" in (attrs.get("class") or "").split()
-        self.place = None
+        self.country = "class" in attrs and "country" in (attrs["class"] or "").split()
+        self.place, self._around = None, ...
 
     def text(self) -> str:
         return " ".join("".join(self.words).split())
 
-    @cached_property
+    @property
     def around(self) -> str | None:
         """The words of an element that has closed, unless it holds several job links."""
-        jobs = [h for h in map(str.lower, self.links) if any(t in h for t in JOB_TOKENS)]
-        return None if len(jobs) > 1 or self.tag == "" else " ".join(" ".join(self.words).split()) or None
+        if self._around is ...:
+            jobs = [h for h in map(str.lower, self.links) if any(t in h for t in JOB_TOKENS)]
+            self._around = None if len(jobs) > 1 or self.tag == "" else " ".join(" ".join(self.words).split()) or None
+        return self._around
 
 
 class _Page(HTMLParser):
-    """Collects anchors, with the element around each, and JSON-LD scripts of one page."""
+    """Collects anchors, with the element around each, and JSON-LD scripts of one page. Words and links are kept once, however deep
+    they lie."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.links, self.scripts, self._json, self._skip = [], [], None, 0
-        self._open = [_Element("", {})]
+        self._words, self._hrefs, self._anchor, self._tags = [], [], None, {}
+        self._open = [_Element("", {}, 0, 0)]
+
+    def updatepos(self, i, j):
+        """Lines are not counted."""
+        return j
 
     def handle_starttag(self, tag, attrs):
-        a = dict(attrs)
         if tag in ("script", "style"):
-            self._json = [] if tag == "script" and a.get("type") == "application/ld+json" else None
+            self._json = [] if tag == "script" and dict(attrs).get("type") == "application/ld+json" else None
             self._skip += 1
         elif tag not in VOID:
-            if tag == "a" and any(e.tag == "a" for e in self._open):
+            if tag == "a" and self._anchor is not None:
                 self.handle_endtag("a")
-            self._open.append(_Element(tag, a))
+            e = _Element(tag, dict(attrs), len(self._words), len(self._hrefs))
+            self._anchor = e if tag == "a" else self._anchor
+            self._tags[tag] = self._tags.get(tag, 0) + 1
+            self._open.append(e)
 
     def handle_endtag(self, tag):
         if tag in ("script", "style"):
             if self._json is not None:
                 self.scripts.append("".join(self._json))
             self._json, self._skip = None, max(0, self._skip - 1)
-        elif any(e.tag == tag for e in self._open[1:]):
+        elif self._tags.get(tag):
             while self._close() != tag:
                 pass
 
     def _close(self) -> str:
         e = self._open.pop()
-        if e.country and any(x.tag == "a" for x in self._open):
-            anchor = next(x for x in reversed(self._open) if x.tag == "a")
-            anchor.place = anchor.place or " ".join("".join(e.words).split()) or None
+        self._tags[e.tag] -= 1
+        if e.country or e.href or e.holds:
+            e.words = self._words[e.word :]
+        if e.holds:
+            e.links = self._hrefs[e.link :]
+        if e.tag == "a":
+            self._anchor = None
+        if e.country and self._anchor is not None:
+            self._anchor.place = self._anchor.place or e.text() or None
         if e.href:
-            for x in self._open:
-                x.links.append(e.href)
+            self._hrefs.append(e.href)
+            self._open[-1].holds = True
             self.links.append((e, self._open[-1]))
         return e.tag
 
@@ -81,8 +101,7 @@ class _Page(HTMLParser):
         if self._json is not None:
             self._json.append(data)
         elif not self._skip:
-            for e in self._open:
-                e.words.append(data)
+            self._words.append(data)
 
     def close(self):
         super().close()
@@ -137,13 +156,20 @@ def _location(job: dict) -> str | None:
 
 
 def page_links(body: Column) -> Column:
-    @F.pandas_udf(LINKS)
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: [{"pos": i, "href": e.href, "text": e.text()} for i, (e, _) in enumerate(_page(h).links)])
+    @F.arrow_udf(LINKS)
+    def run(bodies: pa.Array) -> pa.Array:
+        return pa.array([[{"pos": i, "href": e.href, "text": e.text()} for i, (e, _) in enumerate(_page(h).links)] for h in bodies.to_pylist()], _LINKS)
 
     return run(body)
 
 
+def _said(value) -> str | None:
+    """A field of JSON-LD as text, whatever its type; without lone surrogates, which are no text."""
+    if value is None or not isinstance(value, str) and not value:
+        return None
+    return str(value).encode("utf-8", "replace").decode()
+
+
 def _postings(page: _Page) -> list[dict]:
     out = []
     for script in page.scripts:
@@ -151,14 +177,14 @@ def _postings(page: _Page) -> list[dict]:
             tree = json.loads(script)
         except ValueError:
             continue
-        out += [{"title": j.get("title"), "url": j.get("url"), "description": j.get("description"), "location": _location(j)} for j in _job_postings(tree)]
+        out += [{"title": _said(j.get("title")), "url": _said(j.get("url")), "description": _said(j.get("description")), "location": _said(_location(j))} for j in _job_postings(tree)]
     return out
 
 
 def page_postings(body: Column) -> Column:
-    @F.pandas_udf(POSTINGS)
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda h: _postings(_page(h)))
+    @F.arrow_udf(POSTINGS)
+    def run(bodies: pa.Array) -> pa.Array:
+        return pa.array([_postings(_page(h)) for h in bodies.to_pylist()], _POSTINGS)
 
     return run(body)
 
@@ -167,11 +193,14 @@ def page_parts(body: Column) -> Column:
     """``anchors`` and ``postings`` of a page that is parsed once: links as ``page_links`` has them, with the words around each and its
     country, and JSON-LD postings."""
 
-    @F.pandas_udf(f"anchors {ANCHORS}, postings {POSTINGS}")
-    def run(s: pd.Series) -> pd.DataFrame:
-        pages = [_page(h) for h in s]
-        anchors = [[{"pos": i, "href": a, "text": t, "around": d, "place": p} for i, (a, t, d, p) in enumerate(page.anchors())] for page in pages]
-        return pd.DataFrame({"anchors": anchors, "postings": [_postings(page) for page in pages]})
+    @F.arrow_udf(f"anchors {ANCHORS}, postings {POSTINGS}")
+    def run(bodies: pa.Array) -> pa.Array:
+        anchors, postings = [], []
+        for h in bodies.to_pylist():
+            page = _page(h)
+            anchors.append([{"pos": i, "href": a, "text": t, "around": d, "place": p} for i, (a, t, d, p) in enumerate(page.anchors())])
+            postings.append(_postings(page))
+        return pa.StructArray.from_arrays([pa.array(anchors, _ANCHORS), pa.array(postings, _POSTINGS)], ["anchors", "postings"])
 
     return run(body)
 

@@ -186,3 +186,24 @@ def test_words_around_links_are_read_once_an_element():
     parent.links = Counted(parent.links)
     assert {a[2] for a in page.anchors()} == {" ".join(f"t {i}" for i in range(50))}
     assert Counted.reads == 1
+
+
+def test_deep_pages_keep_their_words_once():
+    """Every open element kept each word below it, so that a page's cost grew with the square of its depth."""
+    import tracemalloc
+
+    body = "".join(f"<b>{i} " for i in range(3000)) + '<a href="/jobs/1">iOS'
+    tracemalloc.start()
+    page = html._page(body)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert list(page.anchors()) == [("/jobs/1", "iOS", "2999 iOS", None)]
+    assert peak < 8_000_000
+
+
+def test_json_ld_fields_of_any_type(spark):
+    """A title that is no text failed the whole run."""
+    page = '<script type="application/ld+json">[{"@type":"JobPosting","title":5,"url":"/a\\ud800","description":["x"]},{"@type":"JobPosting","title":[],"url":null}]</script>'
+    want = [("5", "/a?", "['x']", None), (None, None, None, None)]
+    for postings in (html.page_postings(F.col("body")), html.page_parts(F.col("body"))["postings"]):
+        assert [tuple(p) for p in bronze(spark, page).select(postings).first()[0]] == want
