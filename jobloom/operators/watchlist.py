@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,16 +159,16 @@ OTHER_TOKENS = ("blog", "news", "article")
 def candidate_score(url: Column, label: Column) -> Column:
     """How much a link looks like a careers page: 100 for the host of an applicant-tracking system or one below it, 50 for a
     careers word in the url, 30 for one in the label, less 80 for a word of other pages in the url."""
-    low, host = F.lower(C.text(url)), C.host_of(C.authority(C.text(url)))
-    any_of = lambda c, words: F.exists(F.array(*[F.lit(w) for w in words]), lambda w: F.contains(c, w))
-    ats = F.exists(F.array(*[F.lit(h) for h in ATS_HOSTS]), lambda h: (host == h) | F.endswith(host, F.concat(F.lit("."), h)))
+    low = F.lower(C.text(url))
+    any_of = lambda c, words: c.rlike("|".join(map(re.escape, words)))
+    ats = C.on_host(C.host_of(C.authority(C.text(url))), ATS_HOSTS)
     points = lambda on, n: F.when(on, n).otherwise(0)
     return points(ats, 100) + points(any_of(low, CAREER_TOKENS), 50) + points(any_of(F.lower(C.text(label)), CAREER_TOKENS), 30) - points(any_of(low, OTHER_TOKENS), 80)
 
 
 def best_link(links: DataFrame, group: str, score: Column, url: str) -> DataFrame:
     """For each group the link of the highest score, the shortest, then the smallest; links that score nothing are out."""
-    scored = links.withColumn("score", score).where("score > 0")
+    scored = C.once(links, "score", score).where("score > 0")
     first = F.min_by(F.struct(*scored.columns), F.struct(-F.col("score"), F.length(url), F.col(url)))
     return scored.groupBy(F.col(group).alias("_group")).agg(first.alias("_first")).select("_first.*")
 

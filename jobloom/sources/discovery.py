@@ -75,13 +75,12 @@ def inspect(companies: DataFrame, attempts: DataFrame) -> DataFrame:
     df = follow(companies.select("slug", "has_vacancies"), F.when(c("has_vacancies"), F.concat(profile, F.lit("vacancies/"))), "vacancies")
     listed = F.when(c("vacancies").isNotNull(), signals(F.concat_ws(" ", cards.inners(c("vacancies"), "a", "vt"))))
     df = follow(df.withColumn("listed", listed).drop("vacancies"), profile, "profile").withColumn("site", cards.company_site(c("profile"))).drop("profile")
-    host = _host(c("site"))
-    skipped = F.exists(F.array(*[F.lit(h) for h in SKIPPED_SITES]), lambda h: (host == h) | F.endswith(host, F.concat(F.lit("."), h)))
-    df = df.withColumn("state", F.when(c("site").isNull() | skipped, "no_site"))
+    df = df.withColumn("state", F.when(c("site").isNull() | C.on_host(_host(c("site")), SKIPPED_SITES), "no_site"))
     df = stash(follow(df, F.when(c("state").isNull(), c("site")), "home").withColumn("state", F.coalesce("state", F.when(c("home").isNull(), "unreadable"))), "homes")
 
     anchors = df.where("state IS NULL").select("slug", "site", F.explode(html.page_links(c("home"))).alias("x")).select("slug", "site", C.strip("x.href").alias("href"), F.col("x.text").alias("label"))
-    anchors = anchors.where((C.text(c("href")) != "") & ~c("href").rlike("^(mailto:|tel:|javascript:)")).select("slug", html.absolute(c("site"), c("href")).alias("url"), "label").where(c("url").rlike("(?i)^https?:"))
+    anchors = anchors.where((C.text(c("href")) != "") & ~c("href").rlike("^(mailto:|tel:|javascript:)"))
+    anchors = C.once(anchors, "url", html.absolute(c("site"), c("href"))).select("slug", "url", "label").where(c("url").rlike("(?i)^https?:"))
     best = watchlist.best_link(anchors, "slug", watchlist.candidate_score(c("url"), c("label")), "url").select("slug", F.col("url").alias("found"))
     df = df.join(best, "slug", "left").withColumn("career_url", F.when(c("state").isNull(), F.when(watchlist.candidate_score(c("site"), F.lit("")) >= 50, c("site")).otherwise(c("found"))))
     path = F.regexp_extract(c("career_url"), r"^[^:]*:(?://[^/?#]*)?([^?#]*)", 1)

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from jobloom.functions import columns as C
 from jobloom.operators import reports, watchlist
 from jobloom.plans import inspection, run
 from jobloom.sources import crawl, discovery, feeds
@@ -126,3 +127,27 @@ def test_variants_are_normalised_once_for_both_orders(spark, sf_dir, monkeypatch
     monkeypatch.setattr(run.postings, "normalize", lambda df: (seen.append(df.columns), normalize(df))[1])
     rows = inspection.q_eval_duplicates(spark, sf_dir)
     assert len(seen) == 1 and rows.count() > 0
+
+
+def test_links_are_resolved_and_scored_once(spark, monkeypatch):
+    """A link was resolved again by the filter on it, and its score and host again for each filter, order and name of a host."""
+    seen, best = [], watchlist.best_link
+
+    def caught(links, *rest):
+        seen.extend([links, best(links, *rest)])
+        return seen[1]
+
+    monkeypatch.setattr(watchlist, "best_link", caught)
+    companies = spark.createDataFrame([("c", False)], "slug string, has_vacancies boolean")
+    attempts = spark.createDataFrame([("https://jobs.dou.ua/companies/c/", 200, '<div class="site"> <a href="https://c.io" target="_blank" rel="nofollow">x</a></div>'), ("https://c.io", 200, '<a href="/careers">Careers</a>')], "url string, status int, body string")
+    assert [(r.career_url, r.career_state) for r in discovery.inspect(companies, attempts).collect()] == [(None, "unreadable")]
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    links = spark.range(2).select(F.col("id").cast("string").alias("a"), F.concat("id", F.lit("b")).alias("b"))
+    once = plan(links.select(C.resolve_url(F.col("a"), F.col("b")).alias("url"))).count("https?://")
+    assert once > 0 and plan(seen[0]).count("https?://") == once
+    assert plan(seen[1]).count("greenhouse") == 1
+
+
+def test_hosts_below_a_name(spark):
+    df = spark.createDataFrame([("t.me", True), ("a.t.me", True), ("at.me", False), ("txme", False), ("t.me.io", False), ("t.me\n", False), ("", False), (None, None)], "host string, want boolean")
+    assert [r.got for r in df.select(C.on_host(F.col("host"), ("x.io", "t.me")).alias("got")).collect()] == [r.want for r in df.collect()]
